@@ -11,13 +11,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U64 = np.uint64
 SLICE_BYTES = 1 << 20  # bytes of text hashed at once; a longer word widens its slice
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
-_BYTE[65:91] = _BYTE[97:123]
+_FOLDED = _BYTE.copy()
+_FOLDED[65:91] = _BYTE[97:123]
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _P = 0x9E3779B97F4A7C15 | 1
@@ -73,8 +75,12 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes, word offsets per text, byte starts, byte ends, bytes) of all words of a batch of texts."""
+def word_hashes(column: pa.Array, fold: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, word offsets per text, byte starts, byte ends, bytes) of all words of a batch of texts.
+
+    ``fold``: A-Z count as a-z.
+    """
+    values = _FOLDED if fold else _BYTE
     data, offsets = text_buffer(column)
     starts, ends = word_spans(data, offsets)
     out = np.empty(len(starts), np.uint64)
@@ -85,7 +91,7 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
         size = int(ends[j - 1] - base)
         pow_, inv = _power_tables(size + 1)
         total = np.zeros(size + 1, np.uint64)
-        np.cumsum(_BYTE[data[base : base + size]] * pow_[:size], out=total[1:])
+        np.cumsum(values[data[base : base + size]] * pow_[:size], out=total[1:])
         s, e = starts[i:j] - base, ends[i:j] - base
         out[i:j] = mix((total[e] - total[s]) * inv[s] + (e - s).astype(np.uint64))
         i = j
@@ -135,7 +141,7 @@ def pieces(batch: pa.RecordBatch, column: str, size: int = 4 * SLICE_BYTES) -> I
     data = batch.column(column)
     if not len(batch):
         return
-    lengths = np.nan_to_num(pa.compute.binary_length(data).to_numpy(zero_copy_only=False).astype(float))
+    lengths = np.nan_to_num(pc.binary_length(data).to_numpy(zero_copy_only=False).astype(float))
     total, start = 0.0, 0
     for i, n in enumerate(lengths):
         if i > start and total + n > size:
