@@ -1,33 +1,55 @@
-"""From raw documents to token files: quality, near duplicates, benchmark leaks, source weights, token ids."""
+"""From raw documents to token files: quality, near duplicates, benchmark leaks, source weights, token ids.
+
+Every stage works on all rows that its predecessor kept; all but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cosecha.llm import decontamination, mixing
+from cosecha.llm import decontamination, mixing, near_duplicates, quality, token_files
 from cosecha.llm.work import saved
 
 
+def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on ``labels``, scores below 0.3 go."""
+    return quality.good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group with a similarity of 0.8 or more stays."""
+    return near_duplicates.one_of_each(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     return decontamination.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of sources takes it."""
+    """Each document stays as often as the mix of sources takes it."""
     return mixing.repeated(docs)
 
 
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files; a row for each document in them."""
+    return token_files.tokens(docs)
+
+
 STAGES = [
+    ("quality", filter_quality),
+    ("near_duplicates", drop_near_duplicates),
     ("decontamination", decontaminate),
     ("mixing", mix),
+    ("tokens", tokenize),
 ]
 
+#: SQL has neither the classifier nor the tokenizer.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; each stage is written and reread."""
+    """The last stage's rows; every stage before it is written and reread."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")

@@ -1,10 +1,11 @@
 """The queries of this subpackage and, where SQL can express them, their DuckDB SQL."""
 
-from cosecha.llm import decontamination, mixing, near_duplicates, token_files
+from cosecha.llm import decontamination, mixing, near_duplicates, quality, token_files
 
 QUERIES = {
     "op2_decontamination": decontamination.op2,
     "op4_near_duplicates": near_duplicates.op4,
+    "op5_quality": quality.op5,
     "op6_token_files": token_files.op6,
     "op10_mixing": mixing.op10,
 }
