@@ -1,8 +1,9 @@
 """The queries of this subpackage and, where SQL can express them, their DuckDB SQL."""
 
-from cosecha.llm import decontamination, mixing, near_duplicates, quality, token_files
+from cosecha.llm import decontamination, mixing, near_duplicates, quality, token_files, warc
 
 QUERIES = {
+    "op1_warc": warc.op1,
     "op2_decontamination": decontamination.op2,
     "op4_near_duplicates": near_duplicates.op4,
     "op5_quality": quality.op5,
@@ -11,5 +12,6 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_warc": warc.OP1_SQL,
     "op10_mixing": mixing.OP10_SQL,
 }
