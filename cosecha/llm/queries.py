@@ -1,6 +1,6 @@
 """The queries of this subpackage and, where SQL can express them, their DuckDB SQL."""
 
-from cosecha.llm import decontamination, mixing, near_duplicates, quality, token_files, warc
+from cosecha.llm import decontamination, html_text, language_id, mixing, near_duplicates, quality, token_files, warc
 
 QUERIES = {
     "op1_warc": warc.op1,
@@ -8,6 +8,8 @@ QUERIES = {
     "op4_near_duplicates": near_duplicates.op4,
     "op5_quality": quality.op5,
     "op6_token_files": token_files.op6,
+    "op7_html_text": html_text.op7,
+    "op8_language_id": language_id.op8,
     "op10_mixing": mixing.op10,
 }
 
