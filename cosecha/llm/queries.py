@@ -1,10 +1,11 @@
 """The queries of this subpackage and, where SQL can express them, their DuckDB SQL."""
 
-from cosecha.llm import decontamination, html_text, language_id, mixing, near_duplicates, quality, token_files, warc
+from cosecha.llm import decontamination, embedding_links, html_text, language_id, mixing, near_duplicates, quality, token_files, warc
 
 QUERIES = {
     "op1_warc": warc.op1,
     "op2_decontamination": decontamination.op2,
+    "op3_embedding_links": embedding_links.op3,
     "op4_near_duplicates": near_duplicates.op4,
     "op5_quality": quality.op5,
     "op6_token_files": token_files.op6,
