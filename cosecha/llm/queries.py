@@ -1,6 +1,6 @@
 """The queries of this subpackage and, where SQL can express them, their DuckDB SQL."""
 
-from cosecha.llm import decontamination, embedding_links, html_text, language_id, mixing, near_duplicates, quality, token_files, warc
+from cosecha.llm import decontamination, embedding_links, html_text, language_id, mixing, near_duplicates, passages, quality, token_files, warc
 
 QUERIES = {
     "op1_warc": warc.op1,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_token_files": token_files.op6,
     "op7_html_text": html_text.op7,
     "op8_language_id": language_id.op8,
+    "op9_passages": passages.op9,
     "op10_mixing": mixing.op10,
 }
 

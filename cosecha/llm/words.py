@@ -136,7 +136,7 @@ def shingle_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(owner, np.arange(len(column) + 1))
 
 
-def pieces(batch: pa.RecordBatch, column: str, size: int = 4 * SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, column: str, size: int = 2 * SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts a batch so that each part has at most ``size`` bytes of text or one row."""
     data = batch.column(column)
     if not len(batch):
