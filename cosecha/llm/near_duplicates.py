@@ -11,10 +11,10 @@ similarity is at least ``share`` percent, checked on the full sets with exact in
    8e-6.
 4. Star round: each class of a bucket is compared with the bucket's smallest.  Then, only in buckets whose other
    classes are still in different components, all classes of different components are compared, in blocks of about
-   1,000, inside tasks; only pairs that pass the estimate leave a task.  No pair that shares a bucket goes unseen
+   1,000, inside tasks; only links that connect two components leave a task.  No pair that shares a bucket goes unseen
    unless it is already connected, and groups are never expanded to all their pairs.
-5. Estimate: the similarity that is likeliest jointly for the numbers of registers that are larger, equal and smaller,
-   given both set sizes.  A pair goes on to step 6 unless the estimate is 4.5 standard errors below the threshold.
+5. Estimate, in both rounds: the similarity that is likeliest jointly for the numbers of registers that are larger,
+   equal and smaller, given both set sizes.  A pair goes on to step 6 unless it is 4.5 standard errors too low.
 6. Verification: exact sizes of intersection and union of the full sets.
 
 Defined results: null, empty and blank texts have empty sets and link with nothing; rows with one doc_id are one node,
@@ -137,27 +137,60 @@ def _estimate(share: int):
     return run
 
 
+def _sets(texts: pa.ChunkedArray) -> list[np.ndarray]:
+    """The shingle set of every text."""
+    out: list[np.ndarray] = []
+    for batch in pa.table({"text": texts}).to_batches():
+        for part in W.pieces(batch, "text"):
+            sets, at = W.shingle_sets(part.column("text"), WIDTH)
+            out += [sets[s:e].copy() for s, e in zip(at[:-1], at[1:], strict=True)]
+    return out
+
+
+def _linked(x: np.ndarray, y: np.ndarray, share: int) -> bool:
+    """Whether two sorted sets have the similarity, in exact integers."""
+    if not len(x) or not len(y):
+        return False
+    spot = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    both = int((y[spot] == x).sum())
+    return 100 * both >= share * (len(x) + len(y) - both)
+
+
 def _within_blocks(share: int):
-    """Pairs of one bucket, of different components, that pass the estimate."""
+    """Links between different components of one bucket: in each block a forest of them, never all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in sorted_runs(batches, ["bucket", "low", "high"]):
-            ids, comp, n = (table.column(c).to_numpy() for c in ("class_id", "comp", "n"))
+            bucket, ids, n = (table.column(c).to_numpy() for c in ("bucket", "class_id", "n"))
+            comp = table.column("comp").to_numpy().copy()
             block, low, high = (table.column(c).to_numpy() for c in ("block", "low", "high"))
-            regs = _regs(table.column("regs"))
+            regs, sets = _regs(table.column("regs")), _sets(table.column("text"))
+            found: list[tuple[int, int]] = []
             for s, e in zip(starts[:-1], starts[1:], strict=True):
+                lanes = np.ascontiguousarray(regs[s:e]).view(np.uint64)
+                keys = band_keys(regs[s:e])
                 for i in range(s, e):
                     rest = np.arange(i + 1, e) if low[s] == high[s] else s + np.flatnonzero(block[s:e] == high[s])
                     if low[s] != high[s] and block[i] != low[s]:
                         continue
                     rest = rest[comp[rest] != comp[i]]
+                    if not len(rest):
+                        continue
+                    # a pair that shares many buckets is compared in the first
+                    first = (lanes[rest - s] == lanes[i - s]).argmax(axis=1)
+                    rest = rest[keys[i - s][first] == bucket[s]]
                     if not len(rest):
                         continue
                     one = np.broadcast_to(regs[i], (len(rest), REGISTERS))
                     rest = rest[_plausible(one, regs[rest], np.broadcast_to(n[i], len(rest)), n[rest], share)]
-                    if len(rest):
-                        a, b = np.minimum(ids[i], ids[rest]), np.maximum(ids[i], ids[rest])
-                        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                    for j in rest.tolist():
+                        if comp[i] != comp[j] and _linked(sets[i], sets[j], share):
+                            found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                            own = comp[s:e]
+                            own[own == comp[j]] = comp[i]
+            if found:
+                a, b = np.array(found, np.int64).T
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     return run
 
@@ -166,16 +199,8 @@ def _verify(share: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.pieces(batch, "text_a"):
-                keep = np.zeros(len(part), bool)
-                sets_a, at_a = W.shingle_sets(part.column("text_a"), WIDTH)
-                sets_b, at_b = W.shingle_sets(part.column("text_b"), WIDTH)
-                for i in range(len(part)):
-                    x, y = sets_a[at_a[i] : at_a[i + 1]], sets_b[at_b[i] : at_b[i + 1]]
-                    if len(x) and len(y):
-                        spot = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                        both = int((y[spot] == x).sum())
-                        keep[i] = 100 * both >= share * (len(x) + len(y) - both)
-                yield part.select(["a", "b"]).filter(pa.array(keep))
+                keep = [_linked(x, y, share) for x, y in zip(_sets(pa.chunked_array([part.column("text_a")])), _sets(pa.chunked_array([part.column("text_b")])), strict=True)]
+                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -183,12 +208,17 @@ def _verify(share: int):
 PAIR = "a long, b long"
 
 
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(class_id, text) of the documents with these ids."""
+    ids = saved(ids.distinct(), "near-ids")
+    return saved(docs.join(small(ids, SMALL_IDS), docs["doc_id"] == ids["id"], "left_semi").select(F.col("doc_id").alias("class_id"), "text"), "near-texts")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, share: int) -> DataFrame:
     """The pairs of doc_ids that link by their full sets."""
     pairs = saved(pairs.distinct(), "near-pairs")
-    ids = saved(pairs.select("a").union(pairs.select("b")).distinct(), "near-ids")
-    texts = saved(docs.select("doc_id", "text").join(small(ids, SMALL_IDS), docs["doc_id"] == ids["a"], "left_semi"), "near-texts")
-    joined = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+    texts = _texts(docs, pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
+    joined = pairs.join(texts.select(F.col("class_id").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("class_id").alias("b"), F.col("text").alias("text_b")), "b")
     return saved(joined.select("a", "b", "text_a", "text_b").mapInArrow(_verify(share), PAIR).distinct(), "near-links")
 
 
@@ -223,8 +253,10 @@ def near_duplicates(docs: DataFrame, share: int = SHARE) -> DataFrame:
     rest = rest.join(mixed.select("bucket"), "bucket").withColumn("block", F.pmod(F.xxhash64("class_id"), blocks))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     rest = rest.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "class_id", "comp")
-    rest = rest.join(regs, "class_id").repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
-    more = _verified(rest.mapInArrow(_within_blocks(share), PAIR), own, share)
+    rest = saved(rest, "blocks")
+    texts = _texts(own, rest.select(F.col("class_id").alias("id")))
+    rest = rest.join(regs, "class_id").join(texts, "class_id").repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+    more = saved(rest.mapInArrow(_within_blocks(share), PAIR), "more-links")
 
     # documents of a class are linked to its smallest id; a doc_id with several texts joins their classes
     copies = full.join(classes.select(*digest, "class_id"), digest).where("doc_id <> class_id").select(F.col("class_id").alias("a"), F.col("doc_id").alias("b"))
