@@ -9,7 +9,7 @@ File, little-endian: magic, six counts (documents, ids, blocks, words, raw ids,
 (int64; the least int64 for null), document offsets into the ids, block offsets into the words, words, raw ids.
 
 Texts are encoded by the given ``tokenizers`` file without special tokens; an end id closes each document.  That
-tokenizer's rules never reach across blanks, so each distinct word of a batch is encoded once, and kept for later
+tokenizer's rules never reach across blanks, so each distinct piece of a batch is encoded once, and kept for later
 batches up to a bound.
 
 Defined results: a null text is an empty one, which has the end id only; rows are in ascending order of doc_id, null
@@ -19,10 +19,14 @@ first, and rows with one doc_id in the order of a hash of their texts; an empty
 from __future__ import annotations
 
 import io
+import itertools
+import json
 import os
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +45,7 @@ _COUNT = np.array([c for c, _ in SELECTORS])
 MAGIC = b"S8BTOK01"
 BLOCK_IDS = 1024
 FILE_IDS = 1 << 22  # a file is closed after so many ids
-CACHED_WORDS = 1 << 20
+CACHED_WORDS = 3 << 19
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 
@@ -50,16 +54,14 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, first word of each block and their number, raw ids) of uint64 ids; all blocks advance in step."""
     n = len(ids)
     blocks = -(-n // BLOCK_IDS)
+    if not n:
+        return np.zeros(0, np.uint64), np.zeros(1, np.uint64), np.zeros(0, np.uint64)
+    # of a float the exponent is the number of bits; those that round up to the next are far beyond the ids in use
+    bits = np.frexp(ids.astype(np.float64))[1].astype(np.int8)
+    padded = np.full(blocks * BLOCK_IDS, 127, np.int8)
+    padded[:n] = bits
     width = np.full((blocks, BLOCK_IDS + 60), 127, np.int8)
-    bits = np.zeros(n, np.int8)
-    rest = ids.copy()
-    for step in (32, 16, 8, 4, 2, 1):
-        high = rest >= np.uint64(1 << step)
-        bits[high] += step
-        rest[high] >>= np.uint64(step)
-    bits += rest.astype(np.int8)
-    lanes, places = np.divmod(np.arange(n), BLOCK_IDS)
-    width[lanes, places] = bits
+    width[:, :BLOCK_IDS] = padded.reshape(blocks, BLOCK_IDS)
     flat = width.ravel()
     best = np.where(flat > 60, 0, 14).astype(np.int8)
     most, have = flat, 1
@@ -72,28 +74,38 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             wider[-step:] = 127
             most, have = wider, have + step
         best[most <= fit] = s
-    best = best.reshape(width.shape)
-    sizes = np.minimum(BLOCK_IDS, n - BLOCK_IDS * np.arange(blocks))
-    at, lane = np.zeros(blocks, np.int64), np.arange(blocks)
-    found: list[tuple[np.ndarray, np.ndarray]] = []
+    row = BLOCK_IDS + 60
+    counts = np.array([c for c, _ in SELECTORS], np.int64)
+    ends = np.arange(blocks) * row + np.minimum(BLOCK_IDS, n - BLOCK_IDS * np.arange(blocks))
+    at, lane = np.arange(blocks) * row, np.arange(blocks)
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     while len(lane):
-        found.append((lane, at[lane]))
-        at[lane] += _COUNT[best[lane, at[lane]]]
-        lane = lane[at[lane] < sizes[lane]]
-    if not found:
-        return np.zeros(0, np.uint64), np.zeros(1, np.uint64), np.zeros(0, np.uint64)
-    lane, at = (np.concatenate(x) for x in zip(*found, strict=True))
-    order = np.lexsort((at, lane))
-    lane, at = lane[order], at[order]
-    selector, start = best[lane, at], lane * BLOCK_IDS + at
+        selector = best[at]
+        found.append((lane, at, selector))
+        at = at + counts[selector]
+        on = at < ends[lane]
+        if not on.all():
+            lane, at = lane[on], at[on]
+    in_block = np.zeros(blocks, np.int64)
+    for lane, _, _ in found:
+        in_block[lane] += 1
+    firsts = np.concatenate([[0], np.cumsum(in_block)])
+    selector, start = np.empty(firsts[-1], np.int8), np.empty(firsts[-1], np.int64)
+    for step, (lane, at, chosen) in enumerate(found):
+        spot = firsts[lane] + step
+        selector[spot] = chosen
+        start[spot] = at - 60 * lane
     out = selector.astype(np.uint64) << np.uint64(60)
     for s in range(1, 15):
         own = np.flatnonzero(selector == s)
-        for k in range(SELECTORS[s][0] if len(own) else 0):
-            out[own] |= ids[start[own] + k] << np.uint64(k * SELECTORS[s][1])
+        if len(own):
+            packed, first = out[own], start[own]
+            for k in range(SELECTORS[s][0]):
+                packed |= ids[first + k] << np.uint64(k * SELECTORS[s][1])
+            out[own] = packed
     escaped = np.flatnonzero(selector == 0)
     out[escaped] = np.arange(len(escaped), dtype=np.uint64)
-    return out, np.searchsorted(lane, np.arange(blocks + 1)).astype(np.uint64), ids[start[escaped]]
+    return out, firsts.astype(np.uint64), ids[start[escaped]]
 
 
 def unpack(words: np.ndarray, raw: np.ndarray) -> np.ndarray:
@@ -114,23 +126,48 @@ def unpack(words: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return out
 
 
+#: What byte-level models read for each byte: printable Latin-1 as it is, the others from U+0100 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+
+_LETTERS, _SIGNS = np.zeros(256, bool), np.zeros(256, bool)
+_LETTERS[[*range(65, 91), *range(97, 123)]] = True
+_SIGNS[list(b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~")] = True
+
+
 class WordEncoder:
-    """Encodes texts word by word with a ``tokenizers`` file; the ids of recent words are kept."""
+    """Encodes texts piece by piece with a ``tokenizers`` file; the ids of recent pieces are kept.
+
+    Pieces are words, cut further between an ASCII letter and one of most ASCII signs: the tokenizer cuts there too.
+    A piece of letters only, in composed form, is what its rules hand to the model as one; it goes there directly.
+    All other pieces go through the whole tokenizer.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        rules = json.loads(self.tokenizer.to_str())
+        self.direct = [x["type"] for x in (rules["normalizer"] or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+        self.model = self.tokenizer.model
         self.clear()
 
     def clear(self) -> None:
         self.keys, self.starts, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
+    def piece(self, text: str) -> list[int]:
+        if self.direct and text.isalpha():
+            if text.isascii():
+                return [t.id for t in self.model.tokenize(text.lower())]
+            if unicodedata.is_normalized("NFC", text) and "\u03a3" not in text:  # whose lower case depends on its place
+                return [t.id for t in self.model.tokenize(text.lower().encode().decode("latin-1").translate(_BYTE_CHARS))]
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each closed by ``end_id``; offsets per text)."""
-        hashes, bounds, starts, ends, data = W.word_hashes(texts, fold=False)
+        hashes, bounds, starts, ends, data = W.word_hashes(texts, fold=False, cuts=(_LETTERS, _SIGNS))
         keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.keys) > CACHED_WORDS:
             self.clear()
@@ -141,11 +178,10 @@ class WordEncoder:
         if new.any():
             raw = data.tobytes()
             own = first[new]
-            found = self.tokenizer.encode_batch_fast([raw[s:e].decode() for s, e in zip(starts[own].tolist(), ends[own].tolist(), strict=True)], add_special_tokens=False)
-            ids = [x.ids for x in found]
+            ids = [self.piece(raw[s:e].decode()) for s, e in zip(starts[own].tolist(), ends[own].tolist(), strict=True)]
             counts = np.fromiter(map(len, ids), np.int64, len(ids))
             begin = len(self.ids) + np.cumsum(counts) - counts
-            self.ids = np.concatenate([self.ids, np.fromiter((i for x in ids for i in x), np.uint32, int(counts.sum()))])
+            self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(counts.sum()))])
             self.keys, self.starts, self.counts = (np.insert(old, at[new], more) for old, more in ((self.keys, keys[new]), (self.starts, begin), (self.counts, counts)))
             at = np.searchsorted(self.keys, keys)
         begin, counts = self.starts[at][inverse], self.counts[at][inverse]
@@ -159,6 +195,12 @@ class WordEncoder:
         return out, offsets
 
 
+@lru_cache(2)
+def encoder(path: str) -> WordEncoder:
+    """One for all tasks of a worker process."""
+    return WordEncoder(path)
+
+
 def _file(uri: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.FileSystem.from_uri(uri)
 
@@ -194,7 +236,6 @@ NO_ID = np.iinfo(np.int64).min
 
 def _writer(base: str, tokenizer: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
         part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
         number = 0
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -212,7 +253,7 @@ def _writer(base: str, tokenizer: str, end_id: int):
 
         for batch in batches:
             for piece in W.pieces(batch, "text"):
-                ids, offsets = encoder.encode(piece.column("text"), end_id)
+                ids, offsets = encoder(tokenizer).encode(piece.column("text"), end_id)
                 held.append((piece.column("doc_id").fill_null(NO_ID).to_numpy(), np.diff(offsets), ids))
                 if sum(len(h[2]) for h in held) >= FILE_IDS:
                     yield close()

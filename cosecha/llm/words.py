@@ -60,8 +60,11 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Byte starts and ends of all words; no word crosses a text's end."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, cuts: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Byte starts and ends of all words; no word crosses a text's end.
+
+    ``cuts``: two tables of bytes; words are also cut where a byte of the one meets one of the other.
+    """
     n = len(data)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -72,17 +75,22 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     cut = np.unique(offsets[(offsets > 0) & (offsets < n)])
     first[cut] = inside[cut]
     last[cut - 1] = inside[cut - 1]
+    if cuts is not None:
+        a, b = cuts[0][data], cuts[1][data]
+        edge = (a[:-1] & b[1:]) | (b[:-1] & a[1:])
+        first[1:] |= edge
+        last[:-1] |= edge
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-def word_hashes(column: pa.Array, fold: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_hashes(column: pa.Array, fold: bool = True, cuts: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hashes, word offsets per text, byte starts, byte ends, bytes) of all words of a batch of texts.
 
     ``fold``: A-Z count as a-z.
     """
     values = _FOLDED if fold else _BYTE
     data, offsets = text_buffer(column)
-    starts, ends = word_spans(data, offsets)
+    starts, ends = word_spans(data, offsets, cuts)
     out = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):
