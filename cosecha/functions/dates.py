@@ -46,7 +46,7 @@ def any_date(*columns: Column) -> Column:
     """The first that is a date: day/month/year or ISO."""
     tries = []
     for c in columns:
-        tries += [F.try_to_date(c.cast("string"), F.lit("dd/MM/yyyy")), F.try_to_date(F.substring(c.cast("string"), 1, 10), F.lit("yyyy-MM-dd"))]
+        tries += [F.try_to_date(c.cast("string"), "dd/MM/yyyy"), F.try_to_date(F.substring(c.cast("string"), 1, 10), "yyyy-MM-dd")]
     return F.coalesce(*tries)
 
 
@@ -54,7 +54,7 @@ def long_date(c: Column) -> Column:
     """'30 de abril de 2026'."""
     pattern = r"(?i)(\d{1,2})\s+de\s+([a-záéíóú]+)\s+(?:de\s+|del\s+)?(\d{4})"
     day, month, year = (F.regexp_extract(c, pattern, i) for i in (1, 2, 3))
-    return F.try_to_date(F.concat_ws("-", F.nullif(year, F.lit("")), F.lpad(month_number(month).cast("string"), 2, "0"), F.lpad(day, 2, "0")), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.concat_ws("-", F.nullif(year, F.lit("")), F.lpad(month_number(month).cast("string"), 2, "0"), F.lpad(day, 2, "0")), "yyyy-MM-dd")
 
 
 def month_code(c: Column) -> Column:

@@ -94,7 +94,7 @@ def has_word(c: Column, term: str) -> Column:
 
 def terms(c: Column) -> Column:
     """Parts of a list that is written with bars."""
-    return F.filter(F.transform(F.split(c, r"\|"), F.trim), lambda t: t != "")
+    return F.filter(F.transform(F.split(c, r"\|"), lambda t: F.trim(t)), lambda t: t != "")
 
 
 def unit_of_label(c: Column) -> Column:
@@ -158,11 +158,11 @@ def money(c: Column, unit: str = "kg") -> Column:
 
 
 def percent(c: Column, signed: bool = True) -> Column:
-    return F.coalesce(F.format_string("%+.1f%%" if signed else "%.1f%%", c * 100), F.lit("s/d"))
+    return F.when(c.isNotNull(), F.format_string("%+.1f%%" if signed else "%.1f%%", c * 100)).otherwise("s/d")
 
 
 def whole(c: Column) -> Column:
-    return F.coalesce(F.format_string("%.0f", c), F.lit("s/d"))
+    return F.when(c.isNotNull(), F.format_string("%.0f", c)).otherwise("s/d")
 
 
 CROP_RULES = (

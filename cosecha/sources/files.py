@@ -27,7 +27,7 @@ def scan(spark: SparkSession, root: str, glob: str = "*", fmt: str = "csv", **op
     return df.select(
         "*",
         F.col("_metadata.file_name").alias("source_file"),
-        F.try_to_date(F.nullif(F.regexp_extract(path, r"/(\d{4}-\d{2}-\d{2})/", 1), F.lit("")), F.lit("yyyy-MM-dd")).alias("folder_date"),
+        F.try_to_date(F.nullif(F.regexp_extract(path, r"/(\d{4}-\d{2}-\d{2})/", 1), F.lit("")), "yyyy-MM-dd").alias("folder_date"),
         F.col("_metadata.file_modification_time").alias("modified_at"),
     )
 
