@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from cosecha.llm import words as W
 
@@ -198,7 +199,7 @@ def scored(docs: DataFrame, model: Machine) -> DataFrame:
                 keep = [i for i, name in enumerate(part.schema.names) if name != "quality_text"]
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in keep), pa.array(model.score(part.column("quality_text")))], names=[*(part.schema.names[i] for i in keep), "quality_score"])
 
-    schema = docs.schema.add("quality_score", "double")
+    schema = StructType([*docs.schema.fields, StructField("quality_score", DoubleType())])
     return docs.withColumn("quality_text", F.col("text")).mapInArrow(run, schema)
 
 

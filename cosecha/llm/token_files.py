@@ -161,8 +161,10 @@ class WordEncoder:
         if self.direct and text.isalpha():
             if text.isascii():
                 return [t.id for t in self.model.tokenize(text.lower())]
-            if unicodedata.is_normalized("NFC", text) and "\u03a3" not in text:  # whose lower case depends on its place
-                return [t.id for t in self.model.tokenize(text.lower().encode().decode("latin-1").translate(_BYTE_CHARS))]
+            lower = text.lower()
+            # the lower case of a capital sigma depends on its place; that of some letters ends in a mark
+            if "\u03a3" not in text and lower.isalpha() and unicodedata.is_normalized("NFC", text):
+                return [t.id for t in self.model.tokenize(lower.encode().decode("latin-1").translate(_BYTE_CHARS))]
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
