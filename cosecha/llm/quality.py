@@ -30,7 +30,8 @@ from cosecha.llm import words as W
 BUCKETS = 1 << 14
 FACTORS = 8
 SAMPLE = 6000
-EPOCHS = 12
+BATCH = 64
+STEPS = 1200  # batches; with few labels, each row comes round more often
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 5, 0
 BINS = 12
@@ -148,7 +149,7 @@ def fold(doc_id) -> F.Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int = EPOCHS, seed: int = 5) -> Machine:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, steps: int = STEPS, seed: int = 5) -> Machine:
     """Fits on at most ``sample`` labelled rows outside the held-out fold, those with the lowest hashes of their ids."""
     chosen = labels.where("quality in (0, 1) and doc_id is not null").where(fold("doc_id") != HELD_OUT)
     chosen = chosen.select(F.col("doc_id").alias("label_id"), F.col("quality").cast("double").alias("label"), F.xxhash64("doc_id", "quality").alias("place"))
@@ -168,10 +169,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int
     model.bias = float(np.log((y.sum() + 1) / (n - y.sum() + 1)))
     model.factors = rng.normal(0, 0.05, model.factors.shape)
     square_w, square_v = np.full(len(model.weights), 1e-2), np.full(model.factors.shape, 1e-2)
-    for _ in range(epochs):
+    for _ in range(-(-steps // -(-n // BATCH))):
         order = rng.permutation(n)
-        for k in range(0, n, 64):
-            own = order[k : k + 64]
+        for k in range(0, n, BATCH):
+            own = order[k : k + BATCH]
             bounds = np.concatenate([[0], np.cumsum([len(slots[i]) for i in own])])
             f, x, t = model.features(stats[own], np.concatenate([slots[i] for i in own]), np.concatenate([values[i] for i in own]), bounds)
             out, sums = model.raw(f, x, t, len(own))
