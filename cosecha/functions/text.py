@@ -165,28 +165,29 @@ def whole(c: Column) -> Column:
     return F.when(c.isNotNull(), F.format_string("%.0f", c)).otherwise("s/d")
 
 
+# Crops in the order they are tried, with parts of names and whole words that tell them
 CROP_RULES = (
-    ("papaya", ("papaya",)),
-    ("papa", ("papa", "papas")),
-    ("tomate_rojo", ("jitomate", "tomate rojo", "tomate saladette", "tomate")),
-    ("chile_verde", ("chile jalapeno", "chile serrano", "chile verde", "jalapeno")),
-    ("cebolla", ("cebolla",)),
-    ("aguacate", ("aguacate",)),
-    ("limon", ("limon",)),
-    ("platano", ("platano",)),
-    ("naranja", ("naranja",)),
-    ("manzana", ("manzana",)),
-    ("frijol", ("frijol",)),
-    ("maiz_grano", ("maiz", "elote")),
+    ("aguacate", ("aguacate",), ()),
+    ("tomate", ("jitomate",), ("tomate",)),
+    ("elote", ("elote",), ()),
+    ("zanahoria", ("zanahoria",), ()),
+    ("cebolla", ("cebolla",), ()),
+    ("chile_jalapeno", ("jalape",), ()),
+    ("limon", ("limon",), ()),
+    ("platano", ("platano",), ()),
+    ("mango", ("mango",), ()),
+    ("papa", (), ("papa",)),
 )
 
 
 def crop(title: Column) -> Column:
-    """The crop that a product's title names: the first rule with one of its words as a whole word."""
-    text, out = spaced(title), None
-    for name, words in CROP_RULES:
+    """The crop that a product's title names, by the first rule that fits; papaya is not papa."""
+    key, out = spaced(title), None
+    for name, parts, whole_words in CROP_RULES:
         hit = F.lit(False)
-        for w in words:
-            hit = hit | has_word(text, w)
+        for p in parts:
+            hit = hit | F.contains(key, F.lit(p))
+        for w in whole_words:
+            hit = hit | has_word(key, w)
         out = F.when(hit, F.lit(name)) if out is None else out.when(hit, F.lit(name))
     return out

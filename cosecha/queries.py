@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from cosecha.functions import dates, numbers, text
 from cosecha.operators import asof, panel, rows
-from cosecha.plans import catalog, history, international, master, models, pages, prices, production, water
+from cosecha.plans import catalog, history, international, master, models, pages, prices, production, retail, run, water
+from cosecha.sources import records
 from cosecha.sources.driver import Tables, with_tables
 from cosecha.streaming import incremental
 
@@ -609,6 +610,63 @@ def checked_rows(t: Tables) -> DataFrame:
     return both.groupBy("clase").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.array_contains("errors", "poca")).alias("poca"), F.count_if(F.array_contains("errors", "rebajada")).alias("rebajada"))
 
 
+def _weather_payloads(t: Tables) -> DataFrame:
+    """One payload per place, of maps from day to value; every ninth day of one parameter is missing."""
+    day = t.weather().groupBy("presa", "fecha").agg(F.max("lluvia").alias("lluvia"), F.max("temperatura").alias("temperatura")).withColumn("dia", F.date_format("fecha", "yyyyMMdd"))
+    rain = F.when(F.dayofmonth("fecha") % 9 == 0, F.lit(-999.0)).otherwise(F.col("lluvia"))
+    maps = day.groupBy("presa").agg(F.map_from_entries(F.collect_list(F.struct("dia", rain))).alias("a"), F.map_from_entries(F.collect_list(F.when(F.dayofmonth("fecha") != 1, F.struct("dia", "temperatura")))).alias("b"))
+    return maps.select("presa", F.to_json(F.struct(F.struct(F.struct(F.col("a").alias("PRECTOTCORR"), F.col("b").alias("T2M")).alias("parameter")).alias("properties"))).alias("json"))
+
+
+@query(_sql("c", "x AS (SELECT presa, fecha, max(lluvia) AS lluvia, max(temperatura) AS temperatura FROM c GROUP BY ALL)", f"SELECT presa, fecha, {R('CASE WHEN day(fecha) % 9 <> 0 THEN lluvia END', 'lluvia')}, {R('CASE WHEN day(fecha) <> 1 THEN temperatura END', 'temperatura')} FROM x"))
+def weather_rows(t: Tables) -> DataFrame:
+    return shown(records.weather_rows(_weather_payloads(t)).select("presa", "fecha", "lluvia", "temperatura"))
+
+
+def _dam_payloads(t: Tables) -> DataFrame:
+    text_of = lambda c: F.col(c).cast("string")
+    r = F.struct(F.concat(F.lit(" "), text_of("presa"), F.lit("&nbsp;")).alias("CveCONAGUAPresa"), F.col("estado").alias("nombreEstado"), text_of("anio").alias("anio"), text_of("mes").alias("cveMes"), text_of("decena").alias("cveDecena"), text_of("pct").alias("porcAlmacen"), F.when(F.col("hm3") > 50, text_of("hm3")).otherwise("-").alias("Almacenamiento"), F.format_number("name", 2).alias("NAME"))
+    return t.dams().groupBy("anio", "mes", "decena").agg(F.to_json(F.collect_list(r)).alias("json"))
+
+
+@query(_sql("d", "x AS (SELECT 1)", f"SELECT CAST(presa AS VARCHAR) AS presa, estado, fecha, {I('anio', 'mes', 'decena')}, {R('pct')}, {R('CASE WHEN hm3 > 50 THEN hm3 END', 'hm3')} FROM d"))
+def dam_records(t: Tables) -> DataFrame:
+    return shown(records.dam_records(_dam_payloads(t)).select("presa", "estado", "fecha", "anio", "mes", "decena", "pct", "hm3"))
+
+
+@query(_sql("d", "x AS (SELECT presa, fecha, pct, hm3, (mes % 4 = 0) AS sin_hora, decena FROM d UNION ALL SELECT presa, fecha, pct + 1, hm3, FALSE, decena + 1 FROM d WHERE mes % 2 = 0)", f"SELECT presa, fecha, {Rs('pct', 'hm3')} FROM x WHERE pct IS NOT NULL QUALIFY row_number() OVER (PARTITION BY presa, fecha ORDER BY sin_hora DESC, decena DESC) = 1"))
+def dam_history(t: Tables) -> DataFrame:
+    d = t.dams().select("presa", "fecha", "mes", "decena", "pct", "hm3")
+    at = lambda c: F.timestamp_seconds(c)
+    first = d.withColumn("extraido", F.when(F.col("mes") % 4 != 0, at(F.col("decena"))))
+    second = d.where("mes % 2 = 0").withColumns({"pct": F.col("pct") + 1, "extraido": at(F.col("decena") + 1)})
+    return shown(records.dam_history([first, second]).select("presa", "fecha", "pct", "hm3"))
+
+
+@query(_sql("d", "x AS (SELECT 1)", "SELECT count(*) AS filas, count(DISTINCT presa) AS ids, count(*) FILTER (pct > 60) AS errores, min(fecha) AS desde, max(fecha) AS hasta FROM d"))
+def dam_profile(t: Tables) -> DataFrame:
+    return records.profile(t.dams(), "presa", "fecha", F.col("pct") > 60)
+
+
+@query(_sql("ay", CAST, f"SELECT cultivo, {R('sum(pronostico)', 'produccion_pronosticada')}, {R('max(caida_10)', 'caida_10')} FROM p3 GROUP BY cultivo"))
+def product_context(t: Tables) -> DataFrame:
+    return shown(run.product_context(production.forecast(production.features(t.progress(), t.annual()))))
+
+
+@query(_sql("ay", CAST, f"SELECT cultivo, estado, {I('anio')}, {Rs('pronostico', 'caida_10', 'cambio_pct')} FROM p3 ORDER BY p3.caida_10 DESC NULLS LAST, p3.cambio_pct ASC NULLS LAST, cultivo, estado, anio LIMIT 20"))
+def top_risks(t: Tables) -> DataFrame:
+    return shown(production.top_risks(production.forecast(production.features(t.progress(), t.annual()))).select("cultivo", "estado", "anio", "pronostico", "caida_10", "cambio_pct"))
+
+
+@query(f"SELECT p_partkey AS page_id, p_name AS nombre, p_brand AS marca, CASE WHEN p_size % 3 = 0 THEN 'kg' ELSE 'pieza' END AS unidad, p_size > 25 AS promocion, TRUE AS fresco, {R('p_retailprice', 'precio')}, {R('CASE WHEN p_size > 25 THEN p_retailprice + p_size END', 'antes')} FROM part")
+def nested_offers(t: Tables) -> DataFrame:
+    offer = F.struct(F.col("p_retailprice").cast("string").alias("lowPrice"), F.when(F.col("p_size") > 25, F.col("p_retailprice") + F.col("p_size")).alias("highPrice"))
+    node = F.struct(F.col("p_name").alias("productName"), F.struct(F.col("p_brand").alias("name")).alias("brand"), F.when(F.col("p_size") % 3 == 0, "KG").alias("unit"), F.array(offer).alias("offers"))
+    html = F.concat(F.lit('<script type="application/ld+json">'), F.to_json(F.struct(F.array(F.struct(node.alias("x"), F.lit("no price").alias("name"))).alias("list"))), F.lit("</script>"))
+    found = retail.offers(retail.product_nodes(t.raw("part").select(F.col("p_partkey").alias("page_id"), html.alias("html"))))
+    return shown(found.select("page_id", "nombre", "marca", "unidad", "promocion", "fresco", "precio", "antes"))
+
+
 @query()
 def boosted_prices(t: Tables) -> DataFrame:
     """Metrics of boosted trees against the simple methods, on the test part of the features; rows only."""
