@@ -278,3 +278,15 @@ def one_of_each(docs: DataFrame, share: int = SHARE) -> DataFrame:
 def op4(spark, sf_dir: str) -> DataFrame:
     """One row per document: set size, component and whether it stays, at 85 percent."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), share=85)
+
+
+OP4_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM d),
+s AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM l),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT DISTINCT a AS node, a AS other FROM e UNION SELECT r.node, e.b FROM r JOIN e ON r.other = e.a)
+SELECT l.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(root, l.doc_id) AS component_id, coalesce(root, l.doc_id) = l.doc_id AS kept
+FROM l LEFT JOIN (SELECT node, min(other) AS root FROM r GROUP BY 1) ON node = l.doc_id
+"""

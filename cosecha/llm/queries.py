@@ -17,5 +17,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_warc": warc.OP1_SQL,
+    "op3_embedding_links": embedding_links.OP3_SQL,
+    "op4_near_duplicates": near_duplicates.OP4_SQL,
     "op10_mixing": mixing.OP10_SQL,
 }
