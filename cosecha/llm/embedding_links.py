@@ -48,7 +48,7 @@ class Plan:
 
     def __init__(self, dim: int, cosine: float, vectors: int):
         distance = math.sqrt(max(0.0, 2 - 2 * cosine))
-        self.width = max(1, min(10, dim, math.ceil(math.log2(max(2, vectors) / CELL_VECTORS))))
+        self.width = max(1, min(10, dim, math.floor(math.log2(max(2, vectors) / CELL_VECTORS))))
         self.window = min(distance, 2 * distance / math.sqrt(dim)) + 1e-6
         # P(|coordinate of a random unit vector| <= window / distance), by quadrature over its angle
         angle = (np.arange(20_000) + 0.5) / 20_000 * math.pi
@@ -69,26 +69,36 @@ class Plan:
         self.directions = np.concatenate(frames, axis=1)[:, :m]
         self.cell = 4 * self.window
 
+    def project(self, unit: np.ndarray) -> np.ndarray:
+        """Projections of unit vectors; summed in one order, so that every task finds the same to the last bit."""
+        out = np.empty((len(unit), self.directions.shape[1]), np.float32)
+        for k in range(0, len(unit), 256):
+            out[k : k + 256] = (unit[k : k + 256, :, None] * self.directions).sum(axis=1)
+        return out
+
 
 @lru_cache(64)
 def plan(dim: int, cosine: float, vectors: int) -> Plan:
     return Plan(dim, cosine, vectors)
 
 
-_OUT = ["cell", "asks", "id", "rep", "mult", "table_no", "proj", "vec"]
-_CELLS = "cell long, asks int, id long, rep long, mult long, table_no int, proj binary, vec binary"
+_OUT = ["cell", "asks", "id", "rep", "mult", "table_no", "vec"]
+_CELLS = "cell long, asks int, id long, rep long, mult long, table_no int, vec binary"
+
 
+def _normed(raw: np.ndarray) -> np.ndarray:
+    x = raw.astype(np.float64)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
-def _units(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(length, rows, unit vectors) for each length in a batch."""
+
+def _vectors(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, rows, vectors as they are) for each length in a batch."""
     column = batch.column("embedding")
     lengths = np.diff(column.offsets.to_numpy())
     for dim in np.unique(lengths):
         rows = np.flatnonzero(lengths == dim)
-        x = column.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
-        scale = np.abs(x).max(axis=1, keepdims=True)
-        x = x / scale
-        yield int(dim), rows, x / np.linalg.norm(x, axis=1, keepdims=True)
+        yield int(dim), rows, column.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
 def _cells(cosine: float, vectors: int, light: bool):
@@ -99,9 +109,10 @@ def _cells(cosine: float, vectors: int, light: bool):
             for start in range(0, len(whole), 1000):
                 batch = whole.slice(start, 1000)
                 ids, reps, mults = (batch.column(c).to_numpy() for c in ("id", "rep", "mult"))
-                for dim, rows, unit in _units(batch):
+                for dim, rows, raw in _vectors(batch):
                     p = plan(dim, cosine, vectors)
-                    proj = (unit @ p.directions).astype(np.float32)
+                    proj = p.project(_normed(raw))
+                    vecs = pa.array([x.tobytes() for x in raw], pa.binary())
                     for t in range(p.tables):
                         own = proj[:, t * p.width : (t + 1) * p.width].astype(np.float64)
                         low, home, high = (np.floor((own + d) / p.cell).astype(np.int64) for d in (-p.window, 0.0, p.window))
@@ -119,9 +130,7 @@ def _cells(cosine: float, vectors: int, light: bool):
                         out = [pa.array(key.view(np.int64)), pa.array(asks)]
                         if not light:
                             r = rows[at]
-                            projs = pa.array([x.tobytes() for x in proj], pa.binary()).take(pa.array(at))
-                            vecs = pa.array([x.tobytes() for x in unit], pa.binary()).take(pa.array(at))
-                            out += [pa.array(ids[r]), pa.array(reps[r]), pa.array(mults[r]), pa.array(np.full(len(at), t, np.int32)), projs, vecs]
+                            out += [pa.array(ids[r]), pa.array(reps[r]), pa.array(mults[r]), pa.array(np.full(len(at), t, np.int32)), vecs.take(pa.array(at))]
                         yield pa.RecordBatch.from_arrays(out, names=_OUT[: len(out)])
 
     return run
@@ -140,11 +149,7 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return label
 
 
-def _blocks(table: pa.Table, column: str, dtype) -> list[np.ndarray]:
-    return [np.frombuffer(x, dtype) for x in table.column(column).to_pylist()]
-
-
-def _links(cosine: float, vectors: int):
+def _links(cosine: float, vectors: int, dtype: str):
     """Sums of links (id, rep, links) and edges (id, rep, other) of a forest."""
 
     def pairs(p: Plan, t: int, ids, proj, unit, homes, askers) -> tuple[np.ndarray, np.ndarray]:
@@ -181,17 +186,18 @@ def _links(cosine: float, vectors: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in sorted_runs(batches, ["cell", "home_block", "ask_block"]):
             asks, ids, reps, mults, tables = (table.column(c).to_numpy() for c in ("asks", "id", "rep", "mult", "table_no"))
-            projs, units = _blocks(table, "proj", np.float32), _blocks(table, "vec", np.float64)
+            raw = [np.frombuffer(x, dtype) for x in table.column("vec").to_pylist()]
             for s, e in zip(starts[:-1], starts[1:], strict=True):
-                kinds = {(int(tables[i]), len(units[i])) for i in range(s, e)}
+                kinds = {(int(tables[i]), len(raw[i])) for i in range(s, e)}
                 for t, dim in kinds:
-                    rows = np.array([i for i in range(s, e) if tables[i] == t and len(units[i]) == dim])
+                    rows = np.array([i for i in range(s, e) if tables[i] == t and len(raw[i]) == dim])
                     p = plan(dim, cosine, vectors)
                     side = asks[rows]
                     homes, askers = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
                     if not len(homes) or not len(askers):
                         continue
-                    proj, unit = np.stack([projs[i] for i in rows]), np.stack([units[i] for i in rows])
+                    unit = _normed(np.stack([raw[i] for i in rows]))
+                    proj = p.project(unit)
                     a, b = pairs(p, t, ids[rows], proj, unit, homes, askers)
                     if not len(a):
                         continue
@@ -212,7 +218,7 @@ def linked(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     x = F.col("embedding")
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     sound = F.col("vec_id").isNotNull() & x.isNotNull() & ~bad & F.exists(x, lambda v: v != 0)
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), x if dict(vectors.dtypes)["embedding"] == "array<float>" else x.cast("array<double>").alias("embedding"))
     # -0.0 is 0.0; two hashes of 64 bits, the first of which is the class's id
     plain = F.transform(x, lambda v: F.when(v == 0, F.lit(0.0)).otherwise(v.cast("double")))
     rows = rows.withColumn("sound", F.coalesce(sound, F.lit(False)))
@@ -220,6 +226,7 @@ def linked(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     classes = rows.where("sound").groupBy("id", "check").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("mult"), F.any_value("embedding").alias("embedding"))
     classes = saved(classes, "vectors")
     n = classes.count()
+    dtype = "f4" if dict(vectors.dtypes)["embedding"] == "array<float>" else "f8"
 
     parts = max(8, n // 2000)
     spread = classes.select("id", "rep", "mult", "embedding").repartition(min(parts, 4000))
@@ -233,8 +240,8 @@ def linked(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     meets = meets.withColumn("home_block", F.when(F.col("asks") == 0, F.col("own_block")).otherwise(F.col("other_block")))
     meets = meets.withColumn("ask_block", F.when(F.col("asks") == 0, F.col("other_block")).otherwise(F.col("own_block")))
     keys = ["cell", "home_block", "ask_block"]
-    meets = meets.select(*keys, "asks", "id", "rep", "mult", "table_no", "proj", "vec").repartition(*keys).sortWithinPartitions(*keys)
-    found = saved(meets.mapInArrow(_links(cosine, n), "id long, rep long, links long, other long"), "embedding-links")
+    meets = meets.select(*keys, "asks", "id", "rep", "mult", "table_no", "vec").repartition(*keys).sortWithinPartitions(*keys)
+    found = saved(meets.mapInArrow(_links(cosine, n, dtype), "id long, rep long, links long, other long"), "embedding-links")
 
     sums = found.where("other is null").groupBy("id", "rep").agg(F.sum("links").alias("links"))
     members = rows.where("sound").join(classes.select("id", "check", "rep", "mult"), ["id", "check"]).select("vec_id", "id", "check", "rep", "mult")
@@ -250,3 +257,15 @@ def linked(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
 def op3(spark, sf_dir: str) -> DataFrame:
     """One row per vector: its links, its component and whether it stays."""
     return linked(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+OP3_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id < b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.95),
+e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT DISTINCT a AS node, a AS other FROM e UNION SELECT r.node, e.b FROM r JOIN e ON r.other = e.a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(root, vec_id) AS component_id, coalesce(root, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN (SELECT node, min(other) AS root FROM r GROUP BY 1) c ON c.node = vec_id LEFT JOIN (SELECT a, count(*) AS n FROM e GROUP BY 1) k ON k.a = vec_id
+"""
