@@ -60,6 +60,7 @@ def water_level(percent: Column, below_40: Column, below_25: Column, below_15: C
 
 
 def purchase_action(probability: Column, expected_change: Column) -> Column:
+    """The texts of the three actions."""
     yes = lambda c: F.coalesce(c, F.lit(False))
     return (
         F.when(yes(probability >= 0.7) | yes(expected_change >= 0.15), "Adelantar compras y diversificar origen.")
