@@ -66,6 +66,10 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """
     e = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     e = saved(e, name)
+    def least(pairs: DataFrame) -> DataFrame:
+        """The least v of each u; grouped by ~u, as only a join of two fresh exchanges lets Spark split a hub's rows."""
+        return pairs.groupBy(F.bitwise_not("u").alias("k")).agg(F.min("v").alias("m")).select(F.bitwise_not("k").alias("u"), "m")
+
     seen = None
     while True:
         now = e.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
@@ -73,7 +77,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(e.select("v", "v").distinct())
         seen = now
         both = e.union(e.select("v", "u"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
+        low = least(both).select("u", F.least("m", "u").alias("m"))
         star = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = star.groupBy("u").agg(F.min("v").alias("m"))
+        low = least(star)
         e = saved(star.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low).distinct(), name)
