@@ -38,7 +38,7 @@ from cosecha.llm.work import components, saved, small, sorted_runs
 from cosecha.llm.words import mix
 
 COSINE = 0.95
-HOMES, ASKERS = 1000, 4000  # rows of a cell that meet in one unit of work
+HOMES, ASKERS = 4000, 16000  # rows of a cell that meet in one unit of work
 CELL_VECTORS = 6400
 BIG_CELLS = 500_000  # cells over those numbers that may be broadcast
 
