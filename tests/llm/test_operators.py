@@ -338,6 +338,38 @@ def test_chains_against_all_chains():
         assert sorted(i for c in found for i in c.tolist()) == list(range(len(m)))
 
 
+def test_passages_on_both_sides_of_a_long_gap(spark, documents):
+    rng = np.random.default_rng(13)
+    p, q, long_p, long_q = (text_of(rng, n) for n in (60, 60, 200, 200))
+    docs = [(1, f"{p} {text_of(rng, 80)} {q}"), (2, f"{p} {text_of(rng, 80)} {q}"), (3, f"{p} {text_of(rng, 40)} {q}")]
+    docs += [(4, f"{long_p} {text_of(rng, 300)} {long_q}"), (5, f"{long_p} {text_of(rng, 310)} {long_q}")]
+    got = passages.repeated_passages(documents(docs)).collect()
+    found = sorted((r["doc_id"], r["ref_doc_id"], r["start"], r["end"], r["ref_start"], r["ref_end"]) for r in got)
+    assert found == [(2, 1, 0, 60, 0, 60), (2, 1, 140, 200, 140, 200), (3, 1, 0, 60, 0, 60), (3, 1, 100, 160, 140, 200), (5, 4, 0, 200, 0, 200), (5, 4, 510, 710, 500, 700)]
+
+
+def test_stretches_against_all_stretches():
+    rng = np.random.default_rng(14)
+    for _ in range(300):
+        runs = [(n, n, n) if i % 2 else (n, n + int(rng.integers(0, 9)), int(rng.integers(0, n))) for i, n in enumerate(rng.integers(1, 20, 12).tolist())]
+        steps = np.array(runs)
+        fits = {(i, j) for i in range(12) for j in range(i + 1, 13) if (w := steps[i:j].sum(axis=0))[:2].min() >= 30 and w[2] >= 0.8 * w[:2].max() and ((i % 2 and not j % 2) or (i, j) == (0, 12))}
+        found = list(passages._longest(steps, 30, 0.8))
+        assert set(found) <= fits and bool(found) == bool(fits)
+        assert all(any(i < b and a < j for a, b in found) for i, j in fits)
+        assert not found or found[0] == (0, 12) or steps[slice(*found[0]), 2].sum() == max(steps[i:j, 2].sum() for i, j in fits)
+
+
+def test_common_subsequence():
+    rng = np.random.default_rng(15)
+    for _ in range(50):
+        a, b = (rng.integers(0, 6, rng.integers(0, 30)).astype(np.uint64) for _ in "ab")
+        table = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i, j in itertools.product(range(len(a)), range(len(b))):
+            table[i + 1, j + 1] = table[i, j] + 1 if a[i] == b[j] else max(table[i, j + 1], table[i + 1, j])
+        assert passages._common(a, b) == table[-1, -1]
+
+
 # 10
 
 
