@@ -348,6 +348,29 @@ def test_passages_on_both_sides_of_a_long_gap(spark, documents):
     assert found == [(2, 1, 0, 60, 0, 60), (2, 1, 140, 200, 140, 200), (3, 1, 0, 60, 0, 60), (3, 1, 100, 160, 140, 200), (5, 4, 0, 200, 0, 200), (5, 4, 510, 710, 500, 700)]
 
 
+@pytest.mark.parametrize("line", [4, 8, 12, 16, 20])
+def test_passages_that_repeat_a_line(spark, documents, line):
+    rng = np.random.default_rng(16)
+    docs = []
+    for i in range(10):
+        p = " ".join([text_of(rng, line)] * 40).split()[:80]
+        docs += [(2 * i, f"{text_of(rng, 60)} {' '.join(p)} {text_of(rng, 50)}"), (2 * i + 1, f"{text_of(rng, 40)} {' '.join(p)} {text_of(rng, 50)}")]
+    got = passages.repeated_passages(documents(docs)).collect()
+    assert sorted((r["doc_id"], r["ref_doc_id"], r["start"], r["end"], r["ref_start"]) for r in got) == [(2 * i + 1, 2 * i, 40, 120, 60) for i in range(10)]
+
+
+def test_passages_of_lines_that_others_have_first(spark, documents):
+    rng = np.random.default_rng(17)
+    docs, want = [], set()
+    for i in range(0, 200, 10):
+        lines = [text_of(rng, n) for n in (17, 16, 17)]
+        docs += [(i + k, f"{text_of(rng, 60)} {x} {text_of(rng, 50)}") for k, x in enumerate(lines)]
+        docs += [(i + k, f"{text_of(rng, 60)} {' '.join(lines)} {text_of(rng, 50)}") for k in (5, 9)]
+        want.add((i + 9, i + 5, 60, 110))
+    got = {(r["doc_id"], r["ref_doc_id"], r["start"], r["end"]) for r in passages.repeated_passages(documents(docs)).collect()}
+    assert got == want
+
+
 def test_stretches_against_all_stretches():
     rng = np.random.default_rng(14)
     for _ in range(300):
