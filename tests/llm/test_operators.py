@@ -314,7 +314,8 @@ def test_passages_against_brute_force(spark, documents):
     docs += [(50, f"{text_of(rng, 30)} {' '.join(fuzzy)} end"), (60, docs[3][1]), (61, "la " * 80), (62, "x " + "la " * 70)]
     got = passages.repeated_passages(documents(docs + ODD)).collect()
     pairs = {(r["doc_id"], r["ref_doc_id"]) for r in got}
-    assert pairs == {(31, 30), (32, 30), (33, 30), (50, 30), (60, 3), (62, 61)}
+    assert {d for d, _ in pairs} == {31, 32, 33, 50, 60, 62} and len(pairs) == 6
+    assert {(31, 30), (60, 3), (62, 61)} <= pairs and all(r in range(30, d) for d, r in pairs if d in (32, 33)) and (50, 30) in {(d, min(r, 30)) for d, r in pairs}
     exact = next(r for r in got if r["doc_id"] == 31)
     assert (exact["start"], exact["end"], exact["ref_start"], exact["identity"]) == (60, 130, 60, 1.0)
     near = next(r for r in got if r["doc_id"] == 50)
@@ -371,6 +372,47 @@ def test_passages_of_lines_that_others_have_first(spark, documents):
     assert got == want
 
 
+def runs_of(text, n):
+    w = words(text)
+    return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+
+
+def test_documents_with_exact_runs_against_brute_force(spark, documents):
+    """Every document that has a run of 50 words of an earlier one is found, on the driver's documents of sf0.001 and sf0.01."""
+    for sf in ("sf0.001", "sf0.01"):
+        table = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+        rows = table.select("doc_id", "text").orderBy("doc_id").collect()
+        seen, want = set(), set()
+        for doc, text in rows:
+            own = runs_of(text, 50)
+            if not own.isdisjoint(seen):
+                want.add(doc)
+            seen |= own
+        got = passages.op9(spark, f"/root/testdata/{sf}").collect()
+        assert want <= {r["doc_id"] for r in got} and len(want) > 5
+        texts = {doc: words(text) for doc, text in rows}
+        for r in got:  # every passage is one: long enough, and with so many equal words
+            a, b = texts[r["doc_id"]][r["start"] : r["end"]], texts[r["ref_doc_id"]][r["ref_start"] : r["ref_end"]]
+            assert min(len(a), len(b)) >= 50 and r["ref_doc_id"] < r["doc_id"] and r["identity"] >= 0.8
+            assert a == b or r["identity"] < 1
+
+
+@pytest.mark.parametrize(("size", "share"), [(60, 0.1), (60, 0.15), (100, 0.1), (100, 0.15), (100, 0.2)])
+def test_recall_of_edited_passages(spark, documents, size, share):
+    rng = np.random.default_rng(size)
+    docs, near = [], set()
+    for i in range(300):
+        p = text_of(rng, size).split()
+        hit = rng.random(size) < share
+        q = [f"e{rng.integers(1 << 30)}" if h else w for w, h in zip(p, hit, strict=True)]
+        docs += [(2 * i, f"{text_of(rng, 60)} {' '.join(p)} {text_of(rng, 50)}"), (2 * i + 1, f"{text_of(rng, 40)} {' '.join(q)} {text_of(rng, 50)}")]
+        if hit[np.flatnonzero(~hit)[0] : np.flatnonzero(~hit)[-1] + 1].mean() <= 0.2:
+            near.add(2 * i + 1)
+    got = {r["doc_id"] for r in passages.repeated_passages(documents(docs)).collect()}
+    print(size, share, len(got & near) / len(near))
+    assert len(got & near) >= 0.9 * len(near)
+
+
 def test_stretches_against_all_stretches():
     rng = np.random.default_rng(14)
     for _ in range(300):
