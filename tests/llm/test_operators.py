@@ -130,6 +130,51 @@ def test_embedding_links_against_brute_force(spark):
     assert embedding_links.linked(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("cell_vectors", "lone", "blocks", "block"), [(200_000, 10, 3, 1000), (200_000, 10, 8, 20), (25, 10, 2, 30), (10, 5, 2, 1000)])
+def test_embedding_links_in_cells_and_blocks(spark, monkeypatch, cell_vectors, lone, blocks, block):
+    for name, value in {"CELL_VECTORS": cell_vectors, "LONE": lone, "BLOCKS": blocks, "BLOCK": block}.items():
+        monkeypatch.setattr(embedding_links, name, value)
+    embedding_links.plan.cache_clear()
+    rng = np.random.default_rng(31)
+    base = rng.normal(size=(70, 24))
+    x = np.concatenate([base + rng.normal(size=base.shape) * s for s in (0, 0.05, 0.15, 0.22)] + [base[:1] + rng.normal(size=(60, 24)) * 0.1])
+    n_classes = len(x)
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    edges = np.argwhere(np.triu(unit @ unit.T >= 0.95, 1))
+    p = embedding_links.Plan(24, 0.95, n_classes)
+    assert p.least > 0 and (p.width > 1) == (cell_vectors < 30)
+    steps = p.steps(unit)
+    count = embedding_links.collisions(p, steps, steps)
+    assert (count[tuple(edges.T)] >= p.least).all()
+    _check_tasks(embedding_links, x, n_classes, {tuple(e) for e in edges.tolist()})
+    embedding_links.plan.cache_clear()
+
+
+def _check_tasks(module, x, n, want):
+    """The operator's tasks, run in this process on cells cut to blocks, find these links."""
+    ids = np.arange(len(x)) * 7919 % 100_003
+    table = pa.table({"id": ids, "rep": np.arange(len(x)), "mult": np.ones(len(x), np.int64), "embedding": pa.array(x.tolist(), pa.list_(pa.float64()))})
+    rows = pa.Table.from_batches(list(module._cells(0.95, n, False)(iter(table.to_batches())))).to_pylist()
+    members = {}
+    for r in rows:
+        members.setdefault(r["cell"], []).append(r)
+    seen = []
+    for cell, own in members.items():
+        blocks = max(module.BLOCKS, -(-len(own) // module.BLOCK)) if len(own) > module.LONE else 1
+        for low in range(blocks):
+            for high in range(low, blocks):
+                unit = [r | {"low": low, "high": high, "block": r["id"] % blocks} for r in own if r["id"] % blocks in (low, high)]
+                if unit:
+                    seen.append(pa.Table.from_pylist(unit).combine_chunks().to_batches()[0])
+    pairs, total = set(), 0
+    for batch in seen:
+        out = pa.Table.from_batches(list(module._links(0.95, n, "f8")(iter([batch]))), pa.schema([("id", pa.int64()), ("rep", pa.int64()), ("links", pa.int64()), ("other", pa.int64())])).to_pylist()
+        total += sum(r["links"] for r in out)
+        pairs |= {(r["rep"], r["other"]) for r in out if r["other"] is not None}
+    assert total == 2 * len(want)
+    assert roots(range(len(x)), pairs) == roots(range(len(x)), want)
+
+
 # 4
 
 
