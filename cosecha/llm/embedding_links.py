@@ -9,15 +9,13 @@ window of twice the root mean square for a pair right at the threshold, fewer th
 pair at the threshold or above collides on more than 3 d / 4 directions.  No such pair is missed by the count.
 Of two random vectors in 64 dimensions about 35 % of the directions collide, and fewer than one pair in 1e9 reaches 49.
 
-Work is dealt by the first directions, sorted.  Below CELL_VECTORS vectors that is one direction with a window of the
-whole distance, which misses nothing.  From there on the number of directions grows with the logarithm of the table, so
-that cells keep their size: each vector has a home cell of four half windows a side, and visits all the other cells
-that the windows around it touch.  Two close vectors can be too far apart on one of those directions, so as many
-tables of other directions are taken as keep the chance to meet in none below 1e-5; a pair counts in its first table.
-
-Members of a cell are dealt to blocks, and each pair of blocks is one unit of work: one block is sorted by the first
-direction and every window of the other is a slice of it.  Two homes of a cell meet there; a home and a visitor meet
-if the visitor has the larger id, as each visits the other.  Links are summed and joined to a forest slice by slice, so
+Work is dealt by cells: in each of ``tables`` tables, ``width`` other directions are cut into ranges at random places,
+and vectors in the same ranges meet.  The width grows with the logarithm of the number of vectors, so that cells keep
+their size, and the tables are as many as keep the chance that a pair at the threshold meets in none below 1e-5: 20
+tables below 70,000 vectors of 64 components, 33 for a million, 84 for a thousand million.  A pair counts in its first table.
+
+Members of a large cell are dealt to blocks, and each pair of blocks is one unit of work: both are sorted by the first
+direction, and every window of the one is a slice of the other.  Links are summed and joined to a forest slice by slice, so
 what a task holds and what leaves it is as large as its rows, never as its pairs.  Equal vectors are one class with a
 multiplicity from the start.
 
@@ -42,42 +40,51 @@ from cosecha.llm.work import components, saved, small, sorted_runs
 from cosecha.llm.words import mix
 
 COSINE = 0.95
-CELL_VECTORS = 200_000
-LONE = 2000  # members of a cell that one unit takes
-BLOCKS, BLOCK = 8, 25_000  # larger cells have so many blocks, or as many as keep a block below so many members
+LEAST_WIDTH, FEW = 6, 100  # directions of a table, at least; so many vectors are expected in a cell otherwise
+RANGE = 6.3  # of a direction, times the root mean square difference of a pair at the threshold
+LONE = 16_000  # members of a cell that one unit takes
+BLOCK = 8_000  # members of a block of a larger cell
 BIG_CELLS = 500_000  # cells of several blocks that may be broadcast
 STEPS = 16_000  # projections are counted in so many steps from 0 to 1
 SLICE = 32
 
 
 class Plan:
-    """Directions, windows and counts for vectors of one length."""
+    """Directions, windows, counts and cells for vectors of one length."""
 
     def __init__(self, dim: int, cosine: float, vectors: int):
-        distance = math.sqrt(max(0.0, 2 - 2 * cosine))
-        self.window = min(distance, 2 * distance / math.sqrt(dim)) + 1e-6
-        self.least = dim - max(0, math.ceil((distance / self.window) ** 2) - 1)
-        self.width = max(1, min(10, dim, math.floor(math.log2(max(2, vectors) / CELL_VECTORS))))
-        # P(|coordinate of a random unit vector| <= window / distance), by quadrature over its angle
-        angle = (np.arange(20_000) + 0.5) / 20_000 * math.pi
-        density = np.sin(angle) ** max(dim - 2, 0)
-        inside = np.abs(np.cos(angle)) * distance <= self.window
-        p = 1.0 if dim == 1 or distance == 0 else float(density[inside].sum() / density.sum())
-        miss = 1 - p**self.width
-        self.deal, self.tables = self.window, 1 if miss <= 1e-5 else math.ceil(math.log(1e-5) / math.log(miss))
-        if self.width == 1:
-            self.deal, self.tables = distance + 1e-6, 1
+        self.distance = math.sqrt(max(0.0, 2 - 2 * cosine))
+        typical = self.distance / math.sqrt(dim)
+        self.window = min(self.distance, 2 * typical) + 1e-6
+        self.least = dim - max(0, math.ceil((self.distance / self.window) ** 2) - 1)
         rng = np.random.Generator(np.random.PCG64(dim))
-        frames = [np.linalg.qr(rng.normal(size=(dim, dim)))[0] for _ in range(-(-self.tables * self.width // dim))]
-        self.frame = frames[0]
-        self.directions = np.concatenate(frames, axis=1)[:, : self.tables * self.width]
-        self.cell = 4 * self.deal
-
-    def project(self, unit: np.ndarray) -> np.ndarray:
-        """Projections on the directions of the cells; summed in one order, so that every task finds the same to the last bit."""
-        out = np.empty((len(unit), self.directions.shape[1]), np.float32)
-        for k in range(0, len(unit), 256):
-            out[k : k + 256] = (unit[k : k + 256, :, None] * self.directions).sum(axis=1)
+        frame = lambda: np.linalg.qr(rng.normal(size=(dim, dim)))[0]
+        self.frame, self.cell = frame(), RANGE * typical + 1e-6
+        self.width = max(LEAST_WIDTH, math.ceil(math.log(max(1.0, vectors / FEW)) / math.log(3)))
+        # tables are added until random pairs at the threshold, with ranges cut at random, are missed by as few
+        pairs = rng.normal(size=(2000, dim))
+        pairs *= self.distance / np.linalg.norm(pairs, axis=1, keepdims=True)
+        spare, groups, miss = frame(), [], np.ones(len(pairs))
+        while miss.mean() > 1e-5:
+            while spare.shape[1] < self.width:
+                spare = np.concatenate([spare, frame()], axis=1)
+            groups.append(spare[:, : self.width])
+            spare = spare[:, self.width :]
+            miss *= 1 - np.prod(np.maximum(0, 1 - np.abs(pairs @ groups[-1]) / self.cell), axis=1)
+        self.tables = len(groups)
+        self.directions = np.concatenate(groups, axis=1)
+        self.shifts = rng.random(self.tables * self.width) * self.cell
+
+    def cells(self, unit: np.ndarray) -> np.ndarray:
+        """A key for each vector's cell in each table; summed in one order, so that every task finds the same to the last bit."""
+        out = np.empty((len(unit), self.tables), np.uint64)
+        for k in range(0, len(unit), 64):
+            own = np.floor(((unit[k : k + 64, :, None] * self.directions).sum(axis=1) + self.shifts) / self.cell).astype(np.int64).astype(np.uint64)
+            own = own.reshape(-1, self.tables, self.width)
+            key = np.tile(np.arange(self.tables, dtype=np.uint64) + np.uint64(1000 * unit.shape[1]), (len(own), 1))
+            for c in range(self.width):
+                key = mix(key ^ own[:, :, c])
+            out[k : k + 64] = key
         return out
 
     def steps(self, unit: np.ndarray) -> np.ndarray:
@@ -102,8 +109,7 @@ def plan(dim: int, cosine: float, vectors: int) -> Plan:
     return Plan(dim, cosine, vectors)
 
 
-_OUT = ["cell", "visits", "id", "rep", "mult", "table_no", "vec"]
-_CELLS = "cell long, visits boolean, id long, rep long, mult long, table_no int, vec binary"
+_CELLS = "cell long, table_no int, id long, rep long, mult long, vec binary"
 
 
 def _normed(raw: np.ndarray) -> np.ndarray:
@@ -122,35 +128,23 @@ def _vectors(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarra
 
 
 def _cells(cosine: float, vectors: int, light: bool):
-    """Home and visited cells of each vector; ``light``: the cells only."""
+    """The cells of each vector; ``light``: their keys only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, len(whole), 1000):
                 batch = whole.slice(start, 1000)
-                ids, reps, mults = (batch.column(c).to_numpy() for c in ("id", "rep", "mult"))
                 for dim, rows, raw in _vectors(batch):
                     p = plan(dim, cosine, vectors)
-                    proj = p.project(_normed(raw))
-                    vecs = pa.array([x.tobytes() for x in raw], pa.binary())
-                    for t in range(p.tables):
-                        own = proj[:, t * p.width : (t + 1) * p.width].astype(np.float64)
-                        low, home, high = (np.floor((own + d) / p.cell + 0.5).astype(np.int64) for d in (-p.deal, 0.0, p.deal))
-                        at, cells = np.arange(len(rows)), np.zeros((len(rows), 0), np.int64)
-                        for k in range(p.width):  # a window touches one or two cells of a direction
-                            two = np.flatnonzero(high[at, k] > low[at, k])
-                            first = np.column_stack([cells, low[at, k]])
-                            second = np.column_stack([cells[two], high[at[two], k]])
-                            cells, at = np.concatenate([first, second]), np.concatenate([at, at[two]])
-                        visits = (cells != home[at]).any(axis=1)
-                        key = np.full(len(at), np.uint64(dim * 1000 + t), np.uint64)
-                        for column in cells.T:
-                            key = mix(key ^ column.astype(np.uint64))
-                        out = [pa.array(key.view(np.int64))]
-                        if not light:
-                            r = rows[at]
-                            out += [pa.array(visits), pa.array(ids[r]), pa.array(reps[r]), pa.array(mults[r]), pa.array(np.full(len(at), t, np.int32)), vecs.take(pa.array(at))]
-                        yield pa.RecordBatch.from_arrays(out, names=_OUT[: len(out)])
+                    keys = pa.array(p.cells(_normed(raw)).ravel().view(np.int64))
+                    if light:
+                        yield pa.RecordBatch.from_arrays([keys], names=["cell"])
+                        continue
+                    at = pa.array(np.repeat(np.arange(len(rows)), p.tables))
+                    table = pa.array(np.tile(np.arange(p.tables, dtype=np.int32), len(rows)))
+                    own = [batch.column(c).take(pa.array(rows)).take(at) for c in ("id", "rep", "mult")]
+                    vecs = pa.array([x.tobytes() for x in raw], pa.binary()).take(at)
+                    yield pa.RecordBatch.from_arrays([keys, table, *own, vecs], names=["cell", "table_no", "id", "rep", "mult", "vec"])
 
     return run
 
@@ -171,35 +165,34 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _links(cosine: float, vectors: int, dtype: str):
     """Sums of links (id, rep, links) and edges (id, rep, other) of a forest."""
 
-    def meet(p: Plan, t: int, unit, ids, visits, mult, left, right) -> tuple[np.ndarray, np.ndarray]:
+    def meet(p: Plan, t: int, unit, mult, left, right) -> tuple[np.ndarray, np.ndarray]:
         """(sums of links, least node reached) of the vectors of a unit, over the pairs of ``left`` and ``right``."""
-        proj, steps, first = p.project(unit), p.steps(unit), t * p.width
+        steps, first = p.steps(unit), unit @ p.frame[:, 0]
         same = left is right
-        left, right = (x[np.argsort(proj[x, first], kind="stable")] for x in (left, right))
-        ranked = proj[right, first].astype(np.float64)
+        left, right = (x[np.argsort(first[x], kind="stable")] for x in (left, right))
+        ranked = first[right]
         sums, label, place = np.zeros(len(unit), np.int64), np.arange(len(unit)), np.empty(len(unit), np.int64)
         place[right] = np.arange(len(right))
+        cells, known = np.zeros((len(unit), p.tables), np.uint64), np.zeros(len(unit), bool)
         for k in range(0, len(left), SLICE):
             own = left[k : k + SLICE]
-            lo = np.searchsorted(ranked, float(proj[own[0], first]) - p.deal)
-            hi = np.searchsorted(ranked, float(proj[own[-1], first]) + p.deal, "right")
+            lo = np.searchsorted(ranked, first[own[0]] - p.distance - 1e-6)
+            hi = np.searchsorted(ranked, first[own[-1]] + p.distance + 1e-6, "right")
             near = right[max(lo, k) if same else lo : hi]
             if not len(near):
                 continue
             i, j = np.nonzero(collisions(p, steps[:, own], steps[:, near]) >= p.least)
             a, b = own[i], near[j]
-            for part in np.split(np.arange(len(a)), range(1 << 15, len(a), 1 << 15)):
-                x, y = a[part], b[part]
-                ok = ids[x] != ids[y]
+            for part in range(0, len(a), 1 << 15):
+                x, y = a[part : part + (1 << 15)], b[part : part + (1 << 15)]
+                ok = np.einsum("ij,ij->i", unit[x], unit[y]) >= cosine
                 if same:
                     ok &= place[x] < place[y]
-                ok &= ~(visits[x] & visits[y]) & (~visits[x] | (ids[x] > ids[y])) & (~visits[y] | (ids[y] > ids[x]))
                 x, y = x[ok], y[ok]
-                if p.tables > 1:
-                    hit = (np.abs(proj[x].astype(np.float64) - proj[y]) <= p.deal).reshape(len(x), p.tables, p.width).all(axis=2)
-                    ok = hit.any(axis=1) & (hit.argmax(axis=1) == t)
-                    x, y = x[ok], y[ok]
-                ok = np.einsum("ij,ij->i", unit[x], unit[y]) >= cosine
+                new = np.unique(np.concatenate([x, y]))
+                new = new[~known[new]]
+                cells[new], known[new] = p.cells(unit[new]), True
+                ok = (cells[x] == cells[y]).argmax(axis=1) == t  # they meet in this table for the first time
                 x, y = x[ok], y[ok]
                 sums += np.bincount(x, mult[y], len(unit)).astype(np.int64) + np.bincount(y, mult[x], len(unit)).astype(np.int64)
                 x, y = label[x], label[y]
@@ -210,7 +203,7 @@ def _links(cosine: float, vectors: int, dtype: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in sorted_runs(batches, ["cell", "low", "high"]):
-            block, low, high, visits, ids, reps, mults, tables = (table.column(c).to_numpy() for c in ("block", "low", "high", "visits", "id", "rep", "mult", "table_no"))
+            block, low, high, ids, reps, mults, tables = (table.column(c).to_numpy() for c in ("block", "low", "high", "id", "rep", "mult", "table_no"))
             raw = [np.frombuffer(x, dtype) for x in table.column("vec").to_pylist()]
             for s, e in zip(starts[:-1], starts[1:], strict=True):
                 kinds = {(int(tables[i]), len(raw[i])) for i in range(s, e)}
@@ -222,7 +215,7 @@ def _links(cosine: float, vectors: int, dtype: str):
                         continue
                     own, rep, mult = ids[rows], reps[rows], mults[rows]
                     unit = _normed(np.stack([raw[i] for i in rows]))
-                    sums, label = meet(plan(dim, cosine, vectors), t, unit, own, visits[rows], mult, left, right)
+                    sums, label = meet(plan(dim, cosine, vectors), t, unit, mult, left, right)
                     has, tied = np.flatnonzero(sums), np.flatnonzero(label != np.arange(len(rows)))
                     nothing = pa.nulls(len(has), pa.int64())
                     yield pa.RecordBatch.from_arrays([pa.array(own[has]), pa.array(rep[has]), pa.array(sums[has]), nothing], names=["id", "rep", "links", "other"])
@@ -251,11 +244,11 @@ def linked(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     counts = spread.mapInArrow(_cells(cosine, n, True), "cell long").groupBy("cell").agg(F.count(F.lit(1)).alias("members"))
     big = saved(counts.where(F.col("members") > LONE), "big-cells")
     meets = spread.mapInArrow(_cells(cosine, n, False), _CELLS).join(small(big, BIG_CELLS), "cell", "left")
-    blocks = F.coalesce(F.greatest(F.lit(BLOCKS), F.ceil(F.col("members") / BLOCK)), F.lit(1)).cast("int")
+    blocks = F.coalesce(F.ceil(F.col("members") / BLOCK), F.lit(1)).cast("int")
     meets = meets.withColumn("block", (F.shiftrightunsigned(F.xxhash64("id"), 1) % blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     meets = meets.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
     keys = ["cell", "low", "high"]
-    meets = meets.select(*keys, "block", "visits", "id", "rep", "mult", "table_no", "vec").repartition(*keys).sortWithinPartitions(*keys)
+    meets = meets.select(*keys, "block", "id", "rep", "mult", "table_no", "vec").repartition(*keys).sortWithinPartitions(*keys)
     found = saved(meets.mapInArrow(_links(cosine, n, dtype), "id long, rep long, links long, other long"), "embedding-links")
 
     sums = found.where("other is null").groupBy("id", "rep").agg(F.sum("links").alias("links"))

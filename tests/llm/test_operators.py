@@ -130,9 +130,9 @@ def test_embedding_links_against_brute_force(spark):
     assert embedding_links.linked(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize(("cell_vectors", "lone", "blocks", "block"), [(200_000, 10, 3, 1000), (200_000, 10, 8, 20), (25, 10, 2, 30), (10, 5, 2, 1000)])
-def test_embedding_links_in_cells_and_blocks(spark, monkeypatch, cell_vectors, lone, blocks, block):
-    for name, value in {"CELL_VECTORS": cell_vectors, "LONE": lone, "BLOCKS": blocks, "BLOCK": block}.items():
+@pytest.mark.parametrize(("width", "few", "lone", "block"), [(1, 100, 16_000, 8000), (1, 100, 10, 20), (6, 100, 10, 5), (3, 1, 10, 30)])
+def test_embedding_links_in_cells_and_blocks(monkeypatch, width, few, lone, block):
+    for name, value in {"LEAST_WIDTH": width, "FEW": few, "LONE": lone, "BLOCK": block}.items():
         monkeypatch.setattr(embedding_links, name, value)
     embedding_links.plan.cache_clear()
     rng = np.random.default_rng(31)
@@ -142,7 +142,7 @@ def test_embedding_links_in_cells_and_blocks(spark, monkeypatch, cell_vectors, l
     unit = x / np.linalg.norm(x, axis=1)[:, None]
     edges = np.argwhere(np.triu(unit @ unit.T >= 0.95, 1))
     p = embedding_links.Plan(24, 0.95, n_classes)
-    assert p.least > 0 and (p.width > 1) == (cell_vectors < 30)
+    assert p.least > 0
     steps = p.steps(unit)
     count = embedding_links.collisions(p, steps, steps)
     assert (count[tuple(edges.T)] >= p.least).all()
@@ -160,7 +160,7 @@ def _check_tasks(module, x, n, want):
         members.setdefault(r["cell"], []).append(r)
     seen = []
     for cell, own in members.items():
-        blocks = max(module.BLOCKS, -(-len(own) // module.BLOCK)) if len(own) > module.LONE else 1
+        blocks = -(-len(own) // module.BLOCK) if len(own) > module.LONE else 1
         for low in range(blocks):
             for high in range(low, blocks):
                 unit = [r | {"low": low, "high": high, "block": r["id"] % blocks} for r in own if r["id"] % blocks in (low, high)]
