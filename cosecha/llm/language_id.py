@@ -1,7 +1,7 @@
 """Language identification by compression: the language whose text, as a zstandard dictionary, helps most.
 
-For each language a raw-content dictionary is put together from passages of documents of that language, at most
-``PASSAGES`` of ``PASSAGE_BYTES`` each, from the documents whose ids hash lowest.  A text is compressed with every
+For each language a raw-content dictionary is put together from whole documents of that language, at most ``SAMPLE``,
+those whose ids hash lowest.  A text is compressed with every
 dictionary; the language of the smallest result is predicted.  Its score is the share of bytes that it saves against
 the runner-up, scaled so that ``FULL_MARGIN`` and more is 1; a margin below ``reject`` makes the prediction ``und``.
 
@@ -10,8 +10,8 @@ text before tells most and memory is bounded.  Equal sizes fall to the language
 
 Defined results: null texts and texts without a letter give ``und`` and score 0; without training rows all are
 ``und``; rows with equal texts get equal results; rows with a null doc_id are predicted but never learned from; an
-empty table gives an empty result; extra columns do not matter.  There are few languages: at most MOST_LANGUAGES, the
-most frequent ones.
+empty table gives an empty result; extra columns do not matter.  Every language that a training row has is learned;
+the dictionaries go to all tasks, so their size follows the number of languages.
 """
 
 from __future__ import annotations
@@ -28,9 +28,7 @@ from pyspark.sql.window import Window
 
 from cosecha.llm import words as W
 
-PASSAGES = 128
-PASSAGE_BYTES = 800
-MOST_LANGUAGES = 200
+SAMPLE = 48  # documents a language that are learned from
 LEVEL = 6
 FRAME_BYTES = 2048
 FULL_MARGIN = 0.25
@@ -50,36 +48,31 @@ def fold(doc_id: str):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS
 
 
-def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A passage of each text, at a place that its id's hash gives."""
+def _letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for text, place in zip(batch.column("text").to_pylist(), batch.column("place").to_pylist(), strict=True):
-            data = letters(text or "")
-            start = place % max(1, len(data) - PASSAGE_BYTES + 1)
-            out.append(data[start : start + PASSAGE_BYTES])
-        yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("place"), pa.array(out, pa.binary())], names=["lang", "place", "passage"])
+        out = pa.array([letters(text or "") for text in batch.column("text").to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("place"), out], names=["lang", "place", "letters"])
 
 
-def learn(docs: DataFrame) -> list[tuple[str, bytes]]:
+def learn(docs: DataFrame, sample: int = SAMPLE) -> list[tuple[str, bytes]]:
     """(language, dictionary) by falling number of documents; reads only text, lang and the fold of doc_id."""
     rows = docs.where("lang is not null and doc_id is not null").where(fold("doc_id") != HELD_OUT).select("doc_id", "lang")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    if not counts:
-        return []
+    counts = rows.groupBy("lang").count()
     # of a frequent language only ids with low hashes are ranked, about eight times as many as are needed
-    share = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(min(1.0, 8.0 * PASSAGES / r["count"]))) for r in counts], F.lit(0.0))
     place = F.shiftrightunsigned(F.xxhash64("doc_id"), 1)
-    near = rows.withColumn("place", place).where(F.col("place") <= share * float(1 << 63)).distinct()
+    near = rows.join(F.broadcast(counts), "lang").withColumn("place", place)  # one row for each language
+    near = near.where(F.col("place") / float(1 << 63) <= 8.0 * sample / F.col("count")).select("doc_id", "lang", "place", "count").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id"))
-    chosen = near.withColumn("rank", rank).where(F.col("rank") <= PASSAGES).select(F.col("doc_id").alias("chosen_id"), F.col("lang").alias("chosen_lang"), "place")
-    # at most PASSAGES rows for each of MOST_LANGUAGES languages
-    texts = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), (F.col("doc_id") == F.col("chosen_id")) & (F.col("lang") == F.col("chosen_lang"))).select("lang", "place", "text")
-    found = texts.mapInArrow(_passages, "lang string, place long, passage binary").orderBy("place", "passage").limit(PASSAGES * len(counts)).toArrow()
+    chosen = near.withColumn("rank", rank).where(F.col("rank") <= sample)
+    chosen = chosen.select(F.col("doc_id").alias("chosen_id"), F.col("lang").alias("chosen_lang"), "place", "count")
+    # at most ``sample`` rows of each language
+    texts = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), (F.col("doc_id") == F.col("chosen_id")) & (F.col("lang") == F.col("chosen_lang")))
+    found = texts.select("lang", "place", "text").mapInArrow(_letters, "lang string, place long, letters binary").toArrow().to_pylist()
+    number = {r["chosen_lang"]: r["count"] for r in chosen.select("chosen_lang", "count").distinct().collect()}
     parts: dict[str, list[bytes]] = {}
-    for lang, passage in zip(found.column("lang").to_pylist(), found.column("passage").to_pylist(), strict=True):
-        parts.setdefault(lang, []).append(passage)
-    return [(r["lang"], b"\n".join(parts[r["lang"]])) for r in counts if any(parts.get(r["lang"], ()))]
+    for r in sorted(found, key=lambda r: (r["place"], r["letters"])):
+        parts.setdefault(r["lang"], []).append(r["letters"])
+    return [(lang, b"\n".join(parts[lang])) for lang in sorted(parts, key=lambda x: (-number[x], x)) if any(parts[lang])]
 
 
 class Predictor:

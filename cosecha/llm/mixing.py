@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cosecha.llm.work import saved
+from cosecha.llm.work import fresh, saved
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -93,10 +93,10 @@ def op10(spark, sf_dir: str) -> DataFrame:
 
 def repeated(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = 17) -> DataFrame:
     """The mix itself: each row of ``docs``, with its columns, as often as the mix takes it."""
-    keep = mixed(docs, weights, max_epochs, seed).where("copies > 0").select(F.col("text_key").alias("mix_key"), F.col("copies").alias("mix_copies")).distinct()
-    d = docs.withColumn("mix_own_key", _row_key(seed))
-    out = d.join(keep, d["mix_own_key"] == keep["mix_key"])
-    out = out.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))))
+    own, key, copies, copy = fresh(docs, "mix_own_key", "mix_key", "mix_copies", "mix_copy")
+    keep = mixed(docs, weights, max_epochs, seed).where("copies > 0").select(F.col("text_key").alias(key), F.col("copies").alias(copies)).distinct()
+    out = docs.withColumn(own, _row_key(seed)).join(keep, F.col(own) == F.col(key))
+    out = out.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

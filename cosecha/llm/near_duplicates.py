@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cosecha.llm import words as W
-from cosecha.llm.work import components, saved, small, sorted_runs
+from cosecha.llm.work import components, fresh, saved, small, sorted_runs
 
 WIDTH = 5
 SHARE = 80  # percent
@@ -164,11 +164,19 @@ def _within_blocks(share: int):
             bucket, ids, n = (table.column(c).to_numpy() for c in ("bucket", "class_id", "n"))
             comp = table.column("comp").to_numpy().copy()
             block, low, high = (table.column(c).to_numpy() for c in ("block", "low", "high"))
-            regs, sets = _regs(table.column("regs")), _sets(table.column("text"))
+            regs, texts, sets = _regs(table.column("regs")), table.column("text"), {}
+
+            def set_of(i: int) -> np.ndarray:
+                """Built when a pair is verified, and kept while its block is compared."""
+                if i not in sets:
+                    (sets[i],) = _sets(texts.slice(i, 1))
+                return sets[i]
+
             found: list[tuple[int, int]] = []
             for s, e in zip(starts[:-1], starts[1:], strict=True):
                 lanes = np.ascontiguousarray(regs[s:e]).view(np.uint64)
                 keys = band_keys(regs[s:e])
+                sets.clear()
                 for i in range(s, e):
                     rest = np.arange(i + 1, e) if low[s] == high[s] else s + np.flatnonzero(block[s:e] == high[s])
                     if low[s] != high[s] and block[i] != low[s]:
@@ -184,7 +192,7 @@ def _within_blocks(share: int):
                     one = np.broadcast_to(regs[i], (len(rest), REGISTERS))
                     rest = rest[_plausible(one, regs[rest], np.broadcast_to(n[i], len(rest)), n[rest], share)]
                     for j in rest.tolist():
-                        if comp[i] != comp[j] and _linked(sets[i], sets[j], share):
+                        if comp[i] != comp[j] and _linked(set_of(i), set_of(j), share):
                             found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
                             own = comp[s:e]
                             own[own == comp[j]] = comp[i]
@@ -267,12 +275,32 @@ def near_duplicates(docs: DataFrame, share: int = SHARE) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, share: int = SHARE) -> DataFrame:
-    """``docs`` with one document of each component: rows of the smallest doc_id, and rows that link with nothing."""
-    gone = saved(near_duplicates(docs, share).where("not kept").select("doc_id").distinct(), "near-gone")
-    left = docs.join(small(gone, SMALL_IDS), docs["doc_id"] == gone["doc_id"], "left_anti")
-    # rows that repeat a whole document with its id
-    key = F.when(F.col("doc_id").isNull(), F.uuid()).otherwise(F.col("doc_id").cast("string"))
-    return left.withColumn("near_key", key).dropDuplicates(["near_key"]).drop("near_key")
+    """``docs`` with one document of each component, the first by doc_id, and all that link with nothing.
+
+    Rows whose doc_id is null or comes more than once are documents of their own, told apart by all their columns and
+    taken after the others; equal rows count once.  All columns stay, whatever their names.
+    """
+    node, whole, twin, gone_id = fresh(docs, "near_node", "near_row", "near_twin", "near_gone")
+    twins = docs.groupBy(F.col("doc_id").alias(twin)).count().where(F.col("count") > 1).select(twin).where(f"`{twin}` is not null")
+    twins = saved(twins, "near-twins")
+    some = small(twins, SMALL_IDS)
+    plain = docs.where("doc_id is not null").join(some, F.col("doc_id") == F.col(twin), "left_anti")
+    odd = docs.join(some, F.col("doc_id") == F.col(twin), "left_semi").union(docs.where("doc_id is null"))
+    odd = odd.withColumn(whole, F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))).dropDuplicates([whole])
+    odd = odd.repartitionByRange("doc_id", whole).sortWithinPartitions("doc_id", whole)
+    # numbers in this order, behind all ids, or before them where there is no room
+    odd = saved(odd.withColumn(node, F.monotonically_increasing_id()).drop(whole), "near-odd")
+    ends = docs.agg(F.min("doc_id").cast("long").alias("low"), F.max("doc_id").cast("long").alias("high")).first()
+    room = 1 << 62
+    behind = ends.high is None or ends.high < room
+    if not behind and ends.low <= -room:
+        raise ValueError("ids from one end of the 64-bit integers to the other leave no room for rows that share an id")
+    shift = max((ends.high or 0) + 1, 0) if behind else -2 * room
+    rows = plain.withColumn(node, F.col("doc_id").cast("long")).union(odd.withColumn(node, F.col(node) + F.lit(shift)))
+    found = near_duplicates(rows.select(F.col(node).alias("doc_id"), "text"), share)
+    gone = saved(found.where("not kept").select(F.col("doc_id").alias(gone_id)).distinct(), "near-gone")
+    left = rows.join(small(gone, SMALL_IDS), F.col(node) == F.col(gone_id), "left_anti")
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op4(spark, sf_dir: str) -> DataFrame:

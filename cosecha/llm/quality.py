@@ -11,7 +11,7 @@ narrow pass over whole texts.
 
 Defined results: null, empty and blank texts have no words, only statistics, and get a score; rows with equal texts
 get equal scores; a null doc_id is scored and never trained on; contradicting labels of one doc_id both count; without
-any usable label every score is 0.5; an empty table gives an empty result; extra columns do not matter.
+any usable label every score is 0.5; an empty table gives an empty result; extra columns stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from cosecha.llm import words as W
+from cosecha.llm.work import fresh
 
 BUCKETS = 1 << 14
 FACTORS = 8
@@ -191,17 +192,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, steps: int =
     return model
 
 
-def scored(docs: DataFrame, model: Machine) -> DataFrame:
-    """``docs`` with ``quality_score``; all columns stay."""
+def scored(docs: DataFrame, model: Machine, name: str = "quality_score") -> DataFrame:
+    """``docs`` with the column ``name``; all other columns stay."""
+    (text,) = fresh(docs, "quality_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in W.pieces(batch, "quality_text"):
-                keep = [i for i, name in enumerate(part.schema.names) if name != "quality_text"]
-                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in keep), pa.array(model.score(part.column("quality_text")))], names=[*(part.schema.names[i] for i in keep), "quality_score"])
+            for part in W.pieces(batch, text):
+                keep = [i for i, column in enumerate(part.schema.names) if column != text]
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in keep), pa.array(model.score(part.column(text)))], names=[*(part.schema.names[i] for i in keep), name])
 
-    schema = StructType([*docs.schema.fields, StructField("quality_score", DoubleType())])
-    return docs.withColumn("quality_text", F.col("text")).mapInArrow(run, schema)
+    schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
+    return docs.withColumn(text, F.col("text")).mapInArrow(run, schema)
 
 
 def op5(spark, sf_dir: str) -> DataFrame:
@@ -221,4 +223,5 @@ def op5(spark, sf_dir: str) -> DataFrame:
 
 def good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents that score below ``threshold``."""
-    return scored(docs, train(docs, labels)).where(F.col("quality_score") >= threshold).drop("quality_score")
+    (score,) = fresh(docs, "quality_score")
+    return scored(docs, train(docs, labels), score).where(F.col(score) >= threshold).drop(score)

@@ -5,12 +5,12 @@ says, the first in the lowest bits; the selector is the one that packs the most
 escape: its payload is the place of one id of 60 bits or more in the file's table of raw ids.  Words never cross a
 block of 1,024 ids, and the file has each block's first word, so any block decodes alone and all of them at once.
 
-File, little-endian: magic, six counts (documents, ids, blocks, words, raw ids, ids per block; 64 bits each), doc_ids
-(int64; the least int64 for null), document offsets into the ids, block offsets into the words, words, raw ids.
+File, little-endian: magic, seven counts (documents, those of them without doc_id, which come first, ids, blocks, words,
+raw ids, ids per block; 64 bits each), doc_ids (int64), document offsets into the ids, block offsets into the words, words, raw ids.
 
-Texts are encoded by the given ``tokenizers`` file without special tokens; an end id closes each document.  That
-tokenizer's rules never reach across blanks, so each distinct piece of a batch is encoded once, and kept for later
-batches up to a bound.
+Texts are encoded by the given ``tokenizers`` file without special tokens; an end id closes each document.  Where its
+rules are those of NORMALIZERS and SPLIT, which never reach across blanks, each distinct piece of a batch is encoded
+once, and kept for later batches up to a bound; with other rules whole texts are encoded.
 
 Defined results: a null text is an empty one, which has the end id only; rows are in ascending order of doc_id, null
 first, and rows with one doc_id in the order of a hash of their texts; an empty table gives no file and no row.
@@ -42,12 +42,15 @@ from cosecha.llm.work import folder, saved
 # The selectors of Simple-8b, as (ids, bits of each)
 SELECTORS = ((1, 64), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 _COUNT = np.array([c for c, _ in SELECTORS])
-MAGIC = b"S8BTOK01"
+MAGIC = b"S8BTOK02"
 BLOCK_IDS = 1024
 FILE_IDS = 1 << 22  # a file is closed after so many ids
 CACHED_WORDS = 3 << 19
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
+# Rules of a tokenizer that pieces of words can be encoded with
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -149,7 +152,9 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         rules = json.loads(self.tokenizer.to_str())
-        self.direct = [x["type"] for x in (rules["normalizer"] or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+        split, *more = (rules["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        self.by_pieces = [x["type"] for x in (rules["normalizer"] or {}).get("normalizers", [])] == NORMALIZERS and split.get("pattern") == {"Regex": SPLIT}
+        self.by_pieces &= split.get("behavior") == "Removed" and [(x["type"], x["add_prefix_space"], x["use_regex"]) for x in more] == [("ByteLevel", False, False)]
         self.model = self.tokenizer.model
         self.clear()
 
@@ -158,7 +163,7 @@ class WordEncoder:
         self.ids = np.zeros(0, np.uint32)
 
     def piece(self, text: str) -> list[int]:
-        if self.direct and text.isalpha():
+        if text.isalpha():
             if text.isascii():
                 return [t.id for t in self.model.tokenize(text.lower())]
             lower = text.lower()
@@ -169,6 +174,9 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each closed by ``end_id``; offsets per text)."""
+        if not self.by_pieces:
+            ids = [[*self.tokenizer.encode(text or "", add_special_tokens=False).ids, end_id] for text in texts.to_pylist()]
+            return np.fromiter(itertools.chain.from_iterable(ids), np.uint32), np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)])
         hashes, bounds, starts, ends, data = W.word_hashes(texts, fold=False, cuts=(_LETTERS, _SIGNS))
         keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.keys) > CACHED_WORDS:
@@ -207,56 +215,54 @@ def _file(uri: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.FileSystem.from_uri(uri)
 
 
-def write_file(uri: str, doc_ids: np.ndarray, offsets: np.ndarray, ids: np.ndarray) -> None:
+def write_file(uri: str, doc_ids: np.ndarray, offsets: np.ndarray, ids: np.ndarray, without_id: int = 0) -> None:
     words, blocks, raw = pack(ids.astype(np.uint64))
     fs, path = _file(uri)
     fs.create_dir(os.path.dirname(path), recursive=True)
     with fs.open_output_stream(path) as out:
-        out.write(MAGIC + np.array([len(doc_ids), len(ids), len(blocks) - 1, len(words), len(raw), BLOCK_IDS], "<u8").tobytes())
+        out.write(MAGIC + np.array([len(doc_ids), without_id, len(ids), len(blocks) - 1, len(words), len(raw), BLOCK_IDS], "<u8").tobytes())
         for x, kind in ((doc_ids, "<i8"), (offsets, "<u8"), (blocks, "<u8"), (words, "<u8"), (raw, "<u8")):
             out.write(x.astype(kind).tobytes())
 
 
-def read_file(uri: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(doc_ids, document offsets, ids)."""
+def read_file(uri: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(doc_ids, document offsets, ids, number of documents without doc_id)."""
     fs, path = _file(uri)
     with fs.open_input_stream(path) as file:
         data = io.BytesIO(file.read())
     if data.read(8) != MAGIC:
         raise ValueError(f"{uri} is no token file")
-    docs, n, blocks, words, raw, _ = np.frombuffer(data.read(48), "<u8").astype(np.int64)
+    docs, without_id, n, blocks, words, raw, _ = np.frombuffer(data.read(56), "<u8").astype(np.int64)
     take = lambda count, kind: np.frombuffer(data.read(8 * int(count)), kind)
     doc_ids, offsets, firsts, packed, raw = take(docs, "<i8"), take(docs + 1, "<u8"), take(blocks + 1, "<u8"), take(words, "<u8"), take(raw, "<u8")
     ids = unpack(packed, raw)
     if len(ids) != n or int(firsts[-1]) != len(packed):
         raise ValueError(f"{uri} is damaged")
-    return doc_ids, offsets.astype(np.int64), ids
-
-
-NO_ID = np.iinfo(np.int64).min
+    return doc_ids, offsets.astype(np.int64), ids, int(without_id)
 
 
 def _writer(base: str, tokenizer: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
         number = 0
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]] = []
 
         def close() -> pa.RecordBatch:
             nonlocal number
             doc_ids = np.concatenate([h[0] for h in held])
             lengths = np.concatenate([h[1] for h in held])
             ids = np.concatenate([h[2] for h in held])
+            without_id = sum(h[3] for h in held)
             held.clear()
             uri = f"{base}/part-{part:06d}-{number:04d}-{attempt}.s8b"
-            write_file(uri, doc_ids, np.concatenate([[0], np.cumsum(lengths)]), ids)
+            write_file(uri, doc_ids, np.concatenate([[0], np.cumsum(lengths)]), ids, without_id)
             number += 1
             return pa.RecordBatch.from_pydict({"part": [part], "number": [number], "uri": [uri], "n_docs": [len(doc_ids)], "n_ids": [len(ids)]})
 
         for batch in batches:
             for piece in W.pieces(batch, "text"):
                 ids, offsets = encoder(tokenizer).encode(piece.column("text"), end_id)
-                held.append((piece.column("doc_id").fill_null(NO_ID).to_numpy(), np.diff(offsets), ids))
+                held.append((piece.column("doc_id").fill_null(0).to_numpy(), np.diff(offsets), ids, piece.column("doc_id").null_count))
                 if sum(len(h[2]) for h in held) >= FILE_IDS:
                     yield close()
         if held:
@@ -268,10 +274,10 @@ def _writer(base: str, tokenizer: str, end_id: int):
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for uri, start in zip(batch.column("uri").to_pylist(), batch.column("start").to_pylist(), strict=True):
-            doc_ids, offsets, ids = read_file(uri)
+            doc_ids, offsets, ids, without_id = read_file(uri)
             data = memoryview(ids.astype("<u4").tobytes())
             sums = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-            columns = [pa.array(doc_ids, mask=doc_ids == NO_ID), pa.array(start + offsets[:-1]), pa.array(np.diff(offsets)), pa.array(sums, pa.int64())]
+            columns = [pa.array(doc_ids, mask=np.arange(len(doc_ids)) < without_id), pa.array(start + offsets[:-1]), pa.array(np.diff(offsets)), pa.array(sums, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
 

@@ -15,15 +15,29 @@ _fallback: list[str] = []
 
 
 def folder(spark: SparkSession, name: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``; where that is unset, as in tests, under a temporary folder."""
+    """A new folder under ``spark.checkpoint.dir``; where that is unset, under a temporary folder, but only in local mode."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         if not _fallback:
             _fallback.append(f"file://{tempfile.mkdtemp(prefix='cosecha-')}")
         base = _fallback[0]
     return f"{base.rstrip('/')}/cosecha/{name}-{uuid.uuid4().hex}"
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like ``names`` that no column of ``df`` has, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Writes a table to the shared folder and reads it: the lineage ends there, and a lost executor loses nothing."""
     path = folder(df.sparkSession, name)

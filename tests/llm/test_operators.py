@@ -3,6 +3,7 @@
 import gzip
 import io
 import itertools
+import os
 import re
 import zlib
 
@@ -96,7 +97,7 @@ def test_decontamination_against_brute_force(spark, documents):
     for (d, text), (i, item) in itertools.product(docs + ODD, items):
         w, v = words((text or "").lower()), words((item or "").lower())
         n = len(v)
-        if not n or (n < 5 and len(w) != n):
+        if not n:
             continue
         for s in range(len(w) - n + 1):
             a, b = shingles(" ".join(w[s : s + n])), shingles(" ".join(v))
@@ -195,6 +196,53 @@ def test_near_duplicates_against_brute_force(spark, documents):
     assert near_duplicates.near_duplicates(documents([])).count() == 0
 
 
+def test_one_of_each_loses_no_text(spark):
+    rows = [(1, "alpha beta gamma delta epsilon zeta", 7), (1, "one two three four five six", 7), (2, "p q r s t u v", 7), (1, "one two three four five six", 7), (1, "one two three four five six", 8)]
+    rows += [(None, "p q r s t u v", 1), (None, "other words stand here once more", 2), (None, None, 3), (None, None, 3), (3, None, 1), (3, "", 1), (4, "one two three four five six", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, near_key long").withColumns({"near_node": F.lit(5), "near_row": F.lit("x"), "near_gone": F.lit(0), "near_twin": F.lit(0)})
+    got = near_duplicates.one_of_each(docs)
+    assert got.columns == docs.columns
+    found = sorted((r["text"] or "", str(r["doc_id"])) for r in got.collect())
+    assert found == sorted([(rows[0][1], "1"), (rows[1][1], "4"), ("p q r s t u v", "2"), ("other words stand here once more", "None"), ("", "None"), ("", "3"), ("", "3")])
+    again = near_duplicates.one_of_each(docs.orderBy(F.rand(3)))
+    assert sorted(map(str, again.collect())) == sorted(map(str, got.collect()))
+    with pytest.raises(ValueError, match="room"):
+        near_duplicates.one_of_each(spark.createDataFrame([(-(1 << 63), "a", 1), ((1 << 63) - 1, "b", 1)], "doc_id long, text string, x int"))
+    high = spark.createDataFrame([((1 << 63) - 1, "a", 1), ((1 << 63) - 1, "b", 1)], "doc_id long, text string, x int")
+    assert near_duplicates.one_of_each(high).count() == 2
+
+
+CLASHES = "quality_score quality_text near_key mix_copy mix_key mix_own_key mix_copies bad_id bad_key text_key label place source_key d_id".split()
+
+
+def test_stages_with_clashing_names_and_odd_rows(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(20)
+    item = text_of(rng, 20)
+    rows = [*ODD, (7, item), (8, f"{text_of(rng, 30)} {item}"), (9, text_of(rng, 40)), (9, text_of(rng, 40)), (10, "same text in two rows for once"), (10, "same text in two rows for once")]
+    docs = spark.createDataFrame([(d, t, "en", None if d == 9 else "s", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumns({c: F.lit(i) for i, c in enumerate(CLASHES)})
+    sf = str(tmp_path)
+    spark.createDataFrame([(90, item), (91, None), (92, "")], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    spark.createDataFrame([(9, 1, 0), (None, 1, 0), (7, None, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+    for start in (docs, docs.limit(0)):
+        now = start
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, now, sf)
+            assert out.columns == docs.columns, name
+            path = str(tmp_path / f"{name}-{start is docs}")
+            out.write.parquet(path)
+            now = spark.read.parquet(path)
+            if start is docs and now.count():
+                assert now.select(*CLASHES).distinct().collect() == [tuple(range(len(CLASHES)))]
+            if start is docs and name == "decontamination":
+                left = {r["doc_id"] for r in now.collect()}
+                assert {7, 8}.isdisjoint(left) and {1, 2, 3, 4, 5, 6, 9, 10} <= left
+                assert now.where("doc_id = 9").count() == 2 and now.where("doc_id = 10").count() == 1
+        assert corpus_pipeline.STAGES[-1][1](spark, now, sf).count() == now.count()
+
+
 def test_blocks_of_a_large_bucket(spark, documents, monkeypatch):
     monkeypatch.setattr(near_duplicates, "BLOCK", 3)
     rng = np.random.default_rng(5)
@@ -274,10 +322,31 @@ def test_token_files_against_the_tokenizer(spark, documents):
         assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (start, len(ids), zlib.crc32(ids.tobytes())), text
         start += len(ids)
     assert token_files.tokens(documents([])).count() == 0
+    least = token_files.tokens(documents([(-(1 << 63), "a"), (None, "b")])).collect()
+    assert {(r["doc_id"], r["start"] > 0) for r in least} == {(None, False), (-(1 << 63), True)}
     same = token_files.tokens(documents([(1, "b"), (1, "a c"), (1, "b")])).collect()
     assert sorted(r["start"] for r in same) in ([0, 2, 4], [0, 2, 5], [0, 3, 5])
 
 
+def test_other_tokenizers_encode_whole_texts():
+    import glob
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tried = 0
+    for path in sorted(glob.glob(os.path.dirname(public_tokenizers.path(token_files.TOKENIZER)) + "/*.json")):
+        try:
+            t = Tokenizer.from_file(path)
+        except Exception:  # noqa: BLE001, S112  a file of another kind
+            continue
+        tried += 1
+        ids, offsets = token_files.WordEncoder(path).encode(pa.array([*TRICKY, None]), 9)
+        for i, text in enumerate([*TRICKY, ""]):
+            assert ids[offsets[i] : offsets[i + 1]].tolist() == [*t.encode(text, add_special_tokens=False).ids, 9]
+    assert tried
+
+
 # 7
 
 PAGE = """<html><head><title>no</title><style>p{}</style></head><body><header><p>Site name</p></header><nav><ul><li><a href=/>Home</a></li></ul></nav>
