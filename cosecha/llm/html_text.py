@@ -9,7 +9,8 @@ A block's text has its character references decoded and white space turned to on
 text are joined by one space in page order.  Nothing else is dropped or cut.
 
 Defined results: a null, empty or broken html gives what text its blocks hold, else the empty text; tags that are
-never closed end with their parent; a '<' that starts no tag is text; rows with equal html give equal texts; a null
+never closed end with their parent, but a script, style, text area or title without an end takes the rest of the page;
+a '<' that starts no tag is text; time grows with the page, however deep its elements lie; rows with equal html give equal texts; a null
 page_id or url is carried; an empty table gives an empty result; extra columns do not matter.
 """
 
@@ -38,7 +39,11 @@ _NAMED = re.compile(r"(?:^|\s)(class|id|role)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|
 _PART = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
+_ZEROS = re.compile(r"&#(?:0++(?=[0-9])|([xX])0++(?=[0-9a-fA-F]))")
+_HUGE = re.compile(r"&#(?:[0-9]{8,}|[xX][0-9a-fA-F]{7,});?")
 _SKIPPED = {"script", "style", "head", "noscript", "template", "svg", "iframe", "textarea", "object", "title"}
+_RAW = {"script", "style", "textarea", "title"}  # without an end they take the rest of the page
+_ENDS = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in _SKIPPED}
 _INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img input meta link base area col param source track embed button select option".split())
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _BOXED_INLINE = {"ins", "label", "button", "select", "option"}
@@ -58,29 +63,60 @@ def _names(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(out))
 
 
+def _decoded(text: str) -> str:
+    """Character references decoded; numbers too long for one are what those beyond Unicode are."""
+    if "&#" in text:
+        text = _ZEROS.sub(lambda m: f"&#{m[1] or ''}", text)
+        text = _HUGE.sub("\ufffd", text)
+    return html.unescape(text)
+
+
 class Blocks:
-    """The leaf blocks of one page: texts, and the elements and counts that features come from."""
+    """The leaf blocks of one page: texts, and the elements and counts that features come from.
+
+    Elements form a tree: each is (parent, tag, attributes, depth), the parent by its number; number 0 is the page.
+    """
 
     def __init__(self, page: str):
         self.texts: list[str] = []
-        self.paths: list[tuple[tuple[str, str], ...]] = []
+        self.inside: list[int] = []
         self.linked: list[int] = []
-        stack: list[tuple[str, str]] = []
+        self.elements: list[tuple[int, str, str, int]] = [(-1, "none", "", 0)]
+        stack: list[int] = [0]
+        opened: dict[str, int] = {}
+        unclosed: set[str] = set()
         held: list[str] = []
         link = linked = 0
         at, size = 0, len(page)
+        last = page.rfind(">")
 
         def flush() -> None:
             nonlocal linked
             if held:
-                text = " ".join(html.unescape("".join(held)).split())
+                text = " ".join(_decoded("".join(held)).split())
                 if text:
                     self.texts.append(text)
-                    self.paths.append(tuple(stack))
+                    self.inside.append(stack[-1])
                     self.linked.append(linked)
                 held.clear()
             linked = 0
 
+        def close(k: int) -> None:
+            for i in stack[k:]:
+                opened[self.elements[i][1]] -= 1
+            del stack[k:]
+
+        def above(tags: set[str], stops: set[str]) -> int:
+            """The place in the stack of the nearest open element of ``tags`` that no stop hides, or 0."""
+            if any(opened.get(t) for t in tags):
+                for k in range(len(stack) - 1, 0, -1):
+                    tag = self.elements[stack[k]][1]
+                    if tag in tags:
+                        return k
+                    if tag in stops:
+                        break
+            return 0
+
         while at < size:
             lt = page.find("<", at)
             if lt < 0:
@@ -90,6 +126,10 @@ class Blocks:
                 linked += (lt - at) if link else 0
             if lt == size:
                 break
+            if lt > last and not page.startswith("<!--", lt):  # no tag ends behind this place
+                held.append(page[lt:] if (end := page.find("<!--", lt)) < 0 else page[lt:end])
+                at = size if end < 0 else end
+                continue
             m = _TOKEN.match(page, lt) or _LOOSE.match(page, lt)
             if not m:
                 held.append("<")
@@ -100,12 +140,14 @@ class Blocks:
                 continue
             closing, tag, attributes = m[1], m[2].lower(), m[3]
             if tag in _SKIPPED:
-                if not closing and not attributes.endswith("/"):
-                    end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+                if not closing and not attributes.endswith("/") and tag not in unclosed:
+                    end = _ENDS[tag].search(page, at)
                     if end:
                         at = end.end()
-                    elif tag != "head":
+                    elif tag in _RAW:
                         at = size
+                    else:  # what follows is not lost for it
+                        unclosed.add(tag)
                 if tag != "svg":
                     flush()
                 continue
@@ -116,31 +158,35 @@ class Blocks:
                 continue
             flush()
             if closing:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag:
-                        del stack[k:]
-                        break
+                if k := above({tag}, set()):
+                    close(k)
             else:
                 ended = _NO_NEST.get(tag)
-                if tag in _ENDS_P and stack and stack[-1][0] == "p":
-                    stack.pop()
-                elif ended:
-                    for k in range(len(stack) - 1, -1, -1):
-                        if stack[k][0] in ended:
-                            del stack[k:]
-                            break
-                        if stack[k][0] in _STOPS[tag]:
-                            break
+                if tag in _ENDS_P and self.elements[stack[-1]][1] == "p":
+                    close(len(stack) - 1)
+                elif ended and (k := above(ended, _STOPS[tag])):
+                    close(k)
                 if tag not in _VOID and not attributes.endswith("/"):
-                    stack.append((tag, attributes.strip()))
+                    self.elements.append((stack[-1], tag, attributes.strip(), len(stack)))
+                    stack.append(len(self.elements) - 1)
+                    opened[tag] = opened.get(tag, 0) + 1
         flush()
 
+    def path(self, element: int) -> list[tuple[str, str]]:
+        """(tag, attributes) of an element and all around it, outermost first."""
+        out = []
+        while element:
+            parent, tag, attributes, _ = self.elements[element]
+            out.append((tag, attributes))
+            element = parent
+        return out[::-1]
+
 
-def _own(text: str, path: tuple[tuple[str, str], ...], linked: int, place: int, count: int) -> list[str]:
+def _own(text: str, tag: str, depth: int, linked: int, place: int, count: int) -> list[str]:
     """Features of the block itself."""
     n = len(text)
     words = text.count(" ") + 1
-    out = [f"tag:{path[-1][0] if path else 'none'}", f"words:{min(int(math.log2(words)), 7)}", f"linked:{min(int(4 * linked / n), 4)}", f"depth:{min(len(path), 6)}"]
+    out = [f"tag:{tag}", f"words:{min(int(math.log2(words)), 7)}", f"linked:{min(int(4 * linked / n), 4)}", f"depth:{min(depth, 6)}"]
     if text[-1] in ".!?":
         out.append("ends")
     if "©" in text or "Copyright" in text:
@@ -157,16 +203,23 @@ class Field:
 
     def __init__(self):
         self.weights: dict[str, float] = {}
+        self.known: dict[tuple[str, str], float] = {}  # of elements, once trained
         self.steps = np.zeros((2, 2))
         self.start = 0.0
 
     def emissions(self, page: Blocks) -> list[float]:
-        weights, out, seen = self.weights, [], {}
-        for i, (text, path) in enumerate(zip(page.texts, page.paths, strict=True)):
-            above = seen.get(path)
-            if above is None:
-                above = seen[path] = sum(weights.get(f, 0.0) for element in path for f in _names(*element))
-            out.append(above + sum(weights.get(f, 0.0) for f in _own(text, path, page.linked[i], i, len(page.texts))))
+        get, known, above = self.weights.get, self.known, [0.0]
+        if len(known) > 1 << 14:
+            known.clear()
+        for parent, *element, _ in page.elements[1:]:
+            key = tuple(element)
+            if key not in known:
+                known[key] = sum(get(f, 0.0) for f in _names(*key))
+            above.append(above[parent] + known[key])
+        out, count = [], len(page.texts)
+        for i, (text, inside) in enumerate(zip(page.texts, page.inside, strict=True)):
+            _, tag, _, depth = page.elements[inside]
+            out.append(above[inside] + sum(get(f, 0.0) for f in _own(text, tag, depth, page.linked[i], i, count)))
         return out
 
     def decode(self, page: Blocks) -> list[bool]:
@@ -231,7 +284,11 @@ def trained(pages: int = TRAINING_PAGES, epochs: int = EPOCHS, seed: int = 11) -
             seen = upto
         labels += [False] * (len(page.texts) - len(labels))
         if page.texts and len(labels) == len(page.texts):
-            features = [[f for element in path for f in _names(*element)] + _own(t, path, page.linked[i], i, len(page.texts)) for i, (t, path) in enumerate(zip(page.texts, page.paths, strict=True))]
+            features = []
+            for i, (t, inside) in enumerate(zip(page.texts, page.inside, strict=True)):
+                _, tag, _, depth = page.elements[inside]
+                around = [f for element in page.path(inside) for f in _names(*element)]
+                features.append(around + _own(t, tag, depth, page.linked[i], i, len(page.texts)))
             data.append((page, np.array(labels, float), features))
     field, squares = Field(), {}
     step_squares, start_square = np.full((2, 2), 1e-2), 1e-2

@@ -5,6 +5,7 @@ import io
 import itertools
 import os
 import re
+import time
 import zlib
 
 import numpy as np
@@ -364,6 +365,20 @@ def test_main_text(spark):
     assert by_id[2]["text"] == by_id[3]["text"] == by_id[5]["text"] == "" and by_id[4]["text"].endswith("kept")
 
 
+def test_odd_pages_in_linear_time():
+    field = html_text.trained()
+    for part in ("<a ", "<div>x", "<div>x</p>", "<svg>x", "<!x", "<li>x<div>", "<ul><li>x", "<p \"x", "&#1", "<td>x<div>", "<object>x "):
+        took = []
+        for n in (20_000, 80_000):
+            start = time.process_time()
+            field.text(part * n)
+            took.append(time.process_time() - start)
+        assert took[1] < 9 * took[0] + 0.5, (part, took)
+    for tag in ("svg", "object", "iframe", "template", "noscript"):
+        assert field.text(f"<article><p>one</p><{tag}><p>two</p></article>") == "one two"
+    assert html_text.Blocks("<p>&#" + "0" * 9000 + "65; &#x" + "0" * 9000 + "41; &#" + "9" * 9000 + "; &#0; &#65;</p>").texts == ["A A \ufffd \ufffd A"]
+
+
 def test_labelled_pages_held_out():
     import random
 
