@@ -1,8 +1,9 @@
 """WARC archives: a writer of one gzip member per record, and a sequential reader that checks what it reads.
 
 The reader inflates a stream bit by bit with zlib, a member at a time; takes a record's block by its Content-Length;
-and compares the block's and the payload's SHA-1 with the record's digests.  Whatever does not fit (a member cut
-short, bytes behind the block, a wrong digest) raises WarcError.  It never holds more than one chunk of a record
+and compares the block and the payload with the record's digests.  It reads archives of other writers too: records of
+all kinds, without digests or with those of other algorithms, and HTTP bodies in chunks.  Whatever does not fit (a
+member cut short, bytes behind the block, a wrong digest) raises WarcError.  It never holds more than one chunk of a record
 unless the payload is asked for.
 
 Equal payloads are written once: of the pages with one payload that with the largest page_id becomes a response, the
@@ -117,45 +118,135 @@ class _Member:
 
 
 def _fields(head: bytes) -> dict[str, str]:
-    lines = head.decode().split("\r\n")[1:]
-    return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines if x)}
+    """Named fields of a header by lower-case name; lines that start with a blank go on from the one before."""
+    out: dict[str, str] = {}
+    last = ""
+    for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
+        if line[:1] in (" ", "\t") and last:
+            out[last] += " " + line.strip()
+        elif line:
+            name, _, value = line.partition(":")
+            last = name.strip().lower()
+            out[last] = value.strip()
+    return out
+
+
+class _Digests:
+    """Digests of a stream by each algorithm that is asked for."""
+
+    def __init__(self, *told: str | None):
+        names = {"sha1", *(t.partition(":")[0].lower() for t in told if t)}
+        self.by_name = {n: hashlib.new(n) for n in names & set(hashlib.algorithms_guaranteed) if not n.startswith("shake")}
+        self.size = 0
+
+    def update(self, part: bytes) -> None:
+        self.size += len(part)
+        for d in self.by_name.values():
+            d.update(part)
+
+    def fits(self, told: str | None) -> bool:
+        """Whether this is the digest that was told, in base 32 or hexadecimal; one of an unknown kind is taken as told."""
+        name, _, value = (told or "").partition(":")
+        d = self.by_name.get(name.lower())
+        return not told or d is None or value.strip().upper() in (digest(d), digest(d).rstrip("="), d.hexdigest().upper())
+
+
+class _Unchunked:
+    """The body inside an HTTP body that is sent in chunks, as its parts come in."""
+
+    def __init__(self):
+        self.held, self.left, self.done = b"", 0, False
+
+    def feed(self, part: bytes) -> bytes:
+        self.held += part
+        out = []
+        while self.held and not self.done:
+            if self.left > 2:
+                data = self.held[: self.left - 2]
+                out.append(data)
+                self.held, self.left = self.held[len(data) :], self.left - len(data)
+            elif self.left:  # the line end behind a chunk
+                n = min(self.left, len(self.held))
+                self.held, self.left = self.held[n:], self.left - n
+            else:
+                line, end, rest = self.held.partition(b"\r\n")
+                if not end:
+                    if len(line) > 1 << 16:
+                        raise WarcError("a chunk without a size")
+                    break
+                try:
+                    size = int(line.split(b";")[0], 16)
+                except ValueError as e:
+                    raise WarcError("a chunk without a size") from e
+                self.held, self.left, self.done = rest, size + 2 if size else 0, not size
+        return b"".join(out)
+
+
+def _page(urn: str | None) -> int | None:
+    """The number in an id that the writer gave; ids of other archives have none."""
+    number = (urn or "").removeprefix("<urn:page:").removesuffix(">")
+    return int(number) if number.removeprefix("-").isascii() and number.removeprefix("-").isdigit() else None
 
 
 def read_records(file: BinaryIO, with_payload: bool = False) -> Iterator[dict]:
-    """The records of an archive, one after the other; ``payload`` is None unless asked for."""
+    """The records of an archive of whatever kinds, one after the other; ``payload`` is None unless asked for.
+
+    An HTTP message's payload is its body, without chunks if it is sent in chunks; any other record's is its block.
+    A record without a digest, or with one of an unknown kind, is taken as it is.
+    """
     rest = b""
     while rest := rest or file.read(CHUNK):
         member = _Member(file, rest)
         head = member.until(b"\r\n\r\n")
-        if not head.startswith(b"WARC/1."):
+        if not head.startswith(b"WARC/"):
             raise WarcError("no WARC record")
         fields = _fields(head)
-        length = int(fields["content-length"])
-        http = member.until(b"\r\n\r\n")
-        if len(http) > length:
-            raise WarcError("the HTTP header is longer than the block")
-        block, body, size, parts = hashlib.sha1(http), hashlib.sha1(), 0, []
-        for part in member.take(length - len(http)):
+        name, kind = fields.get("warc-record-id", "a record without id"), fields.get("warc-type", "").lower()
+        length = fields.get("content-length", "")
+        if not length.isdigit():
+            raise WarcError(f"no Content-Length in {name}")
+        of_block, of_payload = fields.get("warc-block-digest"), fields.get("warc-payload-digest")
+        block, raw, body = _Digests(of_block), _Digests(of_payload), _Digests(of_payload)
+        is_http = fields.get("content-type", "").lower().startswith("application/http") and kind in ("response", "request", "revisit")
+        header, http, chunks, parts = b"", None if is_http else {}, None, []
+        for part in member.take(int(length)):
             block.update(part)
+            if http is None:
+                header += part
+                at = header.find(b"\r\n\r\n")
+                if at < 0:
+                    if len(header) > 1 << 20:
+                        raise WarcError(f"an HTTP header without end in {name}")
+                    continue
+                part, http = header[at + 4 :], _fields(header[: at + 4])
+                chunks = _Unchunked() if "chunked" in http.get("transfer-encoding", "").lower() else None
+            raw.update(part)
+            part = chunks.feed(part) if chunks else part
             body.update(part)
-            size += len(part)
             if with_payload:
                 parts.append(part)
         rest = member.close()
-        if fields["warc-block-digest"] != f"sha1:{digest(block)}":
-            raise WarcError(f"wrong block digest in {fields['warc-record-id']}")
-        told = int(_fields(http)["content-length"])
-        if fields["warc-type"] == "response" and (size != told or fields["warc-payload-digest"] != f"sha1:{digest(body)}"):
-            raise WarcError(f"wrong payload in {fields['warc-record-id']}")
-        number = lambda x: int(x) if (x := x.removeprefix("<urn:page:").removesuffix(">")) else None
+        if is_http and http is None:
+            http = _fields(header)
+        if not block.fits(of_block):
+            raise WarcError(f"wrong block digest in {name}")
+        told = http.get("content-length", "")
+        if kind != "revisit" and "warc-truncated" not in fields:
+            if not (body.fits(of_payload) or raw.fits(of_payload)):
+                raise WarcError(f"wrong payload in {name}")
+            if not of_payload and told.isdigit() and not chunks and int(told) != body.size and kind == "response":
+                raise WarcError(f"wrong payload in {name}")
+        sha1 = of_payload.partition(":")[2] if of_payload and of_payload.lower().startswith("sha1:") else None
         yield {
-            "page_id": number(fields["warc-record-id"]),
+            "page_id": _page(fields.get("warc-record-id")),
             "url": fields.get("warc-target-uri"),
-            "payload_bytes": told,
-            "payload_digest": fields["warc-payload-digest"].removeprefix("sha1:"),
-            "record_type": fields["warc-type"],
-            "refers_to": number(fields["warc-refers-to"]) if "warc-refers-to" in fields else None,
-            "payload": b"".join(parts) if with_payload and fields["warc-type"] == "response" else None,
+            "payload_bytes": int(told) if kind == "revisit" and told.isdigit() else body.size,
+            "payload_digest": sha1 if sha1 or kind == "revisit" else digest(body.by_name["sha1"]),
+            "record_type": kind,
+            "refers_to": _page(fields.get("warc-refers-to")),
+            "payload": b"".join(parts) if with_payload and kind != "revisit" else None,
+            "record_id": fields.get("warc-record-id"),
+            "date": fields.get("warc-date"),
         }
 
 
@@ -190,8 +281,11 @@ def _writer(base: str):
     return run
 
 
-SCHEMA = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
-_ARROW = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
+SCHEMA = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary, record_id string, date string"
+_ARROW = pa.schema(
+    [("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())]
+    + [("record_id", pa.string()), ("date", pa.string())]
+)
 
 
 def _reader(with_payload: bool):

@@ -1,6 +1,7 @@
 """The operators on small tables: brute force, round trips, and the defined results of odd input."""
 
 import gzip
+import hashlib
 import io
 import itertools
 import os
@@ -82,6 +83,29 @@ def test_warc_reader_rejects_damage():
             list(warc.read_records(io.BytesIO(bad)))
 
 
+def test_warc_of_other_writers(spark, tmp_path):
+    def member(kind, block, content, **more):
+        fields = {"WARC-Type": kind, "WARC-Record-ID": f"<urn:uuid:{kind}>", "WARC-Date": "2020-01-01T00:00:00Z", "Content-Type": content, "Content-Length": len(block)} | more
+        return gzip.compress(b"WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields.items()).encode() + b"\r\n" + block + b"\r\n\r\n")
+
+    http = "application/http; msgtype=response"
+    body = b"chunked body \r\n" * 9000
+    chunked = b"".join(b"%x;x=1\r\n%s\r\n" % (len(body[i : i + 777]), body[i : i + 777]) for i in range(0, len(body), 777)) + b"0\r\n\r\n"
+    plain = warc.digest(hashlib.sha1(b"hello"))
+    archive = member("warcinfo", b"software: x\r\n", "application/warc-fields") + member("request", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n", "application/http; msgtype=request")
+    archive += member("response", b"HTTP/1.1 200 OK\r\n\r\nhello", http, **{"WARC-Target-URI": "http://a/", "WARC-Payload-Digest": f"sha1:{plain}"})
+    archive += member("response", b"HTTP/1.1 200 OK\r\nTransfer-Encoding:\r\n chunked\r\n\r\n" + chunked, http, **{"WARC-Payload-Digest": f"sha256:{hashlib.sha256(body).hexdigest()}"})
+    archive += member("metadata", b"fetchTimeMs: 3", "application/warc-fields", **{"WARC-Block-Digest": "xxh3:1", "WARC-Concurrent-To": "<urn:uuid:response>"}) + member("response", b"HTTP/1.1 204 No", http)
+    (tmp_path / "other.warc.gz").write_bytes(archive)
+    got = warc.read_archives(spark.createDataFrame([(f"file://{tmp_path}/other.warc.gz",)], "uri string")).collect()
+    assert [(r["record_type"], r["payload_bytes"]) for r in got] == [("warcinfo", 13), ("request", 0), ("response", 5), ("response", len(body)), ("metadata", 14), ("response", 0)]
+    assert bytes(got[3]["payload"]) == body and got[2]["payload_digest"] == plain and got[2]["url"] == "http://a/" and got[0]["record_id"] == "<urn:uuid:warcinfo>"
+    assert all(r["page_id"] is None and r["refers_to"] is None for r in got)
+    for bad in (member("response", b"HTTP/1.1 200 OK\r\nContent-Length: 9\r\n\r\nhello", http), member("resource", b"abc", "text/plain", **{"WARC-Payload-Digest": "md5:00"})):
+        with pytest.raises(warc.WarcError):
+            list(warc.read_records(io.BytesIO(bad)))
+
+
 # 2
 
 
