@@ -10,44 +10,38 @@ from pyspark.sql.window import Window
 
 
 def asof_join(left: DataFrame, right: DataFrame, on: tuple[str, str], by: Sequence[str], tolerance_days: int | None = None) -> DataFrame:
-    """Each left row with the last right row of its ``by`` keys at or before its date, if it is not too old.
+    """Each left row with the last right row of its ``by`` keys at or before its day, if it is not too old.
 
-    Both sides are put into one order per key and the last right row is carried forward: one shuffle and one sort.
-    Right columns other than the keys keep their names; of right rows with one key and date any one is taken, so make
-    them unique before.  Null dates match nothing.
+    Each right row becomes a row for every day on which it is the last one known, so the join is an equality of keys
+    and day: rows of one key spread over its days, and no left row comes out twice.  Without a tolerance the last right
+    row holds until the latest left day.  Right columns other than the keys keep their names; of right rows with one
+    key and day the one with the greatest values stays.  Null keys and null days match nothing.
     """
     at, right_at = on
-    values = [c for c in right.columns if c not in by]
-    held = F.struct(*[F.col(c) for c in values])
-    blank = F.lit(None).cast(right.select(held.alias("held")).schema["held"].dataType)
-    l = left.select("*", F.col(at).alias("__at"), F.lit(1).alias("__side"), blank.alias("__held"))
-    r = right.where(F.col(right_at).isNotNull()).select(*by, F.col(right_at).alias("__at"), F.lit(0).alias("__side"), held.alias("__held"))
-    order = Window.partitionBy(*by).orderBy(F.col("__at").asc_nulls_first(), "__side").rowsBetween(Window.unboundedPreceding, 0)
-    both = l.unionByName(r, allowMissingColumns=True).withColumn("__held", F.last("__held", ignorenulls=True).over(order)).where("__side = 1")
+    values = [c for c in right.columns if c not in by and c != right_at]
+    known = right.where(F.col(right_at).isNotNull()).dropna(subset=list(by)) if by else right.where(F.col(right_at).isNotNull())
+    held = F.max(F.struct(*[F.col(c) for c in values], F.lit(0).alias("__one"))).alias("__held")
+    days = known.groupBy(*by, F.col(right_at).cast("date").alias("__from")).agg(held)
+    days = days.select(*by, "__from", *[F.col("__held")[c].alias(c) for c in values])
+    following = F.lead("__from").over(Window.partitionBy(*by).orderBy("__from"))  # one row per key and day of the right side
+    last = left.agg(F.max(at).cast("date").alias("__last"))
+    days = days.withColumn("__next", following).crossJoin(F.broadcast(last))  # one row
+    end = F.coalesce(F.date_sub("__next", 1), F.greatest("__last", "__from"))
     if tolerance_days is not None:
-        fresh = F.date_diff(F.col("__at"), F.col("__held")[right_at]) <= tolerance_days
-        both = both.withColumn("__held", F.when(fresh, F.col("__held")))
-    new = [c for c in values if c not in left.columns]
-    return both.select(*left.columns, *[F.col("__held")[c].alias(c) for c in new])
+        end = F.least(end, F.date_add("__from", tolerance_days))
+    days = days.withColumn("__day", F.explode(F.sequence("__from", end)))
+    new = [c for c in [right_at, *values] if c not in left.columns]
+    keys = [F.col(c).alias(f"__k{i}") for i, c in enumerate(by)]
+    days = days.select("__day", *keys, *[(F.col("__from") if c == right_at else F.col(c)).alias(c) for c in new])
+    same = F.col(at).cast("date") == F.col("__day")
+    for i, c in enumerate(by):
+        same = same & (left[c] == F.col(f"__k{i}"))
+    return left.join(days, same, "left").select(*[left[c] for c in left.columns], *new)
 
 
 def asof_series(left: DataFrame, series: DataFrame, on: tuple[str, str], tolerance_days: int | None = None) -> DataFrame:
-    """As-of join without a key to one series of dates, small by nature: a row per day of validity, joined by the day.
-
-    Where there is no tolerance, the last value holds until the latest left date.
-    """
-    at, right_at = on
-    values = [c for c in series.columns if c != right_at and c not in left.columns]
-    following = F.lead(right_at).over(Window.orderBy(right_at))  # one row per date of one series
-    last = left.agg(F.max(at).alias("__last"))
-    days = series.where(F.col(right_at).isNotNull()).withColumn("__next", following).crossJoin(F.broadcast(last))  # one row
-    end = F.coalesce(F.date_sub("__next", 1), F.greatest("__last", right_at))
-    if tolerance_days is not None:
-        end = F.least(end, F.date_add(right_at, tolerance_days))
-    days = days.withColumn("__day", F.explode(F.sequence(F.col(right_at), end)))
-    own = right_at if right_at not in left.columns else None
-    days = days.select("__day", *([own] if own else []), *values)
-    return left.join(days, F.col(at) == F.col("__day"), "left").drop("__day")
+    """As-of join without a key to one series of dates, small by nature."""
+    return asof_join(left, series, on, (), tolerance_days)
 
 
 def known_by(days: DataFrame, records: DataFrame, by: str, day: str, known: str, item: str) -> DataFrame:
@@ -76,14 +70,23 @@ def contains_join(records: DataFrame, config: DataFrame, source: str, text: str,
     return records.join(c, same & (needle != "") & F.when(whole, t == needle).otherwise(F.contains(t, needle))).drop("__source")
 
 
-def resolve_names(asked: DataFrame, catalogue: DataFrame, asked_key: str, key: str) -> DataFrame:
-    """Each asked slug with its match: equal, else the one entry that holds it; status found, ambiguous or missing."""
-    exact = asked.join(catalogue.select(F.col(key).alias("match")).distinct(), F.col(asked_key) == F.col("match"), "left")
-    open_ = exact.where("match is null").select(asked_key)
-    parts = catalogue.select(F.col(key).alias("match")).distinct()
-    # what a slug can be inside of shares its first word
-    holds = open_.withColumn("__w", F.split(asked_key, "_")[0]).join(parts.withColumn("__w", F.explode(F.array_distinct(F.split("match", "_")))), "__w")
-    holds = holds.where(F.contains(F.col("match"), F.col(asked_key))).groupBy(asked_key).agg(F.count_distinct("match").alias("__n"), F.min("match").alias("__match"))
-    out = exact.join(holds, asked_key, "left")
-    status = F.when(F.col("match").isNotNull() | (F.col("__n") == 1), "found").when(F.col("__n") > 1, "ambiguous").otherwise("missing")
-    return out.select(asked_key, F.coalesce("match", F.when(F.col("__n") == 1, F.col("__match"))).alias("match"), status.alias("status"))
+def resolve_names(asked: DataFrame, catalogue: DataFrame, asked_key: str, key: str, within: str | None = None) -> DataFrame:
+    """Each asked slug with its match: the entry that equals it, else the one entry that holds it in any place; status
+    found, ambiguous or missing.
+
+    ``within``: a column of both sides, such as the state; where the asked row has one, only its entries are tried.
+    Both sides are tables of settings: the catalogue is one row of an array.  A null or empty slug is missing.
+    """
+    entry = F.struct(F.col(key).alias("k"), (F.col(within) if within else F.lit(None).cast("string")).alias("w"))
+    names = catalogue.where(F.col(key).isNotNull()).agg(F.collect_set(entry).alias("__names"))  # one row
+    place = F.col(within) if within else F.lit(None).cast("string")
+    here = F.filter("__names", lambda x: F.nullif(place, F.lit("")).isNull() | (x["w"] == place))
+    k = F.col(asked_key)
+    exact, holds = F.filter(here, lambda x: x["k"] == k), F.filter(here, lambda x: F.contains(x["k"], k))
+    tried = F.when(F.size(exact) > 0, exact).otherwise(holds)
+    tried = F.when(k.isNotNull() & (k != ""), tried).otherwise(F.array().cast("array<struct<k:string,w:string>>"))
+    out = asked.crossJoin(F.broadcast(names)).withColumn("__tried", tried)
+    n = F.size("__tried")
+    status = F.when(n == 1, "found").when(n > 1, "ambiguous").otherwise("missing")
+    columns = [asked_key, *([within] if within else [])]
+    return out.select(*columns, F.when(n == 1, F.try_element_at("__tried", F.lit(1))["k"]).alias("match"), status.alias("status"))

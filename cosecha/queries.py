@@ -266,16 +266,16 @@ def national_water(t: Tables) -> DataFrame:
     return shown(water.national(water.states(t.dams())))
 
 
-@query(_sql("wd", "q AS (SELECT fecha, cultivo, median(precio) AS precio FROM w WHERE day(fecha) <> 15 GROUP BY ALL), " + NATION + ", n2 AS (SELECT * FROM na WHERE month(fecha) NOT IN (5, 6, 7))", f"SELECT q.fecha, cultivo, {Rs('precio')}, CASE WHEN q.fecha - n2.fecha <= 45 THEN n2.fecha END AS fecha_agua, {R('CASE WHEN q.fecha - n2.fecha <= 45 THEN agua END', 'agua')} FROM q ASOF LEFT JOIN n2 ON q.fecha >= n2.fecha"))
+@query(_sql("wd", "q AS (SELECT fecha, cultivo, median(precio) AS precio FROM w GROUP BY ALL), " + NATION + ", n2 AS (SELECT * FROM na)", f"SELECT q.fecha, cultivo, {Rs('precio')}, CASE WHEN q.fecha - n2.fecha <= 45 THEN n2.fecha END AS fecha_agua, {R('CASE WHEN q.fecha - n2.fecha <= 45 THEN agua END', 'agua')} FROM q ASOF LEFT JOIN n2 ON q.fecha >= n2.fecha"))
 def prices_with_water(t: Tables) -> DataFrame:
-    price = t.wholesale().where(F.dayofmonth("fecha") != 15).groupBy("fecha", "cultivo").agg(F.median("precio").alias("precio"))
-    nation = water.national(water.states(t.dams())).where(~F.month("fecha").isin(5, 6, 7))
+    price = t.wholesale().groupBy("fecha", "cultivo").agg(F.median("precio").alias("precio"))
+    nation = water.national(water.states(t.dams()))
     return shown(water.on_prices(price, nation))
 
 
-@query(_sql("ad", STATES, f"SELECT cultivo, a.estado, corte, CASE WHEN corte - st.fecha <= 45 THEN st.fecha END AS fecha, {R('CASE WHEN corte - st.fecha <= 45 THEN ponderado END', 'ponderado')} FROM a ASOF LEFT JOIN (SELECT * FROM st WHERE month(fecha) > 3) st ON a.estado = st.estado AND a.corte >= st.fecha"))
+@query(_sql("ad", STATES, f"SELECT cultivo, a.estado, corte, CASE WHEN corte - st.fecha <= 45 THEN st.fecha END AS fecha, {R('CASE WHEN corte - st.fecha <= 45 THEN ponderado END', 'ponderado')} FROM a ASOF LEFT JOIN st ON a.estado = st.estado AND a.corte >= st.fecha"))
 def progress_with_water(t: Tables) -> DataFrame:
-    state = water.states(t.dams()).select("estado", "fecha", "ponderado").where(F.month("fecha") > 3)
+    state = water.states(t.dams()).select("estado", "fecha", "ponderado")
     return shown(asof.asof_join(t.progress().select("cultivo", "estado", "corte"), state, ("corte", "fecha"), ["estado"], 45))
 
 
@@ -397,7 +397,7 @@ def matched_proxies(t: Tables) -> DataFrame:
 
 def _values(t: Tables) -> DataFrame:
     records = international.matched(_records(t), F.broadcast(_config(t))).groupBy("producto", "proxy", "uso", "frecuencia", "moneda", "fecha").agg(F.median("precio").alias("precio"))
-    fx = t.raw("orders").select(F.col("o_orderdate").cast("date").alias("fecha"), "o_custkey").where(F.dayofmonth("fecha") % 3 == 0).groupBy("fecha").agg((15 + F.max("o_custkey") % 7 / 2).alias("tasa"))
+    fx = t.raw("orders").select(F.col("o_orderdate").cast("date").alias("fecha"), "o_custkey").groupBy("fecha").agg((15 + F.max("o_custkey") % 7 / 2).alias("tasa"))
     day = international.in_pesos(records, fx).groupBy("producto", "proxy", "uso", "frecuencia", "fecha").agg(F.avg("valor").alias("valor"))
     return international.available(international.diagnosed(day))
 
@@ -407,7 +407,7 @@ VALUES = (
     + ", "
     + CONFIG
     + """, ma AS (SELECT producto, proxy, uso, frecuencia, moneda, fecha, median(precio) AS precio FROM rc JOIN pc ON rc.fuente = pc.fuente AND CASE WHEN rc.fuente = 'usda_ams' THEN contains(serie, termino) ELSE serie = termino END GROUP BY ALL),
-fxr AS (SELECT CAST(o_orderdate AS DATE) AS fecha, 15 + max(o_custkey) % 7 / 2 AS tasa FROM orders WHERE day(o_orderdate) % 3 = 0 GROUP BY 1),
+fxr AS (SELECT CAST(o_orderdate AS DATE) AS fecha, 15 + max(o_custkey) % 7 / 2 AS tasa FROM orders GROUP BY 1),
 mx AS (SELECT ma.*, CASE WHEN moneda = 'MXN' THEN precio ELSE precio * tasa END AS valor FROM ma ASOF LEFT JOIN fxr ON ma.fecha >= fxr.fecha),
 dv AS (SELECT producto, proxy, uso, frecuencia, fecha, avg(valor) AS valor FROM mx GROUP BY ALL),
 dz AS (SELECT *, valor / nullif(lag(valor, 1) OVER v, 0) - 1 AS cambio_1, valor / nullif(lag(valor, 3) OVER v, 0) - 1 AS cambio_3, CASE WHEN count(valor) OVER b >= 4 THEN avg(valor) OVER b END AS m12, CASE WHEN count(valor) OVER b >= 4 THEN stddev_samp(valor) OVER b END AS s12 FROM dv WINDOW v AS (PARTITION BY producto, proxy ORDER BY fecha), b AS (PARTITION BY producto, proxy ORDER BY fecha ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)),
@@ -421,6 +421,21 @@ def proxy_features(t: Tables) -> DataFrame:
 
 
 PROXY_IDS = ("p_high", "p_low", "p_urgent")
+PIVOT = "SELECT producto, disponible, " + ", ".join(f"max_by({m}, fecha) FILTER ({m} IS NOT NULL AND proxy = '{p}') AS {p}_{m}" for p in PROXY_IDS for m in ("valor", "cambio_1", "cambio_3", "z")) + " FROM va WHERE uso = 'feature' GROUP BY ALL"
+
+
+@query(
+    _sql(
+        "w",
+        VALUES + f", wi AS ({PIVOT}), q AS (SELECT fecha, cultivo, median(precio) AS precio FROM w GROUP BY ALL)",
+        f"SELECT q.fecha, q.cultivo, disponible, {Rs('precio', 'p_high_valor', 'p_low_z')} FROM q ASOF LEFT JOIN wi ON q.cultivo = wi.producto AND q.fecha >= wi.disponible",
+    )
+)
+def prices_with_proxies(t: Tables) -> DataFrame:
+    """Prices with the international proxies of their crop that were available by the day."""
+    price = t.wholesale().groupBy("fecha", "cultivo").agg(F.median("precio").alias("precio"))
+    wide = international.pivoted(international.eligible(_values(t)), PROXY_IDS)
+    return shown(international.on_prices(price, wide).select("fecha", "cultivo", "disponible", "precio", "p_high_valor", "p_low_z"))
 
 
 @query(_sql("w", VALUES, "SELECT producto, disponible, " + ", ".join(R(f"max_by({m}, fecha) FILTER ({m} IS NOT NULL AND proxy = '{p}')", f"{p}_{m}") for p in PROXY_IDS for m in ("valor", "cambio_1", "cambio_3", "z")) + " FROM va WHERE uso = 'feature' GROUP BY ALL"))
@@ -428,10 +443,10 @@ def proxy_pivot(t: Tables) -> DataFrame:
     return shown(international.pivoted(international.eligible(_values(t)), PROXY_IDS))
 
 
-@query(_sql("w", VALUES + ", dy AS (SELECT DISTINCT producto, fecha FROM va WHERE day(fecha) = 1)", "SELECT dy.producto, dy.fecha, count(DISTINCT proxy) AS items_known, max(disponible) AS last_known FROM dy LEFT JOIN va ON dy.producto = va.producto AND va.disponible <= dy.fecha GROUP BY ALL"))
+@query(_sql("w", VALUES + ", dy AS (SELECT DISTINCT producto, fecha FROM va)", "SELECT dy.producto, dy.fecha, count(DISTINCT proxy) AS items_known, max(disponible) AS last_known FROM dy LEFT JOIN va ON dy.producto = va.producto AND va.disponible <= dy.fecha GROUP BY ALL"))
 def proxy_coverage(t: Tables) -> DataFrame:
     v = _values(t)
-    return international.coverage(v.where(F.dayofmonth("fecha") == 1).select("producto", "fecha").distinct(), v)
+    return international.coverage(v.select("producto", "fecha").distinct(), v)
 
 
 # Master tables
@@ -559,11 +574,11 @@ def page_classes(t: Tables) -> DataFrame:
 
 def _offer_pages(t: Tables) -> DataFrame:
     item = F.struct(F.when(F.col("p_size") % 5 == 0, "Ad").otherwise("Product").alias("type"), F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_brand").alias("brand"), F.col("p_retailprice").alias("price"), (F.col("p_retailprice") + F.col("p_size") - 20).alias("priceMax"), F.lit("kg").alias("unit"))
-    body = t.raw("part").groupBy((F.col("p_partkey") % 50).alias("page_id")).agg(F.to_json(F.struct(F.struct(F.collect_list(item).alias("items")).alias("props"))).alias("json"))
+    body = t.raw("part").groupBy(F.floor(F.col("p_partkey") / 40).cast("bigint").alias("page_id")).agg(F.to_json(F.struct(F.struct(F.collect_list(item).alias("items")).alias("props"))).alias("json"))
     return body.select("page_id", F.concat(F.lit('<html><script id="data" type="application/json">'), "json", F.lit("</script></html>")).alias("html"))
 
 
-OFFERS = "pt AS (SELECT p_partkey % 50 AS page_id, p_partkey AS id, p_name AS nombre, p_brand AS marca, p_retailprice AS precio, CASE WHEN p_size > 20 THEN p_retailprice + p_size - 20 END AS antes, 'kg' AS unidad, replace(lower(p_name), ' ', '_') AS clave, p_size > 20 AS promocion FROM part WHERE p_size % 5 <> 0)"
+OFFERS = "pt AS (SELECT p_partkey // 40 AS page_id, p_partkey AS id, p_name AS nombre, p_brand AS marca, p_retailprice AS precio, CASE WHEN p_size > 20 THEN p_retailprice + p_size - 20 END AS antes, 'kg' AS unidad, replace(lower(p_name), ' ', '_') AS clave, p_size > 20 AS promocion FROM part WHERE p_size % 5 <> 0)"
 
 
 @query(f"WITH {OFFERS} SELECT page_id, id, nombre, marca, unidad, clave, promocion, {Rs('precio', 'antes')} FROM pt")
@@ -582,6 +597,21 @@ def customer_slugs(t: Tables) -> DataFrame:
     return c.select("c_custkey", text.slug(F.col("c_name")).alias("clave"), text.slug(F.col("c_mktsegment")).alias("segmento"), text.truthy(F.when(F.col("c_mktsegment") == "BUILDING", " Si ").otherwise("no")).alias("activo"), text.number(F.substring("c_name", 10, 20)).alias("numero"))
 
 
+@query(
+    """WITH n AS (SELECT s_suppkey, lower(replace(s_name, '#', '_')) AS k, CAST(s_nationkey AS VARCHAR) AS w FROM supplier),
+a AS (SELECT DISTINCT CASE WHEN s_suppkey % 3 = 0 THEN k WHEN s_suppkey % 3 = 1 THEN substr(k, 12, 7) ELSE substr(k, 15) END AS q, CASE WHEN s_suppkey % 2 = 0 THEN w END AS w FROM n),
+h AS (SELECT q, a.w, count(DISTINCT CASE WHEN n.k = q THEN (n.k, n.w) END) AS e, count(DISTINCT CASE WHEN contains(n.k, q) THEN (n.k, n.w) END) AS c, min(CASE WHEN n.k = q THEN n.k END) AS ek, min(CASE WHEN contains(n.k, q) THEN n.k END) AS ck
+ FROM a LEFT JOIN n ON a.w IS NULL OR a.w = n.w GROUP BY ALL)
+SELECT q, w, CASE WHEN e = 1 OR (e = 0 AND c = 1) THEN coalesce(ek, ck) END AS match, CASE WHEN e = 1 OR (e = 0 AND c = 1) THEN 'found' WHEN e > 1 OR c > 1 THEN 'ambiguous' ELSE 'missing' END AS status FROM h"""
+)
+def resolved_names(t: Tables) -> DataFrame:
+    """Parts of suppliers' names, some with their nation, against the table of all suppliers."""
+    n = t.raw("supplier").select("s_suppkey", F.lower(F.replace("s_name", F.lit("#"), F.lit("_"))).alias("k"), F.col("s_nationkey").cast("string").alias("w"))
+    part = F.when(F.col("s_suppkey") % 3 == 0, F.col("k")).when(F.col("s_suppkey") % 3 == 1, F.substring("k", 12, 7)).otherwise(F.substring("k", 15, 99))
+    asked = n.select(part.alias("q"), F.when(F.col("s_suppkey") % 2 == 0, F.col("w")).alias("w")).distinct()
+    return asof.resolve_names(asked, n, "q", "k", "w")
+
+
 @query(f"SELECT event_type, CASE WHEN day(ts) <= 10 THEN make_date(year(ts), month(ts), 10) WHEN day(ts) <= 20 THEN make_date(year(ts), month(ts), 20) ELSE last_day(CAST(ts AS DATE)) END AS decena, count(*) AS n, count(DISTINCT CAST(ts AS DATE)) AS dias, {R('sum(value)', 'suma')}, {R('min(value)', 'minimo')}, {R('max(value)', 'maximo')} FROM events GROUP BY ALL")
 def event_decenas(t: Tables) -> DataFrame:
     return shown(incremental.by_decena(t.raw("events"), None))
@@ -626,7 +656,7 @@ def weather_rows(t: Tables) -> DataFrame:
 def _dam_payloads(t: Tables) -> DataFrame:
     text_of = lambda c: F.col(c).cast("string")
     r = F.struct(F.concat(F.lit(" "), text_of("presa"), F.lit("&nbsp;")).alias("CveCONAGUAPresa"), F.col("estado").alias("nombreEstado"), text_of("anio").alias("anio"), text_of("mes").alias("cveMes"), text_of("decena").alias("cveDecena"), text_of("pct").alias("porcAlmacen"), F.when(F.col("hm3") > 50, text_of("hm3")).otherwise("-").alias("Almacenamiento"), F.format_number("name", 2).alias("NAME"))
-    return t.dams().groupBy("anio", "mes", "decena").agg(F.to_json(F.collect_list(r)).alias("json"))
+    return t.dams().groupBy("anio", "mes", "decena", F.floor(F.col("presa") / 100)).agg(F.to_json(F.collect_list(r)).alias("json")).select("anio", "mes", "decena", "json")
 
 
 @query(_sql("d", "x AS (SELECT 1)", f"SELECT CAST(presa AS VARCHAR) AS presa, estado, fecha, {I('anio', 'mes', 'decena')}, {R('pct')}, {R('CASE WHEN hm3 > 50 THEN hm3 END', 'hm3')} FROM d"))

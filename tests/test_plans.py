@@ -106,6 +106,25 @@ def test_asof_tolerance_is_inclusive(spark):
     assert got == {("a", D(2, 15)): 5, ("a", D(2, 16)): None, ("b", D(2, 1)): None, ("a", None): None}
 
 
+def test_asof_with_repeated_days_and_null_keys(spark):
+    series = spark.createDataFrame([(D(1, 5), 1), (D(1, 5), 7), (D(1, 9), 3), (None, 4)], "at date, v int")
+    left = spark.createDataFrame([(D(1, d), d) for d in (4, 5, 6, 9, 30)] + [(None, 0)], "t date, i int")
+    got = sorted((r["i"], r["v"]) for r in asof.asof_series(left, series, ("t", "at")).collect())
+    assert got == [(0, None), (4, None), (5, 7), (6, 7), (9, 3), (30, 3)]
+    keyed = series.withColumn("k", F.when(F.col("v") != 3, F.lit("a")))
+    own = left.withColumn("k", F.when(F.col("i") != 30, F.lit("a")))
+    got = sorted((r["i"], r["v"]) for r in asof.asof_join(own, keyed, ("t", "at"), ["k"]).collect())
+    assert got == [(0, None), (4, None), (5, 7), (6, 7), (9, 7), (30, None)]
+    assert asof.asof_join(own.limit(0), keyed, ("t", "at"), ["k"]).count() == 0 and asof.asof_join(own, keyed.limit(0), ("t", "at"), ["k"]).count() == 6
+
+
+def test_names_inside_words_and_states(spark):
+    known = spark.createDataFrame([("el_cuchillo", "x"), ("la_boca", "x"), ("la_boca", "y"), ("boca_chica", "y")], "k string, w string")
+    asked = spark.createDataFrame([("cuchi", None), ("la_boca", "y"), ("la_boca", None), ("boca", "x"), ("chillo", "y"), ("", None), (None, None)], "q string, w string")
+    got = {(r["q"], r["w"]): (r["match"], r["status"]) for r in asof.resolve_names(asked, known, "q", "k", "w").collect()}
+    assert got == {("cuchi", None): ("el_cuchillo", "found"), ("la_boca", "y"): ("la_boca", "found"), ("la_boca", None): (None, "ambiguous"), ("boca", "x"): ("la_boca", "found"), ("chillo", "y"): (None, "missing"), ("", None): (None, "missing"), (None, None): (None, "missing")}
+
+
 def test_names(spark):
     asked = spark.createDataFrame([("el_cuchillo",), ("cuchillo",), ("presa",), ("nada",)], "q string")
     known = spark.createDataFrame([("el_cuchillo",), ("presa_uno",), ("presa_dos",)], "k string")
