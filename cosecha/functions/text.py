@@ -5,8 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ACCENTED = "ÁÀÄÂÃÅáàäâãåÉÈËÊéèëêÍÌÏÎíìïîÓÒÖÔÕóòöôõÚÙÜÛúùüûÑñÇçÝýÿ"
-PLAIN = "AAAAAAaaaaaaEEEEeeeeIIIIiiiiOOOOOoooooUUUUuuuuNnCcYyy"
+def _folding() -> tuple[str, str]:
+    """Letters that come apart into one ASCII letter and marks, in Latin script, and those letters."""
+    import unicodedata
+
+    pairs = []
+    for code in (*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0xFF01, 0xFF5F)):
+        base = "".join(x for x in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(x))
+        if len(base) == 1 and base.isascii():
+            pairs.append((chr(code), base))
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+ACCENTED, PLAIN = _folding()
+MARKS = r"[\u0300-\u036f]"
 
 # Synonyms of canonical products
 PRODUCT_SYNONYMS = {"tomate": "tomate_rojo", "tomate_rojo_202": "tomate_rojo", "chile_jalapeno": "chile_verde"}
@@ -27,8 +39,8 @@ SPACES = r"[\s ]+"
 
 
 def plain(c: Column) -> Column:
-    """Without accents."""
-    return F.translate(c, ACCENTED, PLAIN)
+    """Latin letters without accents, whether written as one character or with marks of their own; full-width ones too."""
+    return F.replace(F.regexp_replace(F.translate(c, ACCENTED, PLAIN), MARKS, ""), F.lit("ß"), F.lit("ss"))
 
 
 def _squeezed(c: Column, by: str) -> Column:

@@ -688,13 +688,50 @@ def top_risks(t: Tables) -> DataFrame:
     return shown(production.top_risks(production.forecast(production.features(t.progress(), t.annual()))).select("cultivo", "estado", "anio", "pronostico", "caida_10", "cambio_pct"))
 
 
-@query(f"SELECT p_partkey AS page_id, p_name AS nombre, p_brand AS marca, CASE WHEN p_size % 3 = 0 THEN 'kg' ELSE 'pieza' END AS unidad, p_size > 25 AS promocion, TRUE AS fresco, {R('p_retailprice', 'precio')}, {R('CASE WHEN p_size > 25 THEN p_retailprice + p_size END', 'antes')} FROM part")
+TITLES = "CASE p_size % 4 WHEN 0 THEN ' por kg' WHEN 1 THEN ' 500 g' WHEN 2 THEN '' ELSE ' en malla' END"
+NESTED = f"""pt AS (SELECT *, p_name || {TITLES} AS nombre, p_size % 5 = 0 AS pesado, p_size % 3 = 0 AS articulo FROM part),
+nd AS (SELECT p_partkey AS page_id, nombre, p_brand AS marca,
+ CASE WHEN p_size % 7 <> 0 OR p_size % 4 = 0 THEN CAST(p_retailprice AS DOUBLE) ELSE p_retailprice * 0.15 END AS precio,
+ CASE WHEN p_size % 7 <> 0 AND p_size > 25 THEN p_retailprice + p_size - 25 END AS antes,
+ CASE WHEN NOT articulo THEN CASE p_size % 4 WHEN 0 THEN 'kg' WHEN 1 THEN 'g_pack' WHEN 3 THEN 'malla' END
+      WHEN p_size % 11 = 0 THEN 'pza' WHEN pesado THEN 'kg' WHEN p_size % 4 = 3 THEN 'malla' WHEN p_size % 4 = 1 THEN 'g_pack' END AS unidad,
+ CASE WHEN NOT articulo THEN TRUE ELSE pesado OR p_size % 4 = 3 OR p_size % 6 = 0 END AS fresco FROM pt),
+ko AS (SELECT *, CASE WHEN unidad = 'kg' THEN precio WHEN nombre LIKE '% 500 g' THEN precio / 0.5 END AS precio_kg FROM nd)"""
+
+
+def _nested_offers(t: Tables) -> DataFrame:
+    """Pages with nested JSON of all the kinds of offers there are: plain, aggregate and of sellers."""
+    p, low = F.col("p_size"), F.col("p_retailprice")
+    high = low + p - 25
+    title = F.concat("p_name", F.element_at(F.array(*map(F.lit, (" por kg", " 500 g", "", " en malla"))), p % 4 + 1))
+    aggregate = F.to_json(F.struct(F.lit("AggregateOffer").alias("@type"), (low * 0.15).alias("lowPrice"), low.alias("highPrice")))
+    plain = F.to_json(F.struct(F.concat(F.lit("$"), low.cast("string")).alias("price"), high.alias("highPrice")))
+    seller = F.to_json(F.array(F.struct(F.array(F.struct(F.struct(low.alias("Price"), high.alias("ListPrice")).alias("commertialOffer"))).alias("sellers"))))
+    offer = F.when(p % 7 == 0, F.concat(F.lit('"offers": '), aggregate)).when(p % 7 == 1, F.concat(F.lit('"items": '), seller)).otherwise(F.concat(F.lit('"offers": '), plain))
+    line = F.struct(F.when(p % 11 == 0, "$ 3.00 / PZA").alias("linePrice"))
+    path = F.struct(F.array(F.struct(F.when(p % 6 == 0, "Frutas y Verduras").otherwise("Despensa").alias("name"))).alias("path"))
+    item = F.to_json(F.struct(F.when(p % 5 == 0, "EACH_WEIGHT").otherwise("EACH").alias("salesUnitType"), path.alias("category"), line.alias("priceInfo")))
+    own = F.to_json(F.struct(title.alias("productName"), F.struct(F.col("p_brand").alias("name")).alias("brand")))
+    node = F.concat(F.regexp_replace(own, r"\}$", ", "), offer, F.when(p % 3 == 0, F.concat(F.lit(", "), F.substring(item, 2, 1 << 20))).otherwise("}"))
+    html = F.concat(F.lit('<script type="application/ld+json">{"list": [{"x": '), node, F.lit(', "name": "no price"}]}</script>'))
+    return retail.offers(retail.product_nodes(t.raw("part").select(F.col("p_partkey").alias("page_id"), html.alias("html"))))
+
+
+@query(f"WITH {NESTED} SELECT page_id, nombre, marca, unidad, antes IS NOT NULL AS promocion, fresco, {Rs('precio', 'antes', 'precio_kg')} FROM ko")
 def nested_offers(t: Tables) -> DataFrame:
-    offer = F.struct(F.col("p_retailprice").cast("string").alias("lowPrice"), F.when(F.col("p_size") > 25, F.col("p_retailprice") + F.col("p_size")).alias("highPrice"))
-    node = F.struct(F.col("p_name").alias("productName"), F.struct(F.col("p_brand").alias("name")).alias("brand"), F.when(F.col("p_size") % 3 == 0, "KG").alias("unit"), F.array(offer).alias("offers"))
-    html = F.concat(F.lit('<script type="application/ld+json">'), F.to_json(F.struct(F.array(F.struct(node.alias("x"), F.lit("no price").alias("name"))).alias("list"))), F.lit("</script>"))
-    found = retail.offers(retail.product_nodes(t.raw("part").select(F.col("p_partkey").alias("page_id"), html.alias("html"))))
-    return shown(found.select("page_id", "nombre", "marca", "unidad", "promocion", "fresco", "precio", "antes"))
+    return shown(_nested_offers(t).select("page_id", "nombre", "marca", "unidad", "promocion", "fresco", "precio", "antes", "precio_kg"))
+
+
+@query(
+    f"""WITH {NESTED}, cr AS (SELECT *, CAST(page_id % 7 AS VARCHAR) AS cultivo, CASE WHEN page_id % 2 = 0 THEN 'fresco' ELSE 'otro' END AS consulta FROM ko)
+SELECT cultivo, page_id, nombre, unidad, {Rs('precio', 'precio_kg')} FROM cr QUALIFY row_number() OVER (PARTITION BY cultivo ORDER BY fresco DESC,
+ CASE WHEN unidad = 'kg' THEN 0 WHEN precio_kg IS NOT NULL THEN 1 ELSE 2 END, antes IS NOT NULL DESC, CASE WHEN cultivo IN ('1', '2') AND consulta <> 'fresco' THEN 1 ELSE 0 END, coalesce(precio_kg, precio), nombre, page_id) = 1"""
+)
+def ranked_offers(t: Tables) -> DataFrame:
+    """The offer of each crop that ranks first; two crops have preferred terms."""
+    found = _nested_offers(t).withColumns({"cultivo": (F.col("page_id") % 7).cast("string"), "consulta": F.when(F.col("page_id") % 2 == 0, "fresco").otherwise("otro")})
+    preferred = t.spark.createDataFrame([("1", "Fresco"), ("2", "fresco")], "cultivo string, termino string")
+    return shown(retail.best_per_crop(found, preferred).select("cultivo", "page_id", "nombre", "unidad", "precio", "precio_kg"))
 
 
 @query()

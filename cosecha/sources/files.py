@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,13 +112,26 @@ def write_tables(tables: Mapping[str, DataFrame], root: str) -> None:
 
 
 def publish(df: DataFrame, root: str, version: str) -> None:
-    """Writes a new version, then points to it: readers see the old one until the new one is whole."""
+    """Writes a new version, then a new, higher numbered pointer to it; no file that readers use is ever replaced."""
+    spark = df.sparkSession
     df.write.mode("errorifexists").parquet(f"{root}/version={version}")
-    df.sparkSession.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").json(f"{root}-current")
+    pointer = spark.createDataFrame([(_pointed(spark, root)[0] + 1, version)], "number long, version string")
+    pointer.coalesce(1).write.mode("append").json(f"{root}-current")
+
+
+def _pointed(spark: SparkSession, root: str) -> tuple[int, str | None]:
+    """The highest pointer; (0, None) before the first."""
+    try:
+        top = spark.read.schema("number long, version string").json(f"{root}-current").agg(F.max(F.struct("number", "version")).alias("p")).first()["p"]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        top = None
+    return (top["number"], top["version"]) if top else (0, None)
 
 
 def published(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/version={spark.read.json(f'{root}-current').first()['version']}")
+    return spark.read.parquet(f"{root}/version={_pointed(spark, root)[1]}")
 
 
 def write_history(df: DataFrame, path: str) -> None:

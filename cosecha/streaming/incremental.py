@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -39,17 +40,29 @@ def new_periods(incoming: DataFrame, known: DataFrame, keys: Sequence[str]) -> D
     return incoming.join(known.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def upsert_stream(stream: DataFrame, path: str, keys: Sequence[str], checkpoint: str) -> StreamingQuery:
-    """Keeps a Parquet table at ``path`` up to date: a batch's rows replace those with their keys.
+def upsert_stream(stream: DataFrame, path: str, keys: Sequence[str], checkpoint: str, period: str) -> StreamingQuery:
+    """Keeps a Parquet table, partitioned by the key ``period``, up to date: a batch's rows replace those with their keys.
 
-    Each batch writes the whole next version, named by the batch, so a repeated batch writes the same one again.
+    Only the periods that a batch has are read and written anew.  A batch's new partitions are written beside the table
+    first, so a batch that is repeated after a failure finds them, and writing them again gives the same table.
     """
     spark: SparkSession = stream.sparkSession
+    if period not in keys:
+        raise ValueError("the period must be one of the keys")
 
     def merge(batch: DataFrame, number: int) -> None:
         new = rows.best(batch, keys, [F.col(c).desc_nulls_last() for c in batch.columns if c not in keys])
-        if number:
-            new = rows.upsert(spark.read.parquet(f"{path}/batch={number - 1}"), new, keys)
-        new.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        touched = [r[0] for r in new.select(period).distinct().collect()]  # periods of one batch
+        if not touched:
+            return
+        try:
+            old = spark.read.schema(batch.schema).parquet(path)
+            new = rows.upsert(old.where(F.col(period).isin([t for t in touched if t is not None]) | (F.col(period).isNull() & F.lit(None in touched))), new, keys)
+        except AnalysisException as e:  # the first batch makes the table
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+        beside = f"{path}-batch"
+        new.write.mode("overwrite").parquet(beside)
+        spark.read.schema(new.schema).parquet(beside).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(period).parquet(path)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -190,6 +190,8 @@ def test_file_scan_and_sinks(spark, tmp_path):
     assert info["filas"] == 2 and info["distintos_mercado"] == 1
     files.publish(spark.range(3), f"file://{tmp_path}/pub", "1")
     assert files.published(spark, f"file://{tmp_path}/pub").count() == 3
+    files.publish(spark.range(5), f"file://{tmp_path}/pub", "0-again")
+    assert files.published(spark, f"file://{tmp_path}/pub").count() == 5
 
 
 def test_public_series(spark):
@@ -209,5 +211,10 @@ def test_stream_by_day_and_upsert(spark, tmp_path):
     stream.writeStream.format("memory").queryName("days").outputMode("append").trigger(availableNow=True).start().awaitTermination()
     assert [(r["n"], r["suma"]) for r in spark.table("days").collect()] == [(2, 3.0)]
     keyed = spark.readStream.schema(e.schema).parquet(source).select("event_type", F.to_date("ts").alias("fecha"), "value")
-    incremental.upsert_stream(keyed, str(tmp_path / "table"), ["event_type", "fecha"], str(tmp_path / "check")).awaitTermination()
-    assert {r["fecha"]: r["value"] for r in spark.read.parquet(str(tmp_path / "table" / "batch=0")).collect()} == {D(1, 1): 2.0, dt.date(2026, 3, 1): 9.0}
+    table = str(tmp_path / "table")
+    for check in ("check", "check", "other"):  # a second batch, and a checkpoint that starts anew
+        incremental.upsert_stream(keyed, table, ["event_type", "fecha"], str(tmp_path / check), "fecha").awaitTermination()
+        more = spark.createDataFrame([(dt.datetime(2026, 3, 1), "a", 11.0), (dt.datetime(2026, 4, 1), "b", 1.0)], e.schema)
+        more.coalesce(1).write.mode("append").parquet(source)
+    want = {D(1, 1): 2.0, dt.date(2026, 3, 1): 11.0, dt.date(2026, 4, 1): 1.0}
+    assert {r["fecha"]: r["value"] for r in spark.read.parquet(table).collect()} == want and spark.read.parquet(table).count() == 3

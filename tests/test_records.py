@@ -65,16 +65,35 @@ def test_planting_rows(spark):
 
 
 def test_retail_nodes(spark):
-    data = {"a": [{"name": "Papa blanca 900 g", "price": "18", "offers": [{"highPrice": 20}]}, {"name": "PAPA Blanca 900 g", "price": 17}, {"title": "Puré de papa", "lowPrice": 9.5}], "b": {"name": "sin precio"}}
+    data = {"a": [{"name": "Papa blanca 900 g", "price": "18", "offers": [{"highPrice": 20}]}, {"name": "PAPA Blanca 900 g", "price": 17}, {"title": "Puré de papa", "price": 9.5, "salesUnitType": "EACH"}], "b": {"name": "sin precio"}}
     html = f'<html><script type="application/ld+json">{json.dumps(data)}</script><script type="application/ld+json">not json</script></html>'
-    page = spark.createDataFrame([(1, html), (2, None), (3, json.dumps([{"productName": "Jitomate kg", "price": 30}]))], "page_id long, html string")
+    page = spark.createDataFrame([(1, html), (2, None), (3, json.dumps([{"productName": "Jitomate por kg", "price": 30}]))], "page_id long, html string")
     nodes = retail.product_nodes(page)
     assert nodes.count() == 3
     got = {r["nombre"]: r for r in retail.offers(nodes, spark.createDataFrame([(1, "papa"), (3, "papa")], "page_id long, cultivo_pedido string")).collect()}
-    assert set(got) == {"PAPA Blanca 900 g", "Puré de papa"} and not got["Puré de papa"]["fresco"]
-    assert got["PAPA Blanca 900 g"]["precio_kg"] == 18.8889
+    assert set(got) == {"PAPA Blanca 900 g", "Puré de papa"} and not got["Puré de papa"]["fresco"] and got["PAPA Blanca 900 g"]["fresco"]
+    assert got["PAPA Blanca 900 g"]["precio_kg"] == 18.8889 and got["PAPA Blanca 900 g"]["unidad"] == "g_pack" and got["Puré de papa"]["unidad"] is None
     best = {r["cultivo"]: r["nombre"] for r in retail.best_per_crop(retail.offers(nodes)).collect()}
-    assert best == {"papa": "PAPA Blanca 900 g", "tomate": "Jitomate kg"}
+    assert best == {"papa": "PAPA Blanca 900 g", "tomate": "Jitomate por kg"}
+
+
+def test_prices_of_offers(spark):
+    ranged = {"@type": "AggregateOffer", "lowPrice": 3, "highPrice": 20, "offers": [{"price": 2.5}]}
+    sold = [{"sellers": [{"commertialOffer": {"Price": 18, "ListPrice": 24, "PriceWithoutDiscount": 23}}]}]
+    rows = [
+        {"name": "Tomate por kg", "offers": ranged},
+        {"name": "Tomate en malla", "offers": ranged},
+        {"name": "Limon por kilo", "items": sold, "offers": ranged},
+        {"name": "Mango", "offers": {"price": "$1,059.50", "highPrice": "1069"}, "salesUnitType": "EACH_WEIGHT"},
+        {"name": "Cebolla bolsa", "price": 10, "listPrice": 10, "category": {"path": [{"name": "Verduras"}]}, "priceInfo": {"linePrice": "$10.00/pza"}},
+        {"name": "Refresco", "price": 10, "brand": "otra", "category": {"path": [{"name": "Bebidas"}]}},
+    ]
+    page = spark.createDataFrame([(1, json.dumps(rows))], "page_id long, html string")
+    got = {r["nombre"]: (r["precio"], r["antes"], r["unidad"], r["promocion"], r["fresco"]) for r in retail.offers(retail.product_nodes(page)).collect()}
+    assert got == {
+        "Tomate por kg": (20, None, "kg", False, True), "Tomate en malla": (2.5, None, "malla", False, True), "Limon por kilo": (18, 24, "kg", True, True),
+        "Mango": (1059.5, 1069, "kg", True, True), "Cebolla bolsa": (10, None, "pza", False, True), "Refresco": (10, None, None, False, False),
+    }
 
 
 def test_cards_and_runs(spark, tmp_path):
