@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -66,3 +68,26 @@ def cyclic(value: Column, period: float) -> tuple[Column, Column]:
     """(sine, cosine) of a value that repeats after ``period``."""
     angle = 2 * F.pi() * value / F.lit(period)
     return F.sin(angle), F.cos(angle)
+
+
+def week_label(start: Column) -> Column:
+    """'05/01/2026 a 11/01/2026' for a week that starts on a day."""
+    return F.concat(F.date_format(start, "dd/MM/yyyy"), F.lit(" a "), F.date_format(F.date_add(start, 6), "dd/MM/yyyy"))
+
+
+def query_date(run_date: Column) -> Column:
+    """What a run asks for: the day before it."""
+    return F.date_sub(run_date, 1)
+
+
+def target_period(target: date | None = None, year: int | None = None, month: int | None = None, decena: int | None = None) -> tuple[int, int, int]:
+    """(year, month, decena) as given, or of a date, which is today if nothing is given."""
+    parts = (year, month, decena)
+    if any(x is not None for x in parts):
+        if None in parts or target is not None:
+            raise ValueError("give year, month and decena, or a date, but not both")
+        if month not in range(1, 13) or decena not in (1, 2, 3):
+            raise ValueError(f"no such period: month {month}, decena {decena}")
+        return year, month, decena
+    day = target or date.today()
+    return day.year, day.month, min(-(-day.day // 10), 3)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -203,3 +205,33 @@ def crop(title: Column) -> Column:
             hit = hit | has_word(key, w)
         out = F.when(hit, F.lit(name)) if out is None else out.when(hit, F.lit(name))
     return out
+
+
+def of_state(state: Column, asked: str | None) -> Column:
+    """Whether a state is the one asked for, whatever its accents and case; all are if none is asked for."""
+    return F.lit(True) if not asked else slug(state) == slug(F.lit(asked))
+
+
+def display(key: Column) -> Column:
+    """A key as it is shown: blanks for underscores, first letter in upper case."""
+    words = F.trim(F.replace(key, F.lit("_"), F.lit(" ")))
+    return F.concat(F.upper(F.substring(words, 1, 1)), F.lower(F.substring(words, 2, 1 << 20)))
+
+
+def display_state(state: Column, names: Mapping[str, str], drop: Sequence[str] = ()) -> Column:
+    """A state's full name by its slug, else its words with capitals; '' for headers that pose as states."""
+    key, out = slug(state), F.initcap(F.lower(F.trim(state)))
+    for k, name in names.items():
+        out = F.when(key == k, F.lit(name)).otherwise(out)
+    return F.when(key.isin(*drop), F.lit("")).otherwise(out) if drop else out
+
+
+def reference_label(kind: Column) -> Column:
+    """How references of a comparison are shown."""
+    return F.when(kind == "anio_anterior", "Anio anterior").when(kind == "promedio_5_anios", "Promedio 5 anios").otherwise("Sin referencia")
+
+
+def source_page(candidates: Sequence[Column], base: str, fallback: str) -> Column:
+    """The first candidate that is an absolute address or a path of the site, as an address."""
+    found = [F.when(c.startswith("http"), c).when(c.startswith("/"), F.concat(F.lit(base), c)) for c in candidates]
+    return F.coalesce(*found, F.lit(fallback))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -59,3 +60,10 @@ def conform(df: DataFrame, aliases: Mapping[str, Sequence[str]], types: Mapping[
         value = F.coalesce(*[c.try_cast(kind) for c in found]) if found else F.lit(None).cast(kind)
         out.append((F.nanvl(value, F.lit(None).cast("double")) if kind == "double" and found else value).alias(name))
     return df.select(*out)
+
+
+def between(df: DataFrame, date: str, since: datetime.date | None = None, until: datetime.date | None = None) -> DataFrame:
+    """Rows from a day to a day, both included; no bound where none is given."""
+    if since is not None:
+        df = df.where(F.col(date) >= F.lit(since))
+    return df if until is None else df.where(F.col(date) <= F.lit(until))

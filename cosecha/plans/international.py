@@ -54,3 +54,8 @@ def on_prices(price: DataFrame, wide: DataFrame) -> DataFrame:
 def coverage(days: DataFrame, values: DataFrame) -> DataFrame:
     """Per product and day how many proxies are available, and the last date that one became so."""
     return asof.known_by(days, values, "producto", "fecha", "disponible", "proxy")
+
+
+def proxy_map(values: DataFrame) -> DataFrame:
+    """The distinct proxies of each product with their use and frequency."""
+    return values.select("producto", "proxy", "uso", "frecuencia").distinct()

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -96,9 +96,92 @@ def latest_prices(feature: DataFrame, days: int = 7) -> DataFrame:
 
 def alerts(last: DataFrame, forecast: str, residuals: DataFrame, origins: DataFrame) -> DataFrame:
     """Interval, chances of a rise, level and action for the forecast in a column; residuals is one row (p10, p90)."""
-    out = last.crossJoin(F.broadcast(residuals))
-    now, f = F.col("precio"), F.col(forecast)
-    out = out.withColumns({"pronostico": f, "p10": f + F.col("r10"), "p90": f + F.col("r90"), "cambio_esperado": numbers.change(f, now)})
+    return alerted(last.crossJoin(F.broadcast(residuals)).withColumn("pronostico", F.col(forecast)), origins)
+
+
+def alerted(out: DataFrame, origins: DataFrame) -> DataFrame:
+    """Interval, chances of a rise, level and action of rows with precio, pronostico and residuals r10 and r90."""
+    now, f = F.col("precio"), F.col("pronostico")
+    out = out.withColumns({"p10": f + F.col("r10"), "p90": f + F.col("r90"), "cambio_esperado": numbers.change(f, now)})
     out = out.withColumns({f"prob_{s}": 1 - numbers.below(now * (1 + s / 100), F.col("pronostico"), F.col("p10"), F.col("p90")) for s in (10, 15)})
     out = out.withColumns({"nivel": numbers.alert_level(F.col("prob_10")), "accion": numbers.purchase_action(F.col("prob_10"), F.col("cambio_esperado"))})
     return out.join(origins.select("cultivo", "mercado", F.col("origen").alias("origen_principal")), ["cultivo", "mercado"], "left")
+
+
+METHODS = {"persistencia": "precio", "estacional_7": "lag_7", "media_28": "media_28"}
+LEAST_ROWS = 300
+
+
+def by_method(metodo: str = "metodo") -> Column:
+    """The forecast of the method that a column names."""
+    out = F.lit(None).cast("double")
+    for name, column in METHODS.items():
+        out = F.when(F.col(metodo) == name, F.col(column)).otherwise(out)
+    return out
+
+
+def targets(feature: DataFrame, horizons: Sequence[int] = (7, 14, 28), share: float = 0.8) -> DataFrame:
+    """Rows with a target for each horizon (horizonte, objetivo), and whether they are after its cutoff (prueba)."""
+    each = F.explode(F.array(*[F.struct(F.lit(h).alias("horizonte"), F.col(f"objetivo_{h}").alias("objetivo")) for h in horizons])).alias("x")
+    long = feature.select("cultivo", "mercado", "fecha", *METHODS.values(), each).select("cultivo", "mercado", "fecha", *METHODS.values(), "x.*")
+    long = long.dropna(subset=["objetivo", "lag_7"])
+    days = long.select("horizonte", "fecha").distinct()  # one row for each horizon and date
+    ranked = days.withColumn("i", F.row_number().over(Window.partitionBy("horizonte").orderBy("fecha")) - 1).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("horizonte")))
+    at = F.least(F.col("n") - 1, F.greatest(F.lit(1), F.floor(F.col("n") * share)))
+    cut = ranked.where((F.col("i") == at) & (F.col("n") >= 5)).select("horizonte", F.col("fecha").alias("corte"))
+    return long.join(F.broadcast(cut), "horizonte").withColumn("prueba", F.col("fecha") >= F.col("corte"))  # a row for each horizon
+
+
+def chosen(target: DataFrame, forced: str | None = None, least: int = LEAST_ROWS) -> DataFrame:
+    """One row for each horizon: the method with the least mae on the test part, of equals the first by name.
+
+    Below ``least`` training rows it is persistence; a ``forced`` method is taken as it is; ``motivo`` tells which.
+    """
+    one = F.explode(F.array(*[F.struct(F.lit(m).alias("metodo"), F.col(c).alias("p")) for m, c in METHODS.items()])).alias("m")
+    long = target.select("horizonte", "prueba", "objetivo", one).select("horizonte", "prueba", "objetivo", "m.*").dropna(subset=["p"])
+    miss, test = F.abs(F.col("objetivo") - F.col("p")), F.col("prueba")
+    told = long.groupBy("horizonte", "metodo").agg(
+        F.count_if(test).alias("n"), F.avg(F.when(test, miss)).alias("mae"), F.sqrt(F.avg(F.when(test, miss * miss))).alias("rmse"),
+        F.avg(F.when(test, numbers.ratio(miss, F.abs("objetivo")))).alias("mape"),
+    )
+    told = told.where("n > 0").join(target.groupBy("horizonte").agg(F.count_if(~test).alias("filas")), "horizonte")
+    few = F.col("filas") < least
+    reason = F.lit("forzado") if forced else F.when(few, "pocas_filas").otherwise("menor_mae")
+    first = F.col("metodo") != forced if forced else few & (F.col("metodo") != "persistencia")
+    return rows.best(told.withColumn("motivo", reason), ["horizonte"], [first.cast("int"), F.col("mae"), F.col("metodo")])
+
+
+def bands(target: DataFrame, choice: DataFrame) -> DataFrame:
+    """(horizonte, r10, r90): quantiles of the chosen method's residuals on the test part, in cents.
+
+    Residuals are counted by cent before the quantiles, so a task holds distinct cents and no rows.
+    """
+    miss = F.floor((F.col("objetivo") - by_method()) * 100 + 0.5)
+    cents = target.where("prueba").join(F.broadcast(choice.select("horizonte", "metodo")), "horizonte").select("horizonte", miss.alias("c")).dropna()
+    counts = cents.groupBy("horizonte", "c").agg(F.count(F.lit(1)).alias("n"))
+    q = F.percentile("c", F.array(F.lit(0.1), F.lit(0.9)), F.col("n"))
+    return counts.groupBy("horizonte").agg(q.alias("q")).select("horizonte", (F.col("q")[0] / 100).alias("r10"), (F.col("q")[1] / 100).alias("r90"))
+
+
+def horizon_alerts(last: DataFrame, choice: DataFrame, band: DataFrame, origins: DataFrame) -> DataFrame:
+    """Alerts of each series for each horizon, by the horizon's method and residuals."""
+    each = choice.select("horizonte", "metodo").join(band, "horizonte")  # a row for each horizon
+    out = last.crossJoin(F.broadcast(each)).withColumn("pronostico", by_method())
+    return alerted(out.where("pronostico is not null"), origins)
+
+
+def horizon_summary(alert: DataFrame) -> DataFrame:
+    return alert.groupBy("horizonte").agg(F.count(F.lit(1)).alias("alertas"), F.count_if(F.col("nivel") == "critico").alias("criticas"), F.max("prob_10").alias("maxima"))
+
+
+def top_alerts(alert: DataFrame, n: int = 12) -> DataFrame:
+    """The likeliest rises of each horizon."""
+    return rows.best(alert, ["horizonte"], [F.col("prob_10").desc_nulls_last(), F.col("cultivo"), F.col("mercado")], n)
+
+
+def default_crop(alert: DataFrame, compared: DataFrame) -> DataFrame:
+    """One row: the compared crop with the likeliest rise at the longest horizon, else the first compared one by name."""
+    names = compared.where("cultivo is not null").select("cultivo").distinct()
+    far = alert.join(F.broadcast(alert.agg(F.max("horizonte").alias("horizonte"))), "horizonte").join(names, "cultivo", "left_semi")
+    likely = far.groupBy("cultivo").agg(F.max("prob_10").alias("prob")).agg(F.min_by("cultivo", F.struct(-F.coalesce("prob", F.lit(-1.0)), "cultivo")).alias("a"))
+    return likely.crossJoin(F.broadcast(names.agg(F.min("cultivo").alias("b")))).select(F.coalesce("a", "b").alias("cultivo"))  # one row each

@@ -72,3 +72,9 @@ def risk_matrix(cast: DataFrame, crops: Sequence[str]) -> DataFrame:
 
 def top_risks(cast: DataFrame, n: int = 20) -> DataFrame:
     return cast.orderBy(F.col("caida_10").desc_nulls_last(), F.col("cambio_pct").asc_nulls_last(), "cultivo", "estado", "anio").limit(n)
+
+
+def top_entities(progress: DataFrame, n: int = 10) -> DataFrame:
+    """The states that lead each crop's production at its last cutoff."""
+    last = progress.groupBy("cultivo").agg(F.max("corte").alias("corte"))
+    return rows.best(progress.join(last, ["cultivo", "corte"]), ["cultivo"], [F.col("acumulada").desc_nulls_last(), F.col("estado")], n)

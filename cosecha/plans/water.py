@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -91,3 +91,8 @@ def new_window(existing: DataFrame, requested, lookback_days: int = 40) -> DataF
     """One row (desde): where an incremental load begins, some days before what is there, not before ``requested``."""
     last = existing.agg(F.max("fecha").alias("ultima"))
     return last.select(F.greatest(F.lit(requested).cast("date"), F.coalesce(F.date_sub("ultima", lookback_days), F.lit(requested).cast("date"))).alias("desde"))
+
+
+def volume(percent: Column, capacity: Column) -> Column:
+    """Stored volume from the percentage of a capacity."""
+    return percent * capacity / 100

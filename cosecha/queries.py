@@ -741,3 +741,6 @@ def boosted_prices(t: Tables) -> DataFrame:
     train, test = models.split(f, "fecha")
     fit = models.boosted("objetivo_7", ["precio", "lag_1", "lag_7", "media_7", "media_28", "seno", "coseno"], ["cultivo", "mercado"], trees=10, depth=3).fit(train)
     return models.metrics(fit.transform(test), "objetivo_7", {"arboles": F.col("prediction"), "persistencia": F.col("precio"), "estacional_7": F.col("lag_7")})
+
+
+from cosecha import row_queries  # noqa: E402, F401  registers its queries

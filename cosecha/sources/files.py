@@ -6,6 +6,8 @@ what a name tells is a column expression and Spark prunes and distributes the re
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -145,3 +147,32 @@ EXPORT_NAMES = {"fecha": "Fecha", "cultivo_canonico": "Cultivo", "mercado": "Mer
 def export_csv(df: DataFrame, path: str, names: Mapping[str, str] = EXPORT_NAMES) -> None:
     """CSV with headers for readers."""
     df.withColumnsRenamed(dict(names)).write.mode("overwrite").option("header", True).csv(path)
+
+
+# English headers of climate tables
+CLIMATE_ALIASES = {
+    "fecha": ["date"], "presa": ["id", "id_conagua"], "lluvia": ["precipitation_mm", "precipitacion_mm"], "temperatura": ["temperature_c", "temperatura_c"], "maxima": ["temperature_max_c", "temperatura_max_c"],
+    "minima": ["temperature_min_c", "temperatura_min_c"], "evaporacion": ["evapotranspiration_mm", "evapotranspiracion_mm"], "indice_sequia": ["drought_index"],
+}
+
+
+def climate_table(table: DataFrame) -> DataFrame:
+    """Daily climate with Spanish or English headers; days that are no dates are null, ids are texts."""
+    types = {c: "double" for c in CLIMATE_ALIASES} | {"fecha": "string", "presa": "string"}
+    return rows.conform(table, CLIMATE_ALIASES, types).withColumn("fecha", dates.any_date(F.col("fecha")))
+
+
+def places(table: DataFrame, state: str | None = None, limit: int | None = None, order: str = "presa") -> DataFrame:
+    """The places to fetch: of one state, if asked for, and the first so many by id, if a limit is set."""
+    own = table.where(text.of_state(F.col("estado"), state))
+    return own if limit is None else own.orderBy(order).limit(limit)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder under ``spark.checkpoint.dir``; where that is unset, under a temporary folder, but only in local mode."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='cosecha-')}"
+    return f"{base.rstrip('/')}/cosecha/{name}-{uuid.uuid4().hex}"
