@@ -16,7 +16,7 @@ from cosecha.llm.work import fresh, saved
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
-BUCKETS = 512
+BUCKETS, BUCKET_ROWS = 512, 20_000  # hash buckets, at least; more where they would have more rows
 
 
 def water_fill(sources: DataFrame, max_epochs: int) -> DataFrame:
@@ -65,8 +65,10 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int =
         _source_key().alias("source_key"),
         _row_key(seed).alias("text_key"),
     )
-    place = F.conv(F.substring("text_key", 1, 8), 16, 10).cast("long") * BUCKETS / (1 << 32)
-    d = saved(d.withColumn("bucket", F.floor(place).cast("int")), "mix")
+    d = saved(d, "mix")
+    buckets = max(BUCKETS, 1 << (d.count() // BUCKET_ROWS).bit_length())
+    place = F.conv(F.substring("text_key", 1, 8), 16, 10).cast("long") * buckets / (1 << 32)
+    d = d.withColumn("bucket", F.floor(place).cast("int"))
     binned = d.groupBy("source_key", "bucket").agg(F.sum("size").alias("bucket_size"))
     sources = binned.groupBy("source_key").agg(F.sum("bucket_size").alias("source_size"))
     ranked = sources.withColumn("rank", F.row_number().over(Window.orderBy(F.col("source_key") == "~", "source_key")) - 1)
@@ -76,7 +78,7 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int =
     ranked = ranked.withColumn("extra", F.col("target") - F.col("whole") * F.col("source_size"))
     by_bucket = Window.partitionBy("source_key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bins = binned.withColumn("before", F.coalesce(F.sum("bucket_size").over(by_bucket), F.lit(0))).join(ranked, "source_key")
-    # at most BUCKETS rows for each source
+    # a row for each bucket of each source
     joined = d.join(bins.select("source_key", "bucket", "before", "source_size", "target", "whole", "extra"), ["source_key", "bucket"])
     inside = Window.partitionBy("source_key", "bucket").orderBy("text_key").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     middle = F.col("before") + F.sum("size").over(inside) - F.col("size") / 2.0

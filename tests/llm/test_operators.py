@@ -307,6 +307,21 @@ def test_quality_learns_and_scores_odd_texts(spark, documents):
     assert {r["quality_score"] for r in quality.scored(documents([(1, "a b"), (2, None)]), quality.train(docs, labels.limit(0))).collect()} == {0.5}
 
 
+def test_quality_query_on_held_out_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    got = {r["doc_id"]: r for r in quality.op5(spark, sf).collect()}
+    docs = {r["doc_id"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id").collect()}
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    assert set(got) == docs
+    for doc, r in got.items():
+        assert r["held_out"] == (zlib.crc32(str(doc).encode()) % 5 == 0) and r["predicted"] == int(r["score"] >= 0.3) and 0 <= r["score"] <= 1
+    held = [d for d in labels if d in got and got[d]["held_out"] and labels[d] is not None]
+    assert len(held) > 20 and np.mean([got[d]["predicted"] == labels[d] for d in held]) > 0.9
+    good = [got[d]["score"] for d in held if labels[d]]
+    bad = [got[d]["score"] for d in held if not labels[d]]
+    assert np.mean([g > b for g in good for b in bad]) > 0.97
+
+
 def test_factorisation_identity():
     rng = np.random.default_rng(8)
     n = quality.BUCKETS + quality.N_STATISTICS * quality.BINS
@@ -453,6 +468,25 @@ def test_language_by_compression(spark, documents):
     assert language_id.identified(docs, language_id.learn(docs.limit(0))).where("lang_pred <> 'und'").count() == 0
 
 
+def test_language_query_on_held_out_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    got = {r["doc_id"]: r for r in language_id.op8(spark, sf).collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").collect()
+    assert set(got) == {r["doc_id"] for r in docs}
+    known = {r["lang"] for r in docs if r["lang"]}
+    for r in docs:
+        own = got[r["doc_id"]]
+        assert own["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) and 0 <= own["score"] <= 1
+        assert own["lang_pred"] in known if any(c.isalpha() for c in r["text"] or "") else own["lang_pred"] == "und"
+    held = [r for r in docs if got[r["doc_id"]]["held_out"] and r["lang"] and got[r["doc_id"]]["lang_pred"] != "und"]
+    assert np.mean([got[r["doc_id"]]["lang_pred"] == r["lang"] for r in held]) > 0.98
+
+
+def test_every_language_is_learned(spark, documents):
+    rows = [(i, f"letra{'abcdefghij'[i % 10]} " * 30, f"l{i // 3:03d}", "s") for i in range(750)]
+    assert {lang for lang, _ in language_id.learn(documents(rows))} == {f"l{i // 3:03d}" for i in range(750) if zlib.crc32(str(i).encode()) % 4 != 2}
+
+
 # 9
 
 
@@ -619,6 +653,10 @@ def test_water_filling(spark, documents):
         assert abs(sum(r["taken"] for r in rs) - want[s]) <= 9
     again = {(r["doc_id"], r["text_key"]): r["taken"] for r in mixing.mixed(documents(rows[::-1])).collect()}
     assert again == {(r["doc_id"], r["text_key"]): r["taken"] for r in got}
+    with pytest.MonkeyPatch.context() as m:  # the number of buckets changes nothing
+        m.setattr(mixing, "BUCKETS", 2)
+        m.setattr(mixing, "BUCKET_ROWS", 3)
+        assert again == {(r["doc_id"], r["text_key"]): r["taken"] for r in mixing.mixed(documents(rows)).collect()}
     mix = mixing.repeated(documents(rows))
     assert mix.columns == documents([]).columns and mix.count() == sum(r["copies"] for r in got)
     assert mixing.mixed(documents([])).count() == 0 and mixing.repeated(documents([])).count() == 0
