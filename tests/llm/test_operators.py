@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import html
 import io
 import itertools
 import os
@@ -404,6 +405,26 @@ def test_main_text(spark):
     assert by_id[2]["text"] == by_id[3]["text"] == by_id[5]["text"] == "" and by_id[4]["text"].endswith("kept")
 
 
+def plain_article(page):
+    """The article by pattern alone, as the driver's pages mark it."""
+    inner = re.search(r"(?is)<article\b[^>]*>(.*?)</article>", page)
+    if not inner:
+        return ""
+    inner = re.sub(r"(?is)<!--.*?-->|<(script|style|form|aside|nav|footer|header)\b.*?</\1>|<div class=\"ad\">.*?</div>", " ", inner[1])
+    inner = re.sub(r"(?i)</?(?:b|i|em|strong|a|span|u|code|small)\b[^>]*>", "", inner)
+    return " ".join(html.unescape(re.sub(r"<[^>]*>", " ", inner)).split())
+
+
+def test_html_query_against_articles(spark):
+    sf = "/root/testdata/sf0.01"
+    got = {r["page_id"]: r for r in html_text.op7(spark, sf).collect()}
+    rows = spark.read.parquet(f"{sf}/pages.parquet").collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        own = got[r["page_id"]]
+        assert (own["url"], own["text"], own["n_chars"]) == (r["url"], plain_article(r["html"] or ""), len(own["text"]))
+
+
 def test_odd_pages_in_linear_time():
     field = html_text.trained()
     for part in ("<a ", "<div>x", "<div>x</p>", "<svg>x", "<!x", "<li>x<div>", "<ul><li>x", "<p \"x", "&#1", "<td>x<div>", "<object>x "):
