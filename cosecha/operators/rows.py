@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime
+import re
+import unicodedata
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -40,23 +42,22 @@ def without_markers(df: DataFrame, columns: Sequence[str], markers: Sequence[str
     return df.where((F.size(cells) > 0) & ~F.coalesce(marker, F.lit(False)))
 
 
+def header_key(name: str) -> str:
+    """A header without accents, in lower case, with one underscore between words."""
+    letters = unicodedata.normalize("NFKD", name.strip())
+    return re.sub("[^a-z0-9]+", "_", "".join(x for x in letters if not unicodedata.combining(x)).casefold()).strip("_")
+
+
 def conform(df: DataFrame, aliases: Mapping[str, Sequence[str]], types: Mapping[str, str]) -> DataFrame:
     """Canonical columns from whatever headers a source has.
 
     Each column is the first known value of the headers whose slug is among its aliases, left to right; a column that
     no header gives is null; texts that do not fit a type are null, and so is NaN.
     """
-    import re
-    import unicodedata
-
-    def key(name: str) -> str:
-        text = unicodedata.normalize("NFKD", name.strip())
-        return re.sub("[^a-z0-9]+", "_", "".join(x for x in text if not unicodedata.combining(x)).casefold()).strip("_")
-
     out = []
     for name, kind in types.items():
         own = [name, *aliases.get(name, ())]
-        found = [F.col(f"`{c}`") for c in df.columns if key(c) in own]
+        found = [F.col(f"`{c}`") for c in df.columns if header_key(c) in own]
         value = F.coalesce(*[c.try_cast(kind) for c in found]) if found else F.lit(None).cast(kind)
         out.append((F.nanvl(value, F.lit(None).cast("double")) if kind == "double" and found else value).alias(name))
     return df.select(*out)

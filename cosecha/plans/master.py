@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cosecha.functions import numbers
@@ -79,11 +79,63 @@ def long(whole: DataFrame, retail: DataFrame, month: DataFrame, annual: DataFram
     return a.unionByName(b).unionByName(c).unionByName(d)
 
 
-def coverage(wide_: DataFrame, sources: Sequence[str]) -> DataFrame:
-    """Which sources each row has, how many, and their share."""
+# The columns of the long panel, and the names of its sources and of what their prices are
+PANEL = {
+    "run_date": "date", "canonical_product": "string", "source": "string", "comparison_price_mxn": "double", "price_basis": "string", "raw_price_mxn": "double", "unit_label": "string",
+    "source_page": "string", "product_raw": "string", "product_inferred": "string", "search_terms_used": "string", "source_record_count": "long",
+    "sniim_daily_mean_mxn": "double", "sniim_daily_median_mxn": "double", "sniim_daily_min_mxn": "double", "sniim_daily_max_mxn": "double",
+    "avance_total_superficie_sembrada_ha": "double", "avance_total_superficie_cosechada_ha": "double", "avance_total_superficie_siniestrada_ha": "double", "avance_total_produccion": "double",
+    "avance_yield_weighted_udm_ha": "double", "avance_rows_used": "long", "avance_crop_name": "string", "avance_crop_label_raw": "string", "avance_report_cutoff_label": "string", "avance_cutoff_date": "date",
+    "cierre_annual_weighted_pmr_mxn_udm": "double", "cierre_rows_used": "long", "cierre_total_produccion": "double", "cierre_crop_name": "string", "cierre_crop_label_raw": "string",
+}
+WHOLESALE_BASIS, PROGRESS_BASIS, ANNUAL_BASIS = "precio_frecuente_mean", "contexto_mensual_avance_agricola", "pmr_mxn_udm_weighted_by_produccion"
+
+
+def _padded(df: DataFrame, values: Mapping[str, Column | str]) -> DataFrame:
+    """The panel's columns: those given, the others null."""
+    own = {k: F.col(v) if isinstance(v, str) else v for k, v in values.items()}
+    return df.select(*[own.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in PANEL.items()])
+
+
+def panel(whole: DataFrame, retail: DataFrame, month: DataFrame, annual: DataFrame) -> DataFrame:
+    """Wholesale, retailers, progress and annual close below each other in the panel's 31 columns.
+
+    A month stands on its report's day, else on its first; a year's price on each day that wholesale or a retailer has.
+    """
+    own = {"run_date": "fecha", "canonical_product": "cultivo"}
+    a = _padded(whole, own | {
+        "source": F.lit("sniim"), "comparison_price_mxn": "media", "price_basis": F.lit(WHOLESALE_BASIS), "raw_price_mxn": "media", "unit_label": F.lit("kg_calculado"), "source_record_count": "n",
+        "sniim_daily_mean_mxn": "media", "sniim_daily_median_mxn": "mediana", "sniim_daily_min_mxn": "minimo", "sniim_daily_max_mxn": "maximo",
+    })
+    b = _padded(retail, own | {"source": "fuente", "comparison_price_mxn": "comparable", "price_basis": "base", "raw_price_mxn": "comparable", "source_record_count": "registros"})
+    first = F.try_to_date(F.format_string("%04d-%02d-01", "anio", "mes"))
+    c = _padded(month, own | {
+        "run_date": F.coalesce("corte", first), "source": F.lit("avance_agricola"), "price_basis": F.lit(PROGRESS_BASIS), "source_record_count": "filas",
+        "avance_total_superficie_sembrada_ha": "sembrada", "avance_total_superficie_cosechada_ha": "cosechada", "avance_total_superficie_siniestrada_ha": "siniestrada",
+        "avance_total_produccion": "produccion", "avance_yield_weighted_udm_ha": "rendimiento", "avance_rows_used": "filas", "avance_cutoff_date": "corte",
+    })
+    year = main_unit(annual).where("precio is not null").select("anio", "cultivo", "unidad", "precio", "filas", "produccion")
+    d = _padded(keys([whole, retail]).join(year, ["anio", "cultivo"]), own | {
+        "source": F.lit("cierre_agricola"), "comparison_price_mxn": "precio", "price_basis": F.lit(ANNUAL_BASIS), "raw_price_mxn": "precio", "unit_label": "unidad", "source_record_count": "filas",
+        "cierre_annual_weighted_pmr_mxn_udm": "precio", "cierre_rows_used": "filas", "cierre_total_produccion": "produccion",
+    })
+    return a.unionByName(b).unionByName(c).unionByName(d)
+
+
+def coverage(wide_: DataFrame, sources: Sequence[str], optional: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Which sources each row has, how many, how many are missing, and their share.
+
+    An ``optional`` source, given with its table, counts only if the table has rows.
+    """
+    optional = optional or {}
     out = wide_.withColumns({f"hay_{s}": F.col(s).isNotNull() for s in sources})
-    n = sum((F.col(f"hay_{s}").cast("int") for s in sources), F.lit(0))
-    return out.withColumn("fuentes", n).withColumn("cobertura", n / len(sources))
+    total = F.lit(len(sources) - len(optional))
+    for s, table in optional.items():
+        out = out.crossJoin(F.broadcast(table.agg((F.count(F.lit(1)) > 0).alias(f"__{s}"))))  # one row
+        total = total + F.col(f"__{s}").cast("int")
+    counted = [F.col(f"hay_{s}") & F.col(f"__{s}") if s in optional else F.col(f"hay_{s}") for s in sources]
+    n = sum((c.cast("int") for c in counted), F.lit(0))
+    return out.withColumn("fuentes", n).withColumns({"faltan": total - n, "cobertura": n / total}).drop(*[f"__{s}" for s in optional])
 
 
 def coverage_by_month(covered: DataFrame, sources: Sequence[str]) -> DataFrame:
@@ -105,8 +157,8 @@ def tables(wholesale: DataFrame, retail: DataFrame, progress: DataFrame, annual_
     whole, shops, month, annual = wholesale_daily(wholesale), retail_daily(retail), monthly(progress), annual_prices(annual_records)
     w = wide(whole, shops, month, annual)
     sources = ["mayoreo", "precio_uno", "precio_dos", "produccion_mes", "precio_anual"]
-    covered = coverage(w, sources)
+    covered = coverage(w, sources, {"precio_anual": annual})
     return {
         "wholesale_daily": whole, "retail_daily": shops, "progress_monthly": month, "annual_prices": annual, "annual_main_unit": main_unit(annual),
-        "keys": keys([whole, shops]), "wide": w, "long": long(whole, shops, month, annual), "coverage": covered, "coverage_monthly": coverage_by_month(covered, sources),
+        "keys": keys([whole, shops]), "wide": w, "long": long(whole, shops, month, annual), "panel": panel(whole, shops, month, annual), "coverage": covered, "coverage_monthly": coverage_by_month(covered, sources),
     }

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cosecha.functions import numbers
+from cosecha.operators import rows
+from cosecha.sources import files
 
 SHARE = 0.8
 
@@ -52,14 +56,40 @@ def residual_band(test: DataFrame, actual: str, forecast: Column) -> DataFrame:
     return test.agg(q.alias("q")).select(F.col("q")[0].alias("r10"), F.col("q")[1].alias("r90"))
 
 
-def boosted(target: str, numeric: Sequence[str], categories: Sequence[str], trees: int = 180, depth: int = 5, rate: float = 0.05, seed: int = 42) -> Pipeline:
-    """Median-imputed numbers and one-hot categories, unseen ones kept apart, into boosted trees."""
-    filled = [f"{c}__n" for c in numeric]
-    stages = [Imputer(strategy="median", inputCols=list(numeric), outputCols=filled)]
-    if categories:
-        stages += [StringIndexer(inputCols=list(categories), outputCols=[f"{c}__i" for c in categories], handleInvalid="keep"), OneHotEncoder(inputCols=[f"{c}__i" for c in categories], outputCols=[f"{c}__o" for c in categories])]
-    stages += [VectorAssembler(inputCols=[*filled, *[f"{c}__o" for c in categories]], outputCol="features"), GBTRegressor(labelCol=target, maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=0.85, seed=seed)]
-    return Pipeline(stages=stages)
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def fitted(
+    train: DataFrame, target: str, numeric: Sequence[str], categories: Sequence[str] = (), *,
+    trees: int = 180, depth: int = 5, rate: float = 0.05, seed: int = 42, least: int = 1, classes: bool = False,
+) -> PipelineModel | None:
+    """Boosted trees over numbers and one-hot categories; None below ``least`` rows that have a target.
+
+    Missing numbers are the median, missing categories the commonest one, of equals the first; categories that training
+    has not seen are none of its own; columns that no training row has are left out.  ``classes``: the target is 0 or 1.
+    """
+    train = train.where(F.col(target).isNotNull()).withColumn(target, F.col(target).cast("double"))
+    facts = train.agg(F.count(F.lit(1)).alias("n"), *[F.count(c).alias(f"n_{c}") for c in (*numeric, *categories)], *[F.mode(c, True).alias(f"m_{c}") for c in categories]).first()
+    if facts["n"] < least:
+        return None
+    known = [c for c in numeric if facts[f"n_{c}"]]
+    kinds = [c for c in categories if facts[f"n_{c}"]]
+    stages, inputs = [], []
+    if kinds:
+        chosen = ", ".join(f"coalesce(`{c}`, {_quoted(str(facts[f'm_{c}']))}) AS `{c}__f`" for c in kinds)
+        stages.append(SQLTransformer(statement=f"SELECT *, {chosen} FROM __THIS__"))
+        stages.append(StringIndexer(inputCols=[f"{c}__f" for c in kinds], outputCols=[f"{c}__i" for c in kinds], handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCols=[f"{c}__i" for c in kinds], outputCols=[f"{c}__o" for c in kinds]))
+        inputs += [f"{c}__o" for c in kinds]
+    if known:
+        stages.append(Imputer(strategy="median", inputCols=known, outputCols=[f"{c}__n" for c in known]))
+        inputs = [f"{c}__n" for c in known] + inputs
+    if not inputs:
+        raise ValueError("no column has a value in training")
+    kind = GBTClassifier if classes else GBTRegressor
+    model = kind(labelCol=target, maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=0.85, seed=seed)
+    return Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol="features"), model]).fit(train)
 
 
 def importances(model: PipelineModel, sample: DataFrame, top: int = 20) -> DataFrame:
@@ -69,3 +99,118 @@ def importances(model: PipelineModel, sample: DataFrame, top: int = 20) -> DataF
     names = {a["idx"]: a["name"] for group in attributes.values() for a in group}
     values = model.stages[-1].featureImportances
     return sample.sparkSession.createDataFrame([(names.get(i, str(i)), float(values[i])) for i in range(values.size)], "variable string, importancia double").orderBy(F.desc("importancia"), "variable").limit(top)
+
+
+# Forecasts by horizon: rows with horizonte, objetivo and prueba (whether they lie after the horizon's cutoff)
+
+
+def marked(long: DataFrame, date: str, share: float = SHARE) -> DataFrame:
+    """Adds ``prueba``; horizons of fewer than five days have no cutoff, and their rows go."""
+    days = long.select("horizonte", date).distinct()  # one row for each horizon and date
+    ranked = days.withColumn("i", F.row_number().over(Window.partitionBy("horizonte").orderBy(date)) - 1).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("horizonte")))
+    at = F.least(F.col("n") - 1, F.greatest(F.lit(1), F.floor(F.col("n") * share)))
+    cut = ranked.where((F.col("i") == at) & (F.col("n") >= 5)).select("horizonte", F.col(date).alias("__cut"))
+    return long.join(F.broadcast(cut), "horizonte").withColumn("prueba", F.col(date) >= F.col("__cut")).drop("__cut")  # a row for each horizon
+
+
+def named(methods: Mapping[str, Column], metodo: str = "metodo") -> Column:
+    """The forecast of the method that a column names."""
+    out = F.lit(None).cast("double")
+    for name, column in methods.items():
+        out = F.when(F.col(metodo) == name, column).otherwise(out)
+    return out
+
+
+def chosen(target: DataFrame, methods: Mapping[str, Column], fallback: str, forced: str | None = None, least: int = 1) -> DataFrame:
+    """One row for each horizon: the method with the least mae on the test part, of equals the first by name.
+
+    Below ``least`` training rows it is ``fallback``; a ``forced`` method is taken as it is; ``motivo`` tells which.
+    """
+    if forced is not None and forced not in methods:
+        raise ValueError(f"no such method: {forced}; there are {', '.join(methods)}")
+    one = F.explode(F.array(*[F.struct(F.lit(m).alias("metodo"), c.alias("p")) for m, c in methods.items()])).alias("m")
+    long = target.select("horizonte", "prueba", "objetivo", one).select("horizonte", "prueba", "objetivo", "m.*").dropna(subset=["p"])
+    miss, test = F.abs(F.col("objetivo") - F.col("p")), F.col("prueba")
+    told = long.groupBy("horizonte", "metodo").agg(
+        F.count_if(test).alias("n"), F.avg(F.when(test, miss)).alias("mae"), F.sqrt(F.avg(F.when(test, miss * miss))).alias("rmse"),
+        F.avg(F.when(test, numbers.ratio(miss, F.abs("objetivo")))).alias("mape"),
+    )
+    told = told.where("n > 0").join(target.groupBy("horizonte").agg(F.count_if(~test).alias("filas")), "horizonte")
+    few = F.col("filas") < least
+    reason = F.lit("forzado") if forced else F.when(few, "pocas_filas").otherwise("menor_mae")
+    first = F.col("metodo") != forced if forced else few & (F.col("metodo") != fallback)
+    return rows.best(told.withColumn("motivo", reason), ["horizonte"], [first.cast("int"), F.col("mae"), F.col("metodo")])
+
+
+def bands(target: DataFrame, choice: DataFrame, methods: Mapping[str, Column], parts: int = 100) -> DataFrame:
+    """(horizonte, r10, r90): quantiles of the chosen method's residuals on the test part, in hundredths or other parts.
+
+    Residuals are counted by part before the quantiles, so a task holds distinct parts and no rows.
+    """
+    miss = F.floor((F.col("objetivo") - named(methods)) * parts + 0.5)
+    whole = target.where("prueba").join(F.broadcast(choice.select("horizonte", "metodo")), "horizonte").select("horizonte", miss.alias("c")).dropna()
+    counts = whole.groupBy("horizonte", "c").agg(F.count(F.lit(1)).alias("n"))
+    q = F.percentile("c", F.array(F.lit(0.1), F.lit(0.9)), F.col("n"))
+    return counts.groupBy("horizonte").agg(q.alias("q")).select("horizonte", (F.col("q")[0] / parts).alias("r10"), (F.col("q")[1] / parts).alias("r90"))
+
+
+@dataclass(frozen=True)
+class Candidate:
+    """Boosted trees as a method: its name, the column that they learn, and the one that is added to what they say."""
+
+    name: str
+    label: str = "objetivo"
+    shift: str | None = None
+
+    def told(self, model: PipelineModel | None, df: DataFrame) -> DataFrame:
+        """``df`` with the forecast in a column of this name; null without a model."""
+        if model is None:
+            return df.withColumn(self.name, F.lit(None).cast("double"))
+        out = model.transform(df).withColumn(self.name, F.col("prediction") + (F.col(self.shift) if self.shift else F.lit(0.0)))
+        return out.select(*df.columns, self.name)
+
+
+@dataclass(frozen=True)
+class Trained:
+    """What a training gives: the choice of each horizon, (horizonte, r10, r90), the newest rows with the columns of all
+    methods, and (horizonte, metodo, variable, importancia) of the models that were fitted last, None if none was."""
+
+    choice: DataFrame
+    band: DataFrame
+    newest: DataFrame
+    importances: DataFrame | None
+
+
+def trained(
+    target: DataFrame, newest: DataFrame, horizons: Sequence[int], methods: Mapping[str, Column], candidates: Sequence[Candidate], numeric: Sequence[str], categories: Sequence[str], *,
+    fallback: str, forced: str | None = None, least: int = 1, parts: int = 100, folder: str | None = None, **options,
+) -> Trained:
+    """Back-tests the methods and candidates of each horizon, and forecasts ``newest`` (with its horizonte) by the best.
+
+    A candidate is fitted on the rows before the cutoff to be judged, and on all rows if its horizon chose it, or if a
+    ``folder`` is given, where every last model is saved as <name>_<horizon>.  Rows and forecasts are written tables, as
+    each fit reads them many times.
+    """
+    target = files.saved(target, "targets")
+    for c in candidates:
+        parts_of = []
+        for h in horizons:
+            own = target.where(F.col("horizonte") == h)
+            model = fitted(own.where(~F.col("prueba")), c.label, numeric, categories, least=least, **options)
+            parts_of += [c.told(None, own.where(~F.col("prueba"))), c.told(model, own.where("prueba"))]
+        target = files.saved(files.union(parts_of), "forecasts")
+    every = dict(methods) | {c.name: F.col(c.name) for c in candidates}
+    choice = files.saved(chosen(target, every, fallback, forced, least), "choice")
+    picked = {r["horizonte"]: r["metodo"] for r in choice.collect()}  # a row for each horizon
+    last, told = [], []
+    for h in horizons:
+        own, all_ = newest.where(F.col("horizonte") == h), target.where(F.col("horizonte") == h)
+        for c in candidates:
+            model = fitted(all_, c.label, numeric, categories, least=least, **options) if folder or picked.get(h) == c.name else None
+            own = c.told(model, own)
+            if model is not None:
+                told.append(importances(model, all_).select(F.lit(h).alias("horizonte"), F.lit(c.name).alias("metodo"), "variable", "importancia"))
+                if folder:
+                    model.write().overwrite().save(f"{folder}/{c.name}_{h}")
+        last.append(own)
+    return Trained(choice, files.saved(bands(target, choice, every, parts), "bands"), files.union(last), files.union(told) if told else None)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cosecha.functions import text
 from cosecha.operators import rows
@@ -36,53 +37,83 @@ def best_offers(offer: DataFrame) -> DataFrame:
     return rows.best(offer, ["clave"], [F.col("promocion").desc(), F.col("precio").asc_nulls_last(), F.col("id")])
 
 
+SPAN = 1000  # the most columns that a cell may span, as in HTML itself
+
+
 class _Cells(HTMLParser):
-    """(table, row, cells) of all tables of a page, those inside others included."""
+    """(table, row, head, cells) of all tables of a page, those inside others included; a cell stands in every column
+    and row that it spans.  ``head``: the row lies in a table head, or has header cells only."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.rows: list[tuple[int, int, list[str]]] = []
-        self.open: list[list] = []  # table, row number, cells, text of the cell under way
+        self.rows: list[tuple[int, int, bool, list[str]]] = []
+        self.open: list[dict] = []
         self.tables = 0
 
     def _cell(self) -> None:
-        if self.open and self.open[-1][3] is not None:
-            self.open[-1][2].append(" ".join("".join(self.open[-1][3]).split()))
-            self.open[-1][3] = None
+        t = self.open[-1] if self.open else None
+        if t and t["text"] is not None:
+            t["cells"].append((" ".join("".join(t["text"]).split()), *t["span"]))
+            t["text"] = None
 
     def _row(self) -> None:
         self._cell()
-        if self.open and self.open[-1][2]:
-            table, number, cells, _ = self.open[-1]
-            self.rows.append((table, number, cells))
-            self.open[-1][1:3] = [number + 1, []]
+        t = self.open[-1] if self.open else None
+        if not t or not t["cells"]:
+            return
+        out, below, own = [], {}, iter(t["cells"])
+        cell = next(own, None)
+        while cell or len(out) in t["below"]:
+            if len(out) in t["below"]:
+                text, rest = t["below"][len(out)]
+                if rest > 1:
+                    below[len(out)] = (text, rest - 1)
+                out.append(text)
+                continue
+            text, columns, rest = cell
+            for _ in range(columns):
+                if rest > 1:
+                    below[len(out)] = (text, rest - 1)
+                out.append(text)
+            cell = next(own, None)
+        self.rows.append((t["table"], t["row"], t["in_head"] or t["headers"], out))
+        t.update(row=t["row"] + 1, cells=[], below=below, headers=True)
 
     def handle_starttag(self, tag, attrs):
         if tag == "table":
-            self.open.append([self.tables, 0, [], None])
+            self.open.append({"table": self.tables, "row": 0, "cells": [], "text": None, "span": (1, 1), "below": {}, "in_head": False, "headers": True})
             self.tables += 1
+        elif not self.open:
+            return
+        elif tag in ("thead", "tbody"):
+            self._row()
+            self.open[-1].update(in_head=tag == "thead", below={})
         elif tag == "tr":
             self._row()
-        elif tag in ("td", "th") and self.open:
+        elif tag in ("td", "th"):
             self._cell()
-            self.open[-1][3] = []
+            spans = dict(attrs)
+            number = lambda name: max(1, min(SPAN, int(v))) if (v := (spans.get(name) or "").strip()).isdecimal() else 1
+            self.open[-1].update(text=[], span=(number("colspan"), number("rowspan")), headers=self.open[-1]["headers"] and tag == "th")
 
     def handle_endtag(self, tag):
         if tag in ("td", "th"):
             self._cell()
-        elif tag == "tr":
+        elif tag in ("tr", "thead") and self.open:
             self._row()
+            if tag == "thead":
+                self.open[-1].update(in_head=False, below={})
         elif tag == "table" and self.open:
             self._row()
             self.open.pop()
 
     def handle_data(self, data):
-        if self.open and self.open[-1][3] is not None:
-            self.open[-1][3].append(data)
+        if self.open and self.open[-1]["text"] is not None:
+            self.open[-1]["text"].append(data)
 
 
 def tables(pages: DataFrame) -> DataFrame:
-    """(page_id, table_no, row_no, cells) of every row of every table in the pages."""
+    """(page_id, table_no, row_no, head, cells) of every row of every table in the pages."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -92,19 +123,47 @@ def tables(pages: DataFrame) -> DataFrame:
                 cells.feed(page or "")
                 cells.close()
                 out += [(page_id, *r) for r in cells.rows]
-            yield pd.DataFrame(out, columns=["page_id", "table_no", "row_no", "cells"])
-
-    return pages.select("page_id", "html").mapInPandas(run, "page_id long, table_no int, row_no int, cells array<string>")
-
-
-def report_table(cells: DataFrame) -> DataFrame:
-    """Of each page the table with the most cells that are numbers, then the first, as (page_id, row_no, column, value);
-    columns are named by the first row."""
-    score = F.size(F.filter("cells", lambda c: text.number(c).isNotNull()))
-    scores = cells.groupBy("page_id", "table_no").agg(F.sum(score).alias("score"))
-    top = rows.best(scores, ["page_id"], [F.col("score").desc(), F.col("table_no")]).select("page_id", "table_no")
-    own = cells.join(top, ["page_id", "table_no"], "left_semi")
-    head = own.where("row_no = 0").select("page_id", F.transform("cells", text.slug).alias("names"))
-    body = own.where("row_no > 0").join(head, "page_id")
-    pair = F.explode(F.arrays_zip(F.slice("names", 1, F.size("cells")).alias("names"), F.slice("cells", 1, F.size("names")).alias("cells"))).alias("p")
-    return body.select("page_id", "row_no", pair).select("page_id", "row_no", F.col("p.names").alias("column"), F.col("p.cells").alias("value"))
+            yield pd.DataFrame(out, columns=["page_id", "table_no", "row_no", "head", "cells"])
+
+    return pages.select("page_id", "html").mapInPandas(run, "page_id long, table_no int, row_no int, head boolean, cells array<string>")
+
+
+# Names of report columns
+REPORT_ALIASES = {
+    "superficie_ha_sembrada": "superficie_sembrada_ha", "superficie_ha_cosechada": "superficie_cosechada_ha", "superficie_ha_siniestrada": "superficie_siniestrada_ha",
+}
+
+
+def report_table(cells: DataFrame, terms: Sequence[str] = (), aliases: Mapping[str, str] = REPORT_ALIASES) -> DataFrame:
+    """Of each page the largest table, as (page_id, row_no, column, value); with ``terms`` the one with the most columns
+    of these names, of equals the largest; of equals the first.
+
+    Leading header rows are joined to one name for each column, each text once; without any the first row is the header.
+    A column without a name is ``numero``; of columns with one name the first stays; blank rows go, blank cells are null.
+    """
+    key = ["page_id", "table_no"]
+    size = cells.groupBy(*key).agg(F.min(F.when(~F.col("head"), F.col("row_no"))).alias("body"), F.max(F.size("cells")).alias("width"), F.count(F.lit(1)).alias("n"))
+    size = size.withColumn("body", F.greatest(F.coalesce("body", "n"), F.lit(1)))
+    all_ = cells.join(size, key).select(*key, "row_no", "body", F.posexplode("cells").alias("at", "cell"))
+    heads = all_.where(F.col("row_no") < F.col("body")).groupBy(*key, "at").agg(F.array_sort(F.collect_list(F.struct("row_no", "cell"))).alias("h"))
+    texts = F.filter(F.array_distinct(F.transform("h", lambda x: x["cell"])), lambda x: (x != "") & ~F.lower(x).startswith("unnamed:"))
+    name = text.slug(F.concat_ws(" ", texts))
+    for known, other in aliases.items():
+        name = F.when(name == known, other).otherwise(name)
+    heads = heads.select(*key, "at", F.when(F.size(texts) == 0, "numero").otherwise(F.coalesce(F.nullif(name, F.lit("")), F.lit("columna"))).alias("column"))
+    heads = rows.best(heads, [*key, "column"], [F.col("at")])
+    hits = heads.groupBy(*key).agg(F.count_if(F.col("column").isin(*terms)).alias("hits"))
+    scores = size.join(hits, key).withColumn("area", (F.col("n") - F.col("body")) * F.col("width"))
+    order = [F.col("hits").desc()] if terms else []
+    top = rows.best(scores, ["page_id"], [*order, F.col("area").desc(), F.col("table_no")]).select(*key)
+    body = all_.where(F.col("row_no") >= F.col("body")).join(top, key, "left_semi").join(heads, [*key, "at"])
+    body = body.withColumn("value", F.nullif(F.trim("cell"), F.lit("")))
+    row = Window.partitionBy("page_id", "row_no")
+    return body.withColumn("__known", F.count("value").over(row)).where("__known > 0").select("page_id", "row_no", "column", "value")
+
+
+def numeric_columns(report: DataFrame) -> DataFrame:
+    """Adds ``number`` where every known value of the page's column is one; other columns stay texts."""
+    n = text.number(F.col("value"))
+    bad = F.count_if(F.col("value").isNotNull() & n.isNull()).over(Window.partitionBy("page_id", "column"))
+    return report.withColumn("number", F.when(bad == 0, n))

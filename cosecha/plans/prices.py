@@ -14,8 +14,10 @@ from pyspark.sql.window import Window
 
 from cosecha.functions import dates, numbers
 from cosecha.operators import panel, rows
+from cosecha.plans import models
 
 SOURCES = ("uno", "dos")
+HORIZONS = (7, 14, 28)
 
 
 def spreads(wholesale: DataFrame, retail: DataFrame, sources: Sequence[str] = SOURCES) -> DataFrame:
@@ -112,55 +114,59 @@ METHODS = {"persistencia": "precio", "estacional_7": "lag_7", "media_28": "media
 LEAST_ROWS = 300
 
 
+def _methods() -> dict[str, Column]:
+    return {m: F.col(c) for m, c in METHODS.items()}
+
+
 def by_method(metodo: str = "metodo") -> Column:
     """The forecast of the method that a column names."""
-    out = F.lit(None).cast("double")
-    for name, column in METHODS.items():
-        out = F.when(F.col(metodo) == name, F.col(column)).otherwise(out)
-    return out
+    return models.named(_methods(), metodo)
 
 
-def targets(feature: DataFrame, horizons: Sequence[int] = (7, 14, 28), share: float = 0.8) -> DataFrame:
+def targets(feature: DataFrame, horizons: Sequence[int] = HORIZONS, share: float = models.SHARE, keep: Sequence[str] = ()) -> DataFrame:
     """Rows with a target for each horizon (horizonte, objetivo), and whether they are after its cutoff (prueba)."""
+    names = ["cultivo", "mercado", "fecha", *dict.fromkeys([*METHODS.values(), *keep])]
     each = F.explode(F.array(*[F.struct(F.lit(h).alias("horizonte"), F.col(f"objetivo_{h}").alias("objetivo")) for h in horizons])).alias("x")
-    long = feature.select("cultivo", "mercado", "fecha", *METHODS.values(), each).select("cultivo", "mercado", "fecha", *METHODS.values(), "x.*")
-    long = long.dropna(subset=["objetivo", "lag_7"])
-    days = long.select("horizonte", "fecha").distinct()  # one row for each horizon and date
-    ranked = days.withColumn("i", F.row_number().over(Window.partitionBy("horizonte").orderBy("fecha")) - 1).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("horizonte")))
-    at = F.least(F.col("n") - 1, F.greatest(F.lit(1), F.floor(F.col("n") * share)))
-    cut = ranked.where((F.col("i") == at) & (F.col("n") >= 5)).select("horizonte", F.col("fecha").alias("corte"))
-    return long.join(F.broadcast(cut), "horizonte").withColumn("prueba", F.col("fecha") >= F.col("corte"))  # a row for each horizon
+    long = feature.select(*names, each).select(*names, "x.*")
+    return models.marked(long.dropna(subset=["objetivo", "lag_7"]), "fecha", share)
 
 
 def chosen(target: DataFrame, forced: str | None = None, least: int = LEAST_ROWS) -> DataFrame:
-    """One row for each horizon: the method with the least mae on the test part, of equals the first by name.
-
-    Below ``least`` training rows it is persistence; a ``forced`` method is taken as it is; ``motivo`` tells which.
-    """
-    one = F.explode(F.array(*[F.struct(F.lit(m).alias("metodo"), F.col(c).alias("p")) for m, c in METHODS.items()])).alias("m")
-    long = target.select("horizonte", "prueba", "objetivo", one).select("horizonte", "prueba", "objetivo", "m.*").dropna(subset=["p"])
-    miss, test = F.abs(F.col("objetivo") - F.col("p")), F.col("prueba")
-    told = long.groupBy("horizonte", "metodo").agg(
-        F.count_if(test).alias("n"), F.avg(F.when(test, miss)).alias("mae"), F.sqrt(F.avg(F.when(test, miss * miss))).alias("rmse"),
-        F.avg(F.when(test, numbers.ratio(miss, F.abs("objetivo")))).alias("mape"),
-    )
-    told = told.where("n > 0").join(target.groupBy("horizonte").agg(F.count_if(~test).alias("filas")), "horizonte")
-    few = F.col("filas") < least
-    reason = F.lit("forzado") if forced else F.when(few, "pocas_filas").otherwise("menor_mae")
-    first = F.col("metodo") != forced if forced else few & (F.col("metodo") != "persistencia")
-    return rows.best(told.withColumn("motivo", reason), ["horizonte"], [first.cast("int"), F.col("mae"), F.col("metodo")])
+    """One row for each horizon: its method by the test part; persistence below ``least`` training rows."""
+    return models.chosen(target, _methods(), "persistencia", forced, least)
 
 
 def bands(target: DataFrame, choice: DataFrame) -> DataFrame:
-    """(horizonte, r10, r90): quantiles of the chosen method's residuals on the test part, in cents.
+    """(horizonte, r10, r90): quantiles of the chosen method's residuals on the test part, in cents."""
+    return models.bands(target, choice, _methods())
+
+
+#: What boosted trees learn prices from.
+NUMERIC = (
+    "precio", *(f"lag_{k}" for k in (1, 2, 7, 14, 28)), *(f"media_{n}" for n in (7, 14, 28)), "vol_7", "vol_28", "cambio_1", "cambio_7", "dia_semana", "mes", "seno", "coseno",
+    *(f"precio_{s}" for s in SOURCES), *(f"spread_{s}" for s in SOURCES), "agua",
+)
+TREES = models.Candidate("arboles")
+
+
+def train(feature: DataFrame, horizons: Sequence[int] = HORIZONS, forced: str | None = None, least: int = LEAST_ROWS, more: Sequence[str] = (), folder: str | None = None, **options) -> models.Trained:
+    """Trees as a method of each horizon beside the simple ones; ``more``: further columns of numbers, such as proxies.
 
-    Residuals are counted by cent before the quantiles, so a task holds distinct cents and no rows.
+    Columns that the features lack are left out.  ``forced`` may name any method.
     """
-    miss = F.floor((F.col("objetivo") - by_method()) * 100 + 0.5)
-    cents = target.where("prueba").join(F.broadcast(choice.select("horizonte", "metodo")), "horizonte").select("horizonte", miss.alias("c")).dropna()
-    counts = cents.groupBy("horizonte", "c").agg(F.count(F.lit(1)).alias("n"))
-    q = F.percentile("c", F.array(F.lit(0.1), F.lit(0.9)), F.col("n"))
-    return counts.groupBy("horizonte").agg(q.alias("q")).select("horizonte", (F.col("q")[0] / 100).alias("r10"), (F.col("q")[1] / 100).alias("r90"))
+    numeric = [c for c in (*NUMERIC, *more) if c in feature.columns]
+    target = targets(feature, horizons, keep=numeric)
+    each = F.explode(F.array(*map(F.lit, horizons))).alias("horizonte")
+    newest = latest_prices(feature).select("cultivo", "mercado", "fecha", *dict.fromkeys([*METHODS.values(), *numeric]), each)
+    return models.trained(target, newest, horizons, _methods(), [TREES], numeric, ["cultivo", "mercado"], fallback="persistencia", forced=forced, least=least, folder=folder, **options)
+
+
+def trained_alerts(result: models.Trained, origins: DataFrame) -> DataFrame:
+    """Alerts of each series for each horizon by the method that its training chose."""
+    each = result.choice.select("horizonte", "metodo", "motivo").join(result.band, "horizonte")  # a row for each horizon
+    forecast = models.named(_methods() | {TREES.name: F.col(TREES.name)})
+    out = result.newest.join(F.broadcast(each), "horizonte").withColumn("pronostico", forecast)
+    return alerted(out.where("pronostico is not null"), origins).withColumn("persistencia", F.col("metodo") == "persistencia")
 
 
 def horizon_alerts(last: DataFrame, choice: DataFrame, band: DataFrame, origins: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cosecha.plans import master, prices, production, water
+from cosecha.plans import master, models, prices, production, water
 from cosecha.sources.files import write_tables
 
 
@@ -32,11 +32,16 @@ def analyses(wholesale: DataFrame, retail: DataFrame, dams: DataFrame, weather:
     spread = prices.spreads(wholesale, retail)
     price = water.on_prices(prices.features(wholesale, spread), water.national(state)).join(product_context(cast), "cultivo", "left")
     week = prices.weekly(wholesale, spread)
+    target, goal = water.targets(dam), prices.targets(price)
+    choice, method = models.chosen(target, water.methods(), "decena_anterior", least=water.LEAST_ROWS), prices.chosen(goal)
+    dam_alerts = water.horizon_alerts(water.by_horizon(target, water.newest(dam)), choice, models.bands(target, choice, water.methods(), water.PARTS))
+    price_alerts = prices.horizon_alerts(prices.latest_prices(price), method, prices.bands(goal, method), prices.main_origins(wholesale))
     return {
         **{f"master_{k}": v for k, v in master.tables(wholesale, retail, progress, annual_records).items()},
-        "water_climate": climate, "water_features": dam, "water_states": state,
+        "water_climate": climate, "water_features": dam, "water_states": state, "water_methods": choice, "water_alerts": dam_alerts,
         "production_forecast": cast, "production_summary": production.summary(cast), "production_top_risks": production.top_risks(cast),
         "price_features": price, "price_spreads": spread, "price_anomalies": prices.anomalies(spread), "price_weeks": week, "price_cards": cards(week),
+        "price_methods": method, "price_alerts": price_alerts, "price_horizons": prices.horizon_summary(price_alerts),
     }
 
 

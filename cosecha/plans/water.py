@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cosecha.functions import dates, numbers
-from cosecha.operators import asof, panel
+from cosecha.operators import asof, panel, rows
+from cosecha.plans import models
 
 
 def climate_decenas(weather: DataFrame) -> DataFrame:
@@ -80,6 +81,79 @@ def alerts(last: DataFrame, horizons: Sequence[int] = (3, 6, 9), spread: float =
     return out.withColumns({f"dias_bajo_{t}": F.min(F.when((F.col("pronostico") < t) | (F.col(f"prob_{t}") >= 0.5), F.col("horizonte"))).over(dam) for t in (40, 25, 15)})
 
 
+HORIZONS = (3, 6, 9)
+LEAST_ROWS = 200
+NEWEST_DAYS = 45
+PARTS = 10_000  # residuals of percentages are told apart to this part of a point
+
+#: What boosted trees learn reservoirs from.
+NUMERIC = (
+    "pct", "hm3", "name", "namo", "mes", "decena", "decena_anual", "mes_seno", "mes_coseno", "decena_seno", "decena_coseno", *(f"lag_{k}" for k in (1, 2, 3, 6, 12, 36)), "cambio_1", "cambio_3", "cambio_6",
+    "media_3", "media_6", "desv_6", "brecha_3", "brecha_6", "tendencia_3", "tendencia_6", "anual", "lluvia", "temperatura", "evaporacion", "balance", "lluvia_lag_1", "lluvia_3", "evaporacion_3", "balance_3",
+)
+TREES = (models.Candidate("arboles_nivel"), models.Candidate("arboles_delta", "delta", "pct"))
+
+
+def methods() -> dict[str, Column]:
+    """The simple methods: this decena, the same of the year before, the mean of three, and the season's usual change."""
+    return {"decena_anterior": F.col("pct"), "misma_decena_anio_anterior": F.coalesce("lag_36", "pct"), "promedio_3_decenas": F.coalesce("media_3", "pct"), "delta_estacional_mediana": F.col("estacional")}
+
+
+def targets(feature: DataFrame, horizons: Sequence[int] = HORIZONS, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows with a target and a change for each horizon, whether they are after its cutoff, and the seasonal forecast by
+    the changes before it."""
+    names = ["presa", "fecha", *dict.fromkeys(["pct", "lag_1", "lag_36", "media_3", "decena_anual", *keep])]
+    each = F.explode(F.array(*[F.struct(F.lit(h).alias("horizonte"), F.col(f"objetivo_{h}").alias("objetivo"), F.col(f"delta_{h}").alias("delta")) for h in horizons])).alias("x")
+    long = feature.select(*names, each).select(*names, "x.*").dropna(subset=["objetivo", "delta", "pct", "lag_1"])
+    long = models.marked(long, "fecha")
+    return seasonal(long.where(~F.col("prueba")), long)
+
+
+def seasonal(train: DataFrame, rows_: DataFrame) -> DataFrame:
+    """``rows_`` with ``estacional``: pct plus the median change of their horizon's decena of the year, or of all decenas.
+
+    Changes are counted before the medians, so a task holds distinct changes and no rows.
+    """
+    counts = train.dropna(subset=["delta"]).groupBy("horizonte", "decena_anual", "delta").agg(F.count(F.lit(1)).alias("n"))
+    middle = F.percentile("delta", F.lit(0.5), F.col("n"))
+    by = counts.groupBy("horizonte", "decena_anual").agg(middle.alias("m_decena"))
+    all_ = counts.groupBy("horizonte", "delta").agg(F.sum("n").alias("n")).groupBy("horizonte").agg(middle.alias("m_todas"))
+    out = rows_.join(F.broadcast(by), ["horizonte", "decena_anual"], "left").join(F.broadcast(all_), "horizonte", "left")  # 37 rows a horizon
+    return out.withColumn("estacional", F.col("pct") + F.coalesce("m_decena", "m_todas", F.lit(0.0))).drop("m_decena", "m_todas")
+
+
+def newest(feature: DataFrame, days: int = NEWEST_DAYS) -> DataFrame:
+    """The last row of each reservoir that is within ``days`` of the newest of all."""
+    since = feature.agg(F.date_sub(F.max("fecha"), days).alias("since"))
+    return rows.latest(feature, ["presa"], "fecha").crossJoin(F.broadcast(since)).where("fecha >= since").drop("since")  # one row
+
+
+def horizon_alerts(last: DataFrame, choice: DataFrame, band: DataFrame, told: Sequence[models.Candidate] = ()) -> DataFrame:
+    """Alerts of each reservoir for each horizon by its method; ``last`` has horizonte and the columns of all methods."""
+    each = choice.select("horizonte", "metodo", "motivo").join(band, "horizonte")  # a row for each horizon
+    f = F.col("pronostico")
+    out = last.join(F.broadcast(each), "horizonte").withColumn("pronostico", models.named(methods() | {c.name: F.col(c.name) for c in told}))
+    out = out.where("pronostico is not null").withColumns({"p10": f + F.col("r10"), "p90": f + F.col("r90"), "dias": F.col("horizonte") * 10, "cambio_puntos": f - F.col("pct"), "cambio_pct": numbers.change(f, F.col("pct"))})
+    out = out.withColumns({f"prob_{t}": numbers.below(F.lit(float(t)), f, F.col("p10"), F.col("p90")) for t in (40, 25, 15)} | {"hm3_pronostico": volume(f, F.col("namo")), "persistencia": F.col("metodo") == "decena_anterior"})
+    out = out.withColumn("nivel", numbers.water_level(f, F.col("prob_40"), F.col("prob_25"), F.col("prob_15")))
+    dam = Window.partitionBy("presa")  # a row for each horizon
+    return out.withColumns({f"dias_bajo_{t}": F.min(F.when((F.col("pronostico") < t) | (F.col(f"prob_{t}") >= 0.5), F.col("dias"))).over(dam) for t in (40, 25, 15)})
+
+
+def by_horizon(target: DataFrame, last: DataFrame, horizons: Sequence[int] = HORIZONS) -> DataFrame:
+    """The last rows once for each horizon, with the season's usual change of all that is known."""
+    each = last.withColumn("horizonte", F.explode(F.array(*map(F.lit, horizons))))
+    return seasonal(target, each)
+
+
+def train(feature: DataFrame, horizons: Sequence[int] = HORIZONS, forced: str | None = None, least: int = LEAST_ROWS, folder: str | None = None, **options) -> models.Trained:
+    """Trees of the level and of the change as methods of each horizon beside the simple ones."""
+    numeric = [c for c in NUMERIC if c in feature.columns]
+    target = targets(feature, horizons, keep=[*numeric, "estado"])
+    last = by_horizon(target, newest(feature), horizons)
+    return models.trained(target, last, horizons, methods(), TREES, numeric, ["estado"], fallback="decena_anterior", forced=forced, least=least, parts=PARTS, folder=folder, **options)
+
+
 def summary(alert: DataFrame) -> DataFrame:
     """Per horizon: reservoirs, critical, high or critical, mean forecast and mean absolute change, commonest level."""
     return alert.groupBy("horizonte").agg(

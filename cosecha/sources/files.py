@@ -26,13 +26,25 @@ def scan(spark: SparkSession, root: str, glob: str = "*", fmt: str = "csv", **op
     if fmt == "csv":
         reader = reader.option("header", True).option("encoding", options.pop("encoding", "UTF-8"))
     df = reader.options(**options).load(root)
+    return _with_meta(df)
+
+
+def _with_meta(df: DataFrame) -> DataFrame:
+    """Adds META; lock files that office programs leave beside a file go."""
     path = F.col("_metadata.file_path")
-    return df.select(
+    out = df.select(
         "*",
         F.col("_metadata.file_name").alias("source_file"),
         F.try_to_date(F.nullif(F.regexp_extract(path, r"/(\d{4}-\d{2}-\d{2})/", 1), F.lit("")), "yyyy-MM-dd").alias("folder_date"),
         F.col("_metadata.file_modification_time").alias("modified_at"),
     )
+    return out.where(~F.regexp_like("source_file", F.lit(r"^(~|%7E)\$")))
+
+
+def arriving(spark: SparkSession, root: str, schema: str, glob: str = "*", fmt: str = "csv") -> DataFrame:
+    """A stream of the files that arrive in dated folders under ``root``, with META; each file is read once."""
+    reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+    return _with_meta((reader.option("header", True) if fmt == "csv" else reader).load(root))
 
 
 def union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -79,6 +91,44 @@ def wide_series(files: DataFrame, date: str, units: Mapping[str, str] | None = N
     return long.select(day.alias("fecha"), "serie", text.number(F.nullif(F.trim("precio"), F.lit("…"))).alias("precio_original")).dropna()
 
 
+def sheets(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
+    """(source_file, line, cells) of small CSV files whose first lines are no plain header; one file is one row first.
+
+    Cells may be quoted, but lines end where they end.
+    """
+    whole = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
+    lines = whole.select(F.col("_metadata.file_name").alias("source_file"), F.posexplode(F.split("value", "\r?\n")).alias("line", "text"))
+    cells = F.transform(F.split("text", ',(?=(?:[^"]*"[^"]*")*[^"]*$)'), lambda c: F.replace(F.regexp_replace(F.trim(c), '^"|"$', ""), F.lit('""'), F.lit('"')))
+    return lines.where(F.trim("text") != "").select("source_file", "line", cells.alias("cells"))
+
+
+def headed_series(sheet: DataFrame, names_at: int = 4, units_at: int = 5) -> DataFrame:
+    """(source_file, fecha, serie, precio_original, unidad_origen) of sheets with a line of names, a line of units and
+    then a line for each month; columns without a name go, as do cells that are no numbers."""
+    cells = sheet.select("source_file", "line", F.col("cells")[0].alias("mes"), F.posexplode("cells").alias("at", "cell")).where("at > 0")
+    head = cells.where(F.col("line").isin(names_at, units_at)).groupBy("source_file", "at").agg(F.max(F.when(F.col("line") == names_at, F.trim("cell"))).alias("serie"), F.coalesce(F.max(F.when(F.col("line") == units_at, F.trim("cell"))), F.lit("")).alias("unidad_origen"))
+    day = F.coalesce(dates.month_code(F.trim("mes")), dates.any_date(F.trim("mes")))
+    body = cells.where(F.col("line") > max(names_at, units_at)).join(head.where("serie <> ''"), ["source_file", "at"])
+    return body.select("source_file", day.alias("fecha"), "serie", text.number(F.col("cell")).alias("precio_original"), "unidad_origen").dropna(subset=["fecha", "precio_original"])
+
+
+# Headers of a long table of series
+LONG_SERIES = {
+    "fecha": ["date", "period", "time_period", "observation_date"], "serie": ["commodity", "series", "name", "producto", "indicator"], "precio_original": ["value", "precio", "price", "obs_value", "valor"],
+}
+
+
+def commodity_series(table: DataFrame) -> DataFrame:
+    """(fecha, serie, precio_original) of a table that has a column for each of them, whatever their headers, else of a
+    table of days by series, whose first column is the day."""
+    own = {rows.header_key(c) for c in table.columns}
+    if not all(own & {name, *aliases} for name, aliases in LONG_SERIES.items()):
+        return wide_series(table, table.columns[0])
+    out = rows.conform(table, LONG_SERIES, {c: "string" for c in LONG_SERIES})
+    day = F.coalesce(dates.month_code(F.col("fecha")), dates.any_date(F.col("fecha")))
+    return out.select(day.alias("fecha"), F.trim("serie").alias("serie"), text.number(F.col("precio_original")).alias("precio_original")).dropna()
+
+
 def fx_rates(files: DataFrame) -> DataFrame:
     """(fecha, tipo_cambio_mxn_usd) of a daily file with '.' for missing days."""
     own = rows.conform(files, {"fecha": ["observation_date", "date"], "tipo_cambio_mxn_usd": ["dexmxus", "value"]}, {"fecha": "date", "tipo_cambio_mxn_usd": "double"})
@@ -176,3 +226,10 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='cosecha-')}"
     return f"{base.rstrip('/')}/cosecha/{name}-{uuid.uuid4().hex}"
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """Writes a table to a new scratch folder and reads it: what follows does not compute it again."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -128,6 +128,65 @@ def query_config(table: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.checked(own, rules)
 
 
+# Kinds of reservoir queries, the first year that there is, and the headers of their table
+REQUEST_KINDS = ("presas_periodo", "presas_estado", "serie_presa")
+FIRST_YEAR, SERIES_YEARS = 1999, 9
+REQUEST_ALIASES = {
+    "activo": ["active"], "consulta": ["query_name", "nombre_consulta"], "tipo_consulta": ["query_type"], "id_conagua": [], "nombre_oficial": ["dam_name"], "estado": ["state"], "anio": ["year"], "mes": ["month"],
+    "decena": ["day_block"], "anio_inicial": ["start_year"], "anio_final": ["end_year"],
+}
+
+
+def request_ranges(table: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Good rows of a table of reservoir queries with the years that they cover (desde, hasta), and bad rows with errors.
+
+    A series of one reservoir needs its id or name and covers ten years unless it says where it begins; a state needs its
+    name; a period may go on to a last year (hasta_periodo).  Rows that are not active are in neither.
+    """
+    years = ("anio", "mes", "decena", "anio_inicial", "anio_final")
+    own = rows.conform(table, REQUEST_ALIASES, {c: "int" if c in years else "string" for c in REQUEST_ALIASES})
+    kind = F.lower(F.trim("tipo_consulta"))
+    own = own.where(text.truthy(F.col("activo"))).withColumns({c: text.blank_to_null(F.col(c)) for c in ("consulta", "id_conagua", "nombre_oficial", "estado")} | {"tipo_consulta": kind, "hasta": F.coalesce("anio_final", "anio")})
+    series = F.col("tipo_consulta") == "serie_presa"
+    own = own.withColumns({
+        "desde": F.when(series & F.col("anio_inicial").isNull(), F.greatest(F.col("hasta") - SERIES_YEARS, F.lit(FIRST_YEAR))).otherwise(F.col("anio_inicial")),
+        "hasta_periodo": F.when(F.col("tipo_consulta") == "presas_periodo", F.col("anio_final")),
+    })
+    rules = {
+        "tipo_consulta": F.col("tipo_consulta").isin(*REQUEST_KINDS), "anio": F.col("anio").isNotNull(), "mes": F.col("mes").between(1, 12), "decena": F.col("decena").between(1, 3),
+        "anio_final": F.col("hasta_periodo").isNull() | (F.col("hasta_periodo") >= F.col("anio")), "presa": ~series | F.col("id_conagua").isNotNull() | F.col("nombre_oficial").isNotNull(),
+        "estado": (F.col("tipo_consulta") != "presas_estado") | F.col("estado").isNotNull(), "anio_inicial": F.col("desde").isNull() | (F.col("desde") <= F.col("hasta")),
+    }
+    return rows.checked(own, rules)
+
+
+PROXY_COLUMNS = ("activo", "producto_canonico", "proxy_id", "fuente", "serie", "tipo_proxy", "uso_modelo", "frecuencia", "moneda", "unidad_origen")
+# Market reports by product (key, word of the report, strength), the exchange rate and its products, and monthly series
+REPORT_PROXIES = (
+    ("Aguacate", "aguacate", "avocado", "fuerte"), ("Tomate rojo", "tomate_rojo", "tomato", "fuerte"), ("Limón", "limon", "lime", "fuerte"), ("Mango", "mango", "mango", "fuerte"),
+    ("Chile verde", "chile_verde", "pepper", "medio"), ("Cebolla", "cebolla", "onion", "medio"), ("Papa", "papa", "potato", "medio"), ("Zanahoria", "zanahoria", "carrot", "medio"),
+)
+RATE_PRODUCTS = ("Aguacate", "Tomate rojo", "Limón", "Mango", "Chile verde", "Cebolla", "Papa", "Zanahoria", "Plátano", "Elote")
+MONTHLY_PROXIES = (("Elote", "world_bank_maize", "Maize", "medio", "$/mt"), ("Plátano", "world_bank_banana_us", "Banana, US", "medio", "$/kg"), ("Limón", "world_bank_orange", "Orange", "debil", "$/kg"))
+
+
+def default_proxies(spark: SparkSession) -> DataFrame:
+    """The proxies of international prices that hold where nothing is configured."""
+    out = [(True, p, f"usda_ams_{k}", "usda_ams", word, kind, "feature", "diaria", "USD", "segun_reporte_usda") for p, k, word, kind in REPORT_PROXIES]
+    out += [(True, p, "fx_usdmxn", "fred", "DEXMXUS", "fx", "feature", "diaria", "MXN", "MXN por USD") for p in RATE_PRODUCTS]
+    out += [(True, p, key, "world_bank", series, kind, "diagnostico_only", "mensual", "USD", unit) for p, key, series, kind, unit in MONTHLY_PROXIES]
+    return spark.createDataFrame(out, "activo boolean, " + ", ".join(f"{c} string" for c in PROXY_COLUMNS[1:]))
+
+
+def proxy_config(spark: SparkSession, table: DataFrame | None = None) -> DataFrame:
+    """The configured proxies in their columns, or the defaults where there is no table or all of it is blank."""
+    if table is None:
+        return default_proxies(spark)
+    own = rows.conform(table, {}, {c: "string" for c in PROXY_COLUMNS})
+    own = own.dropna(how="all").withColumn("activo", text.truthy(F.col("activo")))
+    return default_proxies(spark) if own.isEmpty() else own
+
+
 def work_list(config: DataFrame, overrides: Mapping[str, str], column: str) -> DataFrame:
     """(producto_canonico, consulta): what to ask for each active product; the column of the configuration, else the
     map, else the product itself with blanks."""

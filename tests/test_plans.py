@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cosecha.operators import asof, panel, rows
 from cosecha.plans import catalog, history, international, master, models, pages, prices, production, water
 from cosecha.sources import files
-from cosecha.streaming import incremental
+from cosecha.streaming import incremental, refresh
 
 D = lambda m, d: dt.date(2026, m, d)
 WHOLESALE = "fecha date, cultivo string, mercado string, origen string, precio double, precio_minimo double, precio_maximo double"
@@ -176,6 +176,49 @@ def test_html_tables(spark):
     assert [tuple(r)[2:] for r in pages.report_table(cells).orderBy("column").collect()] == [("cultivo", "Papa & col"), ("precio", "1,200")]
 
 
+def test_report_headers(spark):
+    plain = "<table><tr><td>Precio</td><td>Precio</td><td></td></tr><tr><td>7</td><td>8</td><td>x</td></tr><tr><td> </td><td></td><td></td></tr><tr><td>y</td><td></td><td></td></tr></table>"
+    two = '<table><tr><th rowspan=2>Entidad</th><th colspan="2">Superficie (ha)</th></tr><tr><th>Sembrada</th><th>Unnamed: 1</th></tr><tr><td rowspan="2">Sonora</td><td>1</td><td>2</td></tr><tr><td>3</td><td>4</td></tr></table>'
+    cells = pages.tables(spark.createDataFrame([(1, plain), (2, two), (3, "<table><tr><th>solo</th></tr></table>"), (4, "<p>none")], "page_id long, html string"))
+    got = pages.numeric_columns(pages.report_table(cells)).collect()
+    rows_ = lambda n: sorted((r["row_no"], r["column"], r["value"], r["number"]) for r in got if r["page_id"] == n)
+    assert rows_(1) == [(1, "numero", "x", None), (1, "precio", "7", None), (3, "numero", None, None), (3, "precio", "y", None)]
+    assert rows_(2) == [(2, "entidad", "Sonora", None), (2, "superficie_ha", "2", 2), (2, "superficie_sembrada_ha", "1", 1), (3, "entidad", "Sonora", None), (3, "superficie_ha", "4", 4), (3, "superficie_sembrada_ha", "3", 3)]
+    assert rows_(3) == rows_(4) == []
+
+
+def test_trees_as_a_method(spark, tmp_path):
+    """Trees win where the simple methods know nothing of what decides, are saved, and leave unknown categories alone."""
+    t = [(h, D(1, 1) + dt.timedelta(i), "ab"[i % 2], float(i % 2 * 10), None, 5.0) for h in (1, 2) for i in range(40)]
+    target = models.marked(spark.createDataFrame(t, "horizonte int, fecha date, k string, objetivo double, nada double, precio double"), "fecha")
+    newest = spark.createDataFrame([(1, "b", None, 5.0), (2, "c", None, 5.0)], "horizonte int, k string, nada double, precio double")
+    make = lambda **more: models.trained(target, newest, [1, 2], {"persistencia": F.col("precio")}, [models.Candidate("arboles")], ["nada", "precio"], ["k"], fallback="persistencia", trees=1, depth=1, **more)
+    r = make(folder=f"file://{tmp_path}/m")
+    assert {(c["metodo"], c["motivo"], c["mae"]) for c in r.choice.collect()} == {("arboles", "menor_mae", 0.0)}
+    assert r.newest.where("horizonte = 1").first()["arboles"] == 10 and (tmp_path / "m" / "arboles_2").exists()
+    few = make(least=100)
+    assert {(c["metodo"], c["motivo"]) for c in few.choice.collect()} == {("persistencia", "pocas_filas")} and few.importances is None
+    with pytest.raises(ValueError, match="no such method"):
+        models.chosen(target, {"persistencia": F.col("precio")}, "persistencia", "otro")
+
+
+def test_staged_refresh(spark, tmp_path):
+    ok, bad = (lambda done: spark.range(2)), (lambda done: 1 / 0)
+    run = lambda version, *stages: [(r["etapa"], r["estado"]) for r in refresh.refresh(spark, f"file://{tmp_path}/r", stages, version).orderBy("orden").collect()]
+    s = refresh.Stage
+    assert run("1", s("a", bad, True), s("b", ok)) == [("a", "error"), ("b", "not_run")]
+    assert run("2", s("a", ok), s("b", ok)) == [("a", "updated"), ("b", "updated")]
+    assert run("3", s("a", bad, True), s("b", bad)) == [("a", "stale_fallback"), ("b", "error")]
+    assert run("4", s("a", lambda done: None), s("b", ok)) == [("a", "skipped_existing"), ("b", "not_run")]
+
+
+def test_optional_sources(spark):
+    wide = spark.createDataFrame([(1.0, None), (None, None)], "a double, b double")
+    got = master.coverage(wide, ["a", "b"], {"b": spark.range(0)}).collect()
+    assert sorted((r["fuentes"], r["faltan"], r["cobertura"]) for r in got) == [(0, 1, 0), (1, 0, 1)]
+    assert {r["faltan"] for r in master.coverage(wide, ["a", "b"], {"b": spark.range(1)}).collect()} == {1, 2}
+
+
 def test_file_scan_and_sinks(spark, tmp_path):
     for day, price in (("2026-01-01", 10), ("2026-01-02", 12)):
         folder = tmp_path / "runs" / day / "wholesale"

@@ -104,3 +104,22 @@ def test_cards_and_runs(spark, tmp_path):
         records.write_run(rows, rows.limit(0), rows.limit(1), str(tmp_path), "2026-01-01", "s")
     records.write_run(rows, rows, rows, str(tmp_path), "2026-01-02", "s")
     assert spark.read.parquet(str(tmp_path / "data")).count() == 6
+
+
+def test_request_ranges(spark):
+    t = spark.createDataFrame([
+        ("si", "serie_presa", "X", None, "2005", "1", "1", None, None), ("si", "serie_presa", None, None, "2005", "1", "1", None, None), ("si", "presas_estado", None, "Sonora", "2020", "12", "3", "2021", None),
+        ("si", "presas_periodo", None, None, "2020", "1", "1", None, "2019"), ("no", "otra", None, None, None, None, None, None, None), ("si", "otra", None, None, "2020", "13", "4", None, None),
+    ], "activo string, tipo_consulta string, id_conagua string, estado string, anio string, mes string, decena string, anio_inicial string, anio_final string")
+    good, bad = records.request_ranges(t)
+    assert [(r["desde"], r["hasta"]) for r in good.collect()] == [(1999, 2005)]
+    assert sorted(r["errors"] for r in bad.collect()) == [["anio_final"], ["anio_inicial"], ["presa"], ["tipo_consulta", "mes", "decena"]]
+
+
+def test_proxy_defaults(spark):
+    every = records.proxy_config(spark)
+    assert every.count() == 21 and every.where("fuente = 'fred'").count() == 10
+    blank = spark.createDataFrame([(None, None)], "activo string, serie string")
+    assert records.proxy_config(spark, blank).count() == 21
+    own = records.proxy_config(spark, spark.createDataFrame([("x", "Maize"), (None, None)], "activo string, serie string")).collect()
+    assert [(r["activo"], r["serie"], r["moneda"]) for r in own] == [(True, "Maize", None)]
