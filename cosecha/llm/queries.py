@@ -1,6 +1,6 @@
 """The queries of this subpackage and, where SQL can express them, their DuckDB SQL."""
 
-from cosecha.llm import decontamination, embedding_links, html_text, language_id, mixing, near_duplicates, passages, quality, token_files, warc
+from cosecha.llm import decontamination, embedding_links, html_text, language_id, mixing, near_duplicates, passages, prefix_trie, quality, token_files, warc
 
 QUERIES = {
     "op1_warc": warc.op1,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_language_id": language_id.op8,
     "op9_passages": passages.op9,
     "op10_mixing": mixing.op10,
+    "op11_prefix_trie": prefix_trie.op11,
 }
 
 ORACLE_SQL = {
@@ -20,4 +21,5 @@ ORACLE_SQL = {
     "op3_embedding_links": embedding_links.OP3_SQL,
     "op4_near_duplicates": near_duplicates.OP4_SQL,
     "op10_mixing": mixing.OP10_SQL,
+    "op11_prefix_trie": prefix_trie.OP11_SQL,
 }

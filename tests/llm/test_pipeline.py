@@ -48,7 +48,7 @@ def test_stages(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_against_duckdb(spark, name):
     c = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "benchmark", "labels"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         c.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     got = queries.QUERIES[name](spark, SF)
     names = sorted(got.columns)
