@@ -353,8 +353,8 @@ WITH t AS (
   FROM conversations WHERE conv_id IS NOT NULL),
 c AS (
   SELECT conv_id, (CAST(xor(list_reduce(
-           list_concat([4294967295], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), x -> [ord(x), -1, -1, -1, -1, -1, -1, -1, -1]))),
-           (a, b) -> CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) AS BIGINT)) % 6 AS h
+           list_concat([4294967295], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: [ord(x), -1, -1, -1, -1, -1, -1, -1, -1]))),
+           lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) AS BIGINT)) % 6 AS h
   FROM (SELECT DISTINCT CAST(conv_id AS BIGINT) AS conv_id FROM t)),
 r AS (
   SELECT c.conv_id, pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND pos <= h
