@@ -1,6 +1,6 @@
 """The queries of this subpackage and, where SQL can express them, their DuckDB SQL."""
 
-from cosecha.llm import decontamination, embedding_links, html_text, language_id, mixing, near_duplicates, passages, prefix_trie, quality, secrets, token_files, warc
+from cosecha.llm import decontamination, embedding_links, html_text, language_id, mixing, near_duplicates, passages, prefix_trie, quality, secrets, spelling, token_files, warc
 
 QUERIES = {
     "op1_warc": warc.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op10_mixing": mixing.op10,
     "op11_prefix_trie": prefix_trie.op11,
     "op12_secrets": secrets.op12,
+    "op13_spelling": spelling.op13,
 }
 
 ORACLE_SQL = {
@@ -24,4 +25,5 @@ ORACLE_SQL = {
     "op10_mixing": mixing.OP10_SQL,
     "op11_prefix_trie": prefix_trie.OP11_SQL,
     "op12_secrets": secrets.OP12_SQL,
+    "op13_spelling": spelling.OP13_SQL,
 }
