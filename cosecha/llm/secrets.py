@@ -172,7 +172,11 @@ def secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
 def op12(spark, sf_dir: str) -> DataFrame:
     """One row per document: strong spans by kind, their digest, and all spans."""
     found = secrets(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    counts = [F.size(F.filter("base", lambda s, r=r: s["rank"] == r)).cast("long").alias(f"n_{KINDS[r]}") for r in range(3)]
+
+    def count(rank: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long").alias(f"n_{KINDS[rank]}")
+
+    counts = [count(r) for r in range(3)]
     return found.select("doc_id", *counts, F.sha2(_written(F.col("base")), 256).alias("base_sha256"), _written(F.col("spans")).alias("spans"))
 
 
