@@ -8,35 +8,59 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cosecha.operators import terms
 
-def asof_join(left: DataFrame, right: DataFrame, on: tuple[str, str], by: Sequence[str], tolerance_days: int | None = None) -> DataFrame:
-    """Each left row with the last right row of its ``by`` keys at or before its day, if it is not too old.
 
-    Each right row becomes a row for every day on which it is the last one known, so the join is an equality of keys
-    and day: rows of one key spread over its days, and no left row comes out twice.  Without a tolerance the last right
-    row holds until the latest left day.  Right columns other than the keys keep their names; of right rows with one
-    key and day the one with the greatest values stays.  Null keys and null days match nothing.
+BUCKET_DAYS = 64
+
+
+def _bucket(t: str, days: int) -> Column:
+    """Number of the stretch of ``days`` that holds a date or a timestamp."""
+    return F.floor(F.unix_micros(F.col(t).cast("timestamp")) / (days * 86_400_000_000))
+
+
+def asof_join(left: DataFrame, right: DataFrame, on: tuple[str, str], by: Sequence[str], tolerance_days: int | None = None, bucket_days: int = BUCKET_DAYS) -> DataFrame:
+    """Each left row with the last right row of its ``by`` keys at or before its time, if it is not too old.
+
+    Time is cut into buckets.  The last right row of each key and bucket is carried to the later buckets of the key, a
+    row for each; inside a bucket the times that the left side asks for and the right rows are filled in order.  So the
+    rows follow the input, however far its dates reach, and a key with all rows is spread over its buckets.  Left rows
+    themselves meet their answer in an equality of keys and time, which Spark can split.
+
+    Two dates are compared as dates, else both are timestamps.  Right columns other than the keys keep their names; of
+    right rows with one key and time the one with the greatest values stays.  Null keys and null times match nothing.
     """
     at, right_at = on
+    kinds = {dict(left.dtypes)[at], dict(right.dtypes)[right_at]}
+    kind = "date" if kinds == {"date"} else "timestamp"
     values = [c for c in right.columns if c not in by and c != right_at]
-    known = right.where(F.col(right_at).isNotNull()).dropna(subset=list(by)) if by else right.where(F.col(right_at).isNotNull())
-    held = F.max(F.struct(*[F.col(c) for c in values], F.lit(0).alias("__one"))).alias("__held")
-    days = known.groupBy(*by, F.col(right_at).cast("date").alias("__from")).agg(held)
-    days = days.select(*by, "__from", *[F.col("__held")[c].alias(c) for c in values])
-    following = F.lead("__from").over(Window.partitionBy(*by).orderBy("__from"))  # one row per key and day of the right side
-    last = left.agg(F.max(at).cast("date").alias("__last"))
-    days = days.withColumn("__next", following).crossJoin(F.broadcast(last))  # one row
-    end = F.coalesce(F.date_sub("__next", 1), F.greatest("__last", "__from"))
+    keys = [f"__k{i}" for i in range(len(by))]
+
+    def timed(df: DataFrame, t: str) -> DataFrame:
+        own = df.select(*[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], F.col(t).cast(kind).alias("__t"), *([F.col(c) for c in values] if df is right else []))
+        return own.dropna(subset=[*keys, "__t"])
+
+    held = F.struct(F.col("__t").alias("at"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(values)])
+    known = timed(right, right_at).groupBy(*keys, "__t").agg(F.max(held).alias("__row"))
+    asked = timed(left, at).distinct()
+    both = known.unionByName(asked, allowMissingColumns=True).withColumn("__bucket", _bucket("__t", bucket_days))
+    # a row for each key and bucket: the last known row of the buckets before
+    ends = both.groupBy(*keys, "__bucket").agg(F.max("__row").alias("__last"))
+    carried = F.last("__last", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1))
+    starts = ends.select(*keys, "__bucket", carried.alias("__row")).where("__row is not null").withColumn("__t", F.lit(None).cast(kind))
+    inside = Window.partitionBy(*keys, "__bucket").orderBy("__t", F.col("__row").isNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = both.unionByName(starts).withColumn("__found", F.last("__row", ignorenulls=True).over(inside))
+    found = filled.where("__row is null and __found is not null").select(*keys, "__t", "__found")
     if tolerance_days is not None:
-        end = F.least(end, F.date_add("__from", tolerance_days))
-    days = days.withColumn("__day", F.explode(F.sequence("__from", end)))
+        oldest = F.date_sub("__t", tolerance_days) if kind == "date" else F.col("__t") - F.make_dt_interval(F.lit(tolerance_days))
+        found = found.where(F.col("__found.at") >= oldest)
     new = [c for c in [right_at, *values] if c not in left.columns]
-    keys = [F.col(c).alias(f"__k{i}") for i, c in enumerate(by)]
-    days = days.select("__day", *keys, *[(F.col("__from") if c == right_at else F.col(c)).alias(c) for c in new])
-    same = F.col(at).cast("date") == F.col("__day")
-    for i, c in enumerate(by):
-        same = same & (left[c] == F.col(f"__k{i}"))
-    return left.join(days, same, "left").select(*[left[c] for c in left.columns], *new)
+    places = {right_at: "at"} | {c: f"v{i}" for i, c in enumerate(values)}
+    found = found.select(*keys, "__t", *[F.col("__found")[places[c]].alias(c) for c in new])
+    same = F.col(at).cast(kind) == F.col("__t")
+    for c, k in zip(by, keys, strict=True):
+        same = same & (left[c] == F.col(k))
+    return left.join(found, same, "left").select(*[left[c] for c in left.columns], *new)
 
 
 def asof_series(left: DataFrame, series: DataFrame, on: tuple[str, str], tolerance_days: int | None = None) -> DataFrame:
@@ -62,12 +86,16 @@ def known_by(days: DataFrame, records: DataFrame, by: str, day: str, known: str,
 def contains_join(records: DataFrame, config: DataFrame, source: str, text: str, term: str, whole: Column) -> DataFrame:
     """Records with the configuration rows of their source whose term is their text or, unless ``whole``, inside it.
 
-    ``config`` is a table of settings; the equality on the source bounds what is compared.
+    Whole texts meet their terms in an equality, the others through an index of the terms' rarest runs.
     """
-    c = config.withColumnsRenamed({source: "__source", term: "__term"})
-    same = F.lower(F.col(source)) == F.lower(F.col("__source"))
-    t, needle = F.lower(F.col(text)), F.lower(F.col("__term"))
-    return records.join(c, same & (needle != "") & F.when(whole, t == needle).otherwise(F.contains(t, needle))).drop("__source")
+    c = config.select(F.lower(F.col(source)).alias("__s"), F.lower(F.col(term)).alias("__n"), *[F.col(x) for x in config.columns if x != source and x != term], F.col(term).alias("__term"))
+    c = c.where("__n <> ''")
+    r = records.withColumns({"__t": F.lower(F.col(text)), "__g": F.lower(F.col(source)), "__w": whole})
+    held = terms.held_in(c.select(F.col("__s").alias("grupo"), F.col("__n").alias("termino")), r.where("not __w").select(F.col("__g").alias("grupo"), F.col("__t").alias("texto")))
+    inside = held.select(F.col("grupo").alias("__g"), F.col("texto").alias("__t"), F.col("termino").alias("__n"))
+    pairs = r.where("__w").withColumn("__n", F.col("__t")).unionByName(r.where("not __w").join(inside, ["__g", "__t"]))
+    kept = [F.col(x) for x in config.columns if x != source and x != term]
+    return pairs.join(c, (F.col("__g") == F.col("__s")) & (pairs["__n"] == c["__n"])).select(*[pairs[x] for x in records.columns], *kept, F.col("__term"))
 
 
 def resolve_names(asked: DataFrame, catalogue: DataFrame, asked_key: str, key: str, within: str | None = None) -> DataFrame:
@@ -75,18 +103,17 @@ def resolve_names(asked: DataFrame, catalogue: DataFrame, asked_key: str, key: s
     found, ambiguous or missing.
 
     ``within``: a column of both sides, such as the state; where the asked row has one, only its entries are tried.
-    Both sides are tables of settings: the catalogue is one row of an array.  A null or empty slug is missing.
+    Slugs meet the entries through an index of their rarest runs.  A null or empty slug is missing.
     """
-    entry = F.struct(F.col(key).alias("k"), (F.col(within) if within else F.lit(None).cast("string")).alias("w"))
-    names = catalogue.where(F.col(key).isNotNull()).agg(F.collect_set(entry).alias("__names"))  # one row
-    place = F.col(within) if within else F.lit(None).cast("string")
-    here = F.filter("__names", lambda x: F.nullif(place, F.lit("")).isNull() | (x["w"] == place))
-    k = F.col(asked_key)
-    exact, holds = F.filter(here, lambda x: x["k"] == k), F.filter(here, lambda x: F.contains(x["k"], k))
-    tried = F.when(F.size(exact) > 0, exact).otherwise(holds)
-    tried = F.when(k.isNotNull() & (k != ""), tried).otherwise(F.array().cast("array<struct<k:string,w:string>>"))
-    out = asked.crossJoin(F.broadcast(names)).withColumn("__tried", tried)
-    n = F.size("__tried")
-    status = F.when(n == 1, "found").when(n > 1, "ambiguous").otherwise("missing")
-    columns = [asked_key, *([within] if within else [])]
-    return out.select(*columns, F.when(n == 1, F.try_element_at("__tried", F.lit(1))["k"]).alias("match"), status.alias("status"))
+    place = lambda df: F.col(within) if within else F.lit(None).cast("string")
+    entries = catalogue.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), place(catalogue).alias("w")).distinct()
+    wanted = asked.select(F.col(asked_key).alias("q"), F.nullif(place(asked), F.lit("")).alias("here")).distinct()
+    one = F.lit(1).alias("grupo")
+    pairs = terms.held_in(wanted.select(one, F.col("q").alias("termino")), entries.select(one, F.col("k").alias("texto")))
+    tried = wanted.join(pairs.select(F.col("termino").alias("q"), F.col("texto").alias("k")), "q").join(entries, "k").where("here is null or w = here")
+    same = F.col("k") == F.col("q")
+    counts = tried.groupBy("q", "here").agg(F.count_if(same).alias("equal"), F.count(F.lit(1)).alias("holding"), F.min("k").alias("k"))
+    counts = counts.select(F.col("q").alias("__q"), F.col("here").alias("__here"), F.when(F.col("equal") > 0, F.col("equal")).otherwise(F.col("holding")).alias("n"), F.when(F.col("equal") > 0, F.col("q")).otherwise(F.col("k")).alias("one"))
+    out = asked.join(counts, (F.col(asked_key) == F.col("__q")) & F.nullif(place(asked), F.lit("")).eqNullSafe(F.col("__here")), "left")
+    status = F.when(F.col("n") == 1, "found").when(F.col("n") > 1, "ambiguous").otherwise("missing")
+    return out.select(*[asked[c] for c in (asked_key, *([within] if within else []))], F.when(F.col("n") == 1, F.col("one")).alias("match"), status.alias("status"))

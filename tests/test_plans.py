@@ -2,10 +2,11 @@
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cosecha.operators import asof, panel, rows
+from cosecha.operators import asof, panel, rows, terms
 from cosecha.plans import catalog, history, international, master, models, pages, prices, production, water
 from cosecha.sources import files
 from cosecha.streaming import incremental, refresh
@@ -261,3 +262,36 @@ def test_stream_by_day_and_upsert(spark, tmp_path):
         more.coalesce(1).write.mode("append").parquet(source)
     want = {D(1, 1): 2.0, dt.date(2026, 3, 1): 11.0, dt.date(2026, 4, 1): 1.0}
     assert {r["fecha"]: r["value"] for r in spark.read.parquet(table).collect()} == want and spark.read.parquet(table).count() == 3
+
+
+def test_asof_far_dates_and_buckets(spark):
+    """A far date adds a row and no more; answers come over many buckets, at the same time and after it."""
+    rng = np.random.default_rng(4)
+    day = lambda n: dt.date(2020, 1, 1) + dt.timedelta(int(n))
+    right = [(str(k), day(n), int(v)) for k, n, v in zip(rng.integers(0, 4, 60), rng.integers(0, 900, 60), rng.integers(0, 99, 60), strict=True)]
+    left = [(str(k), day(n), i) for i, (k, n) in enumerate(zip(rng.integers(0, 5, 300), rng.integers(-50, 1000, 300), strict=True))] + [("1", dt.date(9999, 12, 31), 300)]
+    r, own = spark.createDataFrame(right, "k string, at date, v int"), spark.createDataFrame(left, "k string, t date, i int")
+    for tolerance in (None, 20):
+        for bucket in (1, 7, 64):
+            got = {x["i"]: (x["at"], x["v"]) for x in asof.asof_join(own, r, ("t", "at"), ["k"], tolerance, bucket).collect()}
+            want = {}
+            for k, t, i in left:
+                past = max(((at, v) for key, at, v in right if key == k and at <= t and (tolerance is None or (t - at).days <= tolerance)), default=(None, None))
+                want[i] = past
+            assert got == want
+
+
+def test_asof_of_timestamps(spark):
+    T = lambda h, m=0: dt.datetime(2024, 3, 1, h, m)
+    right = spark.createDataFrame([("a", T(1), 1), ("a", T(1, 30), 2), ("a", T(9), 3)], "k string, at timestamp, v int")
+    left = spark.createDataFrame([("a", T(0, 59), 0), ("a", T(1), 1), ("a", T(1, 29), 2), ("a", T(8), 3), ("a", T(23), 4)], "k string, t timestamp, i int")
+    assert {x["i"]: x["v"] for x in asof.asof_join(left, right, ("t", "at"), ["k"]).collect()} == {0: None, 1: 1, 2: 1, 3: 2, 4: 3}
+
+
+def test_terms_in_texts(spark):
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("ab c"), rng.integers(1, 9))) for _ in range(120)]
+    terms_ = [(int(rng.integers(0, 2)), "".join(rng.choice(list("abc"), rng.integers(1, 6)))) for _ in range(60)] + [(0, ""), (0, None), (None, "a"), (1, "zzz")]
+    texts = [(int(rng.integers(0, 2)), w) for w in words] + [(0, None), (None, "abc")]
+    got = {tuple(r) for r in terms.held_in(spark.createDataFrame(terms_, "grupo int, termino string"), spark.createDataFrame(texts, "grupo int, texto string")).collect()}
+    assert got == {(g, t, x) for g, t in terms_ for h, x in texts if g is not None and g == h and t and x is not None and t in x}
