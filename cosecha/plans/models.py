@@ -5,16 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cosecha.functions import numbers
-from cosecha.operators import rows
+from cosecha.operators import quantiles, rows
+from cosecha.plans import trees
 from cosecha.sources import files
 
 SHARE = 0.8
@@ -52,53 +49,8 @@ def choose(metric: DataFrame, forced: str | None = None) -> DataFrame:
 
 def residual_band(test: DataFrame, actual: str, forecast: Column) -> DataFrame:
     """One row (r10, r90): quantiles of actual less forecast."""
-    q = F.percentile(F.col(actual) - forecast, F.array(F.lit(0.1), F.lit(0.9)))
-    return test.agg(q.alias("q")).select(F.col("q")[0].alias("r10"), F.col("q")[1].alias("r90"))
-
-
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def fitted(
-    train: DataFrame, target: str, numeric: Sequence[str], categories: Sequence[str] = (), *,
-    trees: int = 180, depth: int = 5, rate: float = 0.05, seed: int = 42, least: int = 1, classes: bool = False,
-) -> PipelineModel | None:
-    """Boosted trees over numbers and one-hot categories; None below ``least`` rows that have a target.
-
-    Missing numbers are the median, missing categories the commonest one, of equals the first; categories that training
-    has not seen are none of its own; columns that no training row has are left out.  ``classes``: the target is 0 or 1.
-    """
-    train = train.where(F.col(target).isNotNull()).withColumn(target, F.col(target).cast("double"))
-    facts = train.agg(F.count(F.lit(1)).alias("n"), *[F.count(c).alias(f"n_{c}") for c in (*numeric, *categories)], *[F.mode(c, True).alias(f"m_{c}") for c in categories]).first()
-    if facts["n"] < least:
-        return None
-    known = [c for c in numeric if facts[f"n_{c}"]]
-    kinds = [c for c in categories if facts[f"n_{c}"]]
-    stages, inputs = [], []
-    if kinds:
-        chosen = ", ".join(f"coalesce(`{c}`, {_quoted(str(facts[f'm_{c}']))}) AS `{c}__f`" for c in kinds)
-        stages.append(SQLTransformer(statement=f"SELECT *, {chosen} FROM __THIS__"))
-        stages.append(StringIndexer(inputCols=[f"{c}__f" for c in kinds], outputCols=[f"{c}__i" for c in kinds], handleInvalid="keep"))
-        stages.append(OneHotEncoder(inputCols=[f"{c}__i" for c in kinds], outputCols=[f"{c}__o" for c in kinds]))
-        inputs += [f"{c}__o" for c in kinds]
-    if known:
-        stages.append(Imputer(strategy="median", inputCols=known, outputCols=[f"{c}__n" for c in known]))
-        inputs = [f"{c}__n" for c in known] + inputs
-    if not inputs:
-        raise ValueError("no column has a value in training")
-    kind = GBTClassifier if classes else GBTRegressor
-    model = kind(labelCol=target, maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=0.85, seed=seed)
-    return Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol="features"), model]).fit(train)
-
-
-def importances(model: PipelineModel, sample: DataFrame, top: int = 20) -> DataFrame:
-    """(variable, importancia) of the strongest features of a fitted pipeline."""
-    out = model.transform(sample.limit(1))
-    attributes = out.schema["features"].metadata["ml_attr"]["attrs"]
-    names = {a["idx"]: a["name"] for group in attributes.values() for a in group}
-    values = model.stages[-1].featureImportances
-    return sample.sparkSession.createDataFrame([(names.get(i, str(i)), float(values[i])) for i in range(values.size)], "variable string, importancia double").orderBy(F.desc("importancia"), "variable").limit(top)
+    found = quantiles.exact_quantiles(test.select((F.col(actual) - forecast).alias("resto")), [], "resto", (0.1, 0.9))
+    return found.select(F.col("q1").alias("r10"), F.col("q2").alias("r90"))
 
 
 # Forecasts by horizon: rows with horizonte, objetivo and prueba (whether they lie after the horizon's cutoff)
@@ -142,16 +94,11 @@ def chosen(target: DataFrame, methods: Mapping[str, Column], fallback: str, forc
     return rows.best(told.withColumn("motivo", reason), ["horizonte"], [first.cast("int"), F.col("mae"), F.col("metodo")])
 
 
-def bands(target: DataFrame, choice: DataFrame, methods: Mapping[str, Column], parts: int = 100) -> DataFrame:
-    """(horizonte, r10, r90): quantiles of the chosen method's residuals on the test part, in hundredths or other parts.
-
-    Residuals are counted by part before the quantiles, so a task holds distinct parts and no rows.
-    """
-    miss = F.floor((F.col("objetivo") - named(methods)) * parts + 0.5)
-    whole = target.where("prueba").join(F.broadcast(choice.select("horizonte", "metodo")), "horizonte").select("horizonte", miss.alias("c")).dropna()
-    counts = whole.groupBy("horizonte", "c").agg(F.count(F.lit(1)).alias("n"))
-    q = F.percentile("c", F.array(F.lit(0.1), F.lit(0.9)), F.col("n"))
-    return counts.groupBy("horizonte").agg(q.alias("q")).select("horizonte", (F.col("q")[0] / parts).alias("r10"), (F.col("q")[1] / parts).alias("r90"))
+def bands(target: DataFrame, choice: DataFrame, methods: Mapping[str, Column]) -> DataFrame:
+    """(horizonte, r10, r90): quantiles of the chosen method's residuals on the test part."""
+    whole = target.where("prueba").join(F.broadcast(choice.select("horizonte", "metodo")), "horizonte")  # a row for each horizon
+    found = quantiles.exact_quantiles(whole.select("horizonte", (F.col("objetivo") - named(methods)).alias("resto")), ["horizonte"], "resto", (0.1, 0.9))
+    return found.select("horizonte", F.col("q1").alias("r10"), F.col("q2").alias("r90"))
 
 
 @dataclass(frozen=True)
@@ -162,55 +109,46 @@ class Candidate:
     label: str = "objetivo"
     shift: str | None = None
 
-    def told(self, model: PipelineModel | None, df: DataFrame) -> DataFrame:
-        """``df`` with the forecast in a column of this name; null without a model."""
-        if model is None:
-            return df.withColumn(self.name, F.lit(None).cast("double"))
-        out = model.transform(df).withColumn(self.name, F.col("prediction") + (F.col(self.shift) if self.shift else F.lit(0.0)))
-        return out.select(*df.columns, self.name)
-
 
 @dataclass(frozen=True)
 class Trained:
     """What a training gives: the choice of each horizon, (horizonte, r10, r90), the newest rows with the columns of all
-    methods, and (horizonte, metodo, variable, importancia) of the models that were fitted last, None if none was."""
+    methods, (horizonte, metodo, variable, importancia) of the last models, None if there is none, and the back-tested rows."""
 
     choice: DataFrame
     band: DataFrame
     newest: DataFrame
     importances: DataFrame | None
+    tested: DataFrame
 
 
 def trained(
-    target: DataFrame, newest: DataFrame, horizons: Sequence[int], methods: Mapping[str, Column], candidates: Sequence[Candidate], numeric: Sequence[str], categories: Sequence[str], *,
-    fallback: str, forced: str | None = None, least: int = 1, parts: int = 100, folder: str | None = None, **options,
+    target: DataFrame, newest: DataFrame, methods: Mapping[str, Column], candidates: Sequence[Candidate], numeric: Sequence[str], categories: Sequence[str], row: Sequence[str], *,
+    fallback: str, forced: str | None = None, least: int = 1, folder: str | None = None, top: int = 20, **options,
 ) -> Trained:
     """Back-tests the methods and candidates of each horizon, and forecasts ``newest`` (with its horizonte) by the best.
 
-    A candidate is fitted on the rows before the cutoff to be judged, and on all rows if its horizon chose it, or if a
-    ``folder`` is given, where every last model is saved as <name>_<horizon>.  Rows and forecasts are written tables, as
-    each fit reads them many times.
+    Each candidate is fitted twice for each horizon, on the rows before the cutoff to be judged and on all rows to
+    forecast; all these models grow together.  ``row``: the columns that tell rows apart.  With a ``folder`` the last
+    models are saved there.
     """
+    spark = target.sparkSession
     target = files.saved(target, "targets")
+    horizons = sorted(r["horizonte"] for r in target.select("horizonte").distinct().collect())  # a row for each horizon
+    fits = [trees.Fit(f"{c.name}_{h}_{'final' if last else 'prueba'}", h, c.label, last) for c in candidates for h in horizons for last in (False, True)]
+    known = trees.boosted(target, fits, numeric, categories, row, least=least, **options)
+
+    def of(c: Candidate, last: bool) -> dict[int, trees.Model]:
+        return {m.fit.group: m for m in known.values() if m.fit.name.startswith(f"{c.name}_{m.fit.group}_") and m.fit.last == last}
+
+    tested, ahead = target, newest
     for c in candidates:
-        parts_of = []
-        for h in horizons:
-            own = target.where(F.col("horizonte") == h)
-            model = fitted(own.where(~F.col("prueba")), c.label, numeric, categories, least=least, **options)
-            parts_of += [c.told(None, own.where(~F.col("prueba"))), c.told(model, own.where("prueba"))]
-        target = files.saved(files.union(parts_of), "forecasts")
+        tested, ahead = trees.predicted(tested, of(c, False), c.name, c.shift), trees.predicted(ahead, of(c, True), c.name, c.shift)
+    tested = files.saved(tested, "forecasts")
     every = dict(methods) | {c.name: F.col(c.name) for c in candidates}
-    choice = files.saved(chosen(target, every, fallback, forced, least), "choice")
-    picked = {r["horizonte"]: r["metodo"] for r in choice.collect()}  # a row for each horizon
-    last, told = [], []
-    for h in horizons:
-        own, all_ = newest.where(F.col("horizonte") == h), target.where(F.col("horizonte") == h)
-        for c in candidates:
-            model = fitted(all_, c.label, numeric, categories, least=least, **options) if folder or picked.get(h) == c.name else None
-            own = c.told(model, own)
-            if model is not None:
-                told.append(importances(model, all_).select(F.lit(h).alias("horizonte"), F.lit(c.name).alias("metodo"), "variable", "importancia"))
-                if folder:
-                    model.write().overwrite().save(f"{folder}/{c.name}_{h}")
-        last.append(own)
-    return Trained(choice, files.saved(bands(target, choice, every, parts), "bands"), files.union(last), files.union(told) if told else None)
+    choice = files.saved(chosen(tested, every, fallback, forced, least), "choice")
+    told = [(m.fit.group, c.name, variable, share) for c in candidates for m in of(c, True).values() for variable, share in m.importances(top)]
+    if folder and known:
+        trees.write_models([m for m in known.values() if m.fit.last], folder, spark)
+    shown = spark.createDataFrame(told, "horizonte int, metodo string, variable string, importancia double") if told else None
+    return Trained(choice, files.saved(bands(tested, choice, every), "bands"), ahead, shown, tested)

@@ -137,7 +137,7 @@ def chosen(target: DataFrame, forced: str | None = None, least: int = LEAST_ROWS
 
 
 def bands(target: DataFrame, choice: DataFrame) -> DataFrame:
-    """(horizonte, r10, r90): quantiles of the chosen method's residuals on the test part, in cents."""
+    """(horizonte, r10, r90): quantiles of the chosen method's residuals on the test part."""
     return models.bands(target, choice, _methods())
 
 
@@ -158,7 +158,8 @@ def train(feature: DataFrame, horizons: Sequence[int] = HORIZONS, forced: str |
     target = targets(feature, horizons, keep=numeric)
     each = F.explode(F.array(*map(F.lit, horizons))).alias("horizonte")
     newest = latest_prices(feature).select("cultivo", "mercado", "fecha", *dict.fromkeys([*METHODS.values(), *numeric]), each)
-    return models.trained(target, newest, horizons, _methods(), [TREES], numeric, ["cultivo", "mercado"], fallback="persistencia", forced=forced, least=least, folder=folder, **options)
+    keys = ["cultivo", "mercado"]
+    return models.trained(target, newest, _methods(), [TREES], numeric, keys, [*keys, "fecha"], fallback="persistencia", forced=forced, least=least, folder=folder, **options)
 
 
 def trained_alerts(result: models.Trained, origins: DataFrame) -> DataFrame:

@@ -101,7 +101,7 @@ def nowcast(feature: DataFrame, forced: str | None = None, folder: str | None =
     numeric = [c for c in NUMERIC if c in feature.columns]
     target = files.saved(labelled(feature), "labelled")
     newest = rows.latest(feature, [*KEYS, "anio"], "corte").withColumns({"horizonte": F.lit(0), BASE: baseline().cast("double")})
-    result = models.trained(target, newest, [0], {BASE: F.col(BASE)}, [TREES], numeric, KEYS, fallback=BASE, forced=forced, folder=folder, **options)
+    result = models.trained(target, newest, {BASE: F.col(BASE)}, [TREES], numeric, KEYS, [*KEYS, "corte"], fallback=BASE, forced=forced, folder=folder, top=30, **options)
     chosen = result.choice.first()  # one row
     method, reason = (chosen["metodo"], chosen["motivo"]) if chosen else (BASE, "pocas_filas")
     if method == BASE:

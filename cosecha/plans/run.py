@@ -34,7 +34,7 @@ def analyses(wholesale: DataFrame, retail: DataFrame, dams: DataFrame, weather:
     week = prices.weekly(wholesale, spread)
     target, goal = water.targets(dam), prices.targets(price)
     choice, method = models.chosen(target, water.methods(), "decena_anterior", least=water.LEAST_ROWS), prices.chosen(goal)
-    dam_alerts = water.horizon_alerts(water.by_horizon(target, water.newest(dam)), choice, models.bands(target, choice, water.methods(), water.PARTS))
+    dam_alerts = water.horizon_alerts(water.by_horizon(target, water.newest(dam)), choice, models.bands(target, choice, water.methods()))
     price_alerts = prices.horizon_alerts(prices.latest_prices(price), method, prices.bands(goal, method), prices.main_origins(wholesale))
     return {
         **{f"master_{k}": v for k, v in master.tables(wholesale, retail, progress, annual_records).items()},

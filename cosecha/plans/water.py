@@ -84,7 +84,6 @@ def alerts(last: DataFrame, horizons: Sequence[int] = (3, 6, 9), spread: float =
 HORIZONS = (3, 6, 9)
 LEAST_ROWS = 200
 NEWEST_DAYS = 45
-PARTS = 10_000  # residuals of percentages are told apart to this part of a point
 
 #: What boosted trees learn reservoirs from.
 NUMERIC = (
@@ -151,7 +150,7 @@ def train(feature: DataFrame, horizons: Sequence[int] = HORIZONS, forced: str |
     numeric = [c for c in NUMERIC if c in feature.columns]
     target = targets(feature, horizons, keep=[*numeric, "estado"])
     last = by_horizon(target, newest(feature), horizons)
-    return models.trained(target, last, horizons, methods(), TREES, numeric, ["estado"], fallback="decena_anterior", forced=forced, least=least, parts=PARTS, folder=folder, **options)
+    return models.trained(target, last, methods(), TREES, numeric, ["estado"], ["presa", "fecha"], fallback="decena_anterior", forced=forced, least=least, folder=folder, **options)
 
 
 def summary(alert: DataFrame) -> DataFrame:

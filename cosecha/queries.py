@@ -734,13 +734,4 @@ def ranked_offers(t: Tables) -> DataFrame:
     return shown(retail.best_per_crop(found, preferred).select("cultivo", "page_id", "nombre", "unidad", "precio", "precio_kg"))
 
 
-@query()
-def boosted_prices(t: Tables) -> DataFrame:
-    """Metrics of boosted trees against the simple methods, on the test part of the features; rows only."""
-    f = prices.features(t.wholesale()).dropna(subset=["objetivo_7", "lag_7"])
-    train, test = models.split(f, "fecha")
-    fit = models.fitted(train, "objetivo_7", ["precio", "lag_1", "lag_7", "media_7", "media_28", "seno", "coseno"], ["cultivo", "mercado"], trees=10, depth=3)
-    return models.metrics(fit.transform(test), "objetivo_7", {"arboles": F.col("prediction"), "persistencia": F.col("precio"), "estacional_7": F.col("lag_7")})
-
-
 from cosecha import job_queries, row_queries  # noqa: E402, F401  registers its queries

@@ -28,8 +28,8 @@ mm AS (SELECT horizonte, metodo, a, {BY_METHOD.format("metodo")} AS p FROM t1, (
 me AS (SELECT horizonte, metodo, count(*) AS n, {METRIC} FROM mm WHERE p IS NOT NULL GROUP BY ALL),
 ch AS (SELECT me.*, filas, CASE WHEN filas < 300 THEN 'pocas_filas' ELSE 'menor_mae' END AS motivo FROM me JOIN sz USING (horizonte)
  QUALIFY row_number() OVER (PARTITION BY horizonte ORDER BY CASE WHEN filas < 300 AND metodo <> 'persistencia' THEN 1 ELSE 0 END, mae, metodo) = 1)"""
-HORIZON_ALERTS = f"""bb AS (SELECT horizonte, quantile_cont(c, 0.1) / 100 AS r10, quantile_cont(c, 0.9) / 100 AS r90
- FROM (SELECT t1.horizonte, floor((a - {BY_METHOD.format("metodo")}) * 100 + 0.5) AS c FROM t1 JOIN ch ON t1.horizonte = ch.horizonte WHERE prueba) WHERE c IS NOT NULL GROUP BY 1),
+HORIZON_ALERTS = f"""bb AS (SELECT horizonte, quantile_cont(c, 0.1) AS r10, quantile_cont(c, 0.9) AS r90
+ FROM (SELECT t1.horizonte, a - {BY_METHOD.format("metodo")} AS c FROM t1 JOIN ch ON t1.horizonte = ch.horizonte WHERE prueba) WHERE c IS NOT NULL GROUP BY 1),
 hl AS (SELECT lp.*, ch.horizonte, ch.metodo, {BY_METHOD.format("ch.metodo")} AS pronostico, r10, r90 FROM lp, ch JOIN bb ON ch.horizonte = bb.horizonte),
 hm AS (SELECT *, pronostico + r10 AS p10, pronostico + r90 AS p90 FROM hl WHERE pronostico IS NOT NULL),
 hc AS (SELECT *, 1 - ({_below("precio * 1.1")}) AS prob_10 FROM hm),

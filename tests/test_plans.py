@@ -6,8 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cosecha.operators import asof, panel, rows, terms
-from cosecha.plans import catalog, history, international, master, models, pages, prices, production, water
+from cosecha.operators import asof, panel, quantiles, rows, terms
+from cosecha.plans import catalog, history, international, master, models, pages, prices, production, trees, water
 from cosecha.sources import files
 from cosecha.streaming import incremental, refresh
 
@@ -193,10 +193,14 @@ def test_trees_as_a_method(spark, tmp_path):
     t = [(h, D(1, 1) + dt.timedelta(i), "ab"[i % 2], float(i % 2 * 10), None, 5.0) for h in (1, 2) for i in range(40)]
     target = models.marked(spark.createDataFrame(t, "horizonte int, fecha date, k string, objetivo double, nada double, precio double"), "fecha")
     newest = spark.createDataFrame([(1, "b", None, 5.0), (2, "c", None, 5.0)], "horizonte int, k string, nada double, precio double")
-    make = lambda **more: models.trained(target, newest, [1, 2], {"persistencia": F.col("precio")}, [models.Candidate("arboles")], ["nada", "precio"], ["k"], fallback="persistencia", trees=1, depth=1, **more)
+    make = lambda **more: models.trained(target, newest, {"persistencia": F.col("precio")}, [models.Candidate("arboles")], ["nada", "precio"], ["k"], ["fecha"], fallback="persistencia", **(dict(trees=1, depth=1, rate=1.0, share=1.0, columns=1.0, l2=0.0) | more))
     r = make(folder=f"file://{tmp_path}/m")
     assert {(c["metodo"], c["motivo"], c["mae"]) for c in r.choice.collect()} == {("arboles", "menor_mae", 0.0)}
-    assert r.newest.where("horizonte = 1").first()["arboles"] == 10 and (tmp_path / "m" / "arboles_2").exists()
+    assert r.newest.where("horizonte = 1").first()["arboles"] == 10
+    assert {x["variable"] for x in r.importances.collect()} <= {"k_a", "k_b"}
+    again = trees.read_models(f"file://{tmp_path}/m", spark)
+    ahead = trees.predicted(newest, {m.fit.group: m for m in again.values()}, "otra_vez").collect()
+    assert sorted(again) == ["arboles_1_final", "arboles_2_final"] and {x["k"]: x["otra_vez"] for x in ahead} == {x["k"]: x["arboles"] for x in r.newest.collect()}
     few = make(least=100)
     assert {(c["metodo"], c["motivo"]) for c in few.choice.collect()} == {("persistencia", "pocas_filas")} and few.importances is None
     with pytest.raises(ValueError, match="no such method"):
@@ -295,3 +299,78 @@ def test_terms_in_texts(spark):
     texts = [(int(rng.integers(0, 2)), w) for w in words] + [(0, None), (None, "abc")]
     got = {tuple(r) for r in terms.held_in(spark.createDataFrame(terms_, "grupo int, termino string"), spark.createDataFrame(texts, "grupo int, texto string")).collect()}
     assert got == {(g, t, x) for g, t in terms_ for h, x in texts if g is not None and g == h and t and x is not None and t in x}
+
+
+def plain_boosting(x, y, nominal, n_trees, depth, rate, l2):
+    """Boosted trees over bins, one node and one cut at a time."""
+    told, trees_ = np.full(len(y), y.mean()), []
+    gains = {}
+
+    def grow(rows, level):
+        g = told[rows] - y[rows]
+        value = -rate * g.sum() / (len(rows) + l2)
+        best = (0.0,)
+        for f in range(x.shape[1]) if level < depth else ():
+            for b in sorted(set(x[rows, f])):
+                left = x[rows, f] == b if nominal[f] else x[rows, f] <= b
+                if 0 < left.sum() < len(rows):
+                    score = lambda s: g[s].sum() ** 2 / (s.sum() + l2)
+                    gain = score(left) + score(~left) - g.sum() ** 2 / (len(rows) + l2)
+                    if gain > best[0] * (1 + 1e-9) and gain > 1e-9:
+                        best = (gain, f, b, left)
+        if len(best) == 1:
+            return np.full(len(rows), value)
+        gains.setdefault(best[1], []).append(best[0])
+        out = np.empty(len(rows))
+        for side in (best[3], ~best[3]):
+            out[side] = grow(rows[side], level + 1)
+        return out
+
+    for _ in range(n_trees):
+        told = told + grow(np.arange(len(y)), 0)
+    return told, gains
+
+
+def test_trees_against_plain_loops(spark):
+    """Two models at once, numbers with gaps and a category: predictions and gains of the plain learner."""
+    rng = np.random.default_rng(6)
+    n = 400
+    a, b, k = rng.integers(0, 12, n).astype(float), rng.normal(size=n).round(1), rng.choice(list("uvw"), n)
+    y = np.where(k == "u", a * 2, b * 5) + rng.normal(size=n)
+    gap = rng.random(n) < 0.1
+    rows_ = [(h, bool(i % 5 == 0), i, None if gap[i] else float(a[i]), float(b[i]), str(k[i]), float(y[i] * h)) for h in (1, 2) for i in range(n)]
+    df = spark.createDataFrame(rows_, "horizonte int, prueba boolean, i int, a double, b double, k string, objetivo double").repartition(5)
+    fits = [trees.Fit(f"m{h}{last:d}", h, "objetivo", last) for h in (1, 2) for last in (False, True)]
+    got = trees.boosted(df, fits, ["a", "b"], ["k"], ["i"], trees=4, depth=3, rate=0.5, share=1.0, columns=1.0)
+    for h in (1, 2):
+        for last in (False, True):
+            m = got[f"m{h}{last:d}"]
+            use = np.array([last or i % 5 != 0 for i in range(n)])
+            filled = np.where(gap, np.sort(a[use & ~gap])[(int(np.ceil((use & ~gap).sum() * 0.5))) - 1], a)
+            bins = np.stack([np.searchsorted(m.layout.cuts[0], filled, "left"), np.searchsorted(m.layout.cuts[1], b, "left"), np.array(["uvw".index(v) for v in k])], 1)
+            want, gains = plain_boosting(bins[use], y[use] * h, [False, False, True], 4, 3, 0.5, 1.0)
+            told = {r["i"]: r["p"] for r in trees.predicted(df.where(F.col("horizonte") == h), {h: m}, "p").collect()}
+            assert [told[i] for i in np.flatnonzero(use)] == pytest.approx(list(want))
+            mean = {name: np.mean(sum((v for f, v in gains.items() if (f == 2) == (name[0] == "k")), [])) for name in ("k",) if 2 in gains}
+            total = sum(g / c for g, c in m.gains.values())
+            assert sum(s for _, s in m.importances(100)) == pytest.approx(1) and sum(g for name, (g, c) in m.gains.items() if name[0] == "k") == pytest.approx(sum(gains.get(2, [])))
+            assert mean and total > 0
+
+
+def test_trees_see_a_share_of_rows(spark):
+    ids = np.arange(20_000)
+    shares = [trees._share(ids, t, 0.85, 42).mean() for t in range(5)]
+    assert all(abs(s - 0.85) < 0.01 for s in shares) and (trees._share(ids, 0, 0.85, 42) != trees._share(ids, 1, 0.85, 42)).any()
+
+
+@pytest.mark.parametrize("accuracy", [10, 10_000])
+def test_exact_quantiles(spark, accuracy):
+    rng = np.random.default_rng(2)
+    values = {"a": rng.normal(size=5000).round(2), "b": np.repeat(3.0, 7), "c": np.array([1.0, 2.0]), None: rng.exponential(size=900)}
+    data = [(k, float(v)) for k, vs in values.items() for v in vs] + [("a", None), ("d", None), ("a", float("nan"))]
+    got = {r["k"]: tuple(r)[1:] for r in quantiles.exact_quantiles(spark.createDataFrame(data, "k string, x double").repartition(6), ["k"], "x", (0.1, 0.5, 0.9, 1.0), accuracy).collect()}
+    assert got.keys() == values.keys()
+    for k, vs in values.items():
+        assert got[k] == pytest.approx([float(np.quantile(vs, q)) for q in (0.1, 0.5, 0.9, 1.0)], abs=1e-12)
+    whole = quantiles.exact_quantiles(spark.createDataFrame(data, "k string, x double"), [], "x", (0.25,), accuracy).first()
+    assert whole["q1"] == pytest.approx(float(np.quantile(np.concatenate(list(values.values())), 0.25)))
