@@ -580,6 +580,21 @@ def test_passages_of_lines_that_others_have_first(spark, documents):
     assert got == want
 
 
+@pytest.mark.parametrize("between", [1, 5])
+def test_passages_behind_documents_that_repeat_their_lines(spark, documents, between):
+    """Documents with every line of a passage, three times each and apart, do not stand between two that have the passage."""
+    rng = np.random.default_rng(between)
+    docs, want = [], set()
+    for i in range(0, 10 * (between + 2), between + 2):
+        lines = [text_of(rng, 10) for _ in range(6)]
+        docs += [(i + k, f"{text_of(rng, 60)} {' '.join(lines)} {text_of(rng, 50)}") for k in (0, between + 1)]
+        for k in range(1, between + 1):
+            docs.append((i + k, " ".join(f"{text_of(rng, 30)} {x}" for _ in range(3) for x in rng.permutation(lines))))
+        want.add((i + between + 1, i, 60, 120))
+    got = {(r["doc_id"], r["ref_doc_id"], r["start"], r["end"]) for r in passages.repeated_passages(documents(docs)).collect()}
+    assert got == want
+
+
 def runs_of(text, n):
     w = words(text)
     return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
