@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
+from html import entities
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,8 +33,8 @@ MONTHS = ("enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agost
 # Texts that mean yes
 TRUTHY = ("1", "true", "t", "yes", "y", "si", "s", "x")
 
-# Named references that occur in sources
-ENTITIES = {"&nbsp;": " ", "&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&aacute;": "á", "&eacute;": "é", "&iacute;": "í", "&oacute;": "ó", "&uacute;": "ú", "&ntilde;": "ñ", "&Aacute;": "Á", "&Eacute;": "É", "&Iacute;": "Í", "&Oacute;": "Ó", "&Uacute;": "Ú", "&Ntilde;": "Ñ", "&uuml;": "ü", "&Uuml;": "Ü"}
+# The bytes 80 to 9F of Windows-1252, and the same as Latin-1 reads them
+WINDOWS, CONTROLS = (lambda p: ("".join(a for a, _ in p), "".join(b for _, b in p)))([(x, chr(i)) for i in range(0x80, 0xA0) if (x := bytes([i]).decode("cp1252", "ignore"))])
 
 # UTF-8 that was read as Latin-1
 MOJIBAKE = {"Ã¡": "á", "Ã©": "é", "Ã­": "í", "Ã³": "ó", "Ãº": "ú", "Ã±": "ñ", "Ã‘": "Ñ", "Ã¼": "ü", "Â°": "°"}
@@ -72,18 +74,58 @@ def product_or_null(c: Column) -> Column:
     return F.nullif(product(c), F.lit(""))
 
 
+@functools.cache
+def _named_references() -> tuple[tuple[str, str], ...]:
+    """All names of HTML with their characters; those with a semicolon, and the old ones that may go without."""
+    return tuple(sorted(entities.html5.items()))
+
+
+def _code_point(number: Column) -> Column:
+    """The character of a number; numbers that are none, and those of Windows-1252, as browsers take them."""
+    windows = F.translate(F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"), CONTROLS, WINDOWS)
+    none = number.isNull() | (number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF)
+    return F.when(none, F.lit("\ufffd")).otherwise(windows)
+
+
+def unescaped(c: Column) -> Column:
+    """Character references resolved once: named, decimal and hexadecimal; what is no reference stays.
+
+    The text is cut at its ampersands; the start of each part is looked up, so a text is read once whatever it holds.
+    """
+    names = F.create_map(*[F.lit(x) for pair in _named_references() for x in pair])
+
+    def resolved(part: Column, i: Column) -> Column:
+        decimal, hexa = F.regexp_extract(part, r"^#([0-9]{1,8})(?![0-9])", 1), F.regexp_extract(part, r"^#[xX]([0-9a-fA-F]{1,6})(?![0-9a-fA-F])", 1)
+        whole, old = F.regexp_extract(part, r"^([A-Za-z][A-Za-z0-9]*;)", 1), F.regexp_extract(part, r"^([A-Za-z][A-Za-z0-9]*)", 1)
+        after = lambda head, extra: F.regexp_replace(F.substring(part, F.length(head) + extra, F.length(part)), "^;", "")
+        out = F.when(i == 0, part)
+        out = out.when(decimal != "", F.concat(_code_point(decimal.cast("bigint")), after(decimal, 2)))
+        out = out.when(hexa != "", F.concat(_code_point(F.conv(hexa, 16, 10).cast("bigint")), after(hexa, 3)))
+        named, short = F.try_element_at(names, whole), F.try_element_at(names, old)
+        out = out.when(named.isNotNull(), F.concat(named, F.substring(part, F.length(whole) + 1, F.length(part))))
+        out = out.when(short.isNotNull(), F.concat(short, F.substring(part, F.length(old) + 1, F.length(part))))
+        return out.otherwise(F.concat(F.lit("&"), part))
+
+    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(F.split(c, "&", -1), resolved), "")).otherwise(c)
+
+
 def decoded(c: Column) -> Column:
     """Character references resolved, white space collapsed and trimmed."""
-    for name, char in ENTITIES.items():
-        c = F.replace(c, F.lit(name), F.lit(char))
-    return F.trim(F.regexp_replace(c, SPACES, " "))
+    return F.trim(F.regexp_replace(unescaped(c), SPACES, " "))
 
 
 def repaired(c: Column) -> Column:
-    """Text whose UTF-8 was taken for Latin-1."""
+    """Text whose UTF-8 was taken for Latin-1 or Windows-1252: its bytes are read again where they are UTF-8.
+
+    Text in which only some letters are so has the usual pairs replaced.
+    """
+    latin = F.translate(c, WINDOWS, CONTROLS)
+    fits = latin.rlike(r"^[\x00-\xFF]*$") & latin.rlike(r"[\xC2-\xF4][\x80-\xBF]")
+    read = F.encode(F.when(fits, latin), "ISO-8859-1").cast("string")
+    pairs = c
     for bad, good in MOJIBAKE.items():
-        c = F.replace(c, F.lit(bad), F.lit(good))
-    return c
+        pairs = F.replace(pairs, F.lit(bad), F.lit(good))
+    return F.coalesce(F.try_validate_utf8(read), pairs)
 
 
 def truthy(c: Column) -> Column:
@@ -147,12 +189,10 @@ def product_of_name(c: Column) -> Column:
 
 
 def weight_kg(c: Column) -> Column:
-    """Kilograms in a title such as '900 g' or '1.5 kg'."""
-    low = F.lower(c)
-    kilos = F.regexp_extract(low, r"(\d+(?:[.,]\d+)?)\s*(?:kg|kilos?|kilogramos?)\b", 1)
-    grams = F.regexp_extract(low, r"(\d+(?:[.,]\d+)?)\s*(?:g|gr|grs|gms|gramos)\b", 1)
-    value = lambda x: F.replace(x, F.lit(","), F.lit(".")).try_cast("double")
-    return F.coalesce(value(kilos), value(grams) / 1000)
+    """Kilograms in a title such as '900 g' or '1.5 kg', whatever its accents and case; words for units do not count."""
+    low = F.lower(plain(c))
+    kilos = F.regexp_extract(low, r"(\d+(?:\.\d+)?)\s*kg\b", 1).try_cast("double")
+    return F.coalesce(kilos, F.regexp_extract(low, r"(\d+(?:\.\d+)?)\s*g(?:r|rs|ms)?\b", 1).try_cast("double") / 1000)
 
 
 def price_and_unit(c: Column) -> tuple[Column, Column]:
@@ -194,10 +234,14 @@ CROP_RULES = (
 )
 
 
-def crop(title: Column) -> Column:
-    """The crop that a product's title names, by the first rule that fits; papaya is not papa."""
+#: The same where papa may stand inside a word.
+CROP_PARTS = (*CROP_RULES[:-1], ("papa", ("papa",), ()))
+
+
+def crop(title: Column, rules: Sequence[tuple[str, Sequence[str], Sequence[str]]] = CROP_RULES) -> Column:
+    """The crop that a product's title names, by the first rule that fits; by CROP_RULES papaya is not papa."""
     key, out = spaced(title), None
-    for name, parts, whole_words in CROP_RULES:
+    for name, parts, whole_words in rules:
         hit = F.lit(False)
         for p in parts:
             hit = hit | F.contains(key, F.lit(p))

@@ -143,6 +143,12 @@ def coverage_by_month(covered: DataFrame, sources: Sequence[str]) -> DataFrame:
     return covered.groupBy("cultivo", F.trunc("fecha", "month").alias("mes")).agg(F.count_distinct("fecha").alias("dias"), *[F.avg(F.col(f"hay_{s}").cast("int")).alias(f"parte_{s}") for s in sources])
 
 
+def months_without(priced: DataFrame, context: DataFrame, date: str) -> DataFrame:
+    """(cultivo, mes) with prices, but without a row of the context in that month."""
+    month = lambda c: F.trunc(c, "month").alias("mes")
+    return priced.select("cultivo", month("fecha")).distinct().join(context.select("cultivo", month(date)).distinct(), ["cultivo", "mes"], "left_anti")
+
+
 def gaps(wide_: DataFrame, source: str) -> DataFrame:
     """Per product and month the mean of retail less wholesale, its days, and the step to the month before."""
     from pyspark.sql.window import Window

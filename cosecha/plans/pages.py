@@ -37,7 +37,7 @@ def best_offers(offer: DataFrame) -> DataFrame:
     return rows.best(offer, ["clave"], [F.col("promocion").desc(), F.col("precio").asc_nulls_last(), F.col("id")])
 
 
-SPAN = 1000  # the most columns that a cell may span, as in HTML itself
+COLUMN_SPAN, ROW_SPAN = 1000, 65_534  # the most columns and rows that a cell may span, as in HTML itself
 
 
 class _Cells(HTMLParser):
@@ -93,8 +93,8 @@ class _Cells(HTMLParser):
         elif tag in ("td", "th"):
             self._cell()
             spans = dict(attrs)
-            number = lambda name: max(1, min(SPAN, int(v))) if (v := (spans.get(name) or "").strip()).isdecimal() else 1
-            self.open[-1].update(text=[], span=(number("colspan"), number("rowspan")), headers=self.open[-1]["headers"] and tag == "th")
+            number = lambda name, most: max(1, min(most, int(v))) if (v := (spans.get(name) or "").strip()).isdecimal() else 1
+            self.open[-1].update(text=[], span=(number("colspan", COLUMN_SPAN), number("rowspan", ROW_SPAN)), headers=self.open[-1]["headers"] and tag == "th")
 
     def handle_endtag(self, tag):
         if tag in ("td", "th"):

@@ -186,6 +186,11 @@ def top_alerts(alert: DataFrame, n: int = 12) -> DataFrame:
     return rows.best(alert, ["horizonte"], [F.col("prob_10").desc_nulls_last(), F.col("cultivo"), F.col("mercado")], n)
 
 
+def top_overall(alert: DataFrame, n: int = 15) -> DataFrame:
+    """The likeliest rises of all horizons."""
+    return alert.orderBy(F.col("prob_10").desc_nulls_last(), "horizonte", "cultivo", "mercado").limit(n)
+
+
 def default_crop(alert: DataFrame, compared: DataFrame) -> DataFrame:
     """One row: the compared crop with the likeliest rise at the longest horizon, else the first compared one by name."""
     names = compared.where("cultivo is not null").select("cultivo").distinct()

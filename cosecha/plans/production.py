@@ -127,6 +127,11 @@ def top_risks(cast: DataFrame, n: int = 20) -> DataFrame:
     return cast.orderBy(F.col("caida_10").desc_nulls_last(), F.col("cambio_pct").asc_nulls_last(), "cultivo", "estado", "anio").limit(n)
 
 
+def top_volume(cast: DataFrame, volume: str = "pronostico", n: int = 20) -> DataFrame:
+    """The largest volumes."""
+    return cast.orderBy(F.col(volume).desc_nulls_last(), "cultivo", "estado", "anio").limit(n)
+
+
 def top_entities(progress: DataFrame, n: int = 10) -> DataFrame:
     """The states that lead each crop's production at its last cutoff."""
     last = progress.groupBy("cultivo").agg(F.max("corte").alias("corte"))

@@ -38,6 +38,8 @@ _FIRST_NUMBER = re.compile(r"\d+(?:\.\d+)?")
 
 def _number(value) -> float | None:
     """A number, or the first one in a text with thousands commas."""
+    if isinstance(value, bool):
+        return None
     if isinstance(value, int | float):
         return float(value)
     found = _FIRST_NUMBER.search(str(value).replace(",", "")) if value is not None else None

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -160,6 +161,22 @@ def summary(alert: DataFrame) -> DataFrame:
     )
 
 
+def load_window(history: DataFrame, end, start=None, existing: DataFrame | None = None, lookback_days: int = 40) -> tuple:
+    """(first, last) day of a climate load: from ``start``, or the first day of the reservoirs' history; with what is there
+    already from some days before its end, but not before that history.  A window that is empty is an error."""
+    earliest = history.agg(F.min(F.col("fecha").cast("date"))).first()[0]
+    if earliest is None:
+        raise ValueError("there is no history of reservoirs to take the window from")
+    if end < earliest:
+        raise ValueError(f"the window ends on {end}, before the history begins on {earliest}")
+    first = start or earliest
+    if existing is not None and (newest := existing.agg(F.max(F.col("fecha").cast("date"))).first()[0]) is not None:
+        first = max(first, newest - timedelta(days=lookback_days), earliest)
+    if first > end:
+        raise ValueError(f"the window is empty: {first} is after {end}")
+    return first, end
+
+
 def new_window(existing: DataFrame, requested, lookback_days: int = 40) -> DataFrame:
     """One row (desde): where an incremental load begins, some days before what is there, not before ``requested``."""
     last = existing.agg(F.max("fecha").alias("ultima"))

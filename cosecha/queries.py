@@ -734,4 +734,4 @@ def ranked_offers(t: Tables) -> DataFrame:
     return shown(retail.best_per_crop(found, preferred).select("cultivo", "page_id", "nombre", "unidad", "precio", "precio_kg"))
 
 
-from cosecha import job_queries, row_queries  # noqa: E402, F401  registers its queries
+from cosecha import job_queries, row_queries, upkeep_queries  # noqa: E402, F401  registers its queries

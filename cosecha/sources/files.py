@@ -6,13 +6,15 @@ what a name tells is a column expression and Spark prunes and distributes the re
 
 from __future__ import annotations
 
+import fnmatch
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cosecha.functions import dates, text
 from cosecha.operators import rows
@@ -55,6 +57,17 @@ def union(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+PUBLIC = {"fecha": "string", "serie": "string", "precio_original": "string", "moneda": "string", "unidad": "string"}
+
+
+def public_prices(sources: Mapping[str, DataFrame]) -> DataFrame:
+    """The records of public sources below each other, by the name of each: dates and prices from whatever texts, without
+    rows that lack a date, a series or a price.  Columns that a source lacks are null."""
+    parts = [rows.conform(df, {}, PUBLIC).withColumn("fuente", F.lit(name)) for name, df in sources.items()]
+    out = union(parts).withColumns({"fecha": dates.any_date(F.col("fecha")), "precio_original": text.number(F.col("precio_original"))})
+    return out.dropna(subset=["fecha", "serie", "precio_original"])
+
+
 WHOLESALE_ALIASES: Mapping[str, Sequence[str]] = {"fecha": ["fecha_consulta"], "cultivo_canonico": ["producto_canonico", "canonical_product"], "mercado": ["destino"], "origen": ["origen"], "precio_frecuente": ["precio_frec"], "precio_minimo": ["precio_min"], "precio_maximo": ["precio_max"]}
 WHOLESALE = {"fecha": "string", "cultivo_canonico": "string", "mercado": "string", "origen": "string", "precio_frecuente": "double", "precio_minimo": "double", "precio_maximo": "double"}
 
@@ -141,20 +154,74 @@ def mid_prices(files: DataFrame) -> DataFrame:
     return own.select(dates.any_date(F.col("fecha")).alias("fecha"), "serie", F.coalesce("precio", (F.col("bajo") + F.col("alto")) / 2).alias("precio_original"), "unidad").dropna(subset=["fecha", "serie", "precio_original"])
 
 
-def write_table(df: DataFrame, path: str, date: str | None = None, distinct: Sequence[str] = (), partition_by: Sequence[str] = ()) -> DataFrame:
-    """Writes Parquet and, beside it, one JSON row that describes it; returns that row.
+SKETCH = 15  # logarithm of the registers of a sketch: different values are told to about half a percent
 
-    The table is read back for the counts, so they describe what was written and nothing is computed twice.
-    """
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/data")
-    written = df.sparkSession.read.parquet(f"{path}/data")
-    facts = [F.count(F.lit(1)).alias("filas")]
+
+def _facts(date: str | None, distinct: Sequence[str], errors: Column | None) -> dict[str, Column]:
+    out = {"filas": F.count(F.lit(1)), "errores": F.count_if(F.lit(False) if errors is None else F.coalesce(errors, F.lit(False)))}
     if date:
-        facts += [F.min(date).alias("fecha_min"), F.max(date).alias("fecha_max")]
-    facts += [F.count_distinct(c).alias(f"distintos_{c}") for c in distinct]
-    info = written.agg(*facts)
-    info.coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
-    return df.sparkSession.read.json(f"{path}/metadata")
+        out |= {"fecha_min": F.min(date), "fecha_max": F.max(date)}
+    return out | {f"boceto_{c}": F.hll_sketch_agg(F.col(c).cast("string"), F.lit(SKETCH)) for c in distinct}
+
+
+def write_table(df: DataFrame, path: str, date: str | None = None, distinct: Sequence[str] = (), partition_by: Sequence[str] = (), errors: Column | None = None) -> DataFrame:
+    """Writes Parquet and, beside it, one row that describes it; returns that row.
+
+    Counts, dates and sketches of different values are observed while the rows are written: one pass, and nothing is read
+    again.  Sketches are kept, so the rows of several parts make the whole's (``merged_facts``).
+    """
+    seen = Observation()
+    facts = _facts(date, distinct, errors)
+    df.observe(seen, *[c.alias(k) for k, c in facts.items()]).write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/data")
+    spark, got = df.sparkSession, seen.get
+    schema = df.agg(*[c.alias(k) for k, c in facts.items()]).schema
+    row = spark.createDataFrame([tuple(got[k] for k in facts)], schema)
+    row.coalesce(1).write.mode("overwrite").parquet(f"{path}/metadata")
+    return merged_facts(spark.read.parquet(f"{path}/metadata"))
+
+
+def merged_facts(parts: DataFrame) -> DataFrame:
+    """One row of the facts of a table from those of its parts: rows, errors, dates, and different values by their sketches."""
+    ends = {"filas": F.sum, "errores": F.sum, "fecha_min": F.min, "fecha_max": F.max}
+    told = [F.hll_sketch_estimate(F.hll_union_agg(c)).alias(f"distintos_{c[7:]}") for c in parts.columns if c.startswith("boceto_")]
+    return parts.agg(*[f(c).alias(c) for c, f in ends.items() if c in parts.columns], *told)
+
+
+def table_facts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The facts of all the tables that ``write_table`` wrote to ``paths``, as one table's; their rows are not read."""
+    return merged_facts(union([spark.read.parquet(f"{p}/metadata") for p in paths]))
+
+
+def read_lines(spark: SparkSession, root: str, schema: str, glob: str = "*.csv") -> tuple[DataFrame, DataFrame]:
+    """(rows, errors) of all CSV files under ``root`` that begin with the header of ``schema``; a record is one line.
+
+    Errors are rows (archivo, linea, error): a file without a byte ("vacio"), a line whose bytes are no UTF-8
+    ("codificacion"), one that does not fit the schema, such as the last of a file that was cut ("registro").  Files are
+    split like any text; empty ones come from the listing.
+    """
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+    names = [f.name for f in StructType.fromDDL(schema)]
+    line = F.col("value")
+    lines = reader.text(root).select(F.col("_metadata.file_name").alias("archivo"), F.rtrim(line).alias("value"))
+    lines = lines.where((line != ",".join(names)) & (line != "")).withColumn("utf8", F.is_valid_utf8(line))
+    parsed = F.from_csv(F.when(F.col("utf8"), line), f"{schema}, __malo string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__malo"})
+    lines = lines.withColumn("r", parsed)
+    fits = F.col("utf8") & F.col("r.__malo").isNull()
+    good = lines.where(fits).select(*[F.col(f"r.{c}").alias(c) for c in names], "archivo")
+    bad = lines.where(~fits).select("archivo", F.make_valid_utf8(line).alias("linea"), F.when(~F.col("utf8"), "codificacion").otherwise("registro").alias("error"))
+    empty = spark.createDataFrame([(name, None, "vacio") for name in _empty_files(spark, root, glob)], "archivo string, linea string, error string")
+    return good, bad.union(empty)
+
+
+def _empty_files(spark: SparkSession, root: str, glob: str) -> list[str]:
+    """Names of files without a byte, which Spark's readers leave out; a listing, as the readers make one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    listed, out = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).listFiles(path, True), []
+    while listed.hasNext():
+        f = listed.next()
+        if not f.getLen() and fnmatch.fnmatch(f.getPath().getName(), glob) and f.getPath().getName()[0] not in "_.":
+            out.append(f.getPath().getName())
+    return sorted(out)
 
 
 def write_tables(tables: Mapping[str, DataFrame], root: str) -> None:
@@ -228,6 +295,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/cosecha/{name}-{uuid.uuid4().hex}"
 
 
+def small(df: DataFrame, most: int) -> DataFrame:
+    """``df``, marked for broadcast only if it is counted to have at most ``most`` rows."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Writes a table to a new scratch folder and reads it: what follows does not compute it again."""
     path = scratch(df.sparkSession, name)

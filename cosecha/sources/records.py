@@ -187,11 +187,11 @@ def proxy_config(spark: SparkSession, table: DataFrame | None = None) -> DataFra
     return default_proxies(spark) if own.isEmpty() else own
 
 
-def work_list(config: DataFrame, overrides: Mapping[str, str], column: str) -> DataFrame:
+def work_list(config: DataFrame, overrides: Mapping[str, str] | DataFrame, column: str) -> DataFrame:
     """(producto_canonico, consulta): what to ask for each active product; the column of the configuration, else the
-    map, else the product itself with blanks."""
+    map, else the product itself with blanks.  The map may be a table (producto_canonico, propio)."""
     spark = config.sparkSession
-    m = F.broadcast(spark.createDataFrame(list(overrides.items()), "producto_canonico string, propio string"))
+    m = overrides if isinstance(overrides, DataFrame) else F.broadcast(spark.createDataFrame(list(overrides.items()), "producto_canonico string, propio string"))
     out = product_config(config).join(m, "producto_canonico", "left")
     return out.select("producto_canonico", F.coalesce(text.blank_to_null(F.col(column)), "propio", F.replace("producto_canonico", F.lit("_"), F.lit(" "))).alias("consulta"))
 

@@ -40,18 +40,20 @@ def new_periods(incoming: DataFrame, known: DataFrame, keys: Sequence[str]) -> D
     return incoming.join(known.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def upsert_stream(stream: DataFrame, path: str, keys: Sequence[str], checkpoint: str, period: str) -> StreamingQuery:
+def upsert_stream(stream: DataFrame, path: str, keys: Sequence[str], checkpoint: str, period: str, newest: str | None = None) -> StreamingQuery:
     """Keeps a Parquet table, partitioned by the key ``period``, up to date: a batch's rows replace those with their keys.
 
     Only the periods that a batch has are read and written anew.  A batch's new partitions are written beside the table
     first, so a batch that is repeated after a failure finds them, and writing them again gives the same table.
+    Of a batch's rows with equal keys the one with the greatest ``newest`` stays, of equals the one with the greatest values.
     """
     spark: SparkSession = stream.sparkSession
     if period not in keys:
         raise ValueError("the period must be one of the keys")
 
     def merge(batch: DataFrame, number: int) -> None:
-        new = rows.best(batch, keys, [F.col(c).desc_nulls_last() for c in batch.columns if c not in keys])
+        own = [c for c in batch.columns if c not in keys]
+        new = rows.best(batch, keys, [F.col(c).desc_nulls_last() for c in sorted(own, key=lambda c: c != newest)])
         touched = [r[0] for r in new.select(period).distinct().collect()]  # periods of one batch
         if not touched:
             return
