@@ -18,16 +18,32 @@ def wholesale_daily(wholesale: DataFrame) -> DataFrame:
     return wholesale.groupBy(*KEYS).agg(F.avg("precio").alias("media"), F.median("precio").alias("mediana"), F.min("precio").alias("minimo"), F.max("precio").alias("maximo"), F.count("precio").alias("n"), F.min("origen").alias("origen"))
 
 
+# What sources may tell beside their numbers, and what the panel calls it
+RETAIL_MORE = {"pagina": "source_page", "producto_crudo": "product_raw", "inferido": "product_inferred", "unidad": "unit_label"}
+PROGRESS_MORE = {"nombre_cultivo": "avance_crop_name", "etiqueta_cultivo": "avance_crop_label_raw", "etiqueta_corte": "avance_report_cutoff_label", "unidad": "unit_label"}
+ANNUAL_MORE = {"nombre_cultivo": "cierre_crop_name", "etiqueta_cultivo": "cierre_crop_label_raw"}
+
+
+def _more(df: DataFrame, names: Mapping[str, str]) -> list[str]:
+    return [c for c in names if c in df.columns]
+
+
 def retail_daily(retail: DataFrame) -> DataFrame:
-    """The cheapest record of each (day, product, source), with what its price is per."""
+    """The cheapest record of each (day, product, source), with what its price is per.
+
+    Where records tell their page, raw and inferred product or unit, the cheapest one's stay; their queries are joined.
+    """
     own = retail.withColumns({"comparable": F.coalesce("precio_kg", "precio_unidad"), "base": F.when(F.col("precio_kg").isNotNull(), "por_kg").otherwise("por_unidad")}).where("comparable is not null")
-    return own.groupBy(*KEYS, "fuente").agg(F.min(F.struct("comparable", "base")).alias("m"), F.count(F.lit(1)).alias("registros")).select(*KEYS, "fuente", F.col("m.comparable").alias("comparable"), F.col("m.base").alias("base"), "registros")
+    more = _more(retail, RETAIL_MORE)
+    asked = [F.array_join(F.array_sort(F.collect_set("consulta")), " | ").alias("consultas")] if "consulta" in retail.columns else []
+    out = own.groupBy(*KEYS, "fuente").agg(F.min(F.struct("comparable", "base", *more)).alias("m"), F.count(F.lit(1)).alias("registros"), *asked)
+    return out.select(*KEYS, "fuente", *[F.col(f"m.{c}").alias(c) for c in ("comparable", "base", *more)], "registros", *(["consultas"] if asked else []))
 
 
 def annual_prices(records: DataFrame) -> DataFrame:
     """Production-weighted price by (year, product, unit) of rows with a positive production."""
     good = records.where("anio is not null and cultivo is not null and precio is not null and produccion > 0")
-    return good.groupBy("anio", "cultivo", "unidad").agg(F.try_divide(F.sum(F.col("precio") * F.col("produccion")), F.sum("produccion")).alias("precio"), F.count(F.lit(1)).alias("filas"), F.sum("produccion").alias("produccion"))
+    return good.groupBy("anio", "cultivo", "unidad").agg(F.try_divide(F.sum(F.col("precio") * F.col("produccion")), F.sum("produccion")).alias("precio"), F.count(F.lit(1)).alias("filas"), F.sum("produccion").alias("produccion"), *[F.min(c).alias(c) for c in _more(records, ANNUAL_MORE)])
 
 
 def main_unit(annual: DataFrame) -> DataFrame:
@@ -38,7 +54,7 @@ def main_unit(annual: DataFrame) -> DataFrame:
 def monthly(progress: DataFrame) -> DataFrame:
     """National totals by (product, year, month), yield by harvested area and shares of the sown."""
     own = progress.where("cultivo is not null and anio is not null and mes is not null")
-    out = own.groupBy("cultivo", "anio", "mes").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("sembrada", "cosechada", "siniestrada")], F.coalesce(F.sum("acumulada"), F.lit(0.0)).alias("produccion"), F.count("estado").alias("filas"), F.max("corte").alias("corte"))
+    out = own.groupBy("cultivo", "anio", "mes").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("sembrada", "cosechada", "siniestrada")], F.coalesce(F.sum("acumulada"), F.lit(0.0)).alias("produccion"), F.count("estado").alias("filas"), F.max("corte").alias("corte"), *[F.min(c).alias(c) for c in _more(progress, PROGRESS_MORE)])
     harvested, sown = (F.when(F.col(c) > 0, F.col(c)) for c in ("cosechada", "sembrada"))
     return out.withColumns({"rendimiento": F.try_divide("produccion", harvested), "cosecha_siembra": F.try_divide("cosechada", sown), "siniestro": F.try_divide("siniestrada", sown), "clave": F.format_string("%04d-%02d", "anio", "mes")})
 
@@ -107,15 +123,16 @@ def panel(whole: DataFrame, retail: DataFrame, month: DataFrame, annual: DataFra
         "source": F.lit("sniim"), "comparison_price_mxn": "media", "price_basis": F.lit(WHOLESALE_BASIS), "raw_price_mxn": "media", "unit_label": F.lit("kg_calculado"), "source_record_count": "n",
         "sniim_daily_mean_mxn": "media", "sniim_daily_median_mxn": "mediana", "sniim_daily_min_mxn": "minimo", "sniim_daily_max_mxn": "maximo",
     })
-    b = _padded(retail, own | {"source": "fuente", "comparison_price_mxn": "comparable", "price_basis": "base", "raw_price_mxn": "comparable", "source_record_count": "registros"})
+    more = lambda df, names: {names[c]: c for c in _more(df, names)}
+    b = _padded(retail, own | more(retail, RETAIL_MORE) | ({"search_terms_used": "consultas"} if "consultas" in retail.columns else {}) | {"source": "fuente", "comparison_price_mxn": "comparable", "price_basis": "base", "raw_price_mxn": "comparable", "source_record_count": "registros"})
     first = F.try_to_date(F.format_string("%04d-%02d-01", "anio", "mes"))
-    c = _padded(month, own | {
+    c = _padded(month, own | more(month, PROGRESS_MORE) | {
         "run_date": F.coalesce("corte", first), "source": F.lit("avance_agricola"), "price_basis": F.lit(PROGRESS_BASIS), "source_record_count": "filas",
         "avance_total_superficie_sembrada_ha": "sembrada", "avance_total_superficie_cosechada_ha": "cosechada", "avance_total_superficie_siniestrada_ha": "siniestrada",
         "avance_total_produccion": "produccion", "avance_yield_weighted_udm_ha": "rendimiento", "avance_rows_used": "filas", "avance_cutoff_date": "corte",
     })
-    year = main_unit(annual).where("precio is not null").select("anio", "cultivo", "unidad", "precio", "filas", "produccion")
-    d = _padded(keys([whole, retail]).join(year, ["anio", "cultivo"]), own | {
+    year = main_unit(annual).where("precio is not null").select("anio", "cultivo", "unidad", "precio", "filas", "produccion", *_more(annual, ANNUAL_MORE))
+    d = _padded(keys([whole, retail]).join(year, ["anio", "cultivo"]), own | more(year, ANNUAL_MORE) | {
         "source": F.lit("cierre_agricola"), "comparison_price_mxn": "precio", "price_basis": F.lit(ANNUAL_BASIS), "raw_price_mxn": "precio", "unit_label": "unidad", "source_record_count": "filas",
         "cierre_annual_weighted_pmr_mxn_udm": "precio", "cierre_rows_used": "filas", "cierre_total_produccion": "produccion",
     })

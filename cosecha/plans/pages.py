@@ -6,7 +6,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -16,12 +16,27 @@ from cosecha.operators import rows
 OFFERS = "struct<props:struct<items:array<struct<type:string,id:bigint,name:string,brand:string,price:double,priceMax:double,unit:string>>>>"
 
 
+# What blocked pages and pages without records say
+BLOCKED = "captcha|access denied|robot check|(?s)verifica tu identidad.*no eres un robot"
+NO_RECORDS = "sin registros|no se encontraron|no records|no hay registros|no existen registros"
+
+
+def product_of_page(html: Column) -> Column:
+    """The product that a report is about: the value behind its label, else the first filled cell of the row below a header
+    cell that says so; null if there is none."""
+    shown = lambda cell: text.blank_to_null(text.decoded(F.regexp_replace(cell, "<[^>]*>", " ")))
+    labelled = F.regexp_extract(html, r'(?is)Producto</td>.*?Calidad</td>.*?<td[^>]*class="DatTAB2"[^>]*>\s*&nbsp;&nbsp;(.*?)</td>', 1)
+    below = F.regexp_extract(html, r"(?is)<t[dh][^>]*>\s*Producto\s*</t[dh]>.*?</tr>\s*<tr[^>]*>(.*?)</tr>", 1)
+    cells = F.transform(F.regexp_extract_all(below, F.lit(r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"), F.lit(1)), shown)
+    return F.coalesce(shown(labelled), F.try_element_at(F.filter(cells, lambda x: x.isNotNull()), F.lit(1)))
+
+
 def classified(pages: DataFrame) -> DataFrame:
-    """What kind of page each is, with its title and host."""
+    """What kind of page each is, with its title, the product that it is about, and its host."""
     low = F.lower("html")
-    kind = F.when(F.col("html").isNull() | (F.trim("html") == ""), "vacia").when(low.rlike("captcha|access denied|robot check"), "bloqueada").when(low.rlike("sin registros|no se encontraron|no records"), "sin_registros").otherwise("contenido")
+    kind = F.when(F.col("html").isNull() | (F.trim("html") == ""), "vacia").when(low.rlike(BLOCKED), "bloqueada").when(low.rlike(NO_RECORDS), "sin_registros").otherwise("contenido")
     title = text.decoded(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1))
-    return pages.select("page_id", kind.alias("clase"), title.alias("titulo"), F.regexp_extract("url", r"^https?://([^/?#]+)", 1).alias("sitio"))
+    return pages.select("page_id", kind.alias("clase"), title.alias("titulo"), product_of_page(F.col("html")).alias("producto"), F.regexp_extract("url", r"^https?://([^/?#]+)", 1).alias("sitio"))
 
 
 def offers(pages: DataFrame) -> DataFrame:

@@ -14,7 +14,8 @@ from pyspark.sql.window import Window
 
 from cosecha.functions import dates, numbers
 from cosecha.operators import panel, rows
-from cosecha.plans import models
+from cosecha.plans import models, trees
+from cosecha.sources import files
 
 SOURCES = ("uno", "dos")
 HORIZONS = (7, 14, 28)
@@ -162,6 +163,17 @@ def train(feature: DataFrame, horizons: Sequence[int] = HORIZONS, forced: str |
     return models.trained(target, newest, _methods(), [TREES], numeric, keys, [*keys, "fecha"], fallback="persistencia", forced=forced, least=least, folder=folder, **options)
 
 
+def rise_chances(feature: DataFrame, horizon: int = HORIZONS[0], rise: int = 10, **options) -> DataFrame:
+    """Rows after the cutoff with their label and the chance of a rise of so many percent, by boosted trees of classes."""
+    numeric = [c for c in NUMERIC if c in feature.columns]
+    label, keys = f"alza_{rise}_{horizon}", ["cultivo", "mercado"]
+    own = feature.dropna(subset=[label, "lag_7"]).select(F.lit(horizon).alias("horizonte"), *keys, "fecha", label, *numeric)
+    own = files.saved(models.marked(own, "fecha"), "rises")
+    found = trees.boosted(own, [trees.Fit("alza", horizon, label, classes=True)], numeric, keys, [*keys, "fecha"], least=LEAST_ROWS, **options)
+    tested = own.where("prueba")
+    return trees.predicted(tested, {m.fit.group: m for m in found.values()}, "probabilidad").select(*keys, "fecha", F.col(label).alias("alza"), "probabilidad")
+
+
 def trained_alerts(result: models.Trained, origins: DataFrame) -> DataFrame:
     """Alerts of each series for each horizon by the method that its training chose."""
     each = result.choice.select("horizonte", "metodo", "motivo").join(result.band, "horizonte")  # a row for each horizon

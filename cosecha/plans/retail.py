@@ -169,6 +169,27 @@ def offers(nodes: DataFrame, configured: DataFrame | None = None) -> DataFrame:
     return out.drop("actuales", "anteriores")
 
 
+def records(offer: DataFrame, asked: DataFrame, base: str, fallback: str) -> DataFrame:
+    """Offers as the records of a run: page, query, product as written, as asked for and as inferred, and all that was read.
+
+    ``asked`` (page_id, cultivo_pedido, consulta) says what each page was fetched for; offers of no crop, or of another
+    than the one asked for, go.
+    """
+    out = offer.join(asked.select("page_id", "cultivo_pedido", "consulta"), "page_id", "left")
+    out = out.where("cultivo is null or cultivo_pedido is null or cultivo = cultivo_pedido")
+    out = out.select(
+        "page_id", text.source_page([F.coalesce("enlace", F.lit(""))], base, fallback).alias("pagina"), "consulta", F.col("nombre").alias("producto_crudo"), F.coalesce("cultivo_pedido", "cultivo").alias("producto"),
+        F.col("cultivo").alias("inferido"), "precio", "antes", "promocion", "unidad", "precio_kg", F.col("kg").alias("peso_kg"), "tipo_venta", "marca", F.array_join("categorias", " > ").alias("categoria"), "fresco",
+    )
+    return out.where("producto is not null")
+
+
+def unique_offers(record: DataFrame) -> DataFrame:
+    """One record for each product, name and price: fresh first, then with a price per kg, then by page."""
+    order = [F.col("fresco").desc(), F.col("precio_kg").asc_nulls_last(), F.col("page_id")]
+    return rows.best(record.withColumn("__clave", text.spaced(F.col("producto_crudo"))), ["producto", "__clave", "precio"], order).drop("__clave")
+
+
 def best_per_crop(offer: DataFrame, preferred: DataFrame | None = None) -> DataFrame:
     """One offer for each crop: fresh first, then by kg, with a price per kg, promotions, asked by a preferred term, price.
 

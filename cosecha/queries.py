@@ -569,7 +569,7 @@ def planting_history(t: Tables) -> DataFrame:
 
 @query("SELECT page_id, CASE WHEN html IS NULL OR trim(html) = '' THEN 'vacia' WHEN regexp_matches(lower(html), 'captcha|access denied|robot check') THEN 'bloqueada' WHEN regexp_matches(lower(html), 'sin registros|no se encontraron|no records') THEN 'sin_registros' ELSE 'contenido' END AS clase, regexp_extract(url, '^https?://([^/?#]+)', 1) AS sitio FROM pages")
 def page_classes(t: Tables) -> DataFrame:
-    return pages.classified(t.raw("pages")).drop("titulo")
+    return pages.classified(t.raw("pages")).drop("titulo", "producto")
 
 
 def _offer_pages(t: Tables) -> DataFrame:

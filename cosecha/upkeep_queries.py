@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from cosecha.functions import dates, text
 from cosecha.operators import orders, rows
-from cosecha.plans import catalog, history, master, prices, production, run, water
-from cosecha.queries import CLIMATE, SPREADS, STATES, WEEKLY, I, R, Rs, _history, _sql, query, shown
+from cosecha.plans import catalog, international, master, pages, prices, production, retail, run, water
+from cosecha.queries import (
+    CAST, CLIMATE, FEATURES, NATION, NESTED, PIVOT, PROXY_IDS, SPREADS, VALUES, WEEKLY, I, R, Rs, _annual_records, _history, _nested_offers, _sql, _values, query, shown,
+)
+from cosecha.row_queries import ALL_HORIZONS, _alerts
 from cosecha.sources import files, records
 from cosecha.sources.driver import Tables
 from cosecha.streaming import buckets
@@ -172,10 +175,10 @@ def months_without_context(t: Tables) -> DataFrame:
 # Windows, periods and work
 
 
-@query(_sql("cd", CLIMATE, "SELECT greatest(DATE '1994-03-01', greatest((SELECT max(fecha) FROM cl) - 40, (SELECT min(fecha) FROM d))) AS desde, DATE '2000-12-31' AS hasta"))
+@query(_sql("cd", CLIMATE, "SELECT greatest(DATE '1994-03-01', greatest((SELECT max(fecha) FROM cl) - 40, (SELECT min(fecha) FROM d))) AS desde, DATE '2003-12-31' AS hasta"))
 def climate_window(t: Tables) -> DataFrame:
     """From where to where climate is to be loaded on top of what there is."""
-    first, last = water.load_window(t.dams(), dt.date(2000, 12, 31), dt.date(1994, 3, 1), water.climate_decenas(t.weather()))
+    first, last = water.load_window(t.dams(), dt.date(2003, 12, 31), dt.date(1994, 3, 1), water.climate_decenas(t.weather()))
     return t.spark.range(1).select(F.lit(first).alias("desde"), F.lit(last).alias("hasta"))
 
 
@@ -255,7 +258,7 @@ def latest_exports(t: Tables) -> DataFrame:
     return newest.groupBy(F.col("producto").cast("bigint").alias("producto"), F.col("anio").cast("bigint").alias("anio")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CASE WHEN l_linenumber % 3 <> 1 THEN CASE l_linenumber % 3 WHEN 0 THEN {R('l_quantity / 1000', 'kg').split(' AS ')[0]} ELSE l_quantity END END AS kg, l_linenumber % 2 = 0 AS papa_suelta FROM lineitem")
+@query("SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CASE WHEN l_linenumber % 3 <> 1 THEN CASE l_linenumber % 3 WHEN 0 THEN floor(l_quantity / 1000 * 10000 + 0.500001) / 10000 ELSE l_quantity END END AS kg, l_linenumber % 2 = 0 AS papa_suelta FROM lineitem")
 def title_weights(t: Tables) -> DataFrame:
     """Weights in titles by both forms that count, and a crop by the rules that look inside words."""
     n, q = F.col("l_linenumber"), F.col("l_quantity").cast("int").cast("string")
@@ -270,3 +273,77 @@ def decoded_texts(t: Tables) -> DataFrame:
     refs = F.concat(F.lit(" Pi&ntilde;&#241;&hellip; &amp; "), "p_name", F.lit(" &lt;"), "p_size", F.lit("&#x3E; "))
     wrong = F.concat(F.lit("aÃ±ejo "), "p_brand", F.lit(" â‚¬"))
     return t.raw("part").select("p_partkey", text.decoded(refs).alias("limpio"), text.decoded(F.lit("a &amp;amp; b")).alias("una_vez"), text.repaired(wrong).alias("reparado"), text.repaired(F.concat(F.lit("Año "), "p_brand")).alias("sano"))
+
+
+# Offers, pages and provenance
+
+
+@query(f"""WITH {NESTED} SELECT page_id, 'https://tienda.mx/frutas' AS pagina, 'q' || page_id % 4 AS consulta, nombre AS producto_crudo, 'c' || page_id % 3 AS producto, CAST(NULL AS VARCHAR) AS inferido, unidad, antes IS NOT NULL AS promocion, fresco, {Rs('precio', 'antes', 'precio_kg')} FROM ko""")
+def offer_records(t: Tables) -> DataFrame:
+    """Offers with what their pages were fetched for."""
+    found = _nested_offers(t).withColumn("cultivo", F.lit(None).cast("string"))
+    asked = t.raw("part").select(F.col("p_partkey").alias("page_id"), F.concat(F.lit("c"), F.col("p_partkey") % 3).alias("cultivo_pedido"), F.concat(F.lit("q"), F.col("p_partkey") % 4).alias("consulta"))
+    out = retail.records(found, asked, "https://tienda.mx", "https://tienda.mx/frutas")
+    return shown(out.select("page_id", "pagina", "consulta", "producto_crudo", "producto", "inferido", "unidad", "promocion", "fresco", "precio", "antes", "precio_kg"))
+
+
+@query(f"""WITH {NESTED}, rk AS (SELECT page_id % 3 AS producto, nombre, fresco, precio, precio_kg, page_id FROM ko)
+SELECT CAST(producto AS BIGINT) AS producto, page_id, {R('precio')} FROM rk QUALIFY row_number() OVER (PARTITION BY producto, lower(nombre), rk.precio ORDER BY fresco DESC, precio_kg ASC NULLS LAST, page_id) = 1""")
+def unique_offers(t: Tables) -> DataFrame:
+    """One of the offers with one product, name and price."""
+    own = _nested_offers(t).select("page_id", (F.col("page_id") % 3).alias("producto"), F.col("nombre").alias("producto_crudo"), "fresco", "precio", "precio_kg")
+    return shown(retail.unique_offers(own).select("producto", "page_id", "precio"))
+
+
+@query("SELECT p_partkey AS page_id, CASE p_size % 5 WHEN 0 THEN 'bloqueada' WHEN 1 THEN 'sin_registros' ELSE 'contenido' END AS clase, CASE WHEN p_size % 5 IN (2, 3) THEN p_name END AS producto FROM part")
+def report_pages(t: Tables) -> DataFrame:
+    """Blocked pages, pages without records, and the product of report pages of both forms."""
+    k, name = F.col("p_size") % 5, F.col("p_name")
+    labelled = F.concat(F.lit('<table><tr><td>Producto</td><td>Calidad</td></tr><tr><td class="DatTAB2">&nbsp;&nbsp;<b>'), name, F.lit("</b></td></tr></table>"))
+    below = F.concat(F.lit("<table><tr><th>Fecha</th></tr><tr><th> Producto </th><th>x</th></tr><tr><td> </td><td>"), name, F.lit("</td></tr></table>"))
+    html = F.when(k == 0, "<p>Verifica tu identidad</p><p>di que no eres un robot</p>").when(k == 1, "<p>No existen registros</p>").when(k == 2, labelled).when(k == 3, below).otherwise("<p>x</p>")
+    return pages.classified(t.raw("part").select(F.col("p_partkey").alias("page_id"), html.alias("html"), F.lit("https://a.mx/x").alias("url"))).select("page_id", "clase", "producto")
+
+
+@query(_sql("ra", "x AS (SELECT 1)", """SELECT 'menudeo' AS tabla, CAST(count(*) AS BIGINT) AS filas, CAST(count(source_page) AS BIGINT) AS paginas, min(source_page) AS primera, min(terminos) AS terminos FROM (
+SELECT fecha, cultivo, fuente, min('https://tienda.mx/' || cultivo) AS source_page, CASE WHEN count(DISTINCT fecha % 2) = 1 THEN 'x' END AS nada, string_agg(DISTINCT 'q' || fuente, ' | ') AS terminos FROM (SELECT cultivo, fuente, fecha - DATE '1990-01-01' AS fecha FROM r) GROUP BY ALL)
+UNION ALL SELECT 'avance', count(DISTINCT (cultivo, anio, mes)), count(DISTINCT (cultivo, anio, mes)), 'ton', min('Corte ' || anio) FROM a"""))
+def panel_provenance(t: Tables) -> DataFrame:
+    """What the long panel keeps of pages, queries, labels and units."""
+    shops = t.retail().withColumns({"pagina": F.concat(F.lit("https://tienda.mx/"), "cultivo"), "consulta": F.concat(F.lit("q"), "fuente")})
+    month = t.progress().withColumns({"etiqueta_corte": F.concat(F.lit("Corte "), "anio"), "unidad": F.lit("ton"), "nombre_cultivo": F.initcap(F.lower("cultivo"))})
+    long = master.panel(master.wholesale_daily(t.wholesale()), master.retail_daily(shops), master.monthly(month), master.annual_prices(_annual_records(t)))
+    count = lambda c: F.count(c).alias("paginas")
+    a = long.where("source in ('uno', 'dos')").agg(F.count(F.lit(1)).alias("filas"), count("source_page"), F.min("source_page").alias("primera"), F.min("search_terms_used").alias("terminos"))
+    b = long.where("source = 'avance_agricola'").agg(F.count(F.lit(1)).alias("filas"), count("avance_crop_name"), F.min("unit_label").alias("primera"), F.min("avance_report_cutoff_label").alias("terminos"))
+    return a.select(F.lit("menudeo").alias("tabla"), "*").union(b.select(F.lit("avance"), "*"))
+
+
+# Prices with all that is known on their day
+
+
+@query(
+    _sql(
+        "wrday",
+        ", ".join([FEATURES, SPREADS, NATION, CAST.removeprefix(", "), VALUES, f"wi AS ({PIVOT})"])
+        + """, c1 AS (SELECT cultivo, sum(pronostico) AS produccion, max(caida_10) AS caida FROM p3 GROUP BY 1),
+f1 AS (SELECT fx.*, spread_uno, spread_dos FROM fx LEFT JOIN sp USING (fecha, cultivo)),
+f2 AS (SELECT f1.*, CASE WHEN f1.fecha - na.fecha <= 45 THEN agua END AS agua FROM f1 ASOF LEFT JOIN na ON f1.fecha >= na.fecha),
+f3 AS (SELECT f2.*, produccion, caida FROM f2 LEFT JOIN c1 USING (cultivo))""",
+        f"SELECT f3.cultivo, mercado, f3.fecha, disponible, {Rs('precio', 'lag_7', 'spread_uno', 'agua', 'produccion', 'caida', 'p_low_z')} FROM f3 ASOF LEFT JOIN wi ON f3.cultivo = wi.producto AND f3.fecha >= wi.disponible",
+    )
+)
+def price_context(t: Tables) -> DataFrame:
+    """The features of prices with spreads, water, production and proxies, as the trainer gets them."""
+    w = t.wholesale()
+    price = prices.features(w, prices.spreads(w, t.retail()))
+    price = water.on_prices(price, water.national(water.states(t.dams())))
+    price = price.join(run.product_context(production.forecast(production.features(t.progress(), t.annual()))), "cultivo", "left")
+    price = international.on_prices(price, international.pivoted(international.eligible(_values(t)), PROXY_IDS))
+    return shown(price.select("cultivo", "mercado", "fecha", "disponible", "precio", "lag_7", "spread_uno", "agua", F.col("produccion_pronosticada").alias("produccion"), F.col("caida_10").alias("caida"), "p_low_z"))
+
+
+@query(_sql("w", ALL_HORIZONS, f"SELECT {I('horizonte')}, cultivo, mercado, {Rs('prob_10')} FROM ha ORDER BY ha.prob_10 DESC NULLS LAST, ha.horizonte, cultivo, mercado LIMIT 15"))
+def top_alerts_overall(t: Tables) -> DataFrame:
+    """The fifteen likeliest rises of all horizons: the limit is the feature."""
+    return shown(prices.top_overall(_alerts(t)).select("horizonte", "cultivo", "mercado", "prob_10"))
