@@ -93,10 +93,11 @@ def unescaped(c: Column) -> Column:
     The text is cut at its ampersands; the start of each part is looked up, so a text is read once whatever it holds.
     """
     names = F.create_map(*[F.lit(x) for pair in _named_references() for x in pair])
+    old_names = "|".join(sorted((n for n, _ in _named_references() if n[-1] != ";"), key=lambda n: (-len(n), n)))  # the longest first
 
     def resolved(part: Column, i: Column) -> Column:
         decimal, hexa = F.regexp_extract(part, r"^#([0-9]{1,8})(?![0-9])", 1), F.regexp_extract(part, r"^#[xX]([0-9a-fA-F]{1,6})(?![0-9a-fA-F])", 1)
-        whole, old = F.regexp_extract(part, r"^([A-Za-z][A-Za-z0-9]*;)", 1), F.regexp_extract(part, r"^([A-Za-z][A-Za-z0-9]*)", 1)
+        whole, old = F.regexp_extract(part, r"^([A-Za-z][A-Za-z0-9]*;)", 1), F.regexp_extract(part, f"^({old_names})", 1)
         after = lambda head, extra: F.regexp_replace(F.substring(part, F.length(head) + extra, F.length(part)), "^;", "")
         out = F.when(i == 0, part)
         out = out.when(decimal != "", F.concat(_code_point(decimal.cast("bigint")), after(decimal, 2)))
