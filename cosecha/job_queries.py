@@ -54,8 +54,8 @@ def water_methods(t: Tables) -> DataFrame:
     )
 )
 def water_horizon_alerts(t: Tables) -> DataFrame:
-    f = water.features(t.dams())
-    target = water.targets(f)
+    f = files.saved(water.features(t.dams()), "dam-features")
+    target = files.saved(water.targets(f), "dam-targets")
     choice = water.models.chosen(target, water.methods(), "decena_anterior", least=water.LEAST_ROWS)
     band = water.models.bands(target, choice, water.methods())
     out = water.horizon_alerts(water.by_horizon(target, water.newest(f)), choice, band)

@@ -42,13 +42,17 @@ def leads(df: DataFrame, c: str, w: WindowSpec, steps: Sequence[int], name: str)
 def robust_z(df: DataFrame, keys: Sequence[str], c: str) -> DataFrame:
     """0.6745 (x - median) / scale by key: the scale is the median absolute deviation, or the deviation if that is 0.
 
-    Medians are aggregates, joined back; a null key is no group.
+    Medians are aggregates over the different values of a key with their counts, joined back; a null key is no group.
+    ``df`` is read twice, so it should be a table.
     """
-    middle = df.groupBy(*keys).agg(F.median(c).alias("__median"), F.stddev_samp(c).alias("__std"))
-    near = df.join(middle, list(keys))
-    mad = near.groupBy(*keys).agg(F.median(F.abs(F.col(c) - F.col("__median"))).alias("__mad"))
+    counts = df.groupBy(*keys, F.col(c).alias("__x")).agg(F.count(F.lit(1)).alias("__n"))
+    std = F.stddev_samp(c).alias("__std")
+    middle = counts.groupBy(*keys).agg(F.percentile("__x", F.lit(0.5), F.col("__n")).alias("__median"))
+    distance = counts.join(middle, list(keys)).select(*keys, F.abs(F.col("__x") - F.col("__median")).alias("__d"), "__n", "__median")
+    spread = distance.groupBy(*keys).agg(F.percentile("__d", F.lit(0.5), F.col("__n")).alias("__mad"), F.first("__median").alias("__median"))
+    near = df.join(df.groupBy(*keys).agg(std).join(spread, list(keys)), list(keys))
     scale = F.when(F.col("__mad") > 0, F.col("__mad")).otherwise(F.nullif("__std", F.lit(0.0)))
-    return near.join(mad, list(keys)).withColumn("robust_z", F.try_divide(0.6745 * (F.col(c) - F.col("__median")), scale)).drop("__median", "__std", "__mad")
+    return near.withColumn("robust_z", F.try_divide(0.6745 * (F.col(c) - F.col("__median")), scale)).drop("__median", "__std", "__mad")
 
 
 def trim_trailing_zeros(months: Sequence[str]) -> list[Column]:

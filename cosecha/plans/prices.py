@@ -79,6 +79,7 @@ def recent_weeks(week: DataFrame, n: int = 16) -> DataFrame:
 def anomalies(spread: DataFrame, sources: Sequence[str] = SOURCES) -> DataFrame:
     """Each retailer's spreads with their robust z within the crop."""
     long = spread.unpivot(["fecha", "cultivo"], [f"spread_{s}" for s in sources], "fuente", "spread").dropna(subset=["spread"])
+    long = files.saved(long, "spreads")
     return panel.robust_z(long.withColumn("fuente", F.substring("fuente", 8, 99)), ["cultivo", "fuente"], "spread")
 
 

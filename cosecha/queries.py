@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from cosecha.functions import dates, numbers, text
 from cosecha.operators import asof, panel, rows
 from cosecha.plans import catalog, history, international, master, models, pages, prices, production, retail, run, water
-from cosecha.sources import records
+from cosecha.sources import files, records
 from cosecha.sources.driver import Tables, with_tables
 from cosecha.streaming import incremental
 
@@ -201,7 +201,7 @@ a2 AS (SELECT *, 1 - ({_below('precio * 1.1')}) AS prob_10, 1 - ({_below('precio
     )
 )
 def price_alerts(t: Tables) -> DataFrame:
-    f, test = _back_test(t)
+    f, test = (files.saved(x, "price-features") for x in _back_test(t))  # read several times
     band = models.residual_band(test, "objetivo_7", F.col("precio"))
     out = prices.alerts(prices.latest_prices(f), "precio", band, prices.main_origins(t.wholesale()))
     return shown(out.select("cultivo", "mercado", "fecha", "precio", "pronostico", "p10", "p90", "prob_10", "prob_15", "nivel", "accion", "origen_principal"))

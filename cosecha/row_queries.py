@@ -44,9 +44,10 @@ def price_methods(t: Tables) -> DataFrame:
 
 
 def _alerts(t: Tables) -> DataFrame:
-    f = prices.features(t.wholesale())
-    target = prices.targets(f)
-    choice = prices.chosen(target)
+    # each is read several times
+    f = files.saved(prices.features(t.wholesale()), "price-features")
+    target = files.saved(prices.targets(f), "price-targets")
+    choice = files.saved(prices.chosen(target), "price-choice")
     return prices.horizon_alerts(prices.latest_prices(f), choice, prices.bands(target, choice), prices.main_origins(t.wholesale()))
 
 
