@@ -29,6 +29,7 @@ from pyspark.sql.window import Window
 from cosecha.llm import words as W
 
 SAMPLE = 48  # documents a language that are learned from
+DICTIONARY_BYTES = 4 << 20  # of texts that a language's dictionary is made of
 LEVEL = 6
 FRAME_BYTES = 2048
 FULL_MARGIN = 0.25
@@ -54,8 +55,12 @@ def _letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("place"), out], names=["lang", "place", "letters"])
 
 
-def learn(docs: DataFrame, sample: int = SAMPLE) -> list[tuple[str, bytes]]:
-    """(language, dictionary) by falling number of documents; reads only text, lang and the fold of doc_id."""
+def learn(docs: DataFrame, sample: int = SAMPLE, dictionary_bytes: int = DICTIONARY_BYTES) -> list[tuple[str, bytes]]:
+    """(language, dictionary) by falling number of documents; reads only text, lang and the fold of doc_id.
+
+    A dictionary has ``sample`` documents at most, and of those the ones that begin within its first ``dictionary_bytes``
+    bytes: so it holds no more than these and one text.
+    """
     rows = docs.where("lang is not null and doc_id is not null").where(fold("doc_id") != HELD_OUT).select("doc_id", "lang")
     counts = rows.groupBy("lang").count()
     # of a frequent language only ids with low hashes are ranked, about eight times as many as are needed
@@ -67,6 +72,10 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> list[tuple[str, bytes]]:
     chosen = chosen.select(F.col("doc_id").alias("chosen_id"), F.col("lang").alias("chosen_lang"), "place", "count")
     # at most ``sample`` rows of each language
     texts = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), (F.col("doc_id") == F.col("chosen_id")) & (F.col("lang") == F.col("chosen_lang")))
+    # and no more bytes than a dictionary is to have: texts that begin within them, whole
+    order = Window.partitionBy("lang").orderBy("place", "chosen_id").rowsBetween(Window.unboundedPreceding, -1)
+    begin = F.coalesce(F.sum(F.octet_length("text")).over(order), F.lit(0))
+    texts = texts.withColumn("begin", begin).where(F.col("begin") < dictionary_bytes)
     found = texts.select("lang", "place", "text").mapInArrow(_letters, "lang string, place long, letters binary").toArrow().to_pylist()
     number = {r["chosen_lang"]: r["count"] for r in chosen.select("chosen_lang", "count").distinct().collect()}
     parts: dict[str, list[bytes]] = {}

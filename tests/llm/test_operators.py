@@ -508,6 +508,35 @@ def test_every_language_is_learned(spark, documents):
     assert {lang for lang, _ in language_id.learn(documents(rows))} == {f"l{i // 3:03d}" for i in range(750) if zlib.crc32(str(i).encode()) % 4 != 2}
 
 
+def test_dictionaries_are_bounded_in_bytes(documents):
+    """A text that begins within the bound is taken whole, and those behind it are not."""
+    rows = [(i, f"{'abcdefgh'[i % 8]} " * 20_000, "x" if i % 2 else "y", "s") for i in range(60)]
+    whole, cut = (dict(language_id.learn(documents(rows), dictionary_bytes=n)) for n in (1 << 30, 50_000))
+    assert all(len(cut[k]) <= 90_000 < len(whole[k]) and len(cut[k]) > 50_000 and whole[k].startswith(cut[k]) for k in "xy")
+
+
+def plain_sizes(dictionary, text):
+    """Bytes that a text takes, by the plain compressor, frame by frame."""
+    import zstandard
+
+    d = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    c = zstandard.ZstdCompressor(level=language_id.LEVEL, dict_data=d, write_checksum=False, write_content_size=False, write_dict_id=False)
+    data = re.sub(r"[^\W\d_]+", lambda m: m[0], " ".join(re.findall(r"[^\W\d_]+", text.lower()))).encode()
+    return sum(len(c.compress(data[i : i + language_id.FRAME_BYTES])) for i in range(0, len(data), language_id.FRAME_BYTES))
+
+
+def test_languages_by_the_plain_compressor(spark):
+    """Twenty texts: the language whose dictionary gives the fewest bytes, by a compressor of its own for each."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    learned = language_id.learn(docs)
+    some = [r for r in docs.orderBy("doc_id").collect() if r["text"] and len(r["text"]) > 200][:20]
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.identified(docs, learned).collect()}
+    for r in some:
+        sizes = [plain_sizes(d, r["text"]) for _, d in learned]
+        near = [name for (name, _), n in zip(learned, sizes, strict=True) if n <= min(sizes) + 2]  # blanks at the ends
+        assert got[r["doc_id"]] in near
+
+
 # 9
 
 
