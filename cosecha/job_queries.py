@@ -77,7 +77,7 @@ def production_residuals(t: Tables) -> DataFrame:
 
 # Boosted trees; SQL has the search of a split, but not the trees
 
-TREES = {"trees": 15, "rate": 0.3}  # of the registered trainings: the operators' own are 180 at 0.05
+TREES = {"trees": 10, "rate": 0.3}  # of the registered trainings: the operators' own are 180 at 0.05
 
 
 def _told(result: models.Trained, names: list[str]) -> DataFrame:

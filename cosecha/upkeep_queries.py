@@ -94,7 +94,7 @@ def file_failures(t: Tables) -> DataFrame:
     o = t.raw("orders")
     whole = F.concat_ws(",", "o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd"))
     line = F.when(F.col("o_orderkey") % 7 == 0, F.concat("o_orderkey", F.lit(",x"))).otherwise(whole)
-    o.select(F.concat(line).alias("value")).write.text(f"{root}/lines")
+    o.select(line.alias("value")).write.text(f"{root}/lines")
     t.spark.range(0, 1, 1, 1).select(F.lit("9,").alias("value"), F.unhex(F.lit("F1")).alias("b")).select(F.concat(F.col("value").cast("binary"), "b").cast("string").alias("value")).write.text(f"{root}/latin")
     t.spark.range(0, 0, 1, 1).select(F.lit("").alias("value")).coalesce(1).write.text(f"{root}/empty")
     good, bad = files.read_lines(t.spark, root, "o_orderkey long, o_custkey long, fecha date", "*.txt")
@@ -209,7 +209,7 @@ def configured_products(t: Tables) -> DataFrame:
     """Active products with the defaults of their ids and their search terms."""
     s = F.col("p_size")
     table = t.raw("part").select(
-        "p_partkey", F.col("p_name").alias("producto_canonico"), F.when(s % 3 == 0, "no").otherwise("sí" if False else "si").alias("activo"), F.when(s % 5 == 0, "0").otherwise("-").alias("sniim_id_origen"),
+        "p_partkey", F.col("p_name").alias("producto_canonico"), F.when(s % 3 == 0, "no").otherwise("si").alias("activo"), F.when(s % 5 == 0, "0").otherwise("-").alias("sniim_id_origen"),
         F.when(s % 2 == 0, "uno | dos").otherwise(" | ").alias("terminos_busqueda_walmart"),
     )
     out = records.product_config(table)
@@ -223,8 +223,7 @@ def planting_files(t: Tables) -> DataFrame:
     h = _history(t).crossJoin(F.broadcast(first))  # one row
     own = h.select("tipo", F.lower("cultivo").alias("cultivo"), F.when(F.col("estado") == F.col("b"), " Estados").otherwise(F.col("estado")).alias("estados"), F.col("anio").cast("string").alias("anio"))
     crops = {c: c for c in ("promo", "standard", "small", "medium", "large")}
-    names = {text_key: v for text_key, v in crops.items()}
-    return shown(records.planting_history(own, [1995, 1996], names).groupBy("tipo", "anio").agg(F.count(F.lit(1)).alias("n")))
+    return shown(records.planting_history(own, [1995, 1996], crops).groupBy("tipo", "anio").agg(F.count(F.lit(1)).alias("n")))
 
 
 @query("SELECT o_orderkey FROM orders WHERE o_orderkey % 6 NOT IN (0, 1)")

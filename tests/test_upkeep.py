@@ -194,7 +194,7 @@ def test_all_analyses(spark, tmp_path):
 
     t = Tables(spark, "/root/testdata/sf0.001")
     got = run.analyses(t.wholesale(), t.retail(), t.dams(), t.weather(), t.progress(), t.annual(), _annual_records(t), folder=f"file://{tmp_path}/models", trees=2, depth=2)
-    assert {"water_methods", "price_methods", "production_forecast", "price_report", "price_importances", "price_top_overall" if False else "price_top"} <= set(got)
+    assert {"water_methods", "price_methods", "production_forecast", "price_report", "price_importances", "price_top"} <= set(got)
     assert {r["horizonte"] for r in got["price_methods"].collect()} == {7, 14, 28} and {r["horizonte"] for r in got["water_methods"].collect()} == {3, 6, 9}
     assert json.loads(got["price_report"].first()["reporte"])["cultivos"]
     assert len(trees.read_models(f"file://{tmp_path}/models/agua", spark)) == 6
