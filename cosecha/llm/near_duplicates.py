@@ -10,10 +10,12 @@ similarity is at least ``share`` percent, checked on the full sets with exact in
 3. Bands: 64 bands of 8 registers.  At a similarity of 0.85 a pair shares none with a probability of 2e-9, at 0.8 of
    8e-6.
 4. Star round: each class of a bucket is compared with the bucket's smallest.  Then, only in buckets whose other
-   classes are still in different components, all classes of different components are compared, in blocks of about
-   1,000, inside tasks; only links that connect two components leave a task.  No pair that shares a bucket goes unseen
+   classes are still in different components, all classes of different components are compared by their registers, in
+   blocks of about 1,000, inside tasks; forests leave a task, pairs do not, and of all forests each class keeps one pair,
+   which step 6 decides.  Where classes of different components, by the estimate, may still link, their full sets go
+   to blocks that are bounded in bytes too, and the links are found there.  No pair that shares a bucket goes unseen
    unless it is already connected, and groups are never expanded to all their pairs.
-5. Estimate, in both rounds: the similarity that is likeliest jointly for the numbers of registers that are larger,
+5. Estimate, in all rounds: the similarity that is likeliest jointly for the numbers of registers that are larger,
    equal and smaller, given both set sizes.  A pair goes on to step 6 unless it is 4.5 standard errors too low.
 6. Verification: exact sizes of intersection and union of the full sets.
 
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cosecha.llm import words as W
@@ -40,6 +42,7 @@ REGISTERS = 512
 BANDS = 64
 BASE = 1.1
 BLOCK = 1000  # classes of one bucket that a task compares with each other
+BLOCK_BYTES = 32 << 20  # of full sets in such a block, on average
 SMALL_IDS = 500_000  # ids that may be broadcast
 
 _seeds = np.random.Generator(np.random.PCG64(77)).integers(1, 1 << 63, REGISTERS // 64 + BANDS, dtype=np.uint64)
@@ -147,6 +150,13 @@ def _sets(texts: pa.ChunkedArray) -> list[np.ndarray]:
     return out
 
 
+def _written_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in W.pieces(batch, "text"):
+            sets = [x.tobytes() for x in _sets(pa.chunked_array([part.column("text")]))]
+            yield pa.RecordBatch.from_arrays([part.column("class_id"), pa.array(sets, pa.binary())], names=["class_id", "shingles"])
+
+
 def _linked(x: np.ndarray, y: np.ndarray, share: int) -> bool:
     """Whether two sorted sets have the similarity, in exact integers."""
     if not len(x) or not len(y):
@@ -156,46 +166,50 @@ def _linked(x: np.ndarray, y: np.ndarray, share: int) -> bool:
     return 100 * both >= share * (len(x) + len(y) - both)
 
 
-def _within_blocks(share: int):
-    """Links between different components of one bucket: in each block a forest of them, never all."""
+def _met(share: int, table: pa.Table, starts: np.ndarray, comp: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+    """(components of the run, i, the later rows of the run that the estimate keeps for row i).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, starts in sorted_runs(batches, ["bucket", "low", "high"]):
-            bucket, ids, n = (table.column(c).to_numpy() for c in ("bucket", "class_id", "n"))
-            comp = table.column("comp").to_numpy().copy()
-            block, low, high = (table.column(c).to_numpy() for c in ("block", "low", "high"))
-            regs, texts, sets = _regs(table.column("regs")), table.column("text"), {}
-
-            def set_of(i: int) -> np.ndarray:
-                """Built when a pair is verified, and kept while its block is compared."""
-                if i not in sets:
-                    (sets[i],) = _sets(texts.slice(i, 1))
-                return sets[i]
+    Rows of one component are left out; whoever takes a pair may join its components in the first array before it asks
+    for the next.  A pair that shares many buckets comes in the first of them only.
+    """
+    bucket, n, block, low, high = (table.column(c).to_numpy() for c in ("bucket", "n", "block", "low", "high"))
+    regs = _regs(table.column("regs"))
+    for s, e in zip(starts[:-1], starts[1:], strict=True):
+        lanes = np.ascontiguousarray(regs[s:e]).view(np.uint64)
+        keys = band_keys(regs[s:e])
+        for i in range(s, e):
+            if low[s] != high[s] and block[i] != low[s]:
+                continue
+            rest = np.arange(i + 1, e) if low[s] == high[s] else s + np.flatnonzero(block[s:e] == high[s])
+            rest = rest[comp[rest] != comp[i]]
+            if len(rest):
+                # a pair that shares many buckets is compared in the first
+                first = (lanes[rest - s] == lanes[i - s]).argmax(axis=1)
+                rest = rest[keys[i - s][first] == bucket[s]]
+            if len(rest):
+                one = np.broadcast_to(regs[i], (len(rest), REGISTERS))
+                rest = rest[_plausible(one, regs[rest], np.broadcast_to(n[i], len(rest)), n[rest], share)]
+            if len(rest):
+                yield comp[s:e], i, rest
+
+
+RUN = ["bucket", "low", "high"]
+
+
+def _joined(share: int, exact: bool):
+    """A forest over the components of each run: of pairs that the estimate keeps, or, if ``exact``, of links."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in sorted_runs(batches, RUN):
+            ids, comp = table.column("class_id").to_numpy(), table.column("comp").to_numpy().copy()
+            sets = table.column("shingles") if exact else None
+            set_of = lambda i: np.frombuffer(sets[i].as_buffer(), np.uint64)  # noqa: B023, E731
             found: list[tuple[int, int]] = []
-            for s, e in zip(starts[:-1], starts[1:], strict=True):
-                lanes = np.ascontiguousarray(regs[s:e]).view(np.uint64)
-                keys = band_keys(regs[s:e])
-                sets.clear()
-                for i in range(s, e):
-                    rest = np.arange(i + 1, e) if low[s] == high[s] else s + np.flatnonzero(block[s:e] == high[s])
-                    if low[s] != high[s] and block[i] != low[s]:
-                        continue
-                    rest = rest[comp[rest] != comp[i]]
-                    if not len(rest):
-                        continue
-                    # a pair that shares many buckets is compared in the first
-                    first = (lanes[rest - s] == lanes[i - s]).argmax(axis=1)
-                    rest = rest[keys[i - s][first] == bucket[s]]
-                    if not len(rest):
-                        continue
-                    one = np.broadcast_to(regs[i], (len(rest), REGISTERS))
-                    rest = rest[_plausible(one, regs[rest], np.broadcast_to(n[i], len(rest)), n[rest], share)]
-                    for j in rest.tolist():
-                        if comp[i] != comp[j] and _linked(set_of(i), set_of(j), share):
-                            found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
-                            own = comp[s:e]
-                            own[own == comp[j]] = comp[i]
+            for own, i, rest in _met(share, table, starts, comp):
+                for j in rest.tolist():
+                    if comp[i] != comp[j] and (not exact or _linked(set_of(i), set_of(j), share)):
+                        found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                        own[own == comp[j]] = comp[i]
             if found:
                 a, b = np.array(found, np.int64).T
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
@@ -203,6 +217,20 @@ def _within_blocks(share: int):
     return run
 
 
+def _unsettled(share: int):
+    """The rows that the estimate keeps for a row of another component in their run."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in sorted_runs(batches, RUN):
+            some = np.zeros(len(table), bool)
+            for _, i, rest in _met(share, table, starts, table.column("comp").to_numpy()):
+                some[i] = some[rest] = True
+            if some.any():
+                yield from table.select(["bucket", "class_id"]).filter(pa.array(some)).combine_chunks().to_batches()
+
+    return run
+
+
 def _verify(share: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,23 +280,41 @@ def near_duplicates(docs: DataFrame, share: int = SHARE) -> DataFrame:
     star = hits.select(F.col("leader").alias("a"), F.col("class_id").alias("b")).distinct()
     links = _verified(with_registers(star).mapInArrow(_estimate(share), PAIR), own, share)
 
-    known = components(links)
-    rest = hits.select("bucket", "class_id", "members").join(known.select(F.col("node").alias("class_id"), "root"), "class_id", "left")
-    rest = rest.select("bucket", "class_id", "members", F.coalesce("root", "class_id").alias("comp"))
-    rest = saved(rest, "rest")
-    mixed = rest.groupBy("bucket").agg(F.min("comp").alias("low_comp"), F.max("comp").alias("high_comp")).where("low_comp <> high_comp")
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("members") / BLOCK)).cast("long")
-    rest = rest.join(mixed.select("bucket"), "bucket").withColumn("block", F.pmod(F.xxhash64("class_id"), blocks))
-    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    rest = rest.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "class_id", "comp")
-    rest = saved(rest, "blocks")
-    texts = _texts(own, rest.select(F.col("class_id").alias("id")))
-    rest = rest.join(regs, "class_id").join(texts, "class_id").repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
-    more = saved(rest.mapInArrow(_within_blocks(share), PAIR), "more-links")
+    def split(rows: DataFrame, known: DataFrame) -> DataFrame:
+        """Rows (bucket, class_id, n) with their components, of buckets that hold several."""
+        rest = rows.select("bucket", "class_id", "n").join(known.select(F.col("node").alias("class_id"), "root"), "class_id", "left")
+        rest = saved(rest.select("bucket", "class_id", "n", F.coalesce("root", "class_id").alias("comp")), "rest")
+        held = rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("volume"), F.min("comp").alias("low_comp"), F.max("comp").alias("high_comp"))
+        return rest.join(held.where("low_comp <> high_comp").drop("low_comp", "high_comp"), "bucket")
+
+    def dealt(rows: DataFrame, blocks: Column) -> DataFrame:
+        """Each row with its registers, once for every pair of blocks that its own is one of."""
+        rest = rows.withColumn("blocks", F.greatest(F.lit(1), F.ceil(blocks)).cast("long")).withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")))
+        rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        return rest.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "class_id", "n", "comp").join(regs.select("class_id", "regs"), "class_id")
+
+    def runs(rows: DataFrame) -> DataFrame:
+        return rows.repartition(*RUN).sortWithinPartitions(*RUN, "class_id")
+
+    by_count = F.col("members") / BLOCK
+    hits = hits.join(regs.select("class_id", "n"), "class_id")
+    # by registers alone: of the pairs that would join components one for each class, the others wait for its outcome
+    forest = runs(dealt(split(hits, components(links)), by_count)).mapInArrow(_joined(share, exact=False), PAIR)
+    forest = saved(forest.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "forest")
+    if not forest.isEmpty():
+        links = links.union(_verified(forest, own, share))
+        known = saved(components(links), "known")
+        # full sets go only where a pair that the estimate keeps is still in two components
+        left = runs(dealt(split(hits, known), by_count)).mapInArrow(_unsettled(share), "bucket long, class_id long").distinct()
+        left = saved(left.join(regs.select("class_id", "n"), "class_id"), "unsettled")
+        if not left.isEmpty():
+            rest = saved(dealt(split(left, known), F.greatest(by_count, F.col("volume") * 8 / BLOCK_BYTES)), "blocks")
+            sets = _texts(own, rest.select(F.col("class_id").alias("id"))).mapInArrow(_written_sets, "class_id long, shingles binary")
+            links = links.union(saved(runs(rest.join(sets, "class_id")).mapInArrow(_joined(share, exact=True), PAIR), "more-links"))
 
     # documents of a class are linked to its smallest id; a doc_id with several texts joins their classes
     copies = full.join(classes.select(*digest, "class_id"), digest).where("doc_id <> class_id").select(F.col("class_id").alias("a"), F.col("doc_id").alias("b"))
-    linked = components(links.union(more).union(copies))
+    linked = components(links.union(copies))
     out = sketches.select("doc_id", "n_shingles").join(linked.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left")
     out = out.withColumn("component_id", F.coalesce("root", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))

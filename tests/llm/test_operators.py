@@ -16,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cosecha.llm import decontamination, embedding_links, html_text, language_id, mixing, near_duplicates, passages, quality, token_files, warc
-from cosecha.llm.work import components
+from cosecha.llm.work import components, saved
 
 ODD = [(1, None), (2, ""), (3, " \t\n"), (None, "some words with no id at all"), (4, "short"), (4, "short"), (5, "ünï ©ode … 漢字 words here"), (6, "long " * 3000)]
 
@@ -279,6 +279,28 @@ def test_blocks_of_a_large_bucket(spark, documents, monkeypatch):
     assert got == roots(sets, [(a, b) for a, b in itertools.combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 70 * len(sets[a] | sets[b])])
 
 
+def test_full_sets_only_where_registers_do_not_settle(spark, documents, monkeypatch):
+    """Near copies are settled without full sets; a family about the threshold needs them, and blocks bounded in bytes lose no link."""
+    monkeypatch.setattr(near_duplicates, "BLOCK", 10)
+    monkeypatch.setattr(near_duplicates, "BLOCK_BYTES", 8000)
+    seen = {}
+
+    def kept(df, name):
+        seen[name] = saved(df, name)
+        return seen[name]
+
+    monkeypatch.setattr(near_duplicates, "saved", kept)
+    rng = np.random.default_rng(6)
+    near, far = text_of(rng, 400), text_of(rng, 400)
+    docs = [(i, edited(rng, near, 2)) for i in range(60)] + [(100 + i, edited(rng, far, 4)) for i in range(40)]
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates.near_duplicates(documents(docs), 85).collect()}
+    sets = {d: shingles(t) for d, t in docs}
+    assert got == roots(sets, [(a, b) for a, b in itertools.combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])])
+    assert len({got[i] for i in range(60)}) == 1 and len(set(got.values())) > 2
+    left = {r["class_id"] for r in seen["unsettled"].collect()}
+    assert left and left <= set(range(100, 140))
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(6)
     a, b = rng.integers(0, 1 << 63, 3000, dtype=np.uint64), rng.integers(0, 1 << 63, 1000, dtype=np.uint64)
