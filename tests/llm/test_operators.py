@@ -135,6 +135,35 @@ def test_decontamination_against_brute_force(spark, documents):
     assert decontamination.matches(documents([]), bench).count() == 0 and decontamination.matches(documents(docs), bench.limit(0)).count() == 0
 
 
+def test_shingles_are_counted(spark):
+    rng = np.random.default_rng(23)
+    rows = [(i, [int(x) for x in rng.integers(-3, 3, n)]) for i, n in enumerate((1, 2, 7, 40, 300))] + [(9, [5] * 50), (10, list(range(60)))]
+    table = spark.createDataFrame(rows, "i long, s array<long>")
+    got = {r["i"]: r["c"] for r in table.select("i", decontamination._counted(F.col("s")).alias("c")).collect()}
+    for (i, x), (j, y) in itertools.product(rows, rows):
+        want = sum(min(x.count(v), y.count(v)) for v in set(x))
+        assert len(set(got[i])) == len(x) and len(set(got[i]) & set(got[j])) == want
+
+
+@pytest.mark.parametrize("bounds", [{}, {"SET_BYTES": 0, "INDEX_ROWS": 0, "ITEM_SHINGLES": 0, "PLACES": 0}])
+def test_decontamination_of_long_and_repeated_items(spark, documents, monkeypatch, bounds):
+    """Items of thousands of words, of one repeated word, and two of one id; with and without broadcasts."""
+    for name, value in bounds.items():
+        monkeypatch.setattr(decontamination, name, value)
+    rng = np.random.default_rng(24)
+    long, other = text_of(rng, 4000), text_of(rng, 25)
+    items = [(1, long), (2, "again " * 30), (3, other), (3, text_of(rng, 26)), (None, text_of(rng, 24))]
+    docs = [(10, f"{text_of(rng, 50)} {edited(rng, long, 60)} {text_of(rng, 50)}"), (11, "again " * 30), (12, f"x {'again ' * 28} {text_of(rng, 9)}"), (13, "again " * 20)]
+    docs += [(14, f"{text_of(rng, 9)} {items[3][1]}"), (15, f"{other} {items[4][1]}"), (16, text_of(rng, 6000)), (17, edited(rng, long, 1500))]
+    found = decontamination.matches(documents(docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {(r["doc_id"], r["item_id"]): r for r in found}
+    assert set(got) == {(10, 1), (11, 2), (12, 2), (14, 3), (15, 3), (15, None)} and len(found) == 6
+    a, b = docs[0][1].split()[50:4050], long.split()
+    shared = sum(a[i : i + 5] == b[i : i + 5] for i in range(3996))
+    assert got[10, 1]["start"] == 50 and got[10, 1]["similarity"] == pytest.approx(shared / (2 * 3996 - shared))
+    assert got[11, 2]["similarity"] == 1 and got[12, 2]["similarity"] == pytest.approx(24 / 28) and got[15, None]["start"] == 25
+
+
 # 3
 
 
