@@ -5,9 +5,9 @@ structure and length statistics, each cut into ranges that are one feature each.
 w0 + sum w_f x_f + sum over pairs <v_f, v_g> x_f x_g; the pairs cost linear time, as half of
 (sum v_f x_f)^2 - sum (v_f x_f)^2 in every one of the few dimensions.
 
-Trained with AdaGrad on the driver, on at most ``sample`` labelled documents: those whose ids hash lowest.  Only their
-features go there: no more than BUCKETS + statistics entries each, whatever the length of the text.  Scoring is one
-narrow pass over whole texts.
+Trained with AdaGrad on the driver, on at most ``sample`` labelled documents: those whose ids hash lowest, and of these
+as many as have no more than ``most`` bytes of features together.  Only their features go there: no more than BUCKETS +
+statistics entries each, whatever the length of the text.  Scoring is one narrow pass over whole texts.
 
 Defined results: null, empty and blank texts have no words, only statistics, and get a score; rows with equal texts
 get equal scores; a null doc_id is scored and never trained on; contradicting labels of one doc_id both count; without
@@ -21,16 +21,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from cosecha.llm import words as W
-from cosecha.llm.work import fresh
+from cosecha.llm.work import fresh, saved
 
 BUCKETS = 1 << 14
 FACTORS = 8
 SAMPLE = 6000
+SAMPLE_BYTES = 256 << 20
 BATCH = 64
 STEPS = 1200  # batches; with few labels, each row comes round more often
 THRESHOLD = 0.3
@@ -150,13 +151,19 @@ def fold(doc_id) -> F.Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, steps: int = STEPS, seed: int = 5) -> Machine:
-    """Fits on at most ``sample`` labelled rows outside the held-out fold, those with the lowest hashes of their ids."""
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, steps: int = STEPS, seed: int = 5, most: int = SAMPLE_BYTES) -> Machine:
+    """Fits on at most ``sample`` labelled rows outside the held-out fold, those with the lowest hashes of their ids, and
+    on at most ``most`` bytes of word features, in the same order."""
     chosen = labels.where("quality in (0, 1) and doc_id is not null").where(fold("doc_id") != HELD_OUT)
     chosen = chosen.select(F.col("doc_id").alias("label_id"), F.col("quality").cast("double").alias("label"), F.xxhash64("doc_id", "quality").alias("place"))
     chosen = F.broadcast(chosen.orderBy("place", "label_id").limit(sample))  # at most ``sample`` rows of three numbers
     labelled = docs.select("doc_id", "text").join(chosen, docs["doc_id"] == F.col("label_id")).select("place", "label", "text")
-    rows = labelled.mapInArrow(_sparse, "place long, label double, stats binary, slots binary, vals binary").orderBy("place", "slots").limit(sample).toArrow()
+    rows = saved(labelled.mapInArrow(_sparse, "place long, label double, stats binary, slots binary, vals binary").withColumn("tie", F.xxhash64("slots", "vals")), "labelled")
+    # at most ``sample`` rows of three numbers in order
+    sizes = rows.select("place", "tie", (F.length("slots") + F.length("vals")).alias("bytes")).orderBy("place", "tie", "bytes").limit(sample)
+    held = F.sum("bytes").over(Window.orderBy("place", "tie", "bytes").rowsBetween(Window.unboundedPreceding, 0))
+    n = sizes.select(held.alias("held")).where(F.col("held") <= most).count()
+    rows = rows.orderBy("place", "tie", "slots").limit(n).toArrow()
     n = len(rows)
     model = Machine(0.0, np.zeros(BUCKETS + N_STATISTICS * BINS), np.zeros((BUCKETS + N_STATISTICS * BINS, FACTORS)), np.zeros((N_STATISTICS, BINS - 1)))
     if not n:

@@ -357,6 +357,11 @@ def test_quality_learns_and_scores_odd_texts(spark, documents):
     assert np.mean([(score[i] >= 0.3) == (i < 200) for i in held]) >= 0.97
     assert all(0 <= s <= 1 for s in score.values()) and len(score) == 400 + len(ODD) + 1
     assert {r["quality_score"] for r in quality.scored(documents([(1, "a b"), (2, None)]), quality.train(docs, labels.limit(0))).collect()} == {0.5}
+    # about 480 bytes of words a text
+    few = quality.train(docs, labels, most=80 * 480)
+    score = {r["doc_id"]: r["quality_score"] for r in quality.scored(docs, few).collect()}
+    assert np.mean([(score[i] >= 0.3) == (i < 200) for i in held]) >= 0.9 and not np.array_equal(few.weights, model.weights)
+    assert not quality.train(docs, labels, most=100).weights.any()
 
 
 def test_quality_query_on_held_out_documents(spark):
