@@ -94,7 +94,7 @@ def file_failures(t: Tables) -> DataFrame:
     o = t.raw("orders")
     whole = F.concat_ws(",", "o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd"))
     line = F.when(F.col("o_orderkey") % 7 == 0, F.concat("o_orderkey", F.lit(",x"))).otherwise(whole)
-    o.select(line.alias("value")).write.text(f"{root}/lines")
+    o.select(line.alias("value"), (F.col("o_orderkey") % 2).alias("parte")).write.partitionBy("parte").text(f"{root}/lines")  # an empty task writes no file then
     t.spark.range(0, 1, 1, 1).select(F.lit("9,").alias("value"), F.unhex(F.lit("F1")).alias("b")).select(F.concat(F.col("value").cast("binary"), "b").cast("string").alias("value")).write.text(f"{root}/latin")
     t.spark.range(0, 0, 1, 1).select(F.lit("").alias("value")).coalesce(1).write.text(f"{root}/empty")
     good, bad = files.read_lines(t.spark, root, "o_orderkey long, o_custkey long, fecha date", "*.txt")
