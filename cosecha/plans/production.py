@@ -124,7 +124,10 @@ def risk_matrix(cast: DataFrame, crops: Sequence[str]) -> DataFrame:
 
 
 def top_risks(cast: DataFrame, n: int = 20) -> DataFrame:
-    return cast.orderBy(F.col("caida_10").desc_nulls_last(), F.col("cambio_pct").asc_nulls_last(), "cultivo", "estado", "anio").limit(n)
+    """The largest chances of a shortfall, of equals the largest falls; both as they are shown, so that the noise of sums
+    orders nothing."""
+    order = [numbers.rounded(F.col("caida_10")).desc_nulls_last(), numbers.rounded(F.col("cambio_pct")).asc_nulls_last()]
+    return cast.orderBy(*order, "cultivo", "estado", "anio").limit(n)
 
 
 def top_volume(cast: DataFrame, volume: str = "pronostico", n: int = 20) -> DataFrame:
