@@ -87,7 +87,8 @@ def _nodes(value):
 
 
 def product_nodes(pages: DataFrame) -> DataFrame:
-    """Objects with a name and a price in a page's JSON scripts; of equal names on a page the first stays.
+    """Objects with a name and a price in a page's JSON scripts; of equal names on a page the first by price, name and all
+    that is read stays, also where several rows are one page.
 
     The depth is unknown, so the walk is Python, in Arrow batches; everything after it is columns.
     """
@@ -117,7 +118,8 @@ def product_nodes(pages: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=[c.split()[0] for c in NODE.split(", ")])
 
     found = own.mapInPandas(run, NODE).withColumn("clave", text.spaced(F.col("nombre")))
-    return rows.best(found.where("clave <> ''"), ["page_id", "clave"], [F.array_min("actuales"), F.col("nombre"), F.col("enlace").asc_nulls_last()])
+    rest = [F.col("enlace"), F.col("marca"), F.col("tipo_venta"), F.col("precio_texto"), F.array_join("categorias", " > "), F.array_max("anteriores")]
+    return rows.best(found.where("clave <> ''"), ["page_id", "clave"], [F.array_min("actuales"), F.col("nombre"), *[c.asc_nulls_last() for c in rest]])
 
 
 def _has(key: Column, *terms: str) -> Column:
@@ -172,10 +174,10 @@ def offers(nodes: DataFrame, configured: DataFrame | None = None) -> DataFrame:
 def records(offer: DataFrame, asked: DataFrame, base: str, fallback: str) -> DataFrame:
     """Offers as the records of a run: page, query, product as written, as asked for and as inferred, and all that was read.
 
-    ``asked`` (page_id, cultivo_pedido, consulta) says what each page was fetched for; offers of no crop, or of another
-    than the one asked for, go.
+    ``asked`` (page_id, cultivo_pedido, consulta) says what each page was fetched for, told twice or once; offers of no
+    crop, or of another than the one asked for, go.
     """
-    out = offer.join(asked.select("page_id", "cultivo_pedido", "consulta"), "page_id", "left")
+    out = offer.join(asked.select("page_id", "cultivo_pedido", "consulta").distinct(), "page_id", "left")
     out = out.where("cultivo is null or cultivo_pedido is null or cultivo = cultivo_pedido")
     out = out.select(
         "page_id", text.source_page([F.coalesce("enlace", F.lit(""))], base, fallback).alias("pagina"), "consulta", F.col("nombre").alias("producto_crudo"), F.coalesce("cultivo_pedido", "cultivo").alias("producto"),
