@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Mapping, Sequence
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -52,6 +53,7 @@ def best_offers(offer: DataFrame) -> DataFrame:
     return rows.best(offer, ["clave"], [F.col("promocion").desc(), F.col("precio").asc_nulls_last(), F.col("id")])
 
 
+_PLAIN_START, _PLAIN_END = re.compile("<(t[rdh]|table|thead|tbody)>"), re.compile("</(t[rdh]|table|thead|tbody)>")
 COLUMN_SPAN, ROW_SPAN = 1000, 65_534  # the most columns and rows that a cell may span, as in HTML itself
 
 
@@ -65,6 +67,23 @@ class _Cells(HTMLParser):
         self.open: list[dict] = []
         self.tables = 0
 
+    def updatepos(self, i, j):
+        """Lines are not counted."""
+        return j
+
+    def parse_starttag(self, i):
+        """As the parser does, in one step for the plain tags of tables."""
+        if found := _PLAIN_START.match(self.rawdata, i):
+            self.handle_starttag(found[1], ())
+            return found.end()
+        return super().parse_starttag(i)
+
+    def parse_endtag(self, i):
+        if self.cdata_elem is None and (found := _PLAIN_END.match(self.rawdata, i)):
+            self.handle_endtag(found[1])
+            return found.end()
+        return super().parse_endtag(i)
+
     def _cell(self) -> None:
         t = self.open[-1] if self.open else None
         if t and t["text"] is not None:
@@ -109,7 +128,8 @@ class _Cells(HTMLParser):
             self._cell()
             spans = dict(attrs)
             number = lambda name, most: max(1, min(most, int(v))) if (v := (spans.get(name) or "").strip()).isdecimal() else 1
-            self.open[-1].update(text=[], span=(number("colspan", COLUMN_SPAN), number("rowspan", ROW_SPAN)), headers=self.open[-1]["headers"] and tag == "th")
+            span = (number("colspan", COLUMN_SPAN), number("rowspan", ROW_SPAN)) if spans else (1, 1)
+            self.open[-1].update(text=[], span=span, headers=self.open[-1]["headers"] and tag == "th")
 
     def handle_endtag(self, tag):
         if tag in ("td", "th"):
@@ -130,18 +150,21 @@ class _Cells(HTMLParser):
 def tables(pages: DataFrame) -> DataFrame:
     """(page_id, table_no, row_no, head, cells) of every row of every table in the pages."""
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             out = []
-            for page_id, page in zip(part["page_id"], part["html"], strict=True):
+            for page_id, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 cells = _Cells()
                 cells.feed(page or "")
                 cells.close()
                 out += [(page_id, *r) for r in cells.rows]
-            yield pd.DataFrame(out, columns=["page_id", "table_no", "row_no", "head", "cells"])
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), ROW.types, strict=True)], schema=ROW)
+
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), "html").mapInArrow(run, "page_id long, table_no int, row_no int, head boolean, cells array<string>")
 
-    return pages.select("page_id", "html").mapInPandas(run, "page_id long, table_no int, row_no int, head boolean, cells array<string>")
 
+ROW = pa.schema([("page_id", pa.int64()), ("table_no", pa.int32()), ("row_no", pa.int32()), ("head", pa.bool_()), ("cells", pa.list_(pa.string()))])
 
 # Names of report columns
 REPORT_ALIASES = {
@@ -156,25 +179,33 @@ def report_table(cells: DataFrame, terms: Sequence[str] = (), aliases: Mapping[s
     Leading header rows are joined to one name for each column, each text once; without any the first row is the header.
     A column without a name is ``numero``; of columns with one name the first stays; blank rows go, blank cells are null.
     """
-    key = ["page_id", "table_no"]
-    size = cells.groupBy(*key).agg(F.min(F.when(~F.col("head"), F.col("row_no"))).alias("body"), F.max(F.size("cells")).alias("width"), F.count(F.lit(1)).alias("n"))
-    size = size.withColumn("body", F.greatest(F.coalesce("body", "n"), F.lit(1)))
-    all_ = cells.join(size, key).select(*key, "row_no", "body", F.posexplode("cells").alias("at", "cell"))
-    heads = all_.where(F.col("row_no") < F.col("body")).groupBy(*key, "at").agg(F.array_sort(F.collect_list(F.struct("row_no", "cell"))).alias("h"))
-    texts = F.filter(F.array_distinct(F.transform("h", lambda x: x["cell"])), lambda x: (x != "") & ~F.lower(x).startswith("unnamed:"))
-    name = text.slug(F.concat_ws(" ", texts))
-    for known, other in aliases.items():
-        name = F.when(name == known, other).otherwise(name)
-    heads = heads.select(*key, "at", F.when(F.size(texts) == 0, "numero").otherwise(F.coalesce(F.nullif(name, F.lit("")), F.lit("columna"))).alias("column"))
-    heads = rows.best(heads, [*key, "column"], [F.col("at")])
-    hits = heads.groupBy(*key).agg(F.count_if(F.col("column").isin(*terms)).alias("hits"))
-    scores = size.join(hits, key).withColumn("area", (F.col("n") - F.col("body")) * F.col("width"))
-    order = [F.col("hits").desc()] if terms else []
-    top = rows.best(scores, ["page_id"], [*order, F.col("area").desc(), F.col("table_no")]).select(*key)
-    body = all_.where(F.col("row_no") >= F.col("body")).join(top, key, "left_semi").join(heads, [*key, "at"])
-    body = body.withColumn("value", F.nullif(F.trim("cell"), F.lit("")))
-    row = Window.partitionBy("page_id", "row_no")
-    return body.withColumn("__known", F.count("value").over(row)).where("__known > 0").select("page_id", "row_no", "column", "value")
+    # a table is one row, as its page was, so all of it meets in one shuffle by page
+    row = F.struct("row_no", "head", "cells")
+    table = cells.repartition("page_id").groupBy("page_id", "table_no").agg(F.array_sort(F.collect_list(row)).alias("r"))
+    wide = lambda part: F.array_max(F.transform(part, lambda x: F.size(x["cells"])))
+    first = F.array_min(F.transform(F.filter("r", lambda x: ~x["head"]), lambda x: x["row_no"]))
+    table = table.withColumn("body", F.greatest(F.coalesce(first, F.size("r")), F.lit(1)))
+    head = F.filter("r", lambda x: x["row_no"] < F.col("body"))
+    table = table.withColumns({"area": (F.size("r") - F.col("body")) * wide("r"), "head": head, "r": F.filter("r", lambda x: x["row_no"] >= F.col("body"))})
+
+    def column(at: Column) -> Column:
+        cell = F.filter(F.transform("head", lambda x: F.get(x["cells"], at)), lambda x: x.isNotNull())
+        texts = F.filter(F.array_distinct(cell), lambda x: (x != "") & ~F.lower(x).startswith("unnamed:"))
+        return F.concat_ws(" ", texts)
+
+    table = table.withColumn("columns", F.transform(F.sequence(F.lit(0), wide("head") - 1), column)).where("size(columns) > 0")
+    # a lambda's expressions run as often as they stand there: a name is made once, and looked up after it
+    named = F.transform("columns", lambda c: F.struct(c.alias("text"), text.slug(c).alias("name")))
+    known = F.create_map(*[F.lit(x) for pair in aliases.items() for x in pair]) if aliases else None
+    other = lambda c: F.try_element_at(known, c["name"]) if aliases else F.lit(None).cast("string")
+    table = table.withColumn("columns", F.transform(named, lambda c: F.when(c["text"] == "", "numero").otherwise(F.coalesce(other(c), F.nullif(c["name"], F.lit("")), F.lit("columna")))))
+    hits = F.size(F.filter(F.array_distinct("columns"), lambda c: c.isin(*terms))) if terms else F.lit(0)
+    order = F.struct(hits.alias("hits"), F.col("area"), (-F.col("table_no")).alias("first"))
+    top = table.groupBy("page_id").agg(F.max_by(F.struct("columns", "r"), order).alias("t")).select("page_id", "t.columns", F.explode("t.r").alias("x"))
+    own = F.transform("columns", lambda c, at: F.struct(c.alias("column"), at.alias("at"), F.nullif(F.trim(F.get(F.col("x.cells"), at)), F.lit("")).alias("value")))
+    own = F.filter(own, lambda v: (v["at"] < F.size("x.cells")) & (F.array_position("columns", v["column"]) == v["at"] + 1))
+    found = top.select("page_id", F.col("x.row_no").alias("row_no"), own.alias("own")).where(F.exists("own", lambda v: v["value"].isNotNull()))
+    return found.select("page_id", "row_no", F.inline("own")).select("page_id", "row_no", "column", "value")
 
 
 def numeric_columns(report: DataFrame) -> DataFrame:

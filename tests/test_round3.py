@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cosecha import queries
-from cosecha.plans import production
+from cosecha.plans import pages, production
 
 SF = "/root/testdata/sf0.001"
 
@@ -52,3 +52,12 @@ def test_top_risks_by_what_is_shown(spark):
     rows = [("b", "x", 2000, 0.25, 0.0), ("a", "x", 2000, 0.25 - 1e-15, 0.0), ("c", "x", 2000, 0.25 + 1e-15, -1e-16), ("d", "x", 2000, 0.3, 0.0), ("e", "x", 2000, None, None)]
     got = production.top_risks(spark.createDataFrame(rows, "cultivo string, estado string, anio int, caida_10 double, cambio_pct double"), 4)
     assert [r["cultivo"] for r in got.select(F.col("cultivo")).collect()] == ["d", "a", "b", "c"]
+
+
+def test_report_tables_in_one_pass(spark):
+    """A page is read once, and its table needs one shuffle, with the names of its columns."""
+    page = spark.range(0, 40).selectExpr("id as page_id", "concat('<table><tr><td>x</td></tr></table><table><tr><th>Entidad</th><th>Superficie ha sembrada</th><th></th><th>Entidad</th></tr><tr><td>E', id, '</td><td>', id, '</td><td> </td><td>z</td></tr><tr><td></td><td>1</td></tr></table>') as html")
+    report = pages.numeric_columns(pages.report_table(pages.tables(page), ("entidad",)))
+    assert sorted(tuple(r)[1:] for r in report.where("page_id = 7").collect()) == [(1, "entidad", "E7", None), (1, "numero", None, None), (1, "superficie_sembrada_ha", "7", 7.0), (2, "entidad", None, None), (2, "superficie_sembrada_ha", "1", 1.0)]
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("Exchange hashpartitioning") + plan.count("Exchange REPARTITION") <= 2
