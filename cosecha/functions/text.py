@@ -92,7 +92,11 @@ def unescaped(c: Column) -> Column:
 
     The text is cut at its ampersands; the start of each part is looked up, so a text is read once whatever it holds.
     """
-    names = F.create_map(*[F.lit(x) for pair in _named_references() for x in pair])
+    known = lambda pairs: F.create_map(*[F.lit(x) for pair in pairs for x in pair])
+    # maps are searched from their start: by first letter they are short
+    letters = sorted({n[0] for n, _ in _named_references()})
+    names = F.create_map(*[x for a in letters for x in (F.lit(a), known(p for p in _named_references() if p[0][0] == a and p[0][-1] == ";"))])
+    short_names = known(p for p in _named_references() if p[0][-1] != ";")
     old_names = "|".join(sorted((n for n, _ in _named_references() if n[-1] != ";"), key=lambda n: (-len(n), n)))  # the longest first
 
     def resolved(part: Column, i: Column) -> Column:
@@ -102,10 +106,10 @@ def unescaped(c: Column) -> Column:
         out = F.when(i == 0, part)
         out = out.when(decimal != "", F.concat(_code_point(decimal.cast("bigint")), after(decimal, 2)))
         out = out.when(hexa != "", F.concat(_code_point(F.conv(hexa, 16, 10).cast("bigint")), after(hexa, 3)))
-        named, short = F.try_element_at(names, whole), F.try_element_at(names, old)
-        out = out.when(named.isNotNull(), F.concat(named, F.substring(part, F.length(whole) + 1, F.length(part))))
-        out = out.when(short.isNotNull(), F.concat(short, F.substring(part, F.length(old) + 1, F.length(part))))
-        return out.otherwise(F.concat(F.lit("&"), part))
+        rest = lambda head: F.substring(part, F.length(head) + 1, F.length(part))
+        named = F.try_element_at(F.try_element_at(names, F.substring(F.nullif(whole, F.lit("")), 1, 1)), whole)
+        short = F.try_element_at(short_names, F.nullif(old, F.lit("")))
+        return out.otherwise(F.coalesce(F.concat(named, rest(whole)), F.concat(short, rest(old)), F.concat(F.lit("&"), part)))
 
     return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(F.split(c, "&", -1), resolved), "")).otherwise(c)
 
