@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cosecha import queries
-from cosecha.plans import pages, production
+from cosecha.plans import pages, production, trees
 
 SF = "/root/testdata/sf0.001"
 
@@ -61,3 +61,11 @@ def test_report_tables_in_one_pass(spark):
     assert sorted(tuple(r)[1:] for r in report.where("page_id = 7").collect()) == [(1, "entidad", "E7", None), (1, "numero", None, None), (1, "superficie_sembrada_ha", "7", 7.0), (2, "entidad", None, None), (2, "superficie_sembrada_ha", "1", 1.0)]
     plan = report._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInArrow") == 1 and plan.count("Exchange hashpartitioning") + plan.count("Exchange REPARTITION") <= 2
+
+
+def test_splits_join_sums_not_rows(spark):
+    df = spark.createDataFrame([("a", float(i % 5), i % 3, None if i % 7 == 0 else i % 2) for i in range(60)], "k string, y double, p int, q int")
+    out = trees.root_splits(df, ["k"], "y", ["p", "q"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and plan.index("Join") < plan.index("Generate explode")
+    assert {r["columna"] for r in out.collect()} == {"p", "q"}
