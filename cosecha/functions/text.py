@@ -63,15 +63,13 @@ def spaced(c: Column) -> Column:
 
 def product(c: Column) -> Column:
     """Slug of a product with its synonyms resolved."""
-    key = slug(c)
-    out = key
-    for name, target in PRODUCT_SYNONYMS.items():
-        out = F.when(key == name, F.lit(target)).otherwise(out)
-    return out
+    known = F.create_map(*[F.lit(x) for pair in PRODUCT_SYNONYMS.items() for x in pair])
+    # the slug stands in an array, so that it is made once and not for each synonym
+    return F.get(F.transform(F.array(slug(c)), lambda key: F.coalesce(F.try_element_at(known, key), key)), 0)
 
 
 def product_or_null(c: Column) -> Column:
-    return F.nullif(product(c), F.lit(""))
+    return F.get(F.transform(F.array(product(c)), lambda key: F.nullif(key, F.lit(""))), 0)
 
 
 @functools.cache
