@@ -4,13 +4,18 @@ Texts are lower-cased and cut at blanks, tabs and line ends into words.  A run o
 item is one shingle as a whole, and so is each run of as many words in a document.  A window of a document and an item of as many words match if the weighted Jaccard
 similarity of their shingles, each weighing as often as it occurs, is ``similarity`` or more.
 
-1. Windows: a matching window shares a shingle with its item.  So windows, as long as the item, are laid where a
-   shingle of the text is one of the item's, aligned to it; no other window can match.  The window slides one way or
-   the other with every shared shingle, and each different place counts once.
-2. Fingerprints: 64-bit SimHash of the window's words.  Its eight bytes are the blocks of a multi-index: an item stands
+1. Shared shingles: every place of a text where one of its shingles is one of an item's.
+2. Windows: as long as the item, laid where a shingle of the text is one of the item's, aligned to it.  The window slides
+   one way or the other with every shared shingle, and each different place counts once.
+3. Fingerprints: 64-bit SimHash of the window's words.  Its eight bytes are the blocks of a multi-index: an item stands
    in the index under each byte and its eight neighbours at one bit, so every item within a distance of
-   2 * 8 - 1 = 15 bits meets the window in some block.
-3. Verification: exact similarity of each window and item that met within the radius.
+   2 * 8 - 1 = 15 bits meets the window in some block.  Each window and item that met within the radius is verified by
+   its exact similarity; a text and item that are found equal are settled, if no other order of the item's words has
+   the same shingles.
+4. All others are counted exactly, at every place: no radius and no alignment decides.  A window that matches lacks so
+   few of its item's shingles that it has one of the item's rarest ones; texts that have one are compared with the item.
+   A shared shingle that an item holds c times counts for the windows that hold it but not its c-th place before, a
+   range of starts; how many ranges hold a start is the number of shingles that its window and the item share.
 
 Defined results: null and empty texts and items match nothing; a null item_id or doc_id is carried as such; repeated
 rows count once for each (doc_id, text); an empty benchmark or corpus gives no rows; other columns do not matter.
@@ -21,6 +26,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cosecha.llm.work import fresh, saved, small
 
@@ -90,22 +96,21 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
         raise ValueError("eight blocks with one free bit guarantee a radius of 15 at most")
     items = benchmark.select("item_id", F.transform(_words("text"), lambda w: F.xxhash64(w)).alias("h")).where("size(h) > 0").distinct()
     key = F.xxhash64("item_id", "h").alias("item_key")
-    items = saved(items.select("item_id", key, F.size("h").alias("n"), _shingles(F.col("h")).alias("s"), _simhash(F.col("h")).alias("f")), "items")
+    items = saved(items.select("item_id", key, F.size("h").alias("n"), _shingles(F.col("h")).alias("s"), _simhash(F.col("h")).alias("f"), "h"), "items")
     sets = saved(items.select("item_id", "item_key", _counted(F.col("s")).alias("item_set")), "item-sets")
-    offsets = items.select("n", F.posexplode("s").alias("offset", "s")).distinct()
-    offsets = small(saved(offsets, "item-shingles"), ITEM_SHINGLES)
+    offsets = saved(items.select("n", F.least("n", F.lit(WIDTH)).alias("width"), F.posexplode("s").alias("offset", "s")).distinct(), "item-shingles")
+    known = small(saved(offsets.select("width", "s").distinct(), "known-shingles"), ITEM_SHINGLES)
 
     d = docs.where("text is not null").select("doc_id", F.md5("text").alias("text_key"), F.transform(_words("text"), lambda w: F.xxhash64(w)).alias("h"))
     # items below WIDTH words are one run of their own width: four widths at most
     short = sorted(r["n"] for r in items.where(F.col("n") < WIDTH).select("n").distinct().collect())
-    windows = None
+    shared = None
     for width in (*short, WIDTH):
-        own = offsets.where(F.col("n") == width) if width < WIDTH else offsets.where(F.col("n") >= WIDTH) if short else offsets
-        seeds = d.select("doc_id", "text_key", F.size("h").alias("length"), F.posexplode(_runs(F.col("h"), width)).alias("pos", "s")).join(own, "s")
-        seeds = seeds.select("doc_id", "text_key", "length", (F.col("pos") - F.col("offset")).alias("start"), "n")
-        seeds = seeds.where("start >= 0 and start + n <= length").drop("length").distinct()
-        windows = seeds if windows is None else windows.union(seeds)
-    windows = saved(windows, "windows")
+        seeds = d.select("doc_id", "text_key", F.size("h").alias("length"), F.posexplode(_runs(F.col("h"), width)).alias("pos", "s")).join(known.where(F.col("width") == width), "s")
+        shared = seeds if shared is None else shared.unionByName(seeds)
+    shared = saved(shared.distinct(), "shared-shingles")
+    windows = shared.join(small(offsets, ITEM_SHINGLES), ["width", "s"]).select("doc_id", "text_key", "length", (F.col("pos") - F.col("offset")).alias("start"), "n")
+    windows = saved(windows.where("start >= 0 and start + n <= length").drop("length").distinct(), "windows")
 
     places = windows.select("doc_id", "text_key").distinct()
     # the words of the texts with windows, once more from the input: carried along, they would be copied to every shingle
@@ -133,10 +138,45 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
     met = met.where(~earlier).select("doc_id", "text_key", "start", "n", "s", "item_key").join(_light(sets), "item_key")
     both = F.size(F.array_intersect(_counted(F.col("s")), F.col("item_set")))
     met = met.withColumn("both", both).withColumn("similarity", F.col("both") / (F.size("s") + F.size("item_set") - F.col("both"))).where(F.col("similarity") >= similarity)
+    # without a run of WIDTH - 1 words twice, the item's words are the only ones with its shingles
+    plain = items.where(F.size(F.array_distinct(_runs(F.col("h"), WIDTH - 1))) == F.greatest(F.col("n") - (WIDTH - 2), F.lit(0))).select("item_key")
+    met = saved(met.select("doc_id", "text_key", "item_key", "item_id", "start", "n", "similarity"), "verified")
+    settled = met.where("similarity = 1").join(plain, "item_key", "left_semi").select("doc_id", "text_key", "item_key").distinct()
+    met = met.select("doc_id", "text_key", "item_id", "start", "n", "similarity").union(_counted_windows(shared, items, settled, similarity))
     best = met.groupBy("doc_id", "text_key", "item_id").agg(F.max(F.struct("similarity", (-F.col("start")).alias("neg"), "n")).alias("best"))
     return best.select("doc_id", "text_key", "item_id", (-F.col("best.neg")).alias("start"), F.col("best.n").alias("n_words"), F.col("best.similarity").alias("similarity"))
 
 
+def _counted_windows(shared: DataFrame, items: DataFrame, settled: DataFrame, similarity: float) -> DataFrame:
+    """(doc_id, text_key, item_id, start, n, similarity): the best window, first of equals, of each text and item but the
+    settled ones, out of all windows, from the places of their ``shared`` shingles."""
+    own = items.select("item_key", F.least("n", F.lit(WIDTH)).alias("width"), F.size("s").alias("m"), F.explode("s").alias("s"))
+    own = own.groupBy("item_key", "width", "m", "s").agg(F.count(F.lit(1)).cast("int").alias("c"))
+    seen = shared.groupBy("width", "s").agg(F.count(F.lit(1)).alias("seen"))
+    own = saved(own.join(seen, ["width", "s"], "left").fillna(0, ["seen"]), "item-counts")
+    # a matching window may lack m * (1 - similarity) / (1 + similarity) of the item's shingles, so not all of one more
+    rarest = Window.partitionBy("item_key").orderBy("seen", "s").rowsBetween(Window.unboundedPreceding, -1)
+    lacks = F.floor(F.col("m") * ((1 - similarity) / (1 + similarity)) + 1e-9)
+    rare = own.withColumn("before", F.coalesce(F.sum("c").over(rarest), F.lit(0))).where((F.col("before") <= lacks) & (F.col("seen") > 0)).select("item_key", "width", "s")
+    doc = F.struct("doc_id", "text_key").alias("doc")  # one key, equal also where doc_id is null
+    shared = shared.select(doc, "width", "s", "length", "pos")
+    pairs = shared.join(small(rare, ITEM_SHINGLES), ["width", "s"]).select("doc", "item_key").distinct()
+    pairs = pairs.join(settled.select(doc, "item_key"), ["doc", "item_key"], "left_anti")
+    met = pairs.join(small(own.drop("seen"), ITEM_SHINGLES), "item_key").join(shared, ["doc", "width", "s"])
+    # a text's places of one shingle
+    at = met.groupBy("doc", "item_key", "width", "m", "s", "c", "length").agg(F.sort_array(F.collect_list("pos")).alias("at"))
+    spans = at.select("doc", "item_key", "m", "width", "length", "c", "at", F.posexplode("at").alias("k", "pos"))
+    low = F.greatest(F.col("pos") - F.col("m") + 1, F.coalesce(F.get("at", F.col("k") - F.col("c")) + 1, F.lit(0)), F.lit(0))
+    high = F.least("pos", F.col("length") - (F.col("m") + F.col("width") - 1))
+    spans = spans.select("doc", "item_key", "m", low.alias("low"), high.alias("high")).where("low <= high")
+    steps = spans.select("doc", "item_key", "m", F.explode(F.array(F.struct(F.col("low").alias("start"), F.lit(1).alias("step")), F.struct((F.col("high") + 1).alias("start"), F.lit(-1).alias("step")))).alias("x"))
+    steps = steps.groupBy("doc", "item_key", "m", "x.start").agg(F.sum("x.step").alias("step"))
+    both = F.sum("step").over(Window.partitionBy("doc", "item_key", "m").orderBy("start"))
+    steps = steps.withColumn("similarity", both / (2 * F.col("m") - both)).where(F.col("similarity") >= similarity)
+    best = steps.groupBy("doc", "item_key").agg(F.max(F.struct("similarity", (-F.col("start")).alias("neg"))).alias("best"))
+    return best.join(items.select("item_key", "item_id", "n"), "item_key").select("doc.doc_id", "doc.text_key", "item_id", (-F.col("best.neg")).alias("start"), "n", F.col("best.similarity").alias("similarity"))
+
+
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows whose text holds a benchmark item; all other rows and all columns stay as they are."""
     doc, key = fresh(docs, "bad_id", "bad_key")

@@ -1,5 +1,6 @@
 """The operators on small tables: brute force, round trips, and the defined results of odd input."""
 
+import collections
 import gzip
 import hashlib
 import html
@@ -164,6 +165,35 @@ def test_decontamination_of_long_and_repeated_items(spark, documents, monkeypatc
     assert got[11, 2]["similarity"] == 1 and got[12, 2]["similarity"] == pytest.approx(24 / 28) and got[15, None]["start"] == 25
 
 
+def test_decontamination_looks_at_all_windows(spark, documents):
+    """Items cut at a text's ends, of halves in another order, and beyond the radius, against brute force; the best window, first of equals."""
+    rng = np.random.default_rng(31)
+    items = [(i, text_of(rng, n)) for i, n in enumerate((20, 40, 49, 76, 202, 13))] + [(10, " ".join(f"v{x}" for x in rng.integers(0, 3, 60)))]
+    docs = []
+    for i, t in items[:5]:
+        w, n = t.split(), len(t.split())
+        k = (n - 4) // 9
+        docs += [(100 + i, f"x {' '.join(w[:-1])}"), (200 + i, " ".join([*w[1:], "y"])), (300 + i, f"{text_of(rng, 5)} {' '.join(w[n // 2 :] + w[: n // 2])} {text_of(rng, 5)}")]
+        docs += [(1000 * (i + 1) + j, f"{text_of(rng, 7)} {' '.join(w[: n - k])} {' '.join(f'z{rng.integers(9)}' for _ in range(k))} {text_of(rng, 3)}") for j in range(12)]
+    docs += [(50, f"{items[6][1]} {items[6][1]}"), (51, " ".join(f"v{x}" for x in rng.integers(0, 3, 300))), (None, items[1][1])]
+    found = decontamination.matches(documents(docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = {}
+    for (d, text), (i, item) in itertools.product(docs, items):
+        a, b = (collections.Counter(), collections.Counter())
+        w, v = words(text), words(item)
+        b.update(tuple(v[k : k + 5]) for k in range(len(v) - 4))
+        for s in range(len(w) - len(v) + 1):
+            a = collections.Counter(tuple(w[k : k + 5]) for k in range(s, s + len(v) - 4))
+            both = (a & b).total()
+            if both >= 0.8 * (2 * (len(v) - 4) - both) - 1e-9 and both > want.get((d, i), (0, 0))[0]:
+                want[d, i] = (both, s)
+    assert {(r["doc_id"], r["item_id"]): r["start"] for r in found} == {k: s for k, (_, s) in want.items()}
+    assert len(found) == len(want) and {(101, 1), (201, 1), (304, 4), (50, 10)} <= set(want) and len(want) > 60
+    for r in found:
+        m = r["n_words"] - 4
+        assert r["similarity"] == pytest.approx(want[r["doc_id"], r["item_id"]][0] / (2 * m - want[r["doc_id"], r["item_id"]][0]))
+
+
 # 3
 
 
