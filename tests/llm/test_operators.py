@@ -710,6 +710,20 @@ def test_passages_behind_documents_that_repeat_their_lines(spark, documents, bet
     assert got == want
 
 
+@pytest.mark.parametrize("between", [4, 12])
+def test_passages_behind_documents_that_share_their_long_seeds(spark, documents, between):
+    """Documents with each run of forty words of a passage, but not its fifty, do not stand between two that have it."""
+    rng = np.random.default_rng(40 + between)
+    docs, want = [], set()
+    for i in range(0, 10 * (between + 2), between + 2):
+        p = text_of(rng, 50).split()
+        docs += [(i + k, f"{text_of(rng, 60)} {' '.join(p)} {text_of(rng, 50)}") for k in (0, between + 1)]
+        docs += [(i + k, f"{text_of(rng, 20)} {' '.join(p[:40])} {text_of(rng, 90)} {' '.join(p[10:])} {text_of(rng, 20)}") for k in range(1, between + 1)]
+        want.add((i + between + 1, i, 60, 110))
+    got = {(r["doc_id"], r["ref_doc_id"], r["start"], r["end"]) for r in passages.repeated_passages(documents(docs)).collect()}
+    assert want <= got
+
+
 def runs_of(text, n):
     w = words(text)
     return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
