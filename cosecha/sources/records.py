@@ -27,7 +27,10 @@ def dam_records(payloads: DataFrame, column: str = "json") -> DataFrame:
     """Rows of the portal's JSON records, all of whose fields are texts."""
     schema = ", ".join(f"`{k}` string" for k in DAM_FIELDS)
     r = payloads.select(F.explode(F.from_json(column, f"array<struct<{schema.replace(' string', ': string')}>>")).alias("r"))
-    out = r.select(*[(text.number(F.col(f"r.`{k}`")).try_cast(DAM_TYPES[n]) if n in DAM_TYPES else text.blank_to_null(text.decoded(F.col(f"r.`{k}`")))).alias(n) for k, n in DAM_FIELDS.items()])
+    # the decoder is a large expression: all texts of a record go through one, not through one each
+    texts = [k for k, n in DAM_FIELDS.items() if n not in DAM_TYPES]
+    r = r.select("r", F.transform(F.transform(F.array(*[F.col(f"r.`{k}`") for k in texts]), text.decoded), text.blank_to_null).alias("t"))
+    out = r.select(*[text.number(F.col(f"r.`{k}`")).try_cast(DAM_TYPES[n]).alias(n) if n in DAM_TYPES else F.get("t", F.lit(texts.index(k))).alias(n) for k, n in DAM_FIELDS.items()])
     return out.withColumn("fecha", dates.decena_end(F.col("anio"), F.col("mes"), F.col("decena")))
 
 

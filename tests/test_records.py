@@ -5,6 +5,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from cosecha.functions import text
 from cosecha.plans import retail, run
 from cosecha.sources import records
 
@@ -123,3 +124,15 @@ def test_proxy_defaults(spark):
     assert records.proxy_config(spark, blank).count() == 21
     own = records.proxy_config(spark, spark.createDataFrame([("x", "Maize"), (None, None)], "activo string, serie string")).collect()
     assert [(r["activo"], r["serie"], r["moneda"]) for r in own] == [(True, "Maize", None)]
+
+
+def test_dam_records_decode_all_texts_at_once(spark):
+    """One decoder for the eight texts of a record, with their results as before; a field that is missing or blank is null."""
+    record = {"CveCONAGUAPresa": " A&ntilde;o&nbsp;", "nombreEstado": "M&eacute;xico", "nombreOficial": " ", "nombreUso": "a  b", "porcAlmacen": "1,000.5", "anio": "2020", "cveMes": "2", "cveDecena": "3"}
+    out = records.dam_records(spark.createDataFrame([(json.dumps([record, {}]),)], "json string"))
+    a, b = sorted(out.collect(), key=lambda r: r["presa"] is None)
+    assert (a["presa"], a["estado"], a["nombre_oficial"], a["uso_principal"], a["pct"], str(a["fecha"])) == ("Año", "México", None, "a b", 1000.5, "2020-02-29")
+    assert all(v is None for v in b)
+    decoders = lambda df: df._jdf.queryExecution().analyzed().toJSON().count("expressions.ArrayJoin")
+    one = spark.createDataFrame([("x",)], "x string").select(text.decoded(F.col("x")))
+    assert decoders(out) == decoders(one) > 0
