@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cosecha.plans import master, models, pages, prices, production, trees, water
-from cosecha.queries import ANNUAL, DAMS, METRIC, REFS, WIDE, I, R, Rs, _annual_records, _below, _sql, query, shown
+from cosecha.queries import ANNUAL, DAMS, METRIC, REFS, WIDE, I, R, Rs, _annual_records, _below, _production, _sql, query, shown
 from cosecha.sources import files, records
 from cosecha.sources.driver import Tables
 from cosecha.streaming import refresh
@@ -72,7 +72,7 @@ qt AS (SELECT * FROM q0 WHERE corte >= (SELECT corte FROM qd WHERE i = least(n -
 @query(_sql("ay", ", ".join([REFS, LABELLED]), f"SELECT count(*) AS n, {R('avg(abs(a - p))', 'mae')}, {R('stddev_pop(a - p)', 'desviacion')} FROM qt"))
 def production_residuals(t: Tables) -> DataFrame:
     """How far the baseline of production is off on the test part."""
-    return shown(production.residual_std(production.labelled(production.features(t.progress(), t.annual()))))
+    return shown(production.residual_std(production.labelled(_production(t))))
 
 
 # Boosted trees; SQL has the search of a split, but not the trees
@@ -105,7 +105,7 @@ def boosted_water(t: Tables) -> DataFrame:
 @query()
 def trained_production(t: Tables) -> DataFrame:
     """Forecasts by trees or the baseline, whichever wins."""
-    out = production.nowcast(production.features(t.progress(), t.annual()), **TREES)
+    out = production.nowcast(_production(t), **TREES)
     return shown(out.select("cultivo", "estado", "anio", "metodo", "motivo", "nivel", "pronostico", "p10", "p90", "caida_10"))
 
 

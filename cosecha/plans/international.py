@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cosecha.functions import dates, numbers
 from cosecha.operators import asof, panel
+from cosecha.sources import files
 
 METRICS = ("valor", "cambio_1", "cambio_3", "z")
 
@@ -19,8 +20,8 @@ def matched(records: DataFrame, config: DataFrame) -> DataFrame:
 
 
 def in_pesos(prices: DataFrame, fx: DataFrame) -> DataFrame:
-    """USD prices with the last exchange rate at or before their day; pesos stay as they are."""
-    out = asof.asof_series(prices, fx.withColumnRenamed("fecha", "fecha_fx"), ("fecha", "fecha_fx"))
+    """USD prices with the last exchange rate at or before their day; pesos stay as they are.  Prices go to a scratch table, as they are read twice."""
+    out = asof.asof_series(files.saved(prices, "proxy-prices"), fx.withColumnRenamed("fecha", "fecha_fx"), ("fecha", "fecha_fx"))
     return out.withColumn("valor", F.when(F.upper("moneda") == "MXN", F.col("precio")).otherwise(F.col("precio") * F.col("tasa")))
 
 
@@ -47,8 +48,8 @@ def pivoted(values: DataFrame, proxies: Sequence[str]) -> DataFrame:
 
 
 def on_prices(price: DataFrame, wide: DataFrame) -> DataFrame:
-    """Prices with the last proxies that were available, by product."""
-    return asof.asof_join(price, wide.withColumnRenamed("producto", "cultivo"), ("fecha", "disponible"), ["cultivo"])
+    """Prices with the last proxies that were available, by product; prices go to a scratch table, as they are read twice."""
+    return asof.asof_join(files.saved(price, "prices"), wide.withColumnRenamed("producto", "cultivo"), ("fecha", "disponible"), ["cultivo"])
 
 
 def coverage(days: DataFrame, values: DataFrame) -> DataFrame:

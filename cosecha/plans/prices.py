@@ -32,9 +32,13 @@ def spreads(wholesale: DataFrame, retail: DataFrame, sources: Sequence[str] = SO
 
 
 def daily_panel(wholesale: DataFrame, limit: int = 3) -> DataFrame:
-    """Every day of each (crop, market): prices are carried at most ``limit`` days, counts of empty days are 0."""
+    """Every day of each (crop, market): prices are carried at most ``limit`` days, counts of empty days are 0.
+
+    The days' medians go to a scratch table, as the calendar is made from them too.
+    """
     keys = ["cultivo", "mercado"]
     daily = wholesale.dropna(subset=["fecha", *keys]).groupBy("fecha", *keys).agg(F.median("precio").alias("precio"), F.min("precio_minimo").alias("minimo"), F.max("precio_maximo").alias("maximo"), F.count(F.lit(1)).alias("n"))
+    daily = files.saved(daily, "daily")
     w = panel.order(keys, "fecha")
     out = panel.densify(daily, keys, "fecha").withColumns({c: panel.filled(c, w, limit) for c in ("precio", "minimo", "maximo")})
     return out.withColumn("n", F.coalesce("n", F.lit(0)))

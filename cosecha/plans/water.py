@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from cosecha.functions import dates, numbers
 from cosecha.operators import asof, panel, rows
 from cosecha.plans import models
+from cosecha.sources import files
 
 
 def climate_decenas(weather: DataFrame) -> DataFrame:
@@ -59,8 +60,8 @@ def national(state: DataFrame) -> DataFrame:
 
 
 def on_prices(price: DataFrame, nation: DataFrame, days: int = 45) -> DataFrame:
-    """Prices with the last national storage of at most ``days`` before."""
-    return asof.asof_series(price, nation.withColumnRenamed("fecha", "fecha_agua"), ("fecha", "fecha_agua"), days)
+    """Prices with the last national storage of at most ``days`` before; prices go to a scratch table, as they are read twice."""
+    return asof.asof_series(files.saved(price, "prices"), nation.withColumnRenamed("fecha", "fecha_agua"), ("fecha", "fecha_agua"), days)
 
 
 def seasonal_change(train: DataFrame, rows: DataFrame, delta: str) -> DataFrame:

@@ -58,9 +58,10 @@ class Tables:
         run = Window.partitionBy("cultivo", "estado", "anio").orderBy("mes")
         return out.withColumn("acumulada", F.sum("prod_mes").over(run)).withColumn("corte", F.last_day(F.try_to_date(F.format_string("%04d-%02d-01", "anio", "mes"))))
 
-    def annual(self) -> DataFrame:
-        """Annual close of a crop in a state."""
-        return self.progress().groupBy("cultivo", "estado", "anio").agg(F.sum("prod_mes").alias("produccion"), F.try_divide(F.sum("prod_mes"), F.sum("cosechada")).alias("rendimiento"))
+    def annual(self, progress: DataFrame | None = None) -> DataFrame:
+        """Annual close of a crop in a state; ``progress``: the monthly progress, where it is at hand."""
+        progress = self.progress() if progress is None else progress
+        return progress.groupBy("cultivo", "estado", "anio").agg(F.sum("prod_mes").alias("produccion"), F.try_divide(F.sum("prod_mes"), F.sum("cosechada")).alias("rendimiento"))
 
 
 #: The same tables for DuckDB.

@@ -11,7 +11,7 @@ from cosecha.functions import dates, text
 from cosecha.operators import orders, rows
 from cosecha.plans import catalog, international, master, pages, prices, production, retail, run, water
 from cosecha.queries import (
-    CAST, CLIMATE, FEATURES, NATION, NESTED, PIVOT, PROXY_IDS, SPREADS, VALUES, WEEKLY, I, R, Rs, _annual_records, _history, _nested_offers, _sql, _values, query, shown,
+    CAST, CLIMATE, FEATURES, NATION, NESTED, PIVOT, PROXY_IDS, SPREADS, VALUES, WEEKLY, I, R, Rs, _annual_records, _history, _nested_offers, _production, _sql, _values, query, shown,
 )
 from cosecha.row_queries import ALL_HORIZONS, _alerts
 from cosecha.sources import files, records
@@ -337,7 +337,7 @@ def price_context(t: Tables) -> DataFrame:
     w = t.wholesale()
     price = prices.features(w, prices.spreads(w, t.retail()))
     price = water.on_prices(price, water.national(water.states(t.dams())))
-    price = price.join(run.product_context(production.forecast(production.features(t.progress(), t.annual()))), "cultivo", "left")
+    price = price.join(run.product_context(production.forecast(_production(t))), "cultivo", "left")
     price = international.on_prices(price, international.pivoted(international.eligible(_values(t)), PROXY_IDS))
     return shown(price.select("cultivo", "mercado", "fecha", "disponible", "precio", "lag_7", "spread_uno", "agua", F.col("produccion_pronosticada").alias("produccion"), F.col("caida_10").alias("caida"), "p_low_z"))
 

@@ -1,5 +1,6 @@
 """Queries against DuckDB on tables where they once differed: empty tasks, repeated pages, equal chances."""
 
+import re
 import shutil
 
 import duckdb
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cosecha import queries
 from cosecha.plans import pages, production, trees
+from cosecha.sources import files
 
 SF = "/root/testdata/sf0.001"
 
@@ -69,3 +71,16 @@ def test_splits_join_sums_not_rows(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1 and plan.index("Join") < plan.index("Generate explode")
     assert {r["columna"] for r in out.collect()} == {"p", "q"}
+
+
+@pytest.mark.parametrize(("name", "most"), [("price_context", 6), ("production_forecast", 1), ("prices_with_water", 3), ("daily_panel", 1)])
+def test_lines_are_read_once_a_summary(spark, monkeypatch, name, most):
+    """Of all plans that a query runs, so many read lineitem; those of water stand twice in a plan, as one exchange."""
+    plans, saved = [], files.saved
+    monkeypatch.setattr(files, "saved", lambda df, to: plans.append(df) or saved(df, to))
+    plans.append(queries.QUERIES[name](spark, SF))
+    assert sum(len(re.findall(r"Relation \[l_", df._jdf.queryExecution().optimizedPlan().toString())) for df in plans) <= most
+
+
+def test_price_context_agrees(spark):
+    assert agrees(spark, SF, "price_context")
