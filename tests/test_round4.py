@@ -19,6 +19,6 @@ def uneven(tmp_path_factory):
     return str(root)
 
 
-@pytest.mark.parametrize("name", ["offer_records"])
+@pytest.mark.parametrize("name", ["offer_records", "nested_offers"])
 def test_uneven_prices(spark, uneven, name):
     assert agrees(spark, uneven, name)
