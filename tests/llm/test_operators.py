@@ -724,6 +724,24 @@ def test_passages_behind_documents_that_share_their_long_seeds(spark, documents,
     assert want <= got
 
 
+@pytest.mark.parametrize("between", [8, 60])
+def test_edited_passages_behind_documents_that_have_their_lines(spark, documents, between):
+    """Documents with every line of a passage, apart, do not stand between two that have it with words replaced all over."""
+    rng = np.random.default_rng(70 + between)
+    docs, want = [], set()
+    for i in range(0, 6 * (between + 2), between + 2):
+        lines = [text_of(rng, 12) for _ in range(6)]
+        edited = " ".join(lines).split()
+        edited[5::12] = text_of(rng, 6).split()
+        docs += [(i, f"{text_of(rng, 60)} {' '.join(lines)} {text_of(rng, 50)}"), (i + between + 1, f"{text_of(rng, 60)} {' '.join(edited)} {text_of(rng, 50)}")]
+        for k in range(1, between + 1):
+            docs.append((i + k, " ".join(f"{text_of(rng, 30)} {x}" for x in rng.permutation(lines))))
+        want.add((i + between + 1, i))
+    got = passages.repeated_passages(documents(docs)).collect()
+    assert {(r["doc_id"], r["ref_doc_id"]) for r in got} == want
+    assert all(r["start"] <= 65 and r["end"] >= 120 and r["identity"] >= 0.85 for r in got)
+
+
 def runs_of(text, n):
     w = words(text)
     return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
